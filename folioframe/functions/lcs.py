@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
@@ -24,7 +25,7 @@ def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
     return len(longer) - row.bit_count()
 
 
-@F.arrow_udf("int")
+@F.arrow_udf(T.IntegerType())
 def lcs_tokens(a: pa.Array, b: pa.Array) -> pa.Array:
     # One pair at a time leaves Arrow memory: long texts do not add up.
     return pa.array([lcs_length(x.as_py() or (), y.as_py() or ()) for x, y in zip(a, b)], pa.int32())

@@ -12,6 +12,7 @@ from functools import lru_cache
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The published suffix rules. Steps 2 and 3 need a measure above 0, step 4 one
 # above 1.
@@ -128,7 +129,7 @@ def stem(word: str) -> str:
     return _tidy(_bare(_reduced(_derived(word))))
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(T.ArrayType(T.StringType()))
 def stem_tokens(tokens: pa.Array) -> pa.Array:
     """Token arrays with every token of more than three letters stemmed."""
     flat = tokens.flatten().dictionary_encode()
