@@ -96,14 +96,16 @@ def standardize_turns(conversation: Column | str, role: str = "from", content: s
 def repair_turns(conversation: Column | str) -> Column:
     """Insert an empty assistant turn after every user turn that lacks an answer."""
     conversation = as_column(conversation)
+    ahead = F.slice(conversation, 2, F.size(conversation))
 
-    def with_answer(x: Column, i: Column) -> Column:
-        following = F.coalesce(F.try_element_at(conversation, i + 2)["role"], F.lit(""))
-        orphan = (x["role"] == "user") & (following != "assistant")
+    def with_answer(x: Column, following: Column) -> Column:
+        answered = F.coalesce(following["role"], F.lit("")) == "assistant"
         same = turn(x["role"], x["content"])
-        return F.when(orphan, F.array(same, turn("assistant", F.lit("")))).otherwise(F.array(same))
+        return F.when((x["role"] == "user") & ~answered, F.array(same, turn("assistant", F.lit("")))).otherwise(
+            F.array(same)
+        )
 
-    return F.flatten(F.transform(conversation, with_answer))
+    return F.flatten(F.zip_with(conversation, ahead, with_answer))
 
 
 def replace_system(conversation: Column | str, system: str) -> Column:

@@ -123,14 +123,18 @@ def whitespace_tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(as_column(text), F.lit("[^ \\t\\r\\n]+"), F.lit(0))
 
 
+def shifted(tokens: Column | str, n: int) -> Column:
+    """Structs ``w0 .. w{n-1}`` of every position's next tokens; NULL past the end."""
+    tokens = as_column(tokens)
+    ahead = [F.slice(tokens, i + 1, F.size(tokens)).alias(f"w{i}") for i in range(1, n)]
+    return F.arrays_zip(tokens.alias("w0"), *ahead)
+
+
 def word_ngrams(tokens: Column | str, n: int) -> Column:
     """Space-joined n-grams of a token array, in order."""
-    tokens = as_column(tokens)
-    last = F.size(tokens) - F.lit(n)
-    grams = F.transform(
-        F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(tokens, i + 1, F.lit(n)), " ")
-    )
-    return F.when(last >= 0, grams).otherwise(F.array().cast("array<string>"))
+    count = F.greatest(F.size(as_column(tokens)) - (n - 1), F.lit(0))
+    whole = F.slice(shifted(tokens, n), 1, count)
+    return F.transform(whole, lambda g: F.concat_ws(" ", *[g[f"w{i}"] for i in range(n)]))
 
 
 def decode_bytes(content: Column | str) -> Column:

@@ -172,10 +172,9 @@ def trigram_check(
     The sample is the ``n_samples`` sequences with the smallest digests: the same on every run
     and every partitioning.
     """
-    grams = pairs.select(
-        *keys,
-        F.array_distinct(word_ngrams(words(checked), 3)).alias("_own"),
-        word_ngrams(words(against), 3).alias("_other"),
+    tokens = pairs.select(*keys, words(checked).alias("_own"), words(against).alias("_other"))
+    grams = tokens.select(
+        *keys, F.array_distinct(word_ngrams("_own", 3)).alias("_own"), word_ngrams("_other", 3).alias("_other")
     )
     ranked = F.array_sort(
         F.transform("_own", lambda g: F.struct(F.md5(F.concat(F.lit(f"{seed}:"), g)), g.alias("gram")))

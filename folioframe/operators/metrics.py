@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from folioframe.functions.lcs import lcs_tokens
 from folioframe.functions.stemming import stem_tokens
-from folioframe.functions.text import words
+from folioframe.functions.text import shifted, words
 from folioframe.functions.vectors import cosine
 
 # Fixed value: label of the appended summary record.
@@ -66,14 +66,9 @@ def ngram_overlap(tokens: DataFrame, keys: Sequence[str], n: int, distinct: bool
         F.size("ref").alias("_split"),
         F.concat("ref", F.array(F.lit(None).cast("string")), "cand").alias("_all"),
     )
-    names = [f"_w{i}" for i in range(n)]
-    if n == 1:
-        rows = joined.select(*keys, "_split", F.posexplode("_all").alias("_at", names[0]))
-    else:
-        shifted = [F.slice("_all", i + 1, F.size("_all")).alias(name) for i, name in enumerate(names)]
-        rows = joined.select(
-            *keys, "_split", F.posexplode(F.arrays_zip(*shifted)).alias("_at", "_gram")
-        ).select(*keys, "_split", "_at", *[F.col("_gram")[name].alias(name) for name in names])
+    names = [f"w{i}" for i in range(n)]
+    rows = joined.select(*keys, "_split", F.posexplode(shifted("_all", n)).alias("_at", "_gram"))
+    rows = rows.select(*keys, "_split", "_at", "_gram.*")
     whole = reduce(lambda x, y: x & y, [F.col(name).isNotNull() for name in names])
     count = F.max if distinct else F.sum
     grams = rows.groupBy(*keys, *names).agg(
@@ -87,6 +82,16 @@ def ngram_overlap(tokens: DataFrame, keys: Sequence[str], n: int, distinct: bool
     )
 
 
+def ngram_counts(df: DataFrame, text: str, n: int) -> DataFrame:
+    """``(gram, n_uses)`` over all texts. Counting is combined before the shuffle, so frequent
+    n-grams are no hot keys."""
+    names = [f"w{i}" for i in range(n)]
+    tokens = df.select(words(text).alias("_tokens"))
+    rows = tokens.select(F.explode(shifted("_tokens", n)).alias("_gram")).select("_gram.*")
+    counts = rows.dropna(subset=names).groupBy(*names).agg(F.count(F.lit(1)).alias("n_uses"))
+    return counts.select(F.concat_ws(" ", *names).alias("gram"), "n_uses")
+
+
 def rouge_n(
     pairs: DataFrame, n: int, keys: Sequence[str] = ("pair_id",),
     reference: str = "reference_text", candidate: str = "candidate_text", stemmed: bool = False,
@@ -147,10 +152,16 @@ def cosine_scores(
     return vectors.select(*keys, cosine(first, second).alias(name))
 
 
+def _unit_rows(vectors) -> np.ndarray:
+    rows = np.stack(vectors).astype("float64")
+    norms = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
+
+
 def _best_match(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Best cosine of every token of two blocks of unit vectors."""
-    a, b = np.stack(pdf["_ref_vec"][0]), np.stack(pdf["_cand_vec"][0])
-    similar = a.astype("float64") @ b.astype("float64").T
+    """Best cosine of every token of two blocks."""
+    a, b = _unit_rows(pdf["_ref_vec"][0]), _unit_rows(pdf["_cand_vec"][0])
+    similar = a @ b.T
     sides = np.repeat([0, 1], [len(a), len(b)])
     toks = np.concatenate([pdf["_ref_tok"][0], pdf["_cand_tok"][0]])
     return pd.DataFrame(
@@ -169,17 +180,15 @@ def bert_score(
     matrix product per pair of blocks, so a task holds two blocks and never a whole long text.
     """
     keys = list(keys)
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda t, x: t + x.cast("double") * x.cast("double")))
-    unit = F.transform(vector, lambda x: F.coalesce(F.try_divide(x.cast("double"), norm), F.lit(0.0)))
     blocks = (
-        tokens.select(*keys, side, tok, F.expr(f"`{tok}` div {int(block)}").alias("_block"), unit.alias("_unit"))
+        tokens.select(*keys, side, tok, vector, F.expr(f"`{tok}` div {int(block)}").alias("_block"))
         .groupBy(*keys, side, "_block")
-        .agg(F.array_sort(F.collect_list(F.struct(tok, "_unit"))).alias("_rows"))
+        .agg(F.collect_list(F.struct(tok, vector)).alias("_rows"))
     )
 
     def one_side(value: str, name: str) -> DataFrame:
         return blocks.filter(F.col(side) == value).select(
-            *keys, F.col(f"_rows.{tok}").alias(f"_{name}_tok"), F.col("_rows._unit").alias(f"_{name}_vec")
+            *keys, F.col(f"_rows.{tok}").alias(f"_{name}_tok"), F.col(f"_rows.{vector}").alias(f"_{name}_vec")
         )
 
     both = one_side("reference", "ref").join(one_side("candidate", "cand"), keys)

@@ -182,8 +182,7 @@ def unigrams(distinct: bool):
 
 
 def ngram_counts(spark, sf_dir):
-    grams = table(spark, sf_dir, "documents").select(F.explode(tx.word_ngrams(tx.words("text"), 2)).alias("gram"))
-    return grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n_uses"))
+    return metrics.ngram_counts(table(spark, sf_dir, "documents"), "text", 2)
 
 
 def vector_pairs(spark, sf_dir):
@@ -377,7 +376,7 @@ def fetch_log(spark, sf_dir):
 def strict_zip(spark, sf_dir):
     rows = articles(spark, sf_dir)
     original = rows.select("pos", "title", F.col("abstract").alias("original_abstract"))
-    generated = rows.select("pos", F.col("title").alias("generated_title"), F.upper("title").alias("generated_abstract"))
+    generated = rows.select("pos", F.col("title").alias("generated_title"), F.concat(F.lit("About "), "title").alias("generated_abstract"))
     pairs = pairing.strict_zip(original, generated)
     return pairs.select("pos", "title", "original_abstract", "generated_abstract", (~F.col("title").eqNullSafe(F.col("generated_title"))).alias("title_differs"))
 
