@@ -9,20 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def lcs_length(a: Sequence[str], b: Sequence[str]) -> int:
-    """Bit-parallel LCS (Hyyro, 2004): one integer holds a row of the table."""
+def lcs_length(a: Sequence[str], b: Sequence[str], width: int = 8192) -> int:
+    """Bit-parallel LCS (Hyyro, 2004): one integer holds a row of the table.
+
+    The longer text is taken in slices of ``width`` tokens, and what a row's addition carries
+    out of one slice goes into the next. Memory is bounded by the slice, not by the text.
+    """
     longer, shorter = (a, b) if len(a) >= len(b) else (b, a)
-    wanted = set(shorter)
-    where: dict[str, int] = {}
-    for i, token in enumerate(longer):
-        if token in wanted:
+    carry = bytearray(len(shorter))
+    common = 0
+    for start in range(0, len(longer), width):
+        part = longer[start : start + width]
+        where: dict[str, int] = {}
+        for i, token in enumerate(part):
             where[token] = where.get(token, 0) | (1 << i)
-    full = (1 << len(longer)) - 1
-    row = full
-    for token in shorter:
-        hits = row & where.get(token, 0)
-        row = ((row + hits) | (row - hits)) & full
-    return len(longer) - row.bit_count()
+        full = (1 << len(part)) - 1
+        row = full
+        for j, token in enumerate(shorter):
+            hits = row & where.get(token, 0)
+            if hits or carry[j]:
+                total = row + hits + carry[j]
+                carry[j] = total >> len(part)
+                row = (total | (row - hits)) & full
+        common += len(part) - row.bit_count()
+    return common
 
 
 @F.arrow_udf(T.IntegerType())

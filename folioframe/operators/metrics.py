@@ -14,6 +14,7 @@ from folioframe.functions.lcs import lcs_tokens
 from folioframe.functions.stemming import stem_tokens
 from folioframe.functions.text import shifted, words
 from folioframe.functions.vectors import cosine
+from folioframe.session import shared_dir
 
 # Fixed value: label of the appended summary record.
 SUMMARY = "Overall Metrics"
@@ -54,32 +55,56 @@ def tokenized(
     return tokens
 
 
-def ngram_overlap(tokens: DataFrame, keys: Sequence[str], n: int, distinct: bool = False) -> DataFrame:
-    """``(keys, hits, n_ref, n_cand)``: clipped n-gram overlap per pair.
+def ngram_overlap(
+    tokens: DataFrame, keys: Sequence[str], sizes: Sequence[int] = (1,), distinct: bool = False,
+    carried: Sequence[str] = (),
+) -> DataFrame:
+    """``(keys, carried, hits_n, ref_n, cand_n, ...)``: clipped n-gram overlap per pair.
 
     Both arrays become one sequence with a NULL between them; n-grams touching the NULL or the
-    end count nothing but keep pairs without any n-gram in the result.
+    end count nothing but keep pairs without any n-gram in the result. Several sizes share one
+    pass over the tokens. ``carried`` columns depend on the keys.
     """
-    keys = list(keys)
+    whole_keys, longest = [*keys, *carried], max(sizes)
     joined = tokens.select(
-        *keys,
+        *whole_keys,
         F.size("ref").alias("_split"),
         F.concat("ref", F.array(F.lit(None).cast("string")), "cand").alias("_all"),
     )
-    names = [f"w{i}" for i in range(n)]
-    rows = joined.select(*keys, "_split", F.posexplode(shifted("_all", n)).alias("_at", "_gram"))
-    rows = rows.select(*keys, "_split", "_at", "_gram.*")
-    whole = reduce(lambda x, y: x & y, [F.col(name).isNotNull() for name in names])
+    names = [f"w{i}" for i in range(longest)]
+    rows = joined.select(*whole_keys, "_split", F.posexplode(shifted("_all", longest)).alias("_at", "_gram"))
+    rows = rows.select(*whole_keys, "_split", "_at", "_gram.*")
+    if len(sizes) > 1:
+        grams = []
+        for n in sizes:
+            whole = reduce(lambda x, y: x & y, [F.col(name).isNotNull() for name in names[:n]])
+            parts = [(F.col(c) if k < n else F.lit(None).cast("string")).alias(c) for k, c in enumerate(names)]
+            grams.append(F.struct(F.lit(n).alias("_n"), whole.alias("_whole"), *parts))
+        rows = rows.select(*whole_keys, "_split", "_at", F.inline(F.array(*grams)))
+        groups = [*whole_keys, "_n", *names]
+    else:
+        rows = rows.withColumn("_whole", reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in names]))
+        groups = [*whole_keys, *names]
     count = F.max if distinct else F.sum
-    grams = rows.groupBy(*keys, *names).agg(
-        count(F.when(whole & (F.col("_at") < F.col("_split")), 1).otherwise(0)).alias("_ref"),
-        count(F.when(whole & (F.col("_at") > F.col("_split")), 1).otherwise(0)).alias("_cand"),
-    )
-    return grams.groupBy(*keys).agg(
-        F.sum(F.least("_ref", "_cand")).alias("hits"),
-        F.sum("_ref").alias("n_ref"),
-        F.sum("_cand").alias("n_cand"),
+    counts = rows.groupBy(*groups).agg(
+        count(F.when(F.col("_whole") & (F.col("_at") < F.col("_split")), 1).otherwise(0)).alias("_ref"),
+        count(F.when(F.col("_whole") & (F.col("_at") > F.col("_split")), 1).otherwise(0)).alias("_cand"),
     )
+    totals = []
+    for n in sizes:
+        def only(value: Column) -> Column:
+            return F.sum(F.when(F.col("_n") == n, value).otherwise(0) if len(sizes) > 1 else value)
+
+        totals += [
+            only(F.least("_ref", "_cand")).alias(f"hits_{n}"),
+            only(F.col("_ref")).alias(f"ref_{n}"),
+            only(F.col("_cand")).alias(f"cand_{n}"),
+        ]
+    return counts.groupBy(*whole_keys).agg(*totals)
+
+
+def ngram_scores(prefix: str, n: int) -> list[Column]:
+    return scores(prefix, F.col(f"hits_{n}"), F.col(f"ref_{n}"), F.col(f"cand_{n}"))
 
 
 def ngram_counts(df: DataFrame, text: str, n: int) -> DataFrame:
@@ -93,12 +118,13 @@ def ngram_counts(df: DataFrame, text: str, n: int) -> DataFrame:
 
 
 def rouge_n(
-    pairs: DataFrame, n: int, keys: Sequence[str] = ("pair_id",),
+    pairs: DataFrame, sizes: int | Sequence[int], keys: Sequence[str] = ("pair_id",),
     reference: str = "reference_text", candidate: str = "candidate_text", stemmed: bool = False,
 ) -> DataFrame:
-    """ROUGE-N precision, recall and F per pair."""
-    overlap = ngram_overlap(tokenized(pairs, keys, reference, candidate, stemmed), keys, n)
-    return overlap.select(*keys, *scores(f"rouge{n}", F.col("hits"), F.col("n_ref"), F.col("n_cand")))
+    """ROUGE-N precision, recall and F per pair, for one or several N."""
+    sizes = [sizes] if isinstance(sizes, int) else list(sizes)
+    overlap = ngram_overlap(tokenized(pairs, keys, reference, candidate, stemmed), keys, sizes)
+    return overlap.select(*keys, *[c for n in sizes for c in ngram_scores(f"rouge{n}", n)])
 
 
 def unigram_scores(
@@ -106,8 +132,8 @@ def unigram_scores(
     candidate: str = "candidate_text", distinct: bool = False,
 ) -> DataFrame:
     """Unigram precision, recall and F1, on multisets or on sets of words."""
-    overlap = ngram_overlap(tokenized(pairs, keys, reference, candidate), keys, 1, distinct)
-    return overlap.select(*keys, *scores("unigram", F.col("hits"), F.col("n_ref"), F.col("n_cand")))
+    overlap = ngram_overlap(tokenized(pairs, keys, reference, candidate), keys, (1,), distinct)
+    return overlap.select(*keys, *ngram_scores("unigram", 1))
 
 
 def rouge_l(
@@ -127,21 +153,14 @@ def rouge(
     pairs: DataFrame, keys: Sequence[str] = ("pair_id",), reference: str = "reference_text",
     candidate: str = "candidate_text", stemmed: bool = True,
 ) -> DataFrame:
-    """ROUGE-1, ROUGE-2 and ROUGE-L F per pair. The three parts share one partitioning, so
-    joining them needs no exchange of scores."""
+    """ROUGE-1, ROUGE-2 and ROUGE-L F per pair, from one pass over the tokens: the longest
+    common subsequence is taken on the pair's row before it is cut into n-grams."""
     tokens = tokenized(pairs, keys, reference, candidate, stemmed)
-    parts = []
-    for n in (1, 2):
-        overlap = ngram_overlap(tokens, keys, n)
-        values = scores(f"rouge{n}", F.col("hits"), F.col("n_ref"), F.col("n_cand"))
-        parts.append(overlap.select(*keys, values[2].alias(f"rouge{n}")))
-    longest = tokens.select(
-        *keys, lcs_tokens("ref", "cand").alias("hits"),
-        F.size("ref").alias("n_ref"), F.size("cand").alias("n_cand"),
-    )
-    values = scores("rougeL", F.col("hits"), F.col("n_ref"), F.col("n_cand"))
-    parts.append(longest.select(*keys, values[2].alias("rougeL")))
-    return reduce(lambda x, y: x.join(y, list(keys)), parts)
+    measured = tokens.select(*keys, "ref", "cand", lcs_tokens("ref", "cand").alias("_lcs"))
+    overlap = ngram_overlap(measured, keys, (1, 2), carried=["_lcs"])
+    one, two = ngram_scores("rouge1", 1), ngram_scores("rouge2", 2)
+    longest = scores("rougeL", F.col("_lcs"), F.col("ref_1"), F.col("cand_1"))
+    return overlap.select(*keys, one[2].alias("rouge1"), two[2].alias("rouge2"), longest[2].alias("rougeL"))
 
 
 def cosine_scores(
@@ -226,10 +245,27 @@ def roll_up(df: DataFrame, metrics: Sequence[str], by: Sequence[str] = (), prefi
     )
 
 
+def roll_up_with_total(
+    df: DataFrame, metrics: Sequence[str], by: Sequence[str], prefix: str = "average_"
+) -> DataFrame:
+    """Means per group and the overall record (``summary`` set) in one pass."""
+    means = [F.avg(m).alias(f"{prefix}{m}") for m in metrics]
+    grouped = df.groupingSets([[F.col(b) for b in by], []], *by).agg(
+        *means, F.count(F.lit(1)).alias("n_pairs"), F.when(F.grouping_id() > 0, F.lit(SUMMARY)).alias("summary")
+    )
+    return grouped
+
+
 def with_summary(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Metric rows followed by one ``{summary, average_*}`` row with its own columns."""
-    means = df.agg(*[F.avg(m).alias(f"average_{m}") for m in metrics])
-    return df.unionByName(means.withColumn("summary", F.lit(SUMMARY)), allowMissingColumns=True)
+    """Metric rows followed by one ``{summary, average_*}`` row with its own columns.
+
+    The rows are checkpointed first: they are small beside the texts they were computed from,
+    and without it the metric would run once for the rows and again for the mean.
+    """
+    shared_dir(df.sparkSession)
+    rows = df.checkpoint()
+    means = rows.agg(*[F.avg(m).alias(f"average_{m}") for m in metrics])
+    return rows.unionByName(means.withColumn("summary", F.lit(SUMMARY)), allowMissingColumns=True)
 
 
 def benchmark_table(roll_ups: Mapping[str, DataFrame], by: Sequence[str] = ("model",)) -> DataFrame:

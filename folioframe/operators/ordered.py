@@ -85,7 +85,7 @@ def scan_groups(
     ]
     computed += [F.col(f"_first_{n}")[c].alias(n) for n, c in first.items()]
     kept = [c for c in segmented.columns if c != SEGMENT and not c.startswith("_amount_")]
-    return segmented.join(offsets, [*keys, SEGMENT]).select(*kept, *computed)
+    return segmented.join(offsets, [*keys, SEGMENT], "left").select(*kept, *computed)
 
 
 def dense_position(

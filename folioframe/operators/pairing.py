@@ -69,10 +69,17 @@ def pending(df: DataFrame, done: DataFrame, key: str | Sequence[str]) -> DataFra
 def work_list(
     articles: DataFrame, models: Sequence[str], done: DataFrame | None = None, pos: str = "pos"
 ) -> DataFrame:
-    """One row per (article, model) still to do. The model list is a literal array, so no
-    join builds the product."""
-    every = articles.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
-    return every if done is None else pending(every, done, [pos, "model"])
+    """One row per (article, model) still to do.
+
+    The models done are gathered per article (at most as many as are asked for), so an article
+    is shuffled once and not once per model. The product comes from a literal array, not a join.
+    """
+    asked = F.array(*[F.lit(m) for m in models])
+    if done is None:
+        return articles.withColumn("model", F.explode(asked))
+    known = done.filter(F.col("model").isin(*models)).groupBy(pos).agg(F.collect_set("model").alias("_done"))
+    left = F.array_except(asked, F.coalesce("_done", F.array().cast("array<string>")))
+    return articles.join(known, pos, "left").withColumn("model", F.explode(left)).drop("_done")
 
 
 def first_usable_attempt(

@@ -147,9 +147,7 @@ def rouge_by_source(n: int):
     def query(spark, sf_dir):
         name = f"rouge{n}_f"
         pairs = metrics.rouge_n(text_pairs(spark, sf_dir), n, keys=("pair_id", "model"))
-        per_model = metrics.roll_up(pairs, [name], ["model"])
-        overall = metrics.roll_up(pairs, [name]).withColumn("summary", F.lit(metrics.SUMMARY))
-        return rounded(per_model.unionByName(overall, allowMissingColumns=True))
+        return rounded(metrics.roll_up_with_total(pairs, [name], ["model"]))
 
     return query
 
@@ -221,11 +219,11 @@ def model_benchmark(spark, sf_dir):
     vectors = vector_pairs(spark, sf_dir).select(
         F.concat(F.lit("src"), F.col("pair_id") % 20).alias("model"), "pair_id", "reference_vector", "candidate_vector"
     )
-    n1 = metrics.roll_up(metrics.rouge_n(pairs, 1, keys=("pair_id", "model")), ["rouge1_f"], ["model"])
-    n2 = metrics.roll_up(metrics.rouge_n(pairs, 2, keys=("pair_id", "model")), ["rouge2_f"], ["model"])
+    texts = metrics.rouge_n(pairs, (1, 2), keys=("pair_id", "model"))
+    texts = metrics.roll_up(texts, ["rouge1_f", "rouge2_f"], ["model"])
     near = metrics.cosine_scores(vectors, ["model", "pair_id"], "reference_vector", "candidate_vector")
     near = metrics.roll_up(near, ["similarity"], ["model"])
-    return rounded(metrics.benchmark_table({"rouge1": n1, "rouge2": n2, "similarity": near}))
+    return rounded(metrics.benchmark_table({"rouge": texts, "similarity": near}))
 
 
 def model_benchmark_full(spark, sf_dir):

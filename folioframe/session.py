@@ -45,3 +45,15 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
+    """Set the number of shuffle partitions for an input of this size, never below the current.
+
+    Adaptive execution merges small partitions afterwards but does not add any, so the number
+    has to be large enough for the largest exchange of a run.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
