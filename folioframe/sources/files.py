@@ -25,10 +25,10 @@ def _struct(schema: str | T.StructType) -> T.StructType:
 
 
 def _arrays(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType, glob: str | None) -> DataFrame:
-    reader = spark.read.option("wholetext", True)
+    reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    raw = reader.text([path] if isinstance(path, str) else list(path))
+    raw = reader.text([path] if isinstance(path, str) else list(path), wholetext=True)
     parsed = F.from_json("value", T.ArrayType(_struct(schema)), {"mode": "PERMISSIVE"})
     return raw.select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -151,7 +151,7 @@ def read_volume_manifests(spark: SparkSession, path: str) -> DataFrame:
 
 def read_file_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """``(key, done)`` of a JSON map of processed files."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.explode(F.from_json("value", "map<string,boolean>")).alias("key", "done"))
 
 
