@@ -39,6 +39,12 @@ def by_range(df: DataFrame, order: Sequence[str], partitions: int | None = None)
     return ranged.withColumn(SEGMENT, F.spark_partition_id().cast("bigint")).checkpoint()
 
 
+def largest(df: DataFrame, order: str) -> int:
+    """Largest value of an order column, -1 for an empty table; one narrow pass."""
+    found = df.agg(F.max(order).alias("m")).first()["m"]
+    return -1 if found is None else int(found)
+
+
 def scan_groups(
     segmented: DataFrame,
     keys: Sequence[str],
@@ -52,11 +58,16 @@ def scan_groups(
     ``totals``: name -> amount; adds the inclusive running total ``name`` and the group
     total ``name_all``. ``following``: name -> column whose next value in the group is
     wanted. ``first``: name -> column whose first value in the group is wanted.
+
+    Without a segment column the groups are taken as small: one window per group, one pass.
     """
     totals, following, first = dict(totals or {}), dict(following or {}), dict(first or {})
     keys, order = list(keys), list(order)
+    kept = [c for c in segmented.columns if c != SEGMENT]
     for name, amount in totals.items():
         segmented = segmented.withColumn(f"_amount_{name}", F.lit(amount))
+    if SEGMENT not in segmented.columns:
+        return segmented.select(*kept, *_small_groups(keys, order, totals, following, first))
 
     at = F.struct(*order)
     parts = [F.sum(f"_amount_{name}").alias(f"_part_{name}") for name in totals]
@@ -84,10 +95,21 @@ def scan_groups(
         for n, c in following.items()
     ]
     computed += [F.col(f"_first_{n}")[c].alias(n) for n, c in first.items()]
-    kept = [c for c in segmented.columns if c != SEGMENT and not c.startswith("_amount_")]
     return segmented.join(offsets, [*keys, SEGMENT], "left").select(*kept, *computed)
 
 
+def _small_groups(keys, order, totals, following, first) -> list[Column]:
+    ahead = W.partitionBy(*keys).orderBy(*order)
+    running = ahead.rowsBetween(W.unboundedPreceding, 0)
+    whole = W.partitionBy(*keys)
+    return [
+        *[F.sum(f"_amount_{n}").over(running).alias(n) for n in totals],
+        *[F.sum(f"_amount_{n}").over(whole).alias(f"{n}_all") for n in totals],
+        *[F.lead(c).over(ahead).alias(n) for n, c in following.items()],
+        *[F.first(c).over(running).alias(n) for n, c in first.items()],
+    ]
+
+
 def dense_position(
     df: DataFrame, order: Sequence[str], name: str = "pos", partitions: int | None = None
 ) -> DataFrame:

@@ -601,18 +601,28 @@ def system_insert(spark, sf_dir):
 
 
 def render_llama(spark, sf_dir):
-    repaired = turns.repair_turns(conversation_turns(spark, sf_dir))
-    return turns.render_conversations(turns.replace_system(repaired, SYSTEM), chat.LLAMA_31)
+    rows = conversation_turns(spark, sf_dir)
+    longest = turns.longest_turn(rows)
+    shaped = turns.replace_system(turns.repair_turns(rows, longest=longest), SYSTEM, longest=2 * longest + 1)
+    return turns.render_conversations(shaped, chat.LLAMA_31, longest=2 * longest + 2)
 
 
 def render_chatml(spark, sf_dir):
-    repaired = turns.repair_turns(conversation_turns(spark, sf_dir))
-    return turns.render_conversations(turns.insert_system(repaired, SYSTEM), chat.QWEN_25, add_generation_prompt=True)
+    rows = conversation_turns(spark, sf_dir)
+    longest = turns.longest_turn(rows)
+    shaped = turns.insert_system(turns.repair_turns(rows, longest=longest), SYSTEM, longest=2 * longest + 1)
+    return turns.render_conversations(shaped, chat.QWEN_25, add_generation_prompt=True, longest=2 * longest + 2)
 
 
 def response_spans(spark, sf_dir):
-    rows = turns.rendered_turns(turns.insert_system(conversation_turns(spark, sf_dir), SYSTEM), chat.QWEN_25)
-    return rows.select("conv_id", "turn", "start", "end", "is_target")
+    rows = conversation_turns(spark, sf_dir)
+    longest = turns.longest_turn(rows)
+    shaped = turns.insert_system(rows, SYSTEM, longest=longest)
+    return turns.rendered_turns(shaped, chat.QWEN_25, longest=longest + 1).select("conv_id", "turn", "start", "end", "is_target")
+
+
+def training_turns(spark, sf_dir):
+    return turns.training_turns(conversation_turns(spark, sf_dir), chat.LLAMA_31, SYSTEM, "replace").select("conv_id", "turn", "role", "piece")
 
 
 def split_hash(spark, sf_dir):
@@ -856,6 +866,7 @@ QUERIES = {
     "render_llama": render_llama,
     "render_chatml": render_chatml,
     "response_spans": response_spans,
+    "training_turns": training_turns,
     "split_hash": split_hash,
     "split_exact": split_exact,
     "budget_truncate": budget_truncate,

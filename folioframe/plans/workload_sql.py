@@ -398,6 +398,8 @@ select id as conv_id, 0::bigint as part, count(*) as n_turns, {rendered(chat.LLA
     "render_chatml": f"""with {CONVERSATIONS}, {REPAIR}, {inserted('repaired')}
 select id as conv_id, 0::bigint as part, count(*) as n_turns, {rendered(chat.QWEN_25, True)} as text from shaped group by id""",
     "response_spans": f"""with {CONVERSATIONS}, {inserted('turns')}, {spans(chat.QWEN_25)} select id as conv_id, turn, "start", "end", is_target from spans""",
+    "training_turns": f"""with {CONVERSATIONS}, {REPAIR}, {replaced('repaired')}
+select id as conv_id, turn, role, case when turn = 0 then {quoted(chat.LLAMA_31.bos)} else '' end || {piece(chat.LLAMA_31)} as piece from shaped""",
     "split_hash": f"select doc_id, {SPLIT} as split from documents",
     "split_exact": f"""select doc_id, case when row_number() over (order by {SPLIT_DIGEST}, doc_id) <= ceil(0.2 * (select count(*) from documents))
   then 'validation' else 'train' end as split from documents""",

@@ -11,6 +11,7 @@ def spark():
     from folioframe.session import local_session
 
     session = local_session("tests", 8, "6g")
+    session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()
 

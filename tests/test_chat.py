@@ -61,8 +61,8 @@ def test_repair(spark, width):
     assert from_arrays(array_frame(spark), chat.repair_turns("c")) == expected
     fixed = turns.repair_turns(turn_frame(spark), width=width)
     assert from_turns(fixed) == {k: v for k, v in expected.items() if v}
-    again = turns.repair_turns(fixed, width=width)
-    assert from_turns(again) == from_turns(fixed)
+    fixed = fixed.checkpoint()
+    assert from_turns(turns.repair_turns(fixed, width=width)) == from_turns(fixed)
     assert turns.mark_orphans(fixed, width=width).filter("is_orphan").count() == 0
 
 
@@ -88,6 +88,24 @@ def layout(template, rows, generation=False):
     return text + (template.generation if generation else ""), spans
 
 
+@pytest.mark.parametrize("width", [4, 1000])
+@pytest.mark.parametrize("policy", ["insert", "replace"])
+def test_training_turns(spark, width, policy):
+    out = {}
+    for r in turns.training_turns(turn_frame(spark), chat.QWEN_25, "S", policy, width=width).orderBy("turn").collect():
+        out[r["conv_id"]] = out.get(r["conv_id"], "") + r["piece"]
+    expected = {}
+    for k, rows in plain().items():
+        rows = repaired(rows)
+        if policy == "replace":
+            rows = [("system", "S")] + [t for t in rows if t[0] in ("user", "assistant")]
+        elif rows and rows[0][0] != "system":
+            rows = [("system", "S"), *rows]
+        if CONVERSATIONS[k]:
+            expected[k] = layout(chat.QWEN_25, rows)[0]
+    assert out == expected
+
+
 @pytest.mark.parametrize("template", [chat.LLAMA_31, chat.QWEN_25])
 def test_render_and_spans(spark, template):
     default = template.default_system
@@ -103,7 +121,7 @@ def test_render_and_spans(spark, template):
         assert [tuple(s) for s in r["spans"]] == spans
         for (_, start, end, _), (_, content) in zip(spans, full[r["conv_id"]]):
             assert text[start:end] == (content.strip() if template.trim else content)
-    rows = turns.insert_system(turn_frame(spark), default, width=2)
+    rows = turns.insert_system(turn_frame(spark), default, width=2).checkpoint()
     for parts in (2, 4096):
         seen = {}
         for r in turns.render_conversations(rows, template, True, turns_per_part=parts, width=2).orderBy("part").collect():

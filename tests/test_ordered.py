@@ -31,6 +31,14 @@ def test_scan_by_width(spark, width):
     assert {(r["g"], r["p"]): (r["s"], r["s_all"], r["nx"], r["fst"]) for r in seen.collect()} == expected()
 
 
+def test_scan_of_small_groups(spark):
+    df = spark.createDataFrame(ROWS, "g int, p long, n int, tag string").repartition(5)
+    seen = ordered.scan_groups(df, ["g"], ["p"], totals={"s": F.col("n")}, following={"nx": "tag"}, first={"fst": "tag"})
+    assert {(r["g"], r["p"]): (r["s"], r["s_all"], r["nx"], r["fst"]) for r in seen.collect()} == expected()
+    assert ordered.largest(df, "p") == max(r[1] for r in ROWS)
+    assert ordered.largest(df.filter("g = 77"), "p") == -1
+
+
 def test_scan_by_range(spark):
     df = spark.createDataFrame(ROWS, "g int, p long, n int, tag string").repartition(3)
     seen = ordered.scan_groups(
