@@ -25,31 +25,50 @@ class JudgeTemplate:
     needs_content: bool = True
 
 
+def judge_questions(
+    articles: DataFrame, metrics: Sequence[str] = tuple(TOP_SCORES), keys: Sequence[str] = ("title",),
+    done: DataFrame | None = None,
+) -> DataFrame:
+    """Article rows times their open questions ``(metric, side, max_score)``.
+
+    The questions are a literal array, so no join builds the product. With ``done``, a table
+    of answered ``(keys, side, metric)``, the answers are gathered per article (one entry per
+    question at most): each article is shuffled once, not once per question.
+    """
+    cells = [
+        F.struct(F.lit(m).alias("metric"), F.lit(s).alias("side"), F.lit(TOP_SCORES[m]).alias("max_score"))
+        for m in metrics
+        for s in SIDES
+    ]
+    questions = F.array(*cells)
+    if done is None:
+        return articles.select("*", F.inline(questions))
+    name = F.concat_ws("/", "metric", "side")
+    known = (
+        done.filter(F.col("metric").isin(*metrics) & F.col("side").isin(*SIDES))
+        .groupBy(*keys)
+        .agg(F.collect_set(name).alias("_done"))
+    )
+    answered = F.coalesce("_done", F.array().cast("array<string>"))
+    left = F.filter(questions, lambda q: ~F.array_contains(answered, F.concat_ws("/", q["metric"], q["side"])))
+    return articles.join(known, list(keys), "left").select("*", F.inline(left)).drop("_done")
+
+
 def judge_prompts(
-    articles: DataFrame, templates: Mapping[str, JudgeTemplate], keys: Sequence[str] = ("title",)
+    articles: DataFrame, templates: Mapping[str, JudgeTemplate], keys: Sequence[str] = ("title",),
+    done: DataFrame | None = None,
 ) -> DataFrame:
-    """``(keys, metric, side, max_score, prompt)``: every article's two abstracts under every
-    quality. The combinations are a literal array, so no join is involved."""
-    cells = []
+    """``(keys, metric, side, max_score, prompt)`` of the open questions of every article."""
+    prompt = F.lit(None).cast("string")
     for metric, template in templates.items():
         for side, label in SIDES.items():
-            fields = {
-                "content": F.col("content"),
-                "side": F.lit(label),
-                "abstract": F.col(f"{side}_abstract"),
-                "top": F.lit(str(TOP_SCORES[metric])),
-            }
-            if not template.needs_content:
-                fields.pop("content")
-            cells.append(
-                F.struct(
-                    F.lit(metric).alias("metric"),
-                    F.lit(side).alias("side"),
-                    F.lit(TOP_SCORES[metric]).alias("max_score"),
-                    render_template(template.text, fields).alias("prompt"),
-                )
-            )
-    return articles.select(*keys, F.inline(F.array(*cells)))
+            fields = {"side": F.lit(label), "abstract": F.col(f"{side}_abstract"), "top": F.lit(str(TOP_SCORES[metric]))}
+            if template.needs_content:
+                fields["content"] = F.col("content")
+            asked = (F.col("metric") == metric) & (F.col("side") == side)
+            prompt = F.when(asked, render_template(template.text, fields)).otherwise(prompt)
+    open_questions = judge_questions(articles, tuple(templates), keys, done)
+    return open_questions.select(*keys, "metric", "side", "max_score", prompt.alias("prompt"))
 
 
 def accepted_scores(responses: DataFrame, keys: Sequence[str] = ("title",)) -> DataFrame:

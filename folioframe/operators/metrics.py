@@ -36,23 +36,44 @@ def scores(prefix: str, hits: Column, n_reference: Column, n_candidate: Column)
     ]
 
 
-def tokenized(
+def spread_tokens(
     pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, stemmed: bool = False
 ) -> DataFrame:
     """``(keys, ref, cand)`` token arrays, spread by pair.
 
-    The texts are repartitioned once, before tokens multiply them, on the pair keys: the
-    group-bys of every metric below then run without a further exchange.
+    The texts are repartitioned on the pair keys before tokens multiply them. Pairs differ in
+    cost by orders of magnitude, so hashing also evens out the work.
     """
     spread = pairs.select(*keys, F.col(reference).alias("_r"), F.col(candidate).alias("_c"))
+    none = F.array().cast("array<string>")
     tokens = spread.repartition(*keys).select(
-        *keys,
-        F.coalesce(words("_r"), F.array().cast("array<string>")).alias("ref"),
-        F.coalesce(words("_c"), F.array().cast("array<string>")).alias("cand"),
+        *keys, F.coalesce(words("_r"), none).alias("ref"), F.coalesce(words("_c"), none).alias("cand")
     )
-    if stemmed:
-        tokens = tokens.select(*keys, stem_tokens("ref").alias("ref"), stem_tokens("cand").alias("cand"))
-    return tokens
+    if not stemmed:
+        return tokens
+    return tokens.select(*keys, stem_tokens("ref").alias("ref"), stem_tokens("cand").alias("cand"))
+
+
+def regrouped(tokens: DataFrame, keys: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
+    """Token arrays partitioned by the pair keys again after Python took part.
+
+    Spark forgets the partitioning of rows that went through Python, and the n-gram counts
+    would be shuffled instead, which are many times larger than the texts.
+    """
+    def split(name: str) -> Column:
+        some = F.split(name, " ")
+        return F.when(F.col(name) == "", F.array().cast("array<string>")).otherwise(some).alias(name)
+
+    joined = tokens.select(*keys, *carried, *[F.array_join(c, " ").alias(c) for c in ("ref", "cand")])
+    return joined.repartition(*keys).select(*keys, *carried, split("ref"), split("cand"))
+
+
+def grouped_tokens(
+    pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, stemmed: bool = False
+) -> DataFrame:
+    """Token arrays partitioned by pair: group-bys on the pair need no further exchange."""
+    tokens = spread_tokens(pairs, keys, reference, candidate, stemmed)
+    return regrouped(tokens, keys) if stemmed else tokens
 
 
 def ngram_overlap(
@@ -123,7 +144,7 @@ def rouge_n(
 ) -> DataFrame:
     """ROUGE-N precision, recall and F per pair, for one or several N."""
     sizes = [sizes] if isinstance(sizes, int) else list(sizes)
-    overlap = ngram_overlap(tokenized(pairs, keys, reference, candidate, stemmed), keys, sizes)
+    overlap = ngram_overlap(grouped_tokens(pairs, keys, reference, candidate, stemmed), keys, sizes)
     return overlap.select(*keys, *[c for n in sizes for c in ngram_scores(f"rouge{n}", n)])
 
 
@@ -132,7 +153,7 @@ def unigram_scores(
     candidate: str = "candidate_text", distinct: bool = False,
 ) -> DataFrame:
     """Unigram precision, recall and F1, on multisets or on sets of words."""
-    overlap = ngram_overlap(tokenized(pairs, keys, reference, candidate), keys, (1,), distinct)
+    overlap = ngram_overlap(grouped_tokens(pairs, keys, reference, candidate), keys, (1,), distinct)
     return overlap.select(*keys, *ngram_scores("unigram", 1))
 
 
@@ -141,7 +162,7 @@ def rouge_l(
     candidate: str = "candidate_text", stemmed: bool = False,
 ) -> DataFrame:
     """ROUGE-L per pair: each whole text is one sequence."""
-    tokens = tokenized(pairs, keys, reference, candidate, stemmed)
+    tokens = spread_tokens(pairs, keys, reference, candidate, stemmed)
     sized = tokens.select(
         *keys, lcs_tokens("ref", "cand").alias("hits"),
         F.size("ref").alias("n_ref"), F.size("cand").alias("n_cand"),
@@ -155,9 +176,9 @@ def rouge(
 ) -> DataFrame:
     """ROUGE-1, ROUGE-2 and ROUGE-L F per pair, from one pass over the tokens: the longest
     common subsequence is taken on the pair's row before it is cut into n-grams."""
-    tokens = tokenized(pairs, keys, reference, candidate, stemmed)
+    tokens = spread_tokens(pairs, keys, reference, candidate, stemmed)
     measured = tokens.select(*keys, "ref", "cand", lcs_tokens("ref", "cand").alias("_lcs"))
-    overlap = ngram_overlap(measured, keys, (1, 2), carried=["_lcs"])
+    overlap = ngram_overlap(regrouped(measured, keys, ["_lcs"]), keys, (1, 2), carried=["_lcs"])
     one, two = ngram_scores("rouge1", 1), ngram_scores("rouge2", 2)
     longest = scores("rougeL", F.col("_lcs"), F.col("ref_1"), F.col("cand_1"))
     return overlap.select(*keys, one[2].alias("rouge1"), two[2].alias("rouge2"), longest[2].alias("rougeL"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from folioframe.operators.judging import (
     accepted_scores, complete_records, judge_means, judge_prompts,
 )
+from folioframe.session import shared_dir
 from folioframe.operators.metrics import benchmark_table, cosine_scores, roll_up, rouge, with_summary
 
 
@@ -32,6 +33,11 @@ def model_benchmark(
 
 
 def judge_report(articles: DataFrame, templates, ask, keys: Sequence[str] = ("title",)) -> DataFrame:
-    """Judge means per side and quality. ``ask`` turns the prompt table into responses."""
-    responses = ask(judge_prompts(articles, templates, keys))
+    """Judge means per side and quality. ``ask`` turns the prompt table into responses.
+
+    The responses are checkpointed: a judge must not be called again when a later stage is
+    recomputed.
+    """
+    shared_dir(articles.sparkSession)
+    responses = ask(judge_prompts(articles, templates, keys)).checkpoint()
     return judge_means(complete_records(accepted_scores(responses, keys), keys))

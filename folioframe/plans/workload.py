@@ -424,11 +424,11 @@ def judge_means(spark, sf_dir):
 
 
 def judge_resume(spark, sf_dir):
-    prompts = judging.judge_prompts(
-        article_pairs(spark, sf_dir).withColumn("content", F.coalesce("content", F.lit(""))), JUDGE_TEMPLATES, ["pos"]
-    ).select("pos", "side", "metric")
+    """Questions without an accepted answer, with their prompts."""
     done = first_attempts(spark, sf_dir).select(F.col("article").alias("pos"), "side", "metric")
-    return pairing.pending(prompts, done, ["pos", "side", "metric"])
+    rows = article_pairs(spark, sf_dir).withColumn("content", F.coalesce("content", F.lit("")))
+    prompts = judging.judge_prompts(rows, JUDGE_TEMPLATES, ["pos"], done)
+    return prompts.select("pos", "side", "metric", F.md5("prompt").alias("digest"))
 
 
 def evaluator_inputs(spark, sf_dir):

@@ -321,10 +321,9 @@ select model_id, name, display_name, (select count(*) from documents) - (select
     + " and ".join(f"{s}_{m} is not null" for s in SIDES for m in TOP_SCORES),
     "judge_means": f"""with {JUDGE}, whole as (select article from accepted group by article having count(*) = 8)
 select side, metric, round(avg(score), 6) as average_score, count(*) as n_articles from accepted join whole using (article) group by all""",
-    "judge_resume": f"""with {JUDGE}, {ARTICLE_PAIRS}, q as (
-  select pos, unnest({METRIC_LIST}) as metric from article_pairs),
-p as (select pos, metric, unnest(['original', 'generated']) as side from q)
-select pos, side, metric from p where (pos, side, metric) not in (select (article, side, metric) from accepted)""",
+    "judge_resume": f"""with {JUDGE}, {ARTICLE_PAIRS}, {judge_prompt_rows()}
+select pos, side, metric, md5(prompt) as digest from prompts p
+where not exists (select 1 from accepted a where a.article = p.pos and a.side = p.side and a.metric = p.metric)""",
     "evaluator_inputs": f"""with {ARTICLE_PAIRS} select pos,
   case when coalesce(title, '') <> '' then title || {NL} || {NL} else '' end || coalesce(content, '') as source,
   case when starts_with(generated_abstract, '<think>') then trim(string_split(generated_abstract, {NL} || {NL})[-1], {BLANKS})

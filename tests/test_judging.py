@@ -21,6 +21,15 @@ def test_prompts(spark):
     assert rows["t", "fluency", "generated"] == ("fluency: Generated g 1-3", 3)
 
 
+def test_resume_asks_only_open_questions(spark):
+    done = [("t", s, m) for s in judging.SIDES for m in judging.TOP_SCORES if (s, m) != ("generated", "relevance")]
+    answered = spark.createDataFrame(done + done[:2] + [("t", "other", "fluency")], "title string, side string, metric string")
+    rows = judging.judge_prompts(articles(spark), TEMPLATES, done=answered).collect()
+    assert [(r["metric"], r["side"]) for r in rows if r["title"] == "t"] == [("relevance", "generated")]
+    assert len([r for r in rows if r["title"] == "u"]) == 8
+    assert all(r["prompt"].startswith(r["metric"]) for r in rows)
+
+
 def test_all_or_nothing_and_means(spark):
     responses = []
     for title in ("t", "u"):
