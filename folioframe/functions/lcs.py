@@ -1,26 +1,31 @@
-"""Length of the longest common subsequence of two token arrays, in Arrow batches."""
+"""Length of the longest common subsequence of two token texts, in Arrow batches."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Hashable, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def lcs_length(a: Sequence[str], b: Sequence[str], width: int = 8192) -> int:
+def lcs_length(a: Sequence[Hashable], b: Sequence[Hashable], width: int = 8192) -> int:
     """Bit-parallel LCS (Hyyro, 2004): one integer holds a row of the table.
 
-    The longer text is taken in slices of ``width`` tokens, and what a row's addition carries
-    out of one slice goes into the next. Memory is bounded by the slice, not by the text.
+    Tokens that only one side has cannot be part of it and are left out. The longer rest is
+    taken in slices of ``width`` tokens, and what a row's addition carries out of one slice
+    goes into the next. Memory is bounded by the slice, not by the text.
     """
+    shared = set(a).intersection(b)
+    a, b = [t for t in a if t in shared], [t for t in b if t in shared]
     longer, shorter = (a, b) if len(a) >= len(b) else (b, a)
     carry = bytearray(len(shorter))
     common = 0
     for start in range(0, len(longer), width):
         part = longer[start : start + width]
-        where: dict[str, int] = {}
+        where: dict[Hashable, int] = {}
         for i, token in enumerate(part):
             where[token] = where.get(token, 0) | (1 << i)
         full = (1 << len(part)) - 1
@@ -36,6 +41,19 @@ def lcs_length(a: Sequence[str], b: Sequence[str], width: int = 8192) -> int:
 
 
 @F.arrow_udf(T.IntegerType())
-def lcs_tokens(a: pa.Array, b: pa.Array) -> pa.Array:
-    # One pair at a time leaves Arrow memory: long texts do not add up.
-    return pa.array([lcs_length(x.as_py() or (), y.as_py() or ()) for x, y in zip(a, b)], pa.int32())
+def lcs_of_texts(a: pa.Array, b: pa.Array) -> pa.Array:
+    """LCS of two texts of space-separated tokens."""
+    # One numbering of the batch's tokens for both sides; rows then are slices of integers.
+    parts = [pc.split_pattern(side, " ") for side in (a, b)]
+    codes = pa.concat_arrays([p.flatten() for p in parts]).dictionary_encode().indices.to_numpy()
+    sizes = [np.asarray(pc.fill_null(pc.list_value_length(p), 0)) for p in parts]
+    ends = np.cumsum(np.concatenate(sizes))
+    starts = ends - np.concatenate(sizes)
+    empty = [np.asarray(pc.fill_null(pc.equal(side, ""), True)) for side in (a, b)]
+    n, out = len(a), []
+    for i in range(n):
+        if empty[0][i] or empty[1][i]:
+            out.append(0)
+        else:
+            out.append(lcs_length(codes[starts[i] : ends[i]].tolist(), codes[starts[n + i] : ends[n + i]].tolist()))
+    return pa.array(out, pa.int32())

@@ -1,4 +1,4 @@
-"""English stemming of token arrays: Porter, "An algorithm for suffix stripping" (1980), with
+"""English stemming of token texts: Porter, "An algorithm for suffix stripping" (1980), with
 the widely used later additions (irregular words, short words, ``-logi`` and ``-fulli``).
 
 The suffix rules are data. A token is stemmed once per Arrow batch, whatever its count.
@@ -129,11 +129,12 @@ def stem(word: str) -> str:
     return _tidy(_bare(_reduced(_derived(word))))
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def stem_tokens(tokens: pa.Array) -> pa.Array:
-    """Token arrays with every token of more than three letters stemmed."""
-    flat = tokens.flatten().dictionary_encode()
+@F.arrow_udf(T.StringType())
+def stem_text(text: pa.Array) -> pa.Array:
+    """Texts of space-separated tokens with every token of more than three letters stemmed."""
+    parts = pc.split_pattern(text, " ")
+    flat = parts.flatten().dictionary_encode()
     stems = pa.array([stem(w) for w in flat.dictionary.to_pylist()], pa.string())
-    sizes = pc.fill_null(pc.list_value_length(tokens), 0).cast(pa.int32())
+    sizes = pc.fill_null(pc.list_value_length(parts), 0).cast(pa.int32())
     offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(sizes)])
-    return pa.ListArray.from_arrays(offsets, stems.take(flat.indices))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, stems.take(flat.indices)), " ")

@@ -118,6 +118,18 @@ def words(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(as_column(text)), F.lit(WORD_PATTERN), F.lit(0))
 
 
+def word_text(text: Column | str) -> Column:
+    """The ROUGE tokens of a text as one text, separated by single spaces."""
+    spaced = F.regexp_replace(F.lower(as_column(text)), "[^a-z0-9]+", " ")
+    return F.btrim(spaced)
+
+
+def split_words(text: Column | str) -> Column:
+    """Token array of a ``word_text``."""
+    text = as_column(text)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+
+
 def whitespace_tokens(text: Column | str) -> Column:
     """Pieces between ASCII blanks; stands in for model tokens."""
     return F.regexp_extract_all(as_column(text), F.lit("[^ \\t\\r\\n]+"), F.lit(0))

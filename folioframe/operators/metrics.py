@@ -10,9 +10,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.functions.lcs import lcs_tokens
-from folioframe.functions.stemming import stem_tokens
-from folioframe.functions.text import shifted, words
+from folioframe.functions.lcs import lcs_of_texts
+from folioframe.functions.overlap import gram_array, shared
+from folioframe.functions.stemming import stem_text
+from folioframe.functions.text import shifted, split_words, word_text, words
 from folioframe.functions.vectors import cosine
 from folioframe.session import shared_dir
 
@@ -36,92 +37,40 @@ def scores(prefix: str, hits: Column, n_reference: Column, n_candidate: Column)
     ]
 
 
-def spread_tokens(
-    pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, stemmed: bool = False
+def token_texts(
+    pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, spread: bool = False
 ) -> DataFrame:
-    """``(keys, ref, cand)`` token arrays, spread by pair.
+    """``(keys, ref, cand)`` texts of space-separated tokens.
 
-    The texts are repartitioned on the pair keys before tokens multiply them. Pairs differ in
-    cost by orders of magnitude, so hashing also evens out the work.
+    ``spread`` hashes the pairs over the tasks first, for metrics whose cost differs between
+    pairs by orders of magnitude.
     """
-    spread = pairs.select(*keys, F.col(reference).alias("_r"), F.col(candidate).alias("_c"))
-    none = F.array().cast("array<string>")
-    tokens = spread.repartition(*keys).select(
-        *keys, F.coalesce(words("_r"), none).alias("ref"), F.coalesce(words("_c"), none).alias("cand")
+    raw = pairs.select(*keys, F.col(reference).alias("_r"), F.col(candidate).alias("_c"))
+    if spread:
+        raw = raw.repartition(*keys)
+    return raw.select(
+        *keys,
+        F.coalesce(word_text("_r"), F.lit("")).alias("ref"),
+        F.coalesce(word_text("_c"), F.lit("")).alias("cand"),
     )
-    if not stemmed:
-        return tokens
-    return tokens.select(*keys, stem_tokens("ref").alias("ref"), stem_tokens("cand").alias("cand"))
 
 
-def regrouped(tokens: DataFrame, keys: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
-    """Token arrays partitioned by the pair keys again after Python took part.
-
-    Spark forgets the partitioning of rows that went through Python, and the n-gram counts
-    would be shuffled instead, which are many times larger than the texts.
-    """
-    def split(name: str) -> Column:
-        some = F.split(name, " ")
-        return F.when(F.col(name) == "", F.array().cast("array<string>")).otherwise(some).alias(name)
-
-    joined = tokens.select(*keys, *carried, *[F.array_join(c, " ").alias(c) for c in ("ref", "cand")])
-    return joined.repartition(*keys).select(*keys, *carried, split("ref"), split("cand"))
-
-
-def grouped_tokens(
-    pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, stemmed: bool = False
-) -> DataFrame:
-    """Token arrays partitioned by pair: group-bys on the pair need no further exchange."""
-    tokens = spread_tokens(pairs, keys, reference, candidate, stemmed)
-    return regrouped(tokens, keys) if stemmed else tokens
+def stemmed_texts(texts: DataFrame) -> DataFrame:
+    return texts.withColumns({"ref": stem_text("ref"), "cand": stem_text("cand")})
 
 
-def ngram_overlap(
-    tokens: DataFrame, keys: Sequence[str], sizes: Sequence[int] = (1,), distinct: bool = False,
-    carried: Sequence[str] = (),
-) -> DataFrame:
-    """``(keys, carried, hits_n, ref_n, cand_n, ...)``: clipped n-gram overlap per pair.
-
-    Both arrays become one sequence with a NULL between them; n-grams touching the NULL or the
-    end count nothing but keep pairs without any n-gram in the result. Several sizes share one
-    pass over the tokens. ``carried`` columns depend on the keys.
-    """
-    whole_keys, longest = [*keys, *carried], max(sizes)
-    joined = tokens.select(
-        *whole_keys,
-        F.size("ref").alias("_split"),
-        F.concat("ref", F.array(F.lit(None).cast("string")), "cand").alias("_all"),
-    )
-    names = [f"w{i}" for i in range(longest)]
-    rows = joined.select(*whole_keys, "_split", F.posexplode(shifted("_all", longest)).alias("_at", "_gram"))
-    rows = rows.select(*whole_keys, "_split", "_at", "_gram.*")
-    if len(sizes) > 1:
-        grams = []
-        for n in sizes:
-            whole = reduce(lambda x, y: x & y, [F.col(name).isNotNull() for name in names[:n]])
-            parts = [(F.col(c) if k < n else F.lit(None).cast("string")).alias(c) for k, c in enumerate(names)]
-            grams.append(F.struct(F.lit(n).alias("_n"), whole.alias("_whole"), *parts))
-        rows = rows.select(*whole_keys, "_split", "_at", F.inline(F.array(*grams)))
-        groups = [*whole_keys, "_n", *names]
-    else:
-        rows = rows.withColumn("_whole", reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in names]))
-        groups = [*whole_keys, *names]
-    count = F.max if distinct else F.sum
-    counts = rows.groupBy(*groups).agg(
-        count(F.when(F.col("_whole") & (F.col("_at") < F.col("_split")), 1).otherwise(0)).alias("_ref"),
-        count(F.when(F.col("_whole") & (F.col("_at") > F.col("_split")), 1).otherwise(0)).alias("_cand"),
-    )
-    totals = []
+def ngram_overlap(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int] = (1,), distinct: bool = False) -> DataFrame:
+    """``(keys, hits_n, ref_n, cand_n, ...)``: n-gram overlap per pair, without an exchange."""
+    arrays, totals = [], []
     for n in sizes:
-        def only(value: Column) -> Column:
-            return F.sum(F.when(F.col("_n") == n, value).otherwise(0) if len(sizes) > 1 else value)
-
+        ref, cand = f"_ref_{n}", f"_cand_{n}"
+        arrays += [gram_array("ref", n).alias(ref), gram_array("cand", n).alias(cand)]
+        size = (lambda c: F.size(F.array_distinct(c))) if distinct else F.size
         totals += [
-            only(F.least("_ref", "_cand")).alias(f"hits_{n}"),
-            only(F.col("_ref")).alias(f"ref_{n}"),
-            only(F.col("_cand")).alias(f"cand_{n}"),
+            shared(ref, cand, distinct).alias(f"hits_{n}"), size(ref).alias(f"ref_{n}"), size(cand).alias(f"cand_{n}"),
         ]
-    return counts.groupBy(*whole_keys).agg(*totals)
+    carried = [c for c in texts.columns if c not in ("ref", "cand", *keys)]
+    return texts.select(*keys, *carried, *arrays).select(*keys, *carried, *totals)
 
 
 def ngram_scores(prefix: str, n: int) -> list[Column]:
@@ -144,7 +93,8 @@ def rouge_n(
 ) -> DataFrame:
     """ROUGE-N precision, recall and F per pair, for one or several N."""
     sizes = [sizes] if isinstance(sizes, int) else list(sizes)
-    overlap = ngram_overlap(grouped_tokens(pairs, keys, reference, candidate, stemmed), keys, sizes)
+    texts = token_texts(pairs, keys, reference, candidate, spread=stemmed)
+    overlap = ngram_overlap(stemmed_texts(texts) if stemmed else texts, keys, sizes)
     return overlap.select(*keys, *[c for n in sizes for c in ngram_scores(f"rouge{n}", n)])
 
 
@@ -153,7 +103,7 @@ def unigram_scores(
     candidate: str = "candidate_text", distinct: bool = False,
 ) -> DataFrame:
     """Unigram precision, recall and F1, on multisets or on sets of words."""
-    overlap = ngram_overlap(grouped_tokens(pairs, keys, reference, candidate), keys, (1,), distinct)
+    overlap = ngram_overlap(token_texts(pairs, keys, reference, candidate), keys, (1,), distinct)
     return overlap.select(*keys, *ngram_scores("unigram", 1))
 
 
@@ -162,10 +112,11 @@ def rouge_l(
     candidate: str = "candidate_text", stemmed: bool = False,
 ) -> DataFrame:
     """ROUGE-L per pair: each whole text is one sequence."""
-    tokens = spread_tokens(pairs, keys, reference, candidate, stemmed)
-    sized = tokens.select(
-        *keys, lcs_tokens("ref", "cand").alias("hits"),
-        F.size("ref").alias("n_ref"), F.size("cand").alias("n_cand"),
+    texts = token_texts(pairs, keys, reference, candidate, spread=True)
+    texts = stemmed_texts(texts) if stemmed else texts
+    sized = texts.select(
+        *keys, lcs_of_texts("ref", "cand").alias("hits"),
+        F.size(split_words("ref")).alias("n_ref"), F.size(split_words("cand")).alias("n_cand"),
     )
     return sized.select(*keys, *scores("rougeL", F.col("hits"), F.col("n_ref"), F.col("n_cand")))
 
@@ -174,11 +125,11 @@ def rouge(
     pairs: DataFrame, keys: Sequence[str] = ("pair_id",), reference: str = "reference_text",
     candidate: str = "candidate_text", stemmed: bool = True,
 ) -> DataFrame:
-    """ROUGE-1, ROUGE-2 and ROUGE-L F per pair, from one pass over the tokens: the longest
-    common subsequence is taken on the pair's row before it is cut into n-grams."""
-    tokens = spread_tokens(pairs, keys, reference, candidate, stemmed)
-    measured = tokens.select(*keys, "ref", "cand", lcs_tokens("ref", "cand").alias("_lcs"))
-    overlap = ngram_overlap(regrouped(measured, keys, ["_lcs"]), keys, (1, 2), carried=["_lcs"])
+    """ROUGE-1, ROUGE-2 and ROUGE-L F per pair, from one pass over the token texts."""
+    texts = token_texts(pairs, keys, reference, candidate, spread=True)
+    texts = stemmed_texts(texts) if stemmed else texts
+    measured = texts.withColumn("_lcs", lcs_of_texts("ref", "cand"))
+    overlap = ngram_overlap(measured, keys, (1, 2))
     one, two = ngram_scores("rouge1", 1), ngram_scores("rouge2", 2)
     longest = scores("rougeL", F.col("_lcs"), F.col("ref_1"), F.col("cand_1"))
     return overlap.select(*keys, one[2].alias("rouge1"), two[2].alias("rouge2"), longest[2].alias("rougeL"))

@@ -24,7 +24,8 @@ def runtime_eta(
         by_width(rows, pos, width), [run], [pos], totals={"_sum": F.col("_us"), "n_done": F.lit(1).cast("bigint")}
     )
     left = F.col("n_done_all") - F.col("n_done")
-    ahead = F.expr("(_sum * (n_done_all - n_done)) div n_done")
+    # Decimals: microseconds times rows of a long run do not fit a long.
+    ahead = F.expr("(cast(_sum as decimal(20, 0)) * cast(n_done_all - n_done as decimal(17, 0))) div n_done")
     return seen.select(
         run, pos, elapsed, "n_done",
         (F.col("_sum") / F.col("n_done") / MICROS).alias("mean_seconds"),

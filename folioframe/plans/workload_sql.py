@@ -352,7 +352,7 @@ select model, min(pos) as done_prefix from w anti join results using (pos, model
 s as (select *, (sum(us) over w)::bigint as done_us, row_number() over w as n_done, count(*) over (partition by user_id) as n_all
   from u window w as (partition by user_id order by event_id))
 select user_id, event_id, value, n_done, round(done_us / n_done / 1000000, 6) as mean_seconds, n_all - n_done as n_left,
-  ts + to_microseconds(((done_us * (n_all - n_done)) // n_done)::bigint) as eta from s""",
+  ts + to_microseconds(((done_us::hugeint * (n_all - n_done)) // n_done)::bigint) as eta from s""",
     "run_time": """with u as (select *, round(value * 1000000)::bigint as us from events)
 select user_id, count(*) as n_rows, round(sum(us)::bigint / 1000000, 6) as total_seconds, round(sum(us)::bigint / 1000000 / 60, 6) as total_minutes,
   min(ts) as started, max(ts) as ended from u group by user_id""",

@@ -64,6 +64,18 @@ def test_rouge_n(pairs, n):
     close(result(metrics.rouge_n(pairs, n), f"rouge{n}"), {i: overlap(tokens(a), tokens(b), n) for i, (a, b) in enumerate(TEXTS)})
 
 
+def test_overlap_of_random_and_repetitive_texts(spark):
+    random.seed(11)
+    rows = [(i, *[" ".join(random.choice(["a", "aa", "b", "a1", "c"]) for _ in range(random.randrange(60))) for _ in "rc"]) for i in range(150)]
+    rows.append((150, "word " * 200_000, "word " * 150_000 + "other"))
+    df = spark.createDataFrame(rows, "pair_id long, reference_text string, candidate_text string")
+    scored = metrics.rouge_n(df, (1, 2, 4)).cache()
+    for n in (1, 2, 4):
+        close(result(scored, f"rouge{n}"), {i: overlap(tokens(a), tokens(b), n) for i, a, b in rows})
+    sets = {i: prf(len(set(tokens(a)) & set(tokens(b))), len(set(tokens(a))), len(set(tokens(b)))) for i, a, b in rows}
+    close(result(metrics.unigram_scores(df, distinct=True), "unigram"), sets)
+
+
 def test_rouge_l(pairs):
     expected = {i: prf(table(tokens(a), tokens(b)), len(tokens(a)), len(tokens(b))) for i, (a, b) in enumerate(TEXTS)}
     close(result(metrics.rouge_l(pairs), "rougeL"), expected)
