@@ -14,21 +14,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from folioframe.functions.text import as_column, split_words
+from folioframe.functions.text import as_column
 
 # An n-gram followed by at least one copy of itself, in sorted space-separated n-grams.
 RUN = r"(?<![^ ])(\S++)(?: \1(?= |$))++"
 
 
-def gram_array(words: Column | str, n: int) -> Column:
-    """N-grams of a text of space-separated tokens, their tokens joined by ``_``."""
-    if n == 1:
-        return split_words(words)
-    ahead = " ".join([r"(\S+)"] * (n - 1))
-    joined = "_".join(f"${i}" for i in range(1, n + 1))
-    tokens = split_words(F.regexp_replace(as_column(words), rf"(\S+) (?={ahead})", f"{joined} "))
-    # The last n - 1 tokens start no n-gram.
-    return F.slice(tokens, 1, F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
+def gram_array(tokens: Column | str, n: int) -> Column:
+    """N-grams of a token array, their tokens joined by ``_``."""
+    tokens = grams = as_column(tokens)
+    for i in range(1, n):
+        # The shorter rest is padded with NULL, and what touches its end becomes NULL.
+        rest = F.slice(tokens, i + 1, F.size(tokens))
+        grams = F.zip_with(grams, rest, lambda x, y: F.concat(x, F.lit("_"), y))
+    return F.array_compact(grams) if n > 1 else grams
 
 
 def repeats(grams: Column | str) -> Column:

@@ -126,8 +126,7 @@ def word_text(text: Column | str) -> Column:
 
 def split_words(text: Column | str) -> Column:
     """Token array of a ``word_text``."""
-    text = as_column(text)
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
+    return F.array_remove(F.split(as_column(text), " "), "")
 
 
 def whitespace_tokens(text: Column | str) -> Column:

@@ -37,16 +37,22 @@ def scores(prefix: str, hits: Column, n_reference: Column, n_candidate: Column)
     ]
 
 
+def _few_files(df: DataFrame) -> bool:
+    """True when the files read are too few to occupy the cores; looks at metadata only."""
+    return 0 < len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+
+
 def token_texts(
     pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, spread: bool = False
 ) -> DataFrame:
     """``(keys, ref, cand)`` texts of space-separated tokens.
 
     ``spread`` hashes the pairs over the tasks first, for metrics whose cost differs between
-    pairs by orders of magnitude.
+    pairs by orders of magnitude. It is also done when fewer files than cores feed the pairs;
+    larger tables are split over the tasks by their files and are not shuffled.
     """
     raw = pairs.select(*keys, F.col(reference).alias("_r"), F.col(candidate).alias("_c"))
-    if spread:
+    if spread or _few_files(pairs):
         raw = raw.repartition(*keys)
     return raw.select(
         *keys,
@@ -70,7 +76,8 @@ def ngram_overlap(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int] =
             shared(ref, cand, distinct).alias(f"hits_{n}"), size(ref).alias(f"ref_{n}"), size(cand).alias(f"cand_{n}"),
         ]
     carried = [c for c in texts.columns if c not in ("ref", "cand", *keys)]
-    return texts.select(*keys, *carried, *arrays).select(*keys, *carried, *totals)
+    tokens = texts.select(*keys, *carried, split_words("ref").alias("ref"), split_words("cand").alias("cand"))
+    return tokens.select(*keys, *carried, *arrays).select(*keys, *carried, *totals)
 
 
 def ngram_scores(prefix: str, n: int) -> list[Column]:
