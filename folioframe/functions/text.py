@@ -18,6 +18,8 @@ WHITESPACE = (
 REASONING_TAG = "<think>"
 INSTRUCTION_END = "[/INST]"
 SCORE_PATTERN = r'"score":\s*["\']?(\d+)["\']?'
+# Fixed value: name of the processed-list file in each volume folder.
+CHECKPOINT_FILE = "checkpoint.txt"
 # Fixed value: the alphabet of the ROUGE tokenizer.
 WORD_PATTERN = "[a-z0-9]+"
 
@@ -36,6 +38,15 @@ def normalize_title(title: Column | str) -> Column:
     return F.lower(F.translate(strip(title), " :,", "_"))
 
 
+def checkpoint_key(name: Column | str) -> Column:
+    """Normalized title of a processed-list entry, which may be a title or a ``.pdf`` name.
+
+    NULL for blank entries and for the list's own file, so that they count as nothing.
+    """
+    key = normalize_title(F.regexp_replace(strip(name), r"(?i)\.pdf$", ""))
+    return F.when(~key.isin("", CHECKPOINT_FILE), key)
+
+
 def normalize_file_name(name: Column | str) -> Column:
     """File name as a manifest key: no ``.pdf``, no outer quotes, only ``[a-z0-9_]``."""
     stem = F.regexp_replace(as_column(name), r"(?i)\.pdf$", "")

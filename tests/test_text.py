@@ -39,6 +39,11 @@ def test_normalizers_differ(spark):
     assert values(df, tx.normalize_file_name("t")) == ["ab_c"]
 
 
+def test_checkpoint_key(spark):
+    texts = ["My Paper: x", "my_paper_x.pdf", "checkpoint.txt", "", "  ", None]
+    assert values(column(spark, texts), tx.checkpoint_key("t")) == ["my_paper_x", "my_paper_x", None, None, None, None]
+
+
 def test_names_and_segments(spark):
     assert values(column(spark, ["a:b/c"]), tx.safe_model_name("t")) == ["a_b_c"]
     assert values(column(spark, ["x.pdf", "y.PDF"]), tx.output_name("t")) == ["x.md", "y.PDF"]
