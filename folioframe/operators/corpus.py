@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.functions.text import normalize_file_name, word_ngrams, words
-from folioframe.operators.pairing import pending
+from folioframe.operators.pairing import pending, spread_pairs
 
 # Fixed value: what is written after each page's text.
 PAGE_END = "\n\n"
@@ -172,7 +172,8 @@ def trigram_check(
     The sample is the ``n_samples`` sequences with the smallest digests: the same on every run
     and every partitioning.
     """
-    tokens = pairs.select(*keys, words(checked).alias("_own"), words(against).alias("_other"))
+    texts = spread_pairs(pairs.select(*keys, F.col(checked).alias("_own"), F.col(against).alias("_other")), keys)
+    tokens = texts.select(*keys, words("_own").alias("_own"), words("_other").alias("_other"))
     grams = tokens.select(
         *keys, F.array_distinct(word_ngrams("_own", 3)).alias("_own"), word_ngrams("_other", 3).alias("_other")
     )

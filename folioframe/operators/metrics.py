@@ -15,6 +15,7 @@ from folioframe.functions.overlap import gram_array, shared
 from folioframe.functions.stemming import stem_text
 from folioframe.functions.text import shifted, split_words, word_text, words
 from folioframe.functions.vectors import cosine
+from folioframe.operators.pairing import spread_pairs
 from folioframe.session import shared_dir
 
 # Fixed value: label of the appended summary record.
@@ -37,11 +38,6 @@ def scores(prefix: str, hits: Column, n_reference: Column, n_candidate: Column)
     ]
 
 
-def _few_files(df: DataFrame) -> bool:
-    """True when the files read are too few to occupy the cores; looks at metadata only."""
-    return 0 < len(df.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
-
-
 def token_texts(
     pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, spread: bool = False
 ) -> DataFrame:
@@ -52,8 +48,7 @@ def token_texts(
     larger tables are split over the tasks by their files and are not shuffled.
     """
     raw = pairs.select(*keys, F.col(reference).alias("_r"), F.col(candidate).alias("_c"))
-    if spread or _few_files(pairs):
-        raw = raw.repartition(*keys)
+    raw = spread_pairs(raw, keys, spread)
     return raw.select(
         *keys,
         F.coalesce(word_text("_r"), F.lit("")).alias("ref"),

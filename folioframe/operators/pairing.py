@@ -93,3 +93,13 @@ def first_usable_attempt(
 def drop_blank_distinct(df: DataFrame, key: str) -> DataFrame:
     """Distinct non-empty keys of a processed list."""
     return df.select(key).filter(F.coalesce(F.col(key), F.lit("")) != "").distinct()
+
+
+def spread_pairs(pairs: DataFrame, keys: Sequence[str], always: bool = False) -> DataFrame:
+    """Pairs hashed over the tasks, when asked for or when fewer files than cores feed them.
+
+    Larger tables are split over the tasks by their files and stay as they are. Only file
+    metadata is looked at.
+    """
+    few = 0 < len(pairs.inputFiles()) < pairs.sparkSession.sparkContext.defaultParallelism
+    return pairs.repartition(*keys) if always or few else pairs
