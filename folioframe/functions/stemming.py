@@ -7,7 +7,6 @@ The suffix rules are data. A token is stemmed once per Arrow batch, whatever its
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -116,7 +115,6 @@ def _tidy(word: str) -> str:
     return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
 
 
-@lru_cache(maxsize=200_000)
 def stem(word: str) -> str:
     """Stem of a lower-case word."""
     if len(word) < MIN_LENGTH:
