@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+SHARED_DIR = "spark.checkpoint.dir"
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def local_session(name: str, cores: int | str = "*", memory: str = "8g") -> SparkSession:
+
+def local_session(name: str, cores: int | str = "*", memory: str = "8g", shared: str | None = None) -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
@@ -19,27 +24,38 @@ def local_session(name: str, cores: int | str = "*", memory: str = "8g") -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    if shared:
+        builder = builder.config(SHARED_DIR, shared)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for local masters without one."""
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Without that setting the folder given to ``setCheckpointDir`` counts; without either, an error.
+    """
     current = spark.sparkContext.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get(SHARED_DIR, None)
     if configured:
         if current is None:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
-    if current is not None:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    fresh = tempfile.mkdtemp(prefix="folioframe-")
-    spark.sparkContext.setCheckpointDir(fresh)
-    return fresh
+    if current is None:
+        raise ValueError(f"set {SHARED_DIR} to a folder that the driver and every executor can reach")
+    return current
+
+
+def local_shared_dir(spark: SparkSession) -> None:
+    """For one-machine sessions without a shared folder (tests, trial runs): name a temporary one.
+
+    Sessions on any other master keep the error of ``shared_dir``.
+    """
+    unset = not spark.conf.get(SHARED_DIR, None) and spark.sparkContext.getCheckpointDir() is None
+    if unset and spark.sparkContext.master.split("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="folioframe-"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -47,13 +63,37 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 << 20) -> int:
-    """Set the number of shuffle partitions for an input of this size, never below the current.
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the block."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def cut(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write a frame as Parquet in the shared folder; the frame read back, and its path.
 
-    Adaptive execution merges small partitions afterwards but does not add any, so the number
-    has to be large enough for the largest exchange of a run.
+    Lineage ends here, so a lost executor costs no more than the stages after it. The shuffle
+    files of the write go when it has ended.
     """
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, -(-input_bytes // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    with settings(spark, {CLEAN_SHUFFLES: "true"}):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -32,7 +32,7 @@ def ordered(rows):
     return sorted((tuple(plain(v) for v in r) for r in rows), key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(entry_points.QUERIES))
 def test_query(spark, duck, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
@@ -53,5 +53,5 @@ def test_entry(spark):
 
 
 def test_queries_without_sql():
-    missing = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    missing = set(entry_points.QUERIES) - set(entry_points.SQL)
     assert missing == {"rougel_pairs", "rouge_stemmed", "rouge_report", "model_benchmark_full"}
