@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.llm.compression_bands import quality_rules
+from folioframe.llm.leaks import benchmark_leaks
 from folioframe.llm.near_duplicates import near_duplicates
 from folioframe.llm.packing import pack_documents
 from folioframe.llm.repeats import repeated_passages
@@ -43,6 +44,13 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), 1)
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-ids")
     write_token_ids(documents(spark, sf_dir), path, vocabulary("word_bpe_49k.json"), 1)
@@ -58,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_repeated_passages": op4_repeated_passages,
     "op5_token_counts": op5_token_counts,
     "op7_packing": op7_packing,
+    "op8_winnowing": op8_winnowing,
     "op9_token_ids": op9_token_ids,
     "op10_minhash": op10_minhash,
 }
