@@ -11,6 +11,7 @@ from folioframe.llm.compression_bands import quality_rules
 from folioframe.llm.leaks import benchmark_leaks
 from folioframe.llm.near_duplicates import near_duplicates
 from folioframe.llm.packing import pack_documents
+from folioframe.llm.perspectives import render_perspectives, span_text
 from folioframe.llm.repeats import repeated_passages
 from folioframe.llm.token_counts import count_tokens
 from folioframe.llm.token_ids import read_documents, write_token_ids
@@ -28,6 +29,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rendered = render_perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return rendered.withColumn("spans", span_text("spans"))
+
+
 def op3_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
@@ -62,6 +68,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_perspectives": op2_perspectives,
     "op3_compression_bands": op3_compression_bands,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_token_counts": op5_token_counts,
