@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from folioframe.llm.compression_bands import quality_rules
 from folioframe.llm.leaks import benchmark_leaks
+from folioframe.llm.licenses import scan_licenses
 from folioframe.llm.near_duplicates import near_duplicates
 from folioframe.llm.packing import pack_documents
 from folioframe.llm.perspectives import render_perspectives, span_text
@@ -46,6 +47,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), 1)
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_compression_bands": op3_compression_bands,
     "op4_repeated_passages": op4_repeated_passages,
     "op5_token_counts": op5_token_counts,
+    "op6_license_scan": op6_license_scan,
     "op7_packing": op7_packing,
     "op8_winnowing": op8_winnowing,
     "op9_token_ids": op9_token_ids,
