@@ -16,6 +16,7 @@ from folioframe.llm.perspectives import render_perspectives, span_text
 from folioframe.llm.repeats import repeated_passages
 from folioframe.llm.token_counts import count_tokens
 from folioframe.llm.token_ids import read_documents, write_token_ids
+from folioframe.llm.toxicity import held_out, train_toxicity
 from folioframe.session import scratch_path
 
 
@@ -30,6 +31,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return model.score(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op2_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rendered = render_perspectives(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return rendered.withColumn("spans", span_text("spans"))
@@ -73,6 +80,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_perspectives": op2_perspectives,
     "op3_compression_bands": op3_compression_bands,
     "op4_repeated_passages": op4_repeated_passages,
