@@ -51,6 +51,12 @@ def repeated_window_words(words: list[bytes], width: int = 5) -> int:
     return int((np.cumsum(marks) > 0).sum())
 
 
+def base_rule(words: list[bytes]) -> tuple[int, bool]:
+    """Words in repeated windows, and whether the text fails the base rule."""
+    repeats = repeated_window_words(words)
+    return repeats, len(words) < 10 or 100 * repeats > 20 * len(words)
+
+
 def duplicate_lines(data: bytes) -> int:
     lines = [line for line in data.split(b"\n") if line and not line.isspace()]
     return len(lines) - len(set(lines))
@@ -94,8 +100,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
             for batch in batches:
                 for one, data in zip(batch.column("doc_id").to_pylist(), byte_column(batch, "text"), strict=True):
                     words = data.split()
-                    repeats = repeated_window_words(words)
-                    failed = len(words) < 10 or 100 * repeats > 20 * len(words)
+                    repeats, failed = base_rule(words)
                     good, ratio, outside, n_chunks = bands(data)
                     yield (
                         one, len(words), len(data.translate(None, _WHITE + _CONTINUED)),
@@ -109,3 +114,15 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
         "base_failed boolean, kept boolean, ratio double, chunks_outside bigint, n_chunks bigint"
     ))
+
+
+def keep_quality(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns and without a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands()
+        for batch in batches:
+            kept = [not base_rule(data.split())[1] and bands(data)[0] for data in byte_column(batch, text)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

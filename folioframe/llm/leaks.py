@@ -18,7 +18,7 @@ def benchmark_leaks(
     docs: DataFrame, benchmark: DataFrame, width: int = 10, gram: int = 5,
     doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """``(doc_id, n_words, n_hit, n_items, items, contaminated)`` for every row of ``docs``.
+    """``(doc_id, text_key, n_words, n_hit, n_items, items, contaminated)`` for every row of ``docs``.
 
     A document word is hit when it lies in a run of words equal to a window of an item: ``width``
     consecutive item words, or the whole item if it has fewer. ``items`` are the distinct ids, as
@@ -77,12 +77,22 @@ def benchmark_leaks(
     )
     found = F.coalesce("found", F.array().cast("array<string>"))
     return joined.select(
-        "doc_id", "n_words", F.coalesce("hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        "doc_id", "text_key", "n_words", F.coalesce("hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(found).cast("bigint").alias("n_items"), found.alias("items"),
         (F.coalesce("hit", F.lit(0)) > 0).alias("contaminated"),
     )
 
 
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, width: int = 10, doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` without a window of the benchmark."""
+    found = benchmark_leaks(docs, benchmark, width, doc_id=doc_id, text=text).where("contaminated")
+    leaks = found.select(F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")).distinct()
+    same = docs[doc_id].eqNullSafe(leaks["leak_id"]) & (F.xxhash64(docs[text]) == leaks["leak_key"])
+    return docs.join(leaks, same, "left_anti")
+
+
 def _words(text: Column) -> Column:
     lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
     return F.regexp_extract_all(lowered, F.lit(_WORD), F.lit(0))

@@ -98,6 +98,16 @@ def near_duplicates(
     )
 
 
+def drop_near_duplicates(
+    docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, one for each id; rows without an id stay."""
+    found = near_duplicates(docs, k, percent, doc_id=doc_id, text=text)
+    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id)).distinct()
+    named = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
+    return named.unionByName(docs.where(F.col(doc_id).isNull())).select(docs.columns)
+
+
 def _sketched(source: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketcher = Sketcher(bands, rows)

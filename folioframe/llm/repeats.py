@@ -111,6 +111,40 @@ def repeated_passages(
     )
 
 
+def cut_repeated_passages(
+    docs: DataFrame, width: int = 35, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars",
+) -> DataFrame:
+    """The rows of ``docs`` with the words of repeated passages cut from their texts.
+
+    Texts without such words stay byte for byte; a text that loses all its words goes with its
+    row. ``n_chars``, where the table has it, is counted anew for texts that changed.
+    """
+    found = repeated_passages(docs, width, doc_id=doc_id, text=text).where("n_removed > 0")
+    spans = found.select(
+        F.col("doc_id").alias("_cut_id"), F.col("spans").alias("_spans"), (F.col("n_removed") == F.col("n_words")).alias("_emptied")
+    ).dropDuplicates(["_cut_id"])
+    joined = docs.join(spans, docs[doc_id] == spans["_cut_id"], "left").where("_emptied IS NULL OR NOT _emptied")
+    types = dict(docs.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, cuts = batch.column(text).to_pylist(), batch.column("_spans").to_pylist()
+            changed = [i for i, one in enumerate(cuts) if one]
+            for i in changed:
+                texts[i] = cut_spans(texts[i], [(s["first"], s["last"]) for s in cuts[i]])
+            batch = batch.drop_columns(["_spans"])
+            batch = batch.set_column(batch.schema.get_field_index(text), text, pa.array(texts, pa.string()))
+            if n_chars in types:
+                place = batch.schema.get_field_index(n_chars)
+                sizes = batch.column(place).to_pylist()
+                for i in changed:
+                    sizes[i] = len(texts[i])
+                batch = batch.set_column(place, n_chars, pa.array(sizes, batch.schema.field(place).type))
+            yield batch
+
+    return joined.select(*docs.columns, "_spans").mapInArrow(run, docs.schema)
+
+
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the words of the spans; what is between kept words stays as it is."""
     data = text.encode()

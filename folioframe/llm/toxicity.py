@@ -18,8 +18,9 @@ from folioframe.session import cut, discard
 
 #: Most labelled rows that are learned from, and most terms of the lexicon.
 TRAINING_ROWS, LEXICON_TERMS = 20_000, 4_000
-#: Least number of toxic texts that hold a term, and least log odds ratio.
-_LEAST_TEXTS, _LEAST_ODDS = 5, 2.0
+#: Least number and share of toxic texts that hold a term, and least log odds ratio, which is taken
+#: at the lower end of its interval so that rare words need more than luck.
+_LEAST_TEXTS, _LEAST_SHARE, _LEAST_ODDS, _DEVIATIONS = 5, 0.015, 1.5, 2.0
 _FOLDS = 5
 
 
@@ -64,8 +65,8 @@ def train_toxicity(
     """Learn from labelled rows that are not held out, at most ``max_rows`` of them.
 
     The sample are the rows of smallest id hash. Two fifths of it give the lexicon: terms (words and
-    word beginnings, disguises undone) that far more toxic texts hold than others, with their
-    log odds. Two fifths, unseen by the lexicon, train the trees on the dense features, and the
+    word beginnings, disguises undone) that far more toxic texts hold than others, with the
+    lower end of their log odds. Two fifths, unseen by the lexicon, train the trees on the dense features, and the
     last fifth calibrates them. Labels serve as labels only; language, source and id are no
     inputs. Rows without id or label are left out; of several labels of an id the largest counts.
     """
@@ -112,8 +113,11 @@ def _lexicon(sample: DataFrame) -> dict[str, float]:
         F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
     )
     odds = F.log(((F.col("a") + 0.5) / (toxic + 1)) / ((F.col("b") + 0.5) / (clean + 1)))
-    best = counts.where(F.col("a") >= _LEAST_TEXTS).select("term", "a", odds.alias("odds")).where(F.col("odds") >= _LEAST_ODDS)
-    rows = best.orderBy(F.desc(F.col("odds") * F.log1p("a")), "term").limit(LEXICON_TERMS).collect()
+    deviation = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    least = counts.where(F.col("a") >= max(_LEAST_TEXTS, _LEAST_SHARE * toxic)).select(
+        "term", (odds - _DEVIATIONS * deviation).alias("odds")
+    )
+    rows = least.where(F.col("odds") >= _LEAST_ODDS).orderBy(F.desc("odds"), "term").limit(LEXICON_TERMS).collect()
     return {row["term"]: row["odds"] for row in rows}
 
 
