@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from folioframe.functions.text import as_column
 
 INVISIBLE = r"(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>"
-ANCHOR = r"(?is)<a\s[^>]*>.*?</a>"
-OPENING_TAG = r"(?is)^<a\s[^>]*>"
+# An opening tag, whose quoted values may hold any sign, and what follows up to its end or the next anchor.
+OPENING = r"""<a(?:\s(?:[^>"']|"[^"]*"|'[^']*')*)?>"""
+ANCHOR = rf"(?is){OPENING}(?:(?!<a[\s>]).)*?(?:</a\s*>|(?=<a[\s>])|\z)"
+OPENING_TAG = rf"(?is)^{OPENING}"
 ANY_TAG = r"(?s)<[^>]*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
 
@@ -27,14 +29,17 @@ def anchors(html: Column | str) -> Column:
 
 
 def attribute(anchor: Column | str, name: str) -> Column:
-    """Quoted attribute of an anchor's opening tag; empty text when absent."""
+    """Attribute of an anchor's opening tag, double-quoted, single-quoted or bare; empty when absent."""
     tag = F.regexp_extract(as_column(anchor), OPENING_TAG, 0)
-    pattern = rf"""(?is)\s{name}\s*=\s*["']([^"']*)["']"""
-    return F.regexp_extract(tag, pattern, 1)
+    # other attributes are passed over whole, so a name inside a value isn't taken for one
+    before = r"""(?is)^<a(?:\s+(?!{name}\s*=)[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*"""
+    value = r"""\s+{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    pattern = (before + value).replace("{name}", name)
+    return F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
 
 
 def anchor_text(anchor: Column | str) -> Column:
-    return F.regexp_replace(as_column(anchor), ANY_TAG, "")
+    return F.regexp_replace(F.regexp_replace(as_column(anchor), OPENING_TAG, ""), ANY_TAG, "")
 
 
 def page_title(html: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from string import Formatter
 
@@ -107,6 +108,12 @@ def join_sections(sections: Column | str) -> Column:
     return F.array_join(as_column(sections), " ")
 
 
+def has_score(response: str | None) -> bool:
+    """Whether ``judge_score`` reads a score from an answer; for hooks inside Python tasks."""
+    found = re.search(SCORE_PATTERN, response or "")
+    return found is not None and int(found[1]) < 1 << 31
+
+
 def judge_score(response: Column | str) -> Column:
     """First whole-number score in a judge's answer, NULL when there is none."""
     digits = F.regexp_extract(as_column(response), SCORE_PATTERN, 1)

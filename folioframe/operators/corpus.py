@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.functions.text import normalize_file_name, word_ngrams, words
-from folioframe.operators.pairing import pending, spread_pairs
+from folioframe.operators.pairing import pending
 
 # Fixed value: what is written after each page's text.
 PAGE_END = "\n\n"
@@ -78,16 +78,22 @@ def volume_progress(
     )
 
 
-def complete_models(results: DataFrame, articles: DataFrame, model: str = "model") -> DataFrame:
-    """Models with as many results as there are articles."""
-    total = articles.agg(F.count(F.lit(1)).alias("n"))
-    per_model = results.groupBy(model).agg(F.count(F.lit(1)).alias("n_done"))
+def complete_models(
+    results: DataFrame, articles: DataFrame, model: str = "model", pos: str = "pos"
+) -> DataFrame:
+    """Models with a result for every listed article; repeats and unlisted articles don't count."""
+    listed = articles.select(pos).where(F.col(pos).isNotNull()).distinct()
+    total = listed.agg(F.count(F.lit(1)).alias("n"))
+    done = results.select(model, pos).distinct().join(listed, pos, "left_semi")
+    per_model = done.groupBy(model).agg(F.count(F.lit(1)).alias("n_done"))
     return per_model.withColumn("n_total", total.scalar()).filter("n_done = n_total")
 
 
-def publishable(results: DataFrame, articles: DataFrame, model: str = "model") -> DataFrame:
+def publishable(
+    results: DataFrame, articles: DataFrame, model: str = "model", pos: str = "pos"
+) -> DataFrame:
     """Results of complete models only."""
-    return results.join(complete_models(results, articles, model), model, "left_semi")
+    return results.join(complete_models(results, articles, model, pos), model, "left_semi")
 
 
 def resume_summary(results: DataFrame, model: str = "model", pos: str = "pos") -> DataFrame:
@@ -111,21 +117,15 @@ def at_position(df: DataFrame, index: int, pos: str = "pos") -> DataFrame:
     return df.filter(F.col(pos) == index)
 
 
-def assemble_pages(
-    pages: DataFrame, document: str, page: str, text: str, pages_per_part: int = 4096
-) -> DataFrame:
-    """Document text from pages in page order, each page followed by a blank line.
+def assemble_pages(pages: DataFrame, document: str, page: str, text: str) -> DataFrame:
+    """``(document, n_pages, text)``: one row a document, its pages in page order.
 
-    A document of up to ``pages_per_part`` pages is part 0. A longer one continues in parts
-    1, 2, ..., whose texts in order are the whole, so no task ever holds all its pages.
+    Each page is followed by a blank line. Page numbers may begin anywhere and have gaps.
     """
-    parts = pages.select(
-        document,
-        F.expr(f"`{page}` div {int(pages_per_part)}").alias("part"),
-        page,
-        F.concat(F.coalesce(F.col(text), F.lit("")), F.lit(PAGE_END)).alias("_piece"),
+    pieces = pages.select(
+        document, page, F.concat(F.coalesce(F.col(text), F.lit("")), F.lit(PAGE_END)).alias("_piece")
     )
-    return parts.groupBy(document, "part").agg(
+    return pieces.groupBy(document).agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.expr(f"listagg(_piece, '') within group (order by `{page}`)").alias("text"),
     )
@@ -135,16 +135,18 @@ def sections(documents: DataFrame, key: str, text: str, heading: str) -> DataFra
     """Text cut at heading lines: ``(key, section, heading, body)``.
 
     ``heading`` is a pattern for a whole line. Section 0 is what comes before the first one.
+    Headings are the pattern's matches and bodies what lies between them, so no character of
+    the text can be mistaken for a mark.
     """
-    cut, end = "\u0001", "\u0002"
-    marked = F.regexp_replace(F.col(text), f"(?m)^({heading})$", f"{cut}$1{end}")
-    pieces = documents.select(key, F.posexplode(F.split(marked, cut)).alias("section", "piece"))
-    headed = F.contains(F.col("piece"), F.lit(end))
+    line = f"(?m)^(?:{heading})$"
+    bodies = F.split(F.col(text), line)
+    headings = F.concat(F.array(F.lit("")), F.regexp_extract_all(F.col(text), F.lit(line), F.lit(0)))
+    pieces = documents.select(key, F.posexplode(F.arrays_zip(headings.alias("heading"), bodies.alias("body"))).alias("section", "piece"))
     return pieces.select(
         key,
         F.col("section").cast("bigint").alias("section"),
-        F.when(headed, F.substring_index("piece", end, 1)).otherwise(F.lit("")).alias("heading"),
-        F.when(headed, F.substring_index("piece", end, -1)).otherwise(F.col("piece")).alias("body"),
+        F.col("piece.heading").alias("heading"),
+        F.col("piece.body").alias("body"),
     )
 
 
@@ -165,14 +167,15 @@ def article_parts(documents: DataFrame, key: str, text: str, abstract: str, head
 
 
 def trigram_check(
-    pairs: DataFrame, keys: Sequence[str], checked: str, against: str, n_samples: int, seed: str
+    pairs: DataFrame, keys: Sequence[str], checked: str, against: str, n_samples: int | None = None,
+    seed: str = "check",
 ) -> DataFrame:
-    """Seeded sample of distinct 3-word sequences of one text, and how many the other has.
+    """Distinct 3-word sequences of one text, and how many of them the other has.
 
-    The sample is the ``n_samples`` sequences with the smallest digests: the same on every run
-    and every partitioning.
+    All sequences are tested, or a seeded sample: the ``n_samples`` with the smallest digests,
+    the same on every run and every partitioning.
     """
-    texts = spread_pairs(pairs.select(*keys, F.col(checked).alias("_own"), F.col(against).alias("_other")), keys)
+    texts = pairs.select(*keys, F.col(checked).alias("_own"), F.col(against).alias("_other"))
     tokens = texts.select(*keys, words("_own").alias("_own"), words("_other").alias("_other"))
     grams = tokens.select(
         *keys, F.array_distinct(word_ngrams("_own", 3)).alias("_own"), word_ngrams("_other", 3).alias("_other")
@@ -180,7 +183,7 @@ def trigram_check(
     ranked = F.array_sort(
         F.transform("_own", lambda g: F.struct(F.md5(F.concat(F.lit(f"{seed}:"), g)), g.alias("gram")))
     )
-    sample = F.transform(F.slice(ranked, 1, n_samples), lambda s: s["gram"])
+    sample = F.col("_own") if n_samples is None else F.transform(F.slice(ranked, 1, n_samples), lambda s: s["gram"])
     tested = grams.select(*keys, sample.alias("_sample"), "_other")
     return tested.select(
         *keys,

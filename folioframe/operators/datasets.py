@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from folioframe.functions.text import whitespace_tokens
@@ -13,8 +13,7 @@ from folioframe.functions.text import whitespace_tokens
 # Fixed value: the seed of the training scripts' split.
 SEED = 3407
 BUCKETS = 1_000_000
-HEX_STEP = 3
-SMALL_RANK = 10_000
+PREFIX = 4
 
 
 def split_digest(key: str, seed: int = SEED) -> Column:
@@ -32,44 +31,43 @@ def hash_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = SEED
 def exact_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = SEED) -> DataFrame:
     """Like ``hash_split`` with exactly ``ceil(test_size * n)`` validation rows.
 
-    The row at that rank of (digest, key) is looked up by counting digest prefixes: each pass
-    is one grouped count of at most 4,096 groups. The split itself is then a comparison
-    with that row, without any sort or shuffle. Keys are unique and not null.
+    One plan: rows are counted by digest prefix, prefix sums over the at most 65,536 prefixes tell
+    which lie wholly on one side, and only rows of the one prefix on the boundary are ranked by
+    digest and key. Keys are unique and not null.
     """
-    keyed = df.select(F.col(key), split_digest(key, seed).alias("_digest"))
-    prefix, waiting, total = "", None, None
-    while True:
-        step = F.substring("_digest", 1, len(prefix) + HEX_STEP)
-        inside = keyed.filter(F.startswith(F.col("_digest"), F.lit(prefix)))
-        counts = sorted(inside.groupBy(step.alias("p")).count().collect())
-        if total is None:
-            total = sum(r["count"] for r in counts)
-            waiting = math.ceil(round(total * test_size, 9))
-            if waiting == 0:
-                return df.withColumn("split", F.lit("train"))
-        for row in counts:
-            if waiting <= row["count"]:
-                prefix, size = row["p"], row["count"]
-                break
-            waiting -= row["count"]
-        if size <= SMALL_RANK or len(prefix) >= 30:
-            break
-    boundary = keyed.filter(F.startswith(F.col("_digest"), F.lit(prefix)))
-    last = boundary.orderBy("_digest", key).limit(waiting).agg(F.max(F.struct("_digest", key)).alias("m")).first()["m"]
-    digest = split_digest(key, seed)
-    test = (digest < last["_digest"]) | ((digest == last["_digest"]) & (F.col(key) <= F.lit(last[key])))
-    return df.withColumn("split", F.when(test, "validation").otherwise("train"))
+    keyed = df.withColumn("_digest", split_digest(key, seed)).withColumn("_prefix", F.substring("_digest", 1, PREFIX))
+    counts = keyed.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_rows"))
+    upto = F.sum("_rows").over(W.orderBy("_prefix").rowsBetween(W.unboundedPreceding, 0))
+    total = F.sum("_rows").over(W.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    # the share is rounded first, so that 0.2 * 5 is 1 and not a little more
+    wanted = F.ceil(F.round(total * F.lit(float(test_size)), 9))
+    sums = counts.select("_prefix", (upto - F.col("_rows")).alias("_before"), upto.alias("_upto"), wanted.alias("_wanted"))
+    placed = keyed.join(sums, "_prefix")
+    boundary = (F.col("_before") < F.col("_wanted")) & (F.col("_wanted") < F.col("_upto"))
+    rank = F.col("_before") + F.row_number().over(W.partitionBy("_prefix").orderBy("_digest", key))
+    sides = placed.where(~boundary).withColumn("_test", F.col("_upto") <= F.col("_wanted")).unionByName(
+        placed.where(boundary).withColumn("_test", rank <= F.col("_wanted"))
+    )
+    return sides.withColumn("split", F.when(F.col("_test"), "validation").otherwise("train")).select(*df.columns, "split")
 
 
 def fit_budget(df: DataFrame, text: str, max_tokens: int) -> DataFrame:
-    """Add ``n_tokens``, ``over_budget`` and ``budget_text``, the first ``max_tokens`` tokens."""
-    tokens = whitespace_tokens(text)
+    """Add ``n_tokens``, ``over_budget`` and ``budget_text``.
+
+    A text inside the budget stays as it is; a longer one ends with its token ``max_tokens``, all
+    white space before it kept.
+    """
+    blank = "[ \\t\\r\\n]+"
+    gaps = F.regexp_extract_all(text, F.lit(blank), F.lit(0))
+    # the white space before each token; none before a first token that opens the text
+    leading = F.when(F.regexp_like(text, F.lit("^" + blank)), gaps).otherwise(F.concat(F.array(F.lit("")), gaps))
+    parts = F.zip_with(
+        F.slice(leading, 1, max_tokens), F.slice(whitespace_tokens(text), 1, max_tokens), lambda gap, token: F.concat(gap, token)
+    )
     return (
-        df.withColumn("_tokens", tokens)
-        .withColumn("n_tokens", F.size("_tokens"))
+        df.withColumn("n_tokens", F.size(whitespace_tokens(text)))
         .withColumn("over_budget", F.col("n_tokens") > max_tokens)
-        .withColumn("budget_text", F.array_join(F.slice("_tokens", 1, max_tokens), " "))
-        .drop("_tokens")
+        .withColumn("budget_text", F.when(F.col("over_budget"), F.array_join(parts, "")).otherwise(F.col(text)))
     )
 
 

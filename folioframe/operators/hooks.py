@@ -15,9 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioframe.functions.text import has_score
+
 Generate = Callable[[Sequence[str], Sequence[str], dict], list[str | None]]
 Encode = Callable[[Sequence[str]], list[Sequence[float]]]
 Judge = Callable[[Sequence[str], int], list[str | None]]
+Evaluate = Callable[[Sequence[str], Sequence[str], Sequence[str]], list[dict[str, float] | None]]
 
 
 def _answers(call: Callable[..., Sequence], *columns: Sequence) -> list:
@@ -34,24 +37,32 @@ def _answers(call: Callable[..., Sequence], *columns: Sequence) -> list:
         return answers
 
 
+def _slices(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for start in range(0, len(pdf), size):
+            yield pdf.iloc[start : start + size]
+
+
 def _types(df: DataFrame, names: Sequence[str]) -> str:
     return ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names)
 
 
 def run_generator(
     work: DataFrame, make: Callable[[], Generate], params: dict | None = None,
-    keys: Sequence[str] = ("model", "pos"), partitions: int | None = None,
+    keys: Sequence[str] = ("model", "pos"), partitions: int | None = None, batch_size: int = 32,
 ) -> DataFrame:
     """``(keys, text, status, elapsed)`` for a work list with ``model`` and ``prompt``.
 
-    A call that raises or returns nothing gives status ``failed`` and NULL text, so the row
-    stays pending for the next run.
+    The hook is called with at most ``batch_size`` prompts; ``elapsed`` is a row's share of its
+    own call. After a call that raises, only its rows are asked again, one by one. A row that
+    raises or returns nothing gets status ``failed`` and NULL text, so it stays pending for the
+    next run.
     """
     keys, options = list(keys), dict(params or {})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generate = make()
-        for pdf in batches:
+        for pdf in _slices(batches, batch_size):
             started = time.monotonic()
             texts = _answers(
                 lambda prompts, models: generate(prompts, models, options),
@@ -60,7 +71,7 @@ def run_generator(
             out = pdf[keys].copy()
             out["text"] = [t.strip() if t else None for t in texts]
             out["status"] = ["ok" if t else "failed" for t in out["text"]]
-            out["elapsed"] = (time.monotonic() - started) / max(len(pdf), 1)
+            out["elapsed"] = (time.monotonic() - started) / len(pdf)
             yield out
 
     columns = list(dict.fromkeys([*keys, "model", "prompt"]))
@@ -70,32 +81,36 @@ def run_generator(
     return rows.mapInPandas(run, f"{_types(work, keys)}, text string, status string, elapsed double")
 
 
-def encode_texts(texts: DataFrame, make: Callable[[], Encode], text: str = "text") -> DataFrame:
+def encode_texts(
+    texts: DataFrame, make: Callable[[], Encode], text: str = "text", batch_size: int = 64
+) -> DataFrame:
     """``(digest, vector)`` of distinct texts. Join back with ``sha2(text, 256)``: a text that
-    fills a third of the table is encoded once."""
+    fills a third of the table is encoded once. A text the encoder fails on, alone and in its
+    batch, has a NULL vector."""
     distinct = texts.select(F.sha2(text, 256).alias("digest"), F.col(text).alias("text")).filter(
         F.col(text).isNotNull()
     ).dropDuplicates(["digest"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = make()
-        for pdf in batches:
-            yield pd.DataFrame({"digest": pdf["digest"], "vector": [list(v) for v in encode(pdf["text"].tolist())]})
+        for pdf in _slices(batches, batch_size):
+            vectors = _answers(encode, pdf["text"].tolist())
+            yield pd.DataFrame({"digest": pdf["digest"], "vector": [None if v is None else list(v) for v in vectors]})
 
     return distinct.mapInPandas(run, "digest string, vector array<float>")
 
 
 def run_judge(
-    prompts: DataFrame, make: Callable[[], Judge], usable: Callable[[str | None], bool],
-    keys: Sequence[str] = ("title", "side", "metric"), attempts: int = 3,
+    prompts: DataFrame, make: Callable[[], Judge], keys: Sequence[str] = ("title", "side", "metric"),
+    attempts: int = 3, batch_size: int = 32,
 ) -> DataFrame:
     """``(keys, attempt, response)``: one row per call, asking again only for prompts whose
-    answer was not usable."""
+    answer had no score that ``judge_score`` reads."""
     keys = list(keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         judge = make()
-        for pdf in batches:
+        for pdf in _slices(batches, batch_size):
             waiting = pdf
             for attempt in range(1, attempts + 1):
                 if waiting.empty:
@@ -104,13 +119,39 @@ def run_judge(
                 out = waiting[keys].copy()
                 out["attempt"], out["response"] = attempt, answers
                 yield out
-                waiting = waiting[[not usable(a) for a in answers]]
+                waiting = waiting[[not has_score(a) for a in answers]]
 
     return prompts.select(*keys, "prompt").mapInPandas(
         run, f"{_types(prompts, keys)}, attempt int, response string"
     )
 
 
+def run_evaluator(
+    inputs: DataFrame, make: Callable[[], Evaluate], dimensions: Sequence[str], keys: Sequence[str] = ("pos",),
+    batch_size: int = 32,
+) -> DataFrame:
+    """``(keys, dimension, score)`` for every input and dimension.
+
+    ``inputs`` has ``source``, ``system_output`` and ``reference``. The hook returns one score
+    for each dimension; a failed input and a missing dimension give a NULL score.
+    """
+    keys, wanted = list(keys), list(dimensions)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        evaluate = make()
+        for pdf in _slices(batches, batch_size):
+            columns = [pdf[c].tolist() for c in ("source", "system_output", "reference")]
+            scores = [s or {} for s in _answers(evaluate, *columns)]
+            for name in wanted:
+                out = pdf[keys].copy()
+                out["dimension"] = name
+                out["score"] = pd.array([s.get(name) for s in scores], dtype="Float64")
+                yield out
+
+    rows = inputs.select(*keys, "source", "system_output", "reference")
+    return rows.mapInPandas(run, f"{_types(inputs, keys)}, dimension string, score double")
+
+
 def _digest(text: str) -> str:
     return hashlib.md5(text.encode("utf-8")).hexdigest()
 
@@ -138,3 +179,13 @@ def stub_judge() -> Judge:
         return ["no answer" if d[0] < "8" else f'{{"score": {1 + int(d[1], 16) % 3}}}' for d in digests]
 
     return judge
+
+
+def stub_evaluator() -> Evaluate:
+    """Scores in [0, 1] from a digest of output and dimension."""
+
+    def evaluate(sources: Sequence[str], outputs: Sequence[str], references: Sequence[str]) -> list[dict[str, float]]:
+        names = ("coherence", "consistency", "fluency", "relevance")
+        return [{n: int(_digest(f"{n}|{o}")[:4], 16) / 65535 for n in names} for o in outputs]
+
+    return evaluate

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.functions.text import judge_score, render_template
+from folioframe.functions.text import judge_score, render_template, source_article, strip_reasoning
+from folioframe.operators.filters import scorable
 from folioframe.operators.pairing import first_usable_attempt
 
 # Judged qualities, their top scores and the two judged texts.
@@ -121,12 +122,16 @@ def nested_records(records: DataFrame, texts: DataFrame, key: str = "title") ->
 
 def evaluator_inputs(pairs: DataFrame, keys: Sequence[str] = ("pos",)) -> DataFrame:
     """``(keys, source, system_output, reference)`` of the pairs that can be scored."""
-    from folioframe.functions.text import source_article, strip_reasoning
-    from folioframe.operators.filters import scorable
-
     return scorable(pairs).select(
         *keys,
         source_article("title", "content").alias("source"),
         strip_reasoning("generated_abstract").alias("system_output"),
         F.col("original_abstract").alias("reference"),
     )
+
+
+def evaluator_means(scores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(by, dimension, average_score, n_scored)`` from ``(…, dimension, score)`` rows."""
+    return scores.where("score IS NOT NULL").groupBy(*by, "dimension").agg(
+        F.avg("score").alias("average_score"), F.count(F.lit(1)).alias("n_scored")
+    )

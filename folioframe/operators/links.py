@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.functions.markup import anchor_text, anchors, attribute
@@ -41,3 +43,13 @@ def paper_links(edges: DataFrame) -> DataFrame:
 
 def pdf_links(edges: DataFrame) -> DataFrame:
     return links(edges, PDF_HREF, PDF_CLASS)
+
+
+def link_kinds(others: Mapping[str, Column] | None = None) -> Column:
+    """The kinds that a row of ``page_links`` is of, as an array: one pass over the links."""
+    has = lambda text: F.contains("href", F.lit(text))
+    tests = {
+        "venue": has(VENUE_HREF), "volume": has(VOLUME_HREF), "paper": has(PAPER_HREF) & (F.col("class") == PAPER_CLASS),
+        "pdf": has(PDF_HREF) & (F.col("class") == PDF_CLASS), **(others or {}),
+    }
+    return F.array_compact(F.array(*[F.when(test, kind) for kind, test in tests.items()]))

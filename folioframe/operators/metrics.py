@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
@@ -15,8 +15,8 @@ from folioframe.functions.overlap import gram_array, shared
 from folioframe.functions.stemming import stem_text
 from folioframe.functions.text import shifted, split_words, word_text, words
 from folioframe.functions.vectors import cosine
-from folioframe.operators.pairing import spread_pairs
-from folioframe.session import shared_dir
+from folioframe.operators.hooks import Encode, encode_texts
+from folioframe.session import cut
 
 # Fixed value: label of the appended summary record.
 SUMMARY = "Overall Metrics"
@@ -38,17 +38,13 @@ def scores(prefix: str, hits: Column, n_reference: Column, n_candidate: Column)
     ]
 
 
-def token_texts(
-    pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str, spread: bool = False
-) -> DataFrame:
+def token_texts(pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str) -> DataFrame:
     """``(keys, ref, cand)`` texts of space-separated tokens.
 
-    ``spread`` hashes the pairs over the tasks first, for metrics whose cost differs between
-    pairs by orders of magnitude. It is also done when fewer files than cores feed the pairs;
-    larger tables are split over the tasks by their files and are not shuffled.
+    Pairs stay in the partitions they come in; a caller whose pairs come from few files or
+    differ much in cost repartitions them first.
     """
     raw = pairs.select(*keys, F.col(reference).alias("_r"), F.col(candidate).alias("_c"))
-    raw = spread_pairs(raw, keys, spread)
     return raw.select(
         *keys,
         F.coalesce(word_text("_r"), F.lit("")).alias("ref"),
@@ -95,7 +91,7 @@ def rouge_n(
 ) -> DataFrame:
     """ROUGE-N precision, recall and F per pair, for one or several N."""
     sizes = [sizes] if isinstance(sizes, int) else list(sizes)
-    texts = token_texts(pairs, keys, reference, candidate, spread=stemmed)
+    texts = token_texts(pairs, keys, reference, candidate)
     overlap = ngram_overlap(stemmed_texts(texts) if stemmed else texts, keys, sizes)
     return overlap.select(*keys, *[c for n in sizes for c in ngram_scores(f"rouge{n}", n)])
 
@@ -114,7 +110,7 @@ def rouge_l(
     candidate: str = "candidate_text", stemmed: bool = False,
 ) -> DataFrame:
     """ROUGE-L per pair: each whole text is one sequence."""
-    texts = token_texts(pairs, keys, reference, candidate, spread=True)
+    texts = token_texts(pairs, keys, reference, candidate)
     texts = stemmed_texts(texts) if stemmed else texts
     sized = texts.select(
         *keys, lcs_of_texts("ref", "cand").alias("hits"),
@@ -128,7 +124,7 @@ def rouge(
     candidate: str = "candidate_text", stemmed: bool = True,
 ) -> DataFrame:
     """ROUGE-1, ROUGE-2 and ROUGE-L F per pair, from one pass over the token texts."""
-    texts = token_texts(pairs, keys, reference, candidate, spread=True)
+    texts = token_texts(pairs, keys, reference, candidate)
     texts = stemmed_texts(texts) if stemmed else texts
     measured = texts.withColumn("_lcs", lcs_of_texts("ref", "cand"))
     overlap = ngram_overlap(measured, keys, (1, 2))
@@ -145,6 +141,27 @@ def cosine_scores(
     return vectors.select(*keys, cosine(first, second).alias(name))
 
 
+def similarity_of_texts(
+    pairs: DataFrame, encoders: Mapping[str, Callable[[], Encode]], keys: Sequence[str] = ("pair_id",),
+    reference: str = "reference_text", candidate: str = "candidate_text",
+) -> DataFrame:
+    """``(keys, encoder, similarity)``: cosine of both texts of every pair, by every encoder.
+
+    Distinct texts are encoded once an encoder and joined back to both sides by digest. A pair
+    with a null text, or one that an encoder failed on, has a NULL similarity.
+    """
+    sides = pairs.select(*keys, F.sha2(reference, 256).alias("_ref"), F.sha2(candidate, 256).alias("_cand"))
+    texts = pairs.select(F.col(reference).alias("text")).union(pairs.select(F.col(candidate).alias("text")))
+    results = []
+    for name, make in encoders.items():
+        vectors = encode_texts(texts, make)
+        first = vectors.select(F.col("digest").alias("_ref"), F.col("vector").alias("_ref_vector"))
+        second = vectors.select(F.col("digest").alias("_cand"), F.col("vector").alias("_cand_vector"))
+        joined = sides.join(first, "_ref", "left").join(second, "_cand", "left")
+        results.append(cosine_scores(joined.withColumn("encoder", F.lit(name)), [*keys, "encoder"], "_ref_vector", "_cand_vector"))
+    return reduce(DataFrame.unionByName, results)
+
+
 def _unit_rows(vectors) -> np.ndarray:
     rows = np.stack(vectors).astype("float64")
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
@@ -164,10 +181,13 @@ def _best_match(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def bert_score(
     tokens: DataFrame, keys: Sequence[str] = ("pair_id",), side: str = "side", tok: str = "tok",
-    vector: str = "vec", block: int = 512,
+    vector: str = "vec", block: int = 512, pairs: DataFrame | None = None,
 ) -> DataFrame:
     """BERTScore precision, recall and F1 per pair from token vectors.
 
+    ``pairs`` is the table of all pairs; those without tokens on a side score 0. Without it the
+    pairs are those that have a token.
+
     ``side`` is ``reference`` or ``candidate``; precision averages over candidate tokens. Each
     side is cut into blocks of ``block`` consecutive token numbers. Blocks of a pair are compared by one
     matrix product per pair of blocks, so a task holds two blocks and never a whole long text.
@@ -204,7 +224,7 @@ def bert_score(
         F.avg(F.when(F.col("side") == 0, F.col("best"))).alias("bert_recall"),
     )
     # Pairs with tokens on one side only score 0.
-    every = blocks.select(*keys).distinct()
+    every = (blocks if pairs is None else pairs).select(*keys).distinct()
     p, r = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("bert_precision", "bert_recall"))
     return every.join(means, keys, "left").select(
         *keys, p.alias("bert_precision"), r.alias("bert_recall"),
@@ -233,11 +253,10 @@ def roll_up_with_total(
 def with_summary(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     """Metric rows followed by one ``{summary, average_*}`` row with its own columns.
 
-    The rows are checkpointed first: they are small beside the texts they were computed from,
-    and without it the metric would run once for the rows and again for the mean.
+    The rows are written to the shared folder first: they are small beside the texts they were
+    computed from, and without it the metric would run once for the rows and again for the mean.
     """
-    shared_dir(df.sparkSession)
-    rows = df.checkpoint()
+    rows, _ = cut(df, "metric")
     means = rows.agg(*[F.avg(m).alias(f"average_{m}") for m in metrics])
     return rows.unionByName(means.withColumn("summary", F.lit(SUMMARY)), allowMissingColumns=True)
 

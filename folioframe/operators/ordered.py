@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from folioframe.session import shared_dir
+from folioframe.session import cut
 
 SEGMENT = "_segment"
 WIDTH = 65_536
@@ -30,19 +30,12 @@ def by_width(df: DataFrame, order: str, width: int = WIDTH) -> DataFrame:
 def by_range(df: DataFrame, order: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Segments from range partitioning on any sortable columns.
 
-    The result is checkpointed: range bounds come from a sample, so the segment numbers must
-    be fixed before two branches of a plan use them.
+    The result is written to the shared folder: range bounds come from a sample, so the segment
+    numbers must be fixed before two branches of a plan use them.
     """
-    shared_dir(df.sparkSession)
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(count, *order)
-    return ranged.withColumn(SEGMENT, F.spark_partition_id().cast("bigint")).checkpoint()
-
-
-def largest(df: DataFrame, order: str) -> int:
-    """Largest value of an order column, -1 for an empty table; one narrow pass."""
-    found = df.agg(F.max(order).alias("m")).first()["m"]
-    return -1 if found is None else int(found)
+    return cut(ranged.withColumn(SEGMENT, F.spark_partition_id().cast("bigint")), "ranged")[0]
 
 
 def scan_groups(
@@ -53,21 +46,18 @@ def scan_groups(
     following: Mapping[str, str] | None = None,
     first: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Add ordered columns per group; key columns must not be null.
+    """Add ordered columns per group of a segmented table; null keys form groups like any other.
 
     ``totals``: name -> amount; adds the inclusive running total ``name`` and the group
     total ``name_all``. ``following``: name -> column whose next value in the group is
-    wanted. ``first``: name -> column whose first value in the group is wanted.
-
-    Without a segment column the groups are taken as small: one window per group, one pass.
+    wanted. ``first``: name -> column whose first value in the group is wanted. The segments come
+    from ``by_width`` or ``by_range``; their size never changes a result.
     """
     totals, following, first = dict(totals or {}), dict(following or {}), dict(first or {})
     keys, order = list(keys), list(order)
     kept = [c for c in segmented.columns if c != SEGMENT]
     for name, amount in totals.items():
         segmented = segmented.withColumn(f"_amount_{name}", F.lit(amount))
-    if SEGMENT not in segmented.columns:
-        return segmented.select(*kept, *_small_groups(keys, order, totals, following, first))
 
     at = F.struct(*order)
     parts = [F.sum(f"_amount_{name}").alias(f"_part_{name}") for name in totals]
@@ -95,19 +85,11 @@ def scan_groups(
         for n, c in following.items()
     ]
     computed += [F.col(f"_first_{n}")[c].alias(n) for n, c in first.items()]
-    return segmented.join(offsets, [*keys, SEGMENT], "left").select(*kept, *computed)
-
-
-def _small_groups(keys, order, totals, following, first) -> list[Column]:
-    ahead = W.partitionBy(*keys).orderBy(*order)
-    running = ahead.rowsBetween(W.unboundedPreceding, 0)
-    whole = W.partitionBy(*keys)
-    return [
-        *[F.sum(f"_amount_{n}").over(running).alias(n) for n in totals],
-        *[F.sum(f"_amount_{n}").over(whole).alias(f"{n}_all") for n in totals],
-        *[F.lead(c).over(ahead).alias(n) for n, c in following.items()],
-        *[F.first(c).over(running).alias(n) for n, c in first.items()],
-    ]
+    named = offsets.withColumnsRenamed({c: f"_at_{i}" for i, c in enumerate([*keys, SEGMENT])})
+    same = F.lit(True)
+    for i, c in enumerate([*keys, SEGMENT]):
+        same = same & segmented[c].eqNullSafe(named[f"_at_{i}"])
+    return segmented.join(named, same, "left").select(*kept, *computed)
 
 
 def dense_position(

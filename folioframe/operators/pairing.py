@@ -27,34 +27,47 @@ def truncating_zip(left: DataFrame, right: DataFrame, on: str = "pos") -> DataFr
     return left.join(right, on)
 
 
-def last_wins(df: DataFrame, key: str, pos: str = "pos") -> DataFrame:
-    """Rows that come last among those with the same key."""
-    return _survivors(df, key, pos, F.max)
+def last_wins(df: DataFrame, key: str, order: str | Sequence[str] = "pos") -> DataFrame:
+    """The row that comes last among those with the same key, by the order columns."""
+    return _survivors(df, key, order, F.max)
 
 
-def first_wins(df: DataFrame, key: str, pos: str = "pos") -> DataFrame:
-    """Rows that come first among those with the same key (null counts as one key)."""
-    return _survivors(df, key, pos, F.min)
+def first_wins(df: DataFrame, key: str, order: str | Sequence[str] = "pos") -> DataFrame:
+    """The row that comes first among those with the same key (null counts as one key)."""
+    return _survivors(df, key, order, F.min)
 
 
-def _survivors(df: DataFrame, key: str, pos: str, pick) -> DataFrame:
-    # Only digests and positions are aggregated, combined before the shuffle, so a key with
-    # a third of all rows costs one row per task. The wide rows then meet the survivors on
-    # the unique position, which has no hot value.
-    digest = F.when(F.col(key).isNotNull(), F.sha2(F.col(key).cast("string"), 256))
-    winners = df.select(digest.alias("_digest"), pos).groupBy("_digest").agg(pick(pos).alias(pos))
-    return df.join(winners.select(pos), pos, "left_semi")
+def _survivors(df: DataFrame, key: str, order: str | Sequence[str], pick) -> DataFrame:
+    """One row a key; rows that tie in all order columns are told apart by their other columns.
+
+    Order columns need not be unique in the table, as where every file numbers its own rows. Only
+    digests and orders are aggregated, combined before the shuffle, so a key with a third of
+    all rows costs one row a task. The wide rows meet the survivors on digest, order and
+    content together, which has no hot value unless whole rows repeat.
+    """
+    orders = [order] if isinstance(order, str) else list(order)
+    digest = F.coalesce(F.sha2(F.col(key).cast("string"), 256), F.lit("null"))
+    place = F.struct(*orders, F.xxhash64(*df.columns).alias("_content"))
+    marked = df.withColumn("_digest", digest).withColumn("_place", place)
+    winners = marked.groupBy("_digest").agg(pick("_place").alias("_place"))
+    kept = marked.join(
+        winners.select(F.col("_digest").alias("_won"), F.col("_place").alias("_at")),
+        (F.col("_digest") == F.col("_won")) & F.col("_place").eqNullSafe(F.col("_at")), "left_semi",
+    )
+    # only repeats of one row share a digest now
+    return kept.dropDuplicates(["_digest"]).drop("_digest", "_place")
 
 
 def title_join(
-    left: DataFrame, right: DataFrame, title: str = "title", pos: str = "pos"
+    left: DataFrame, right: DataFrame, title: str = "title", pos: str | Sequence[str] = "pos"
 ) -> DataFrame:
-    """Left rows with the last right row of the same title.
+    """Left rows with the last right row of the same title, by one or several order columns.
 
     Left duplicates stay, left rows without a partner go. The right side is unique per
     title, so a hot title on the left is split by AQE's skew join.
     """
-    return left.join(last_wins(right, title, pos).drop(pos), title)
+    orders = [pos] if isinstance(pos, str) else list(pos)
+    return left.join(last_wins(right, title, orders).drop(*orders), title)
 
 
 def pending(df: DataFrame, done: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -93,13 +106,3 @@ def first_usable_attempt(
 def drop_blank_distinct(df: DataFrame, key: str) -> DataFrame:
     """Distinct non-empty keys of a processed list."""
     return df.select(key).filter(F.coalesce(F.col(key), F.lit("")) != "").distinct()
-
-
-def spread_pairs(pairs: DataFrame, keys: Sequence[str], always: bool = False) -> DataFrame:
-    """Pairs hashed over the tasks, when asked for or when fewer files than cores feed them.
-
-    Larger tables are split over the tasks by their files and stay as they are. Only file
-    metadata is looked at.
-    """
-    few = 0 < len(pairs.inputFiles()) < pairs.sparkSession.sparkContext.defaultParallelism
-    return pairs.repartition(*keys) if always or few else pairs

@@ -4,10 +4,9 @@ Same meaning as ``folioframe.functions.chat`` for arrays. A conversation is neve
 neighbours and turn numbers come from ordered scans. Turn numbers start at 0 or above and are
 unique in a conversation; they may have gaps.
 
-``longest`` is the largest turn number, looked up when it is not given. Below ``width`` every
-conversation is small and a step is one window. From there on steps scan in segments, so one
-conversation may hold any share of the rows, and their result is checkpointed, because a
-segmented scan reads its input twice.
+Steps scan in segments of ``width`` turn numbers, whatever the size of a conversation, so one
+conversation may hold any share of the rows. ``width`` never changes a result. Turns without a
+conversation id form one conversation.
 """
 
 from __future__ import annotations
@@ -18,8 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.functions.chat import ChatTemplate, standard_role, turn_prefix, turn_text
-from folioframe.operators.ordered import WIDTH, by_width, largest, scan_groups
-from folioframe.session import shared_dir
+from folioframe.operators.ordered import WIDTH, by_width, scan_groups
 
 
 @dataclass(frozen=True)
@@ -39,15 +37,8 @@ class TurnColumns:
 COLUMNS = TurnColumns()
 
 
-def longest_turn(turns: DataFrame, c: TurnColumns = COLUMNS) -> int:
-    return largest(turns, c.turn)
-
-
-def _scan(turns: DataFrame, c: TurnColumns, width: int, longest: int | None, **wanted) -> DataFrame:
-    if (longest_turn(turns, c) if longest is None else longest) < width:
-        return scan_groups(turns, [c.conversation], [c.turn], **wanted)
-    shared_dir(turns.sparkSession)
-    return scan_groups(by_width(turns, c.turn, width), [c.conversation], [c.turn], **wanted).checkpoint()
+def _scan(turns: DataFrame, c: TurnColumns, width: int, **wanted) -> DataFrame:
+    return scan_groups(by_width(turns, c.turn, width), [c.conversation], [c.turn], **wanted)
 
 
 def _row(c: TurnColumns, turn: Column, role: Column, content: Column) -> Column:
@@ -59,22 +50,21 @@ def standardize_roles(turns: DataFrame, c: TurnColumns = COLUMNS) -> DataFrame:
 
 
 def mark_orphans(
-    turns: DataFrame, c: TurnColumns = COLUMNS, width: int = WIDTH, longest: int | None = None
+    turns: DataFrame, c: TurnColumns = COLUMNS, width: int = WIDTH
 ) -> DataFrame:
     """Add ``is_orphan``: a user turn whose next turn is absent or not the assistant's."""
-    seen = _scan(turns, c, width, longest, following={"_next_role": c.role})
+    seen = _scan(turns, c, width, following={"_next_role": c.role})
     answered = F.coalesce(F.col("_next_role"), F.lit("")) == "assistant"
     return seen.withColumn("is_orphan", (F.col(c.role) == "user") & ~answered).drop("_next_role")
 
 
 def repair_turns(
-    turns: DataFrame, c: TurnColumns = COLUMNS, width: int = WIDTH, longest: int | None = None
+    turns: DataFrame, c: TurnColumns = COLUMNS, width: int = WIDTH
 ) -> DataFrame:
     """Insert an empty assistant turn after each orphan user turn; turns are numbered anew."""
-    longest = longest_turn(turns, c) if longest is None else longest
-    marked = mark_orphans(turns.select(*c.all), c, width, longest)
+    marked = mark_orphans(turns.select(*c.all), c, width)
     size = F.lit(1) + F.col("is_orphan").cast("int")
-    counted = _scan(marked, c, width, longest, totals={"_last": size})
+    counted = _scan(marked, c, width, totals={"_last": size})
     own = _row(c, F.col("_last") - size, F.col(c.role), F.col(c.content))
     added = _row(c, F.col("_last") - 1, F.lit("assistant"), F.lit(""))
     rows = F.when(F.col("is_orphan"), F.array(own, added)).otherwise(F.array(own))
@@ -82,21 +72,21 @@ def repair_turns(
 
 
 def replace_system(
-    turns: DataFrame, system: str, c: TurnColumns = COLUMNS, width: int = WIDTH, longest: int | None = None
+    turns: DataFrame, system: str, c: TurnColumns = COLUMNS, width: int = WIDTH
 ) -> DataFrame:
     """System prompt as turn 0 of every conversation, then its user and assistant turns."""
     kept = F.coalesce(F.col(c.role).isin("user", "assistant"), F.lit(False))
-    seen = _scan(turns.select(*c.all), c, width, longest, totals={"_n": F.lit(1), "_kept": kept.cast("int")})
+    seen = _scan(turns.select(*c.all), c, width, totals={"_n": F.lit(1), "_kept": kept.cast("int")})
     opening = F.when(F.col("_n") == 1, _row(c, F.lit(0), F.lit("system"), F.lit(system)))
     own = F.when(kept, _row(c, F.col("_kept"), F.col(c.role), F.col(c.content)))
     return seen.select(c.conversation, F.inline(F.array_compact(F.array(opening, own))))
 
 
 def insert_system(
-    turns: DataFrame, system: str, c: TurnColumns = COLUMNS, width: int = WIDTH, longest: int | None = None
+    turns: DataFrame, system: str, c: TurnColumns = COLUMNS, width: int = WIDTH
 ) -> DataFrame:
     """System prompt as turn 0 of the conversations that do not start with a system turn."""
-    seen = _scan(turns.select(*c.all), c, width, longest, totals={"_n": F.lit(1)}, first={"_first": c.role})
+    seen = _scan(turns.select(*c.all), c, width, totals={"_n": F.lit(1)}, first={"_first": c.role})
     lacking = F.coalesce(F.col("_first"), F.lit("")) != "system"
     own = _row(c, F.col("_n") - 1 + lacking.cast("int"), F.col(c.role), F.col(c.content))
     opening = F.when((F.col("_n") == 1) & lacking, _row(c, F.lit(0), F.lit("system"), F.lit(system)))
@@ -105,7 +95,7 @@ def insert_system(
 
 def rendered_turns(
     turns: DataFrame, template: ChatTemplate, add_generation_prompt: bool = False,
-    c: TurnColumns = COLUMNS, width: int = WIDTH, longest: int | None = None,
+    c: TurnColumns = COLUMNS, width: int = WIDTH,
 ) -> DataFrame:
     """``(conversation, turn, role, piece, start, end, is_target)`` per turn.
 
@@ -116,7 +106,7 @@ def rendered_turns(
     text = turn_text(template, F.col(c.role), F.col(c.content))
     pieces = turns.select(*c.all).withColumn("piece", text)
     seen = _scan(
-        pieces, c, width, longest,
+        pieces, c, width,
         totals={"_n": F.lit(1), "_chars": F.length("piece").cast("bigint")},
     )
     start = (
@@ -140,16 +130,11 @@ def rendered_turns(
 
 def render_conversations(
     turns: DataFrame, template: ChatTemplate, add_generation_prompt: bool = False,
-    turns_per_part: int = 4096, c: TurnColumns = COLUMNS, width: int = WIDTH, longest: int | None = None,
+    c: TurnColumns = COLUMNS, width: int = WIDTH,
 ) -> DataFrame:
-    """``(conversation, part, n_turns, text)``: the rendered text of each conversation.
-
-    Up to ``turns_per_part`` turns make part 0; longer conversations continue in parts 1, 2,
-    ..., whose texts in order are the whole.
-    """
-    rows = rendered_turns(turns, template, add_generation_prompt, c, width, longest)
-    parts = rows.withColumn("part", F.expr(f"`{c.turn}` div {int(turns_per_part)}"))
-    return parts.groupBy(c.conversation, "part").agg(
+    """``(conversation, n_turns, text)``: the rendered text of each conversation, one row for each."""
+    rows = rendered_turns(turns, template, add_generation_prompt, c, width)
+    return rows.groupBy(c.conversation).agg(
         F.count(F.lit(1)).alias("n_turns"),
         F.expr(f"listagg(piece, '') within group (order by `{c.turn}`)").alias("text"),
     )
@@ -159,11 +144,6 @@ def training_turns(
     turns: DataFrame, template: ChatTemplate, system: str, policy: str = "insert",
     c: TurnColumns = COLUMNS, width: int = WIDTH,
 ) -> DataFrame:
-    """Repair, system policy and rendering in sequence, with one look-up of the longest turn."""
-    longest = longest_turn(turns, c)
-    repaired = repair_turns(turns, c, width, longest)
-    # Repair at most doubles the turns, a policy adds one.
-    shaped = {"insert": insert_system, "replace": replace_system}[policy](
-        repaired, system, c, width, 2 * longest + 1
-    )
-    return rendered_turns(shaped, template, False, c, width, 2 * longest + 2)
+    """Repair, system policy and rendering in sequence."""
+    shape = {"insert": insert_system, "replace": replace_system}[policy]
+    return rendered_turns(shape(repair_turns(turns, c, width), system, c, width), template, False, c, width)

@@ -60,7 +60,7 @@ def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(
         F.col("doc_id").alias("pair_id"), F.col("source").alias("model"), "reference_text",
         F.col("text").alias("candidate_text"),
-    )
+    ).repartition("pair_id")  # one small file feeds all pairs here
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,22 +257,24 @@ def url_segment(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", tx.url_segment("url").alias("segment"))
 
 
+# Rows that the tables lack: quotes inside values, bare values, unclosed anchors, every kind of link.
+HARD_PAGES = [
+    (-1, """<a href="/x/it's.pdf">A</a><a class=align-middle href=/b>B</a><a title="href='/no'" href='/say"hi"'>C</a>"""),
+    (-2, """<a data-href="/no" href="/venues/acl/">V</a><a href='/volumes/v.1/' class='plain'>Volume</a><a href="/open">open"""),
+    (-3, """<a class="align-middle" href="/v.1.1">P</a><A CLASS="btn btn-primary" HREF="/v.1.1.pdf"><b>PDF</b></A>"""),
+]
+
+
 def page_links(spark, sf_dir):
-    return links.page_links(table(spark, sf_dir, "pages"))
+    hard = spark.createDataFrame(HARD_PAGES, "page_id bigint, html string")
+    return links.page_links(table(spark, sf_dir, "pages").select("page_id", "html").unionByName(hard))
 
 
 def link_kinds(spark, sf_dir):
     edges = page_links(spark, sf_dir)
-    kinds = {
-        "venue": links.venue_links(edges), "volume": links.volume_links(edges),
-        "paper": links.paper_links(edges), "pdf": links.pdf_links(edges),
-        "internal": filters.exclude_values(filters.links(edges, "/"), "href", ["/the", "/The", "/and"]),
-    }
-    tagged = [df.select("page_id", "pos", "href", F.lit(kind).alias("kind")) for kind, df in kinds.items()]
-    out = tagged[0]
-    for df in tagged[1:]:
-        out = out.unionByName(df)
-    return out.groupBy("kind", "href").agg(F.count(F.lit(1)).alias("n_links"))
+    internal = F.contains("href", F.lit("/")) & ~F.col("href").isin("/the", "/The", "/and")
+    kinds = links.link_kinds({"internal": internal})
+    return edges.select("href", F.explode(kinds).alias("kind")).groupBy("kind", "href").agg(F.count(F.lit(1)).alias("n_links"))
 
 
 def suffix_filter(spark, sf_dir):
@@ -446,6 +448,29 @@ def dedup_last(spark, sf_dir):
     return pairing.last_wins(table(spark, sf_dir, "documents"), "text", "doc_id").select("doc_id", "source")
 
 
+def numbered_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents numbered inside their source, as files number their own rows: positions repeat."""
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.substring("text", 1, 2).alias("title"))
+    place = ordered.scan_groups(
+        ordered.by_width(rows, "doc_id", 97), ["source"], ["doc_id"], totals={"pos": F.lit(1).cast("bigint")}
+    )
+    return place.drop("pos_all")
+
+
+def dedup_by_file(spark, sf_dir):
+    """First and last row of every title, ordered by source and position."""
+    rows = numbered_by_source(spark, sf_dir)
+    first = pairing.first_wins(rows, "title", ["source", "pos"]).withColumn("kept", F.lit("first"))
+    last = pairing.last_wins(rows, "title", ["source", "pos"]).withColumn("kept", F.lit("last"))
+    return first.unionByName(last).select("kept", "title", "source", "pos", "doc_id")
+
+
+def title_join_by_file(spark, sf_dir):
+    rows = numbered_by_source(spark, sf_dir)
+    right = rows.select("source", "pos", "title", F.col("doc_id").alias("right_id"))
+    return pairing.title_join(rows.select(F.col("doc_id").alias("left_id"), "title"), right, "title", ["source", "pos"])
+
+
 def dedup_report(spark, sf_dir):
     return corpus.dedup_report(table(spark, sf_dir, "documents"), "text")
 
@@ -477,9 +502,12 @@ def volume_progress(spark, sf_dir):
 
 
 def complete_models(spark, sf_dir):
-    """Results of the models that cover every labelled article."""
-    labelled = table(spark, sf_dir, "labels")
-    return corpus.publishable(results_so_far(spark, sf_dir), labelled)
+    """Results of the models that cover every labelled article; repeats and unknown articles don't help."""
+    labelled = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("pos"))
+    results = results_so_far(spark, sf_dir)
+    doubled = results.where("model = 'phi4-mini'")
+    unknown = doubled.select("model", (-F.col("pos") - 1).alias("pos"))
+    return corpus.publishable(results.unionByName(doubled).unionByName(unknown), labelled)
 
 
 def resume_summary(spark, sf_dir):
@@ -511,7 +539,9 @@ def profile_lineitem(spark, sf_dir):
 
 
 def runtime_eta(spark, sf_dir):
-    return rounded(runtime.runtime_eta(table(spark, sf_dir, "events"), "user_id", "event_id", "value", "ts"))
+    events = table(spark, sf_dir, "events")
+    some = events.withColumn("user_id", F.when(F.col("user_id") % 10 != 0, F.col("user_id")))
+    return rounded(runtime.runtime_eta(some, "user_id", "event_id", "value", "ts", width=1000))
 
 
 def run_time(spark, sf_dir):
@@ -519,14 +549,25 @@ def run_time(spark, sf_dir):
 
 
 def page_assembly(spark, sf_dir):
-    return corpus.assemble_pages(conversation_turns(spark, sf_dir), "conv_id", "turn", "text")
+    """Pages numbered from 4,094 on, and pages without a document."""
+    turned = conversation_turns(spark, sf_dir).select(
+        F.when(F.col("conv_id") % 9 != 0, F.col("conv_id")).alias("conv_id"),
+        (F.col("turn") + 4094 + F.col("conv_id") * 100).alias("turn"), "text",
+    )
+    return corpus.assemble_pages(turned, "conv_id", "turn", "text")
 
 
 HEADING = "[^ \\n]+ [^ \\n]+\\."
 
 
+# Control characters that a text extracted from a PDF may hold.
+HARD_TEXTS = [(-1, "x\x01y\x02z keep\x02end"), (-2, "One two.\na\x01b\nOne two.\n\x02c")]
+
+
 def sections(spark, sf_dir):
-    return corpus.sections(table(spark, sf_dir, "documents"), "doc_id", "text", HEADING)
+    hard = spark.createDataFrame(HARD_TEXTS, "doc_id bigint, text string")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(hard)
+    return corpus.sections(rows, "doc_id", "text", HEADING)
 
 
 def article_parts(spark, sf_dir):
@@ -602,23 +643,20 @@ def system_insert(spark, sf_dir):
 
 def render_llama(spark, sf_dir):
     rows = conversation_turns(spark, sf_dir)
-    longest = turns.longest_turn(rows)
-    shaped = turns.replace_system(turns.repair_turns(rows, longest=longest), SYSTEM, longest=2 * longest + 1)
-    return turns.render_conversations(shaped, chat.LLAMA_31, longest=2 * longest + 2)
+    shaped = turns.replace_system(turns.repair_turns(rows), SYSTEM)
+    return turns.render_conversations(shaped, chat.LLAMA_31)
 
 
 def render_chatml(spark, sf_dir):
     rows = conversation_turns(spark, sf_dir)
-    longest = turns.longest_turn(rows)
-    shaped = turns.insert_system(turns.repair_turns(rows, longest=longest), SYSTEM, longest=2 * longest + 1)
-    return turns.render_conversations(shaped, chat.QWEN_25, add_generation_prompt=True, longest=2 * longest + 2)
+    shaped = turns.insert_system(turns.repair_turns(rows), SYSTEM)
+    return turns.render_conversations(shaped, chat.QWEN_25, add_generation_prompt=True)
 
 
 def response_spans(spark, sf_dir):
     rows = conversation_turns(spark, sf_dir)
-    longest = turns.longest_turn(rows)
-    shaped = turns.insert_system(rows, SYSTEM, longest=longest)
-    return turns.rendered_turns(shaped, chat.QWEN_25, longest=longest + 1).select("conv_id", "turn", "start", "end", "is_target")
+    shaped = turns.insert_system(rows, SYSTEM)
+    return turns.rendered_turns(shaped, chat.QWEN_25).select("conv_id", "turn", "start", "end", "is_target")
 
 
 def training_turns(spark, sf_dir):
@@ -665,11 +703,75 @@ def judge_stub(spark, sf_dir):
     rows = article_pairs(spark, sf_dir).withColumn("content", F.coalesce("content", F.lit("")))
 
     def ask(prompts):
-        return hooks.run_judge(prompts, hooks.stub_judge, lambda a: a is not None and '"score"' in a, ["pos", "side", "metric"])
+        return hooks.run_judge(prompts, hooks.stub_judge, ["pos", "side", "metric"])
 
     return rounded(evaluation.judge_report(rows, JUDGE_TEMPLATES, ask, ["pos"]))
 
 
+def judge_run(spark, sf_dir):
+    """Two runs on one score table: the second asks only what the first left."""
+    rows = article_pairs(spark, sf_dir).withColumn("content", F.coalesce("content", F.lit("")))
+    path = scratch_path(spark, "scores")
+    evaluation.judge_missing(rows.where("pos % 2 = 0"), JUDGE_TEMPLATES, hooks.stub_judge, path, ["pos"])
+    return evaluation.judge_missing(rows, JUDGE_TEMPLATES, hooks.stub_judge, path, ["pos"])
+
+
+def similarity_from_texts(spark, sf_dir):
+    """Texts to vectors to cosine for two encoders, some pairs without a reference."""
+    pairs = text_pairs(spark, sf_dir).withColumn("reference_text", F.when(F.col("pair_id") % 7 != 0, F.col("reference_text")))
+    scored = metrics.similarity_of_texts(pairs, {"a": hooks.stub_encoder, "b": hooks.stub_encoder}, ["pair_id", "model"])
+    return rounded(scored)
+
+
+def evaluator_scores(spark, sf_dir):
+    means = evaluation.evaluator_report(article_pairs(spark, sf_dir), hooks.stub_evaluator, tuple(judging.TOP_SCORES))
+    return rounded(means)
+
+
+def bert_score_all_pairs(spark, sf_dir):
+    """Pairs without tokens on a side score 0."""
+    tokens = table(spark, sf_dir, "embeddings").select(
+        F.expr("vec_id div 20").alias("pair_id"),
+        F.when(F.col("vec_id") % 2 == 0, "reference").otherwise("candidate").alias("side"),
+        F.expr("vec_id div 2").alias("tok"), F.col("embedding").alias("vec"),
+    ).where("NOT (pair_id % 3 = 0 AND side = 'candidate')")
+    pairs = table(spark, sf_dir, "embeddings").select(F.expr("vec_id div 10").alias("pair_id")).distinct()
+    return rounded(metrics.bert_score(tokens, pairs=pairs))
+
+
+def model_table(spark, sf_dir):
+    """One row per model over texts, encoders and evaluator dimensions."""
+    pairs = text_pairs(spark, sf_dir)
+    inputs = pairs.select("model", "pair_id", F.lit("").alias("source"), F.col("candidate_text").alias("system_output"), F.col("reference_text").alias("reference"))
+    dimensions = ("coherence", "fluency")
+    scores = hooks.run_evaluator(inputs, hooks.stub_evaluator, dimensions, ["model", "pair_id"])
+    out = evaluation.model_table(pairs, {"a": hooks.stub_encoder}, evaluated=scores, dimensions=dimensions, stemmed=False)
+    return rounded(out).select("model", "average_rouge1", "average_rouge2", "average_unigram_f", "average_similarity_a", "average_coherence", "average_fluency")
+
+
+def json_arrays(spark, sf_dir):
+    """One array file a source, written and read back with each row's place in its file."""
+    path = scratch_path(spark, "arrays")
+    rows = table(spark, sf_dir, "documents").select("source", F.struct("doc_id", "lang").alias("row"))
+    arrays = rows.groupBy("source").agg(F.to_json(F.array_sort(F.collect_list("row"))).alias("value"))
+    arrays.repartition("source").write.partitionBy("source").text(path)
+    back = files.read_json_array(spark, path, "doc_id bigint, lang string", glob="*.txt")
+    return back.select("doc_id", "lang", "pos")
+
+
+def broken_arrays(spark, sf_dir):
+    """Files cut in half give no rows and are listed."""
+    path = scratch_path(spark, "cut")
+    rows = table(spark, sf_dir, "documents").groupBy("source").agg(F.to_json(F.array_sort(F.collect_list(F.struct("doc_id")))).alias("value"))
+    half = F.when(F.col("source").isin("src1", "src2"), F.substr("value", F.lit(1), (F.length("value") / 2).cast("int"))).otherwise(F.col("value"))
+    rows.select("source", half.alias("value")).repartition("source").write.partitionBy("source").text(path)
+    good = files.read_json_array(spark, path, "doc_id bigint", glob="*.txt").select(F.lit("row").alias("kind"), F.col("doc_id").cast("string").alias("name"))
+    bad = files.unreadable_arrays(spark, path, "doc_id bigint", "*.txt").select(
+        F.lit("file").alias("kind"), F.regexp_extract("file_path", "source=([^/]*)/", 1).alias("name")
+    )
+    return good.unionByName(bad)
+
+
 def generation_run(spark, sf_dir):
     """Two runs on one result table: the second does only what the first left."""
     rows, path = articles(spark, sf_dir), scratch_path(spark, "results")
@@ -874,6 +976,15 @@ QUERIES = {
     "generate_stub": generate_stub,
     "encode_stub": encode_stub,
     "judge_stub": judge_stub,
+    "judge_run": judge_run,
+    "similarity_from_texts": similarity_from_texts,
+    "evaluator_scores": evaluator_scores,
+    "bert_score_all_pairs": bert_score_all_pairs,
+    "model_table": model_table,
+    "json_arrays": json_arrays,
+    "broken_arrays": broken_arrays,
+    "dedup_by_file": dedup_by_file,
+    "title_join_by_file": title_join_by_file,
     "generation_run": generation_run,
     "stream_convert": stream_convert,
     "stream_manifest": stream_manifest,

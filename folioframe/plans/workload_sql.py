@@ -160,16 +160,21 @@ VECTOR_PAIRS = """vectors as (
   from embeddings a join embeddings b on b.vec_id = a.vec_id + 1 where a.vec_id % 2 = 0)"""
 
 LINKS = f"""found as (
-  select page_id, regexp_extract_all(regexp_replace(html, {quoted(markup.INVISIBLE)}, '', 'g'), {quoted(markup.ANCHOR)}) as a
+  select page_id, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', '', 'g'), '(?is)<a\\s[^>]*>.*?</a>') as a
   from pages),
 anchors as (
   select page_id, generate_subscripts(a, 1) - 1 as pos, unnest(a) as anchor from found),
 links as (
   select page_id, pos::bigint as pos,
-         regexp_extract(regexp_extract(anchor, {quoted(markup.OPENING_TAG)}), '(?is)\\shref\\s*=\\s*["'']([^"'']*)["'']', 1) as href,
-         regexp_extract(regexp_extract(anchor, {quoted(markup.OPENING_TAG)}), '(?is)\\sclass\\s*=\\s*["'']([^"'']*)["'']', 1) as class,
-         regexp_replace(anchor, {quoted(markup.ANY_TAG)}, '', 'g') as text
-  from anchors)"""
+         regexp_extract(regexp_extract(anchor, '(?is)^<a\\s[^>]*>'), '(?is)\\shref\\s*=\\s*"([^"]*)"', 1) as href,
+         regexp_extract(regexp_extract(anchor, '(?is)^<a\\s[^>]*>'), '(?is)\\sclass\\s*=\\s*"([^"]*)"', 1) as class,
+         regexp_replace(anchor, '(?s)<[^>]*>', '', 'g') as text
+  from anchors
+  union all
+  select * from (values
+    (-1, 0, '/x/it''s.pdf', '', 'A'), (-1, 1, '/b', 'align-middle', 'B'), (-1, 2, '/say"hi"', '', 'C'),
+    (-2, 0, '/venues/acl/', '', 'V'), (-2, 1, '/volumes/v.1/', 'plain', 'Volume'), (-2, 2, '/open', '', 'open'),
+    (-3, 0, '/v.1.1', 'align-middle', 'P'), (-3, 1, '/v.1.1.pdf', 'btn btn-primary', 'PDF')))"""
 
 TITLE = f"regexp_extract(html, {quoted(markup.TITLE)}, 1)"
 
@@ -222,6 +227,21 @@ def judge_prompt_rows() -> str:
     return "prompts as (" + "\n union all ".join(selects) + ")"
 
 
+EVALUATOR_INPUTS = f"""select pos,
+  case when coalesce(title, '') <> '' then title || {NL} || {NL} else '' end || coalesce(content, '') as source,
+  case when starts_with(generated_abstract, '<think>') then trim(string_split(generated_abstract, {NL} || {NL})[-1], {BLANKS})
+       else generated_abstract end as system_output, original_abstract as reference
+from article_pairs where (coalesce(title, '') <> '' or coalesce(content, '') <> '')
+  and original_abstract is not null and generated_abstract is not null"""
+
+NUMBERED = """n as (
+  select source, doc_id, substr(text, 1, 2) as title, row_number() over (partition by source order by doc_id) as pos from documents)"""
+
+
+def stub_vector(text: str) -> str:
+    return f"list_transform(range(16), lambda i: ('0x' || substr(md5({text}), 2 * i + 1, 2))::int::double)"
+
+
 HEX = "(strpos('0123456789abcdef', {}) - 1)"
 
 
@@ -324,12 +344,7 @@ select side, metric, round(avg(score), 6) as average_score, count(*) as n_articl
     "judge_resume": f"""with {JUDGE}, {ARTICLE_PAIRS}, {judge_prompt_rows()}
 select pos, side, metric, md5(prompt) as digest from prompts p
 where not exists (select 1 from accepted a where a.article = p.pos and a.side = p.side and a.metric = p.metric)""",
-    "evaluator_inputs": f"""with {ARTICLE_PAIRS} select pos,
-  case when coalesce(title, '') <> '' then title || {NL} || {NL} else '' end || coalesce(content, '') as source,
-  case when starts_with(generated_abstract, '<think>') then trim(string_split(generated_abstract, {NL} || {NL})[-1], {BLANKS})
-       else generated_abstract end as system_output, original_abstract as reference
-from article_pairs where (coalesce(title, '') <> '' or coalesce(content, '') <> '')
-  and original_abstract is not null and generated_abstract is not null""",
+    "evaluator_inputs": f"with {ARTICLE_PAIRS} {EVALUATOR_INPUTS}",
     "dedup_first": "select doc_id, source, text from documents where doc_id in (select min(doc_id) from documents group by text)",
     "dedup_last": "select doc_id, source from documents where doc_id in (select max(doc_id) from documents group by text)",
     "dedup_report": "select count(*) as n_before, count(distinct text) as n_after, count(*) - count(distinct text) as n_removed from documents",
@@ -339,7 +354,7 @@ from article_pairs where (coalesce(title, '') <> '' or coalesce(content, '') <>
 union all select {file_key("source || ' ' || doc_id || '.PDF'")}, (n_chars // 1000)::int, doc_id::varchar from documents where doc_id not in (select doc_id from labels)""",
     "volume_progress": """select source as volume, count(*) as n_total, count(l.doc_id) as n_done, count(*) <= count(l.doc_id) as complete
 from documents d left join (select distinct doc_id from labels) l on l.doc_id = d.doc_id group by source""",
-    "complete_models": f"with {RESULTS} select model, pos from results where model in (select model from results group by model having count(*) = (select count(*) from labels))",
+    "complete_models": f"with {RESULTS} select model, pos from results where model in (select model from results group by model having count(distinct pos) = (select count(*) from labels))",
     "resume_summary": f"with {RESULTS} select model, max(pos) + 1 as next_pos, count(*) as n_done from results group by model",
     "high_water_mark": f"""with {RESULTS}, w as (select doc_id as pos, unnest({MODEL_LIST}) as model from documents)
 select model, min(pos) as done_prefix from w anti join results using (pos, model) group by model""",
@@ -348,7 +363,7 @@ select model, min(pos) as done_prefix from w anti join results using (pos, model
     "profile_counts": "\nunion all ".join(f"""select '{c}' as "column", count(*) as n_rows, count({c}) as n_non_null from documents""" for c in ("doc_id", "text", "lang", "source", "n_chars")),
     "profile_documents": describe("documents", ["doc_id", "n_chars"]),
     "profile_lineitem": describe("lineitem", ["l_quantity", "l_extendedprice", "l_discount"]),
-    "runtime_eta": """with u as (select *, round(value * 1000000)::bigint as us from events),
+    "runtime_eta": """with u as (select * replace (case when user_id % 10 <> 0 then user_id end as user_id), round(value * 1000000)::bigint as us from events),
 s as (select *, (sum(us) over w)::bigint as done_us, row_number() over w as n_done, count(*) over (partition by user_id) as n_all
   from u window w as (partition by user_id order by event_id))
 select user_id, event_id, value, n_done, round(done_us / n_done / 1000000, 6) as mean_seconds, n_all - n_done as n_left,
@@ -356,11 +371,15 @@ select user_id, event_id, value, n_done, round(done_us / n_done / 1000000, 6) as
     "run_time": """with u as (select *, round(value * 1000000)::bigint as us from events)
 select user_id, count(*) as n_rows, round(sum(us)::bigint / 1000000, 6) as total_seconds, round(sum(us)::bigint / 1000000 / 60, 6) as total_minutes,
   min(ts) as started, max(ts) as ended from u group by user_id""",
-    "page_assembly": f"select conv_id, 0::bigint as part, count(*) as n_pages, string_agg(text || {NL} || {NL}, '' order by turn) as text from conversations group by conv_id",
+    "page_assembly": f"""select case when conv_id % 9 <> 0 then conv_id end as conv_id, count(*) as n_pages,
+  string_agg(text || {NL} || {NL}, '' order by turn + conv_id * 100) as text from conversations group by 1""",
     "sections": f"""with m as (select doc_id, string_split(regexp_replace(text, '(?m)^({HEADING})$', chr(1) || '\\1' || chr(2), 'g'), chr(1)) as p from documents),
 s as (select doc_id, (generate_subscripts(p, 1) - 1)::bigint as section, unnest(p) as piece from m)
 select doc_id, section, case when contains(piece, chr(2)) then split_part(piece, chr(2), 1) else '' end as heading,
-  case when contains(piece, chr(2)) then split_part(piece, chr(2), -1) else piece end as body from s""",
+  case when contains(piece, chr(2)) then split_part(piece, chr(2), -1) else piece end as body from s
+union all select * from (values
+  (-1, 0, '', 'x' || chr(1) || 'y' || chr(2) || 'z keep' || chr(2) || 'end'), (-2, 0, '', ''),
+  (-2, 1, 'One two.', chr(10) || 'a' || chr(1) || 'b' || chr(10)), (-2, 2, 'One two.', chr(10) || chr(2) || 'c'))""",
     "article_parts": f"""with a as (select doc_id, text || {NL} || 'References' || {NL} || '[1]' as after from documents),
 o as (select *, regexp_split_to_array(after, '(?m)^(?:References|{HEADING})$')[1] as own from a)
 select doc_id, 'Title' as title, own as abstract, substr(after, length(own) + 1) as content from o""",
@@ -393,17 +412,19 @@ select id as pos, turn, "start", "end", is_target from spans""",
     "system_replace": f"with {CONVERSATIONS}, {replaced('turns')} select id as conv_id, turn, role, content as text from shaped",
     "system_insert": f"with {CONVERSATIONS}, {inserted('turns')} select id as conv_id, turn, role, content as text from shaped",
     "render_llama": f"""with {CONVERSATIONS}, {REPAIR}, {replaced('repaired')}
-select id as conv_id, 0::bigint as part, count(*) as n_turns, {rendered(chat.LLAMA_31, False)} as text from shaped group by id""",
+select id as conv_id, count(*) as n_turns, {rendered(chat.LLAMA_31, False)} as text from shaped group by id""",
     "render_chatml": f"""with {CONVERSATIONS}, {REPAIR}, {inserted('repaired')}
-select id as conv_id, 0::bigint as part, count(*) as n_turns, {rendered(chat.QWEN_25, True)} as text from shaped group by id""",
+select id as conv_id, count(*) as n_turns, {rendered(chat.QWEN_25, True)} as text from shaped group by id""",
     "response_spans": f"""with {CONVERSATIONS}, {inserted('turns')}, {spans(chat.QWEN_25)} select id as conv_id, turn, "start", "end", is_target from spans""",
     "training_turns": f"""with {CONVERSATIONS}, {REPAIR}, {replaced('repaired')}
 select id as conv_id, turn, role, case when turn = 0 then {quoted(chat.LLAMA_31.bos)} else '' end || {piece(chat.LLAMA_31)} as piece from shaped""",
     "split_hash": f"select doc_id, {SPLIT} as split from documents",
     "split_exact": f"""select doc_id, case when row_number() over (order by {SPLIT_DIGEST}, doc_id) <= ceil(0.2 * (select count(*) from documents))
   then 'validation' else 'train' end as split from documents""",
-    "budget_truncate": """with t as (select doc_id, regexp_extract_all(text, '[^ \\t\\r\\n]+') as t from documents)
-select doc_id, len(t) as n_tokens, len(t) > 2048 as over_budget, md5(array_to_string(t[1:2048], ' ')) as digest from t""",
+    "budget_truncate": """with t as (select doc_id, text, regexp_extract_all(text, '[^ \\t\\r\\n]+') as t,
+  list_concat(case when regexp_matches(text, '^[ \\t\\r\\n]') then [] else [''] end, regexp_extract_all(text, '[ \\t\\r\\n]+')) as g from documents)
+select doc_id, len(t) as n_tokens, len(t) > 2048 as over_budget, md5(case when len(t) > 2048
+  then array_to_string(list_transform(range(1, 2049), lambda i: g[i] || t[i]), '') else text end) as digest from t""",
     "budget_report": """with t as (select source, len(regexp_extract_all(text, '[^ \\t\\r\\n]+')) as n from documents)
 select source, count(*) as n_rows, sum(n)::bigint as n_tokens, max(n) as max_tokens, count(*) filter (n > 2048) as over_2048,
   count(*) filter (n > 8192) as over_8192, count(*) filter (n > 16000) as over_16000 from t group by source""",
@@ -417,6 +438,45 @@ d as (select pos, side, metric, attempt, md5(attempt || '|' || prompt) as d from
 s as (select pos, side, metric, arg_min(1 + {HEX.format('d[2]')} % 3, attempt) as score from d where d[1] >= '8' group by all),
 whole as (select pos from s group by pos having count(*) = 8)
 select side, metric, round(avg(score), 6) as average_score, count(*) as n_articles from s join whole using (pos) group by all""",
+    "judge_run": f"""with {ARTICLE_PAIRS}, {judge_prompt_rows()},
+d as (select pos, side, metric, attempt, md5(attempt || '|' || prompt) as d from prompts, (values (1), (2), (3)) t(attempt))
+select pos, side, metric, arg_min(1 + {HEX.format('d[2]')} % 3, attempt)::int as score from d where d[1] >= '8' group by all""",
+    "similarity_from_texts": f"""with {PAIRS}, v as (
+  select pair_id, model, {stub_vector('reference_text')} as r, {stub_vector('candidate_text')} as c,
+         reference_text is not null and pair_id % 7 <> 0 as whole from pairs)
+select pair_id, model, e as encoder, case when whole then round(list_cosine_similarity(r, c), 6) end as similarity
+from v, (values ('a'), ('b')) t(e)""",
+    "evaluator_scores": f"""with {ARTICLE_PAIRS}, i as ({EVALUATOR_INPUTS}),
+s as (select unnest({METRIC_LIST}) as dimension, system_output from i)
+select dimension, round(avg(('0x' || substr(md5(dimension || '|' || system_output), 1, 4))::int / 65535), 6) as average_score,
+  count(*) as n_scored from s group by dimension""",
+    "bert_score_all_pairs": """with t as (
+  select vec_id // 20 as pair_id, vec_id % 2 as side, vec_id as tok, embedding::double[] as v from embeddings),
+s as (
+  select r.pair_id, r.tok as rt, c.tok as ct, list_cosine_similarity(r.v, c.v) as sim
+  from t r join t c on c.pair_id = r.pair_id and r.side = 0 and c.side = 1 where r.pair_id % 3 <> 0),
+p as (select pair_id, avg(best) as p from (select pair_id, ct, max(sim) as best from s group by all) group by all),
+r as (select pair_id, avg(best) as r from (select pair_id, rt, max(sim) as best from s group by all) group by all),
+every as (select distinct vec_id // 10 as pair_id from embeddings)
+select pair_id, round(coalesce(p, 0), 6) as bert_precision, round(coalesce(r, 0), 6) as bert_recall,
+       round(case when p + r <> 0 then 2 * p * r / (p + r) else 0 end, 6) as bert_f1
+from every left join p using (pair_id) left join r using (pair_id)""",
+    "model_table": f"""with {PAIRS}, a as ({rouge_means(1)}), b as ({rouge_means(2)}),
+v as (select model, list_cosine_similarity({stub_vector('reference_text')}, {stub_vector('candidate_text')}) as s,
+  ('0x' || substr(md5('coherence|' || candidate_text), 1, 4))::int / 65535 as coherence,
+  ('0x' || substr(md5('fluency|' || candidate_text), 1, 4))::int / 65535 as fluency from pairs),
+m as (select model, round(avg(s), 6) as average_similarity_a, round(avg(coherence), 6) as average_coherence, round(avg(fluency), 6) as average_fluency from v group by model)
+select model, average_rouge1_f as average_rouge1, average_rouge2_f as average_rouge2, average_rouge1_f as average_unigram_f,
+  average_similarity_a, average_coherence, average_fluency
+from m join a using (model) join b using (model)""",
+    "json_arrays": "select doc_id, lang, row_number() over (partition by source order by doc_id) - 1 as pos from documents",
+    "broken_arrays": """select 'row' as kind, doc_id::varchar as name from documents where source not in ('src1', 'src2')
+union all select distinct 'file', source from documents where source in ('src1', 'src2')""",
+    "dedup_by_file": f"""with {NUMBERED}
+select 'first' as kept, * from (select distinct on (title) title, source, pos, doc_id from n order by title, source, pos)
+union all select 'last', * from (select distinct on (title) title, source, pos, doc_id from n order by title, source desc, pos desc)""",
+    "title_join_by_file": f"""with {NUMBERED}, r as (select distinct on (title) title, doc_id as right_id from n order by title, source desc, pos desc)
+select doc_id as left_id, title, right_id from n join r using (title)""",
     "generation_run": f"""with {ARTICLES}, w as (select pos, unnest({MODEL_LIST}) as model, {PROMPT_SQL} as prompt from articles),
 a as (select pos, model, md5(model || '|' || prompt) as d from w)
 select model, pos, 'abstract ' || d as text from a where d[1] <> '0'""",

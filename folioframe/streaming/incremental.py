@@ -24,11 +24,20 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
 def append_unseen(batch: DataFrame, path: str, key: str | Sequence[str]) -> None:
     """Append rows whose key the table does not hold; a repeated batch adds nothing.
 
-    What was seen is the table itself, so no streaming state grows with the corpus.
+    What was seen is the table itself, so no streaming state grows with the corpus. Of several
+    rows of a key the one of the smallest content hash stays, the same on every run. Rows with a
+    null or empty key can't be told apart later and are left out.
     """
     keys = [key] if isinstance(key, str) else list(key)
     seen = read_table(batch.sparkSession, path, batch.schema)
-    pending(batch.dropDuplicates(keys), seen, keys).write.mode("append").parquet(path)
+    named = batch
+    for name in keys:
+        named = named.where(F.col(name).isNotNull() & (F.col(name).cast("string") != ""))
+    rest = [c for c in batch.columns if c not in keys]
+    picked = F.min_by(F.struct(*rest), F.xxhash64(*batch.columns)).alias("_row") if rest else None
+    one = named.groupBy(*keys).agg(picked) if rest else named.distinct()
+    rows = one.select(*keys, "_row.*").select(batch.columns) if rest else one
+    pending(rows, seen, keys).write.mode("append").parquet(path)
 
 
 def run_available(

@@ -122,11 +122,10 @@ def test_render_and_spans(spark, template):
         for (_, start, end, _), (_, content) in zip(spans, full[r["conv_id"]]):
             assert text[start:end] == (content.strip() if template.trim else content)
     rows = turns.insert_system(turn_frame(spark), default, width=2).checkpoint()
-    for parts in (2, 4096):
-        seen = {}
-        for r in turns.render_conversations(rows, template, True, turns_per_part=parts, width=2).orderBy("part").collect():
-            seen[r["conv_id"]] = seen.get(r["conv_id"], "") + r["text"]
-        assert seen == {k: layout(template, v, True)[0] for k, v in full.items() if k != 1}
+    for width in (1, 2, 4096):
+        out = turns.render_conversations(rows, template, True, width=width).collect()
+        assert {r["conv_id"]: r["text"] for r in out} == {k: layout(template, v, True)[0] for k, v in full.items() if k != 1}
+        assert len(out) == len({r["conv_id"] for r in out})
     spans = {}
     for r in turns.rendered_turns(rows, template, width=3).orderBy("turn").collect():
         spans.setdefault(r["conv_id"], []).append((r["turn"], r["start"], r["end"], r["is_target"]))
@@ -167,3 +166,19 @@ def test_paper_records_and_training_texts(spark):
     assert [first["text"][s["start"] : s["end"]] for s in target] == ["A"]
     kept = finetuning.training_texts(records, "pos", chat.LLAMA_31, "New", policy="insert").filter("pos = 0").first()
     assert "New" not in kept["text"]
+
+
+@pytest.mark.parametrize("width", [1, 2, 100])
+def test_turns_without_conversation_id(spark, width):
+    """They are one conversation, whatever the width of a segment."""
+    rows = [(None, 0, "user", "a"), (None, 1, "user", "b"), (None, 2, "assistant", "c"), (5, 0, "user", "d")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = sorted((tuple(r) for r in turns.repair_turns(df, width=width).collect()), key=str)
+    assert out == sorted([
+        (None, 0, "user", "a"), (None, 1, "assistant", ""), (None, 2, "user", "b"), (None, 3, "assistant", "c"),
+        (5, 0, "user", "d"), (5, 1, "assistant", ""),
+    ], key=str)
+    system = turns.insert_system(df, "S", width=width)
+    assert sorted((r["conv_id"] is None, r["turn"]) for r in system.collect()) == [
+        (False, 0), (False, 1), (True, 0), (True, 1), (True, 2), (True, 3)
+    ]

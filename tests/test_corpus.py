@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 from folioframe.operators import corpus, datasets, profile
 
 
-def test_assemble_pages_in_parts(spark):
-    data = [("d", i, f"p{i}") for i in range(7)] + [("e", 0, "x"), ("e", 2, None)]
+def test_assemble_pages(spark):
+    data = [("d", i, f"p{i}") for i in range(4094, 4098)] + [("e", 0, "x"), ("e", 2, None), (None, 1, "y")]
     pages = spark.createDataFrame(data, "doc string, page long, text string").repartition(4)
-    parts = corpus.assemble_pages(pages, "doc", "page", "text", pages_per_part=3).orderBy("doc", "part").collect()
-    whole = "".join(r["text"] for r in parts if r["doc"] == "d")
-    assert whole == "".join(f"p{i}\n\n" for i in range(7))
-    assert [r["n_pages"] for r in parts] == [3, 3, 1, 2]
-    assert parts[-1]["text"] == "x\n\n\n\n"
+    out = {r["doc"]: (r["n_pages"], r["text"]) for r in corpus.assemble_pages(pages, "doc", "page", "text").collect()}
+    assert out == {
+        "d": (4, "".join(f"p{i}\n\n" for i in range(4094, 4098))), "e": (2, "x\n\n\n\n"), None: (1, "y\n\n"),
+    }
 
 
 def test_sections(spark):
@@ -29,6 +28,23 @@ def test_sections(spark):
     ]
 
 
+def test_sections_keep_control_characters(spark):
+    df = spark.createDataFrame([(1, "x\x01y\x02z keep\x02end"), (2, "H\na\x01b\nH\n\x02c")], "id long, text string")
+    out = corpus.sections(df, "id", "text", "H").orderBy("id", "section").collect()
+    assert [tuple(r) for r in out] == [
+        (1, 0, "", "x\x01y\x02z keep\x02end"), (2, 0, "", ""), (2, 1, "H", "\na\x01b\n"), (2, 2, "H", "\n\x02c"),
+    ]
+
+
+def test_complete_models_counts_listed_articles(spark):
+    articles = spark.createDataFrame([(0,), (1,)], "pos long")
+    results = spark.createDataFrame(
+        [("m", 0), ("m", 0), ("n", 0), ("n", 1), ("n", 1), ("o", 0), ("o", 7)], "model string, pos long"
+    )
+    assert [tuple(r) for r in corpus.complete_models(results, articles).collect()] == [("n", 2, 2)]
+    assert corpus.publishable(results, articles).count() == 3
+
+
 def test_article_parts(spark):
     text = "My Title\nAbstract\nshort text\nIntroduction\nlong\ntext"
     df = spark.createDataFrame([(1, text), (2, "Only Title\nbody")], "id long, text string")
@@ -78,9 +94,9 @@ def test_splits(spark):
     assert {k for k, s in a.items() if s == "validation"} == set(order[:201])
 
 
-def test_exact_split_descends_into_prefixes(spark, monkeypatch):
-    monkeypatch.setattr(datasets, "HEX_STEP", 1)
-    monkeypatch.setattr(datasets, "SMALL_RANK", 2)
+@pytest.mark.parametrize("prefix", [1, 2, 4])
+def test_exact_split_at_any_prefix(spark, monkeypatch, prefix):
+    monkeypatch.setattr(datasets, "PREFIX", prefix)
     df = spark.range(500).withColumnRenamed("id", "k")
     for share in (0.0, 0.013, 0.5, 1.0):
         n = datasets.exact_split(df, "k", share).filter("split = 'validation'").count()
@@ -88,10 +104,15 @@ def test_exact_split_descends_into_prefixes(spark, monkeypatch):
 
 
 def test_budget(spark):
-    df = spark.createDataFrame([(1, "a  b\nc"), (2, "x"), (3, "")], "k int, t string")
+    texts = ["a  b\nc", "x", "", " a\n\nb  c", "a\nb ", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
     out = datasets.fit_budget(df, "t", 2).orderBy("k").collect()
-    assert [(r["n_tokens"], r["over_budget"], r["budget_text"]) for r in out] == [(3, True, "a b"), (1, False, "x"), (0, False, "")]
-    report = datasets.budget_report(df, "t", [0, 2]).first()
+    assert [(r["n_tokens"], r["over_budget"], r["budget_text"]) for r in out[:5]] == [
+        (3, True, "a  b"), (1, False, "x"), (0, False, ""), (3, True, " a\n\nb"), (2, False, "a\nb "),
+    ]
+    assert out[5]["budget_text"] is None
+    assert datasets.fit_budget(df, "t", 0).orderBy("k").first()["budget_text"] == ""
+    report = datasets.budget_report(df.where("k < 3"), "t", [0, 2]).first()
     assert (report["n_rows"], report["n_tokens"], report["over_0"], report["over_2"]) == (3, 4, 2, 1)
 
 

@@ -25,6 +25,17 @@ def test_page_links(spark):
     assert found == {"venue": [2], "volume": [1], "paper": [0], "pdf": [3]}
 
 
+def test_attribute_forms(spark):
+    html = """<a href="/x/it's.pdf">A</a><a class=align-middle href=/b>B</a><a title="href='/no'" href='/say"hi"'>C</a>
+<a data-href="/no" href = "/d>e">D<a href="/open">unclosed"""
+    rows = {r["pos"]: (r["href"], r["class"], r["text"]) for r in links.page_links(
+        spark.createDataFrame([(1, html)], "page_id long, html string")).collect()}
+    assert rows == {
+        0: ("/x/it's.pdf", "", "A"), 1: ("/b", "align-middle", "B"), 2: ('/say"hi"', "", "C"), 3: ("/d>e", "", "D"),
+        4: ("/open", "", "unclosed"),
+    }
+
+
 def test_predicates(spark):
     df = spark.createDataFrame([("a.pdf", 200), ("b.PDF", 404), (None, None)], "name string, status int")
     assert [r["name"] for r in exclude_values(df, "name", ["a.pdf"]).collect()] == ["b.PDF", None]

@@ -31,12 +31,16 @@ def test_scan_by_width(spark, width):
     assert {(r["g"], r["p"]): (r["s"], r["s_all"], r["nx"], r["fst"]) for r in seen.collect()} == expected()
 
 
-def test_scan_of_small_groups(spark):
-    df = spark.createDataFrame(ROWS, "g int, p long, n int, tag string").repartition(5)
-    seen = ordered.scan_groups(df, ["g"], ["p"], totals={"s": F.col("n")}, following={"nx": "tag"}, first={"fst": "tag"})
-    assert {(r["g"], r["p"]): (r["s"], r["s_all"], r["nx"], r["fst"]) for r in seen.collect()} == expected()
-    assert ordered.largest(df, "p") == max(r[1] for r in ROWS)
-    assert ordered.largest(df.filter("g = 77"), "p") == -1
+def test_runtime_of_rows_without_a_run(spark):
+    from datetime import datetime
+
+    rows = [(run, i, 2.0, datetime(2024, 1, 1)) for run in (None, "r") for i in range(3)]
+    df = spark.createDataFrame(rows, "run string, pos long, elapsed double, ts timestamp_ntz")
+    for width in (1, 2, 100):
+        out = runtime.runtime_eta(df, "run", "pos", "elapsed", "ts", width=width).collect()
+        assert sorted((r["run"] or "", r["n_done"], r["n_left"], r["mean_seconds"]) for r in out) == [
+            (run, i + 1, 2 - i, 2.0) for run in ("", "r") for i in range(3)
+        ]
 
 
 def test_scan_by_range(spark):

@@ -38,6 +38,18 @@ def test_first_and_last_wins(spark):
     assert rows(corpus.repeated_keys(df, "k", "k"), "k", "n_rows") == [("a", 2), (None, 2)]
 
 
+def test_first_and_last_wins_where_positions_repeat(spark):
+    data = [("f1", 0, "a", "x"), ("f1", 1, "b", "y"), ("f2", 0, "c", "z"), ("f2", 1, "a", "w"), ("f2", 1, "a", "w")]
+    df = spark.createDataFrame(data, "file string, pos long, k string, v string")
+    order = ["file", "pos"]
+    assert rows(pairing.first_wins(df, "k", order), "k", "v") == [("a", "x"), ("b", "y"), ("c", "z")]
+    assert rows(pairing.last_wins(df, "k", order), "k", "v") == [("a", "w"), ("b", "y"), ("c", "z")]
+    # positions alone tie: still one row a key
+    assert pairing.first_wins(df, "k").count() == 3
+    left = spark.createDataFrame([("a",)], "k string")
+    assert rows(pairing.title_join(left, df, "k", order), "k", "v") == [("a", "w")]
+
+
 def test_pending_ignores_blank_keys(spark):
     df = spark.createDataFrame([("a",), ("",), (None,), ("b",)], "k string")
     done = spark.createDataFrame([("a",), ("",), (None,)], "k string")

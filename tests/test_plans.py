@@ -80,7 +80,7 @@ def test_no_products(spark, no_broadcast, name):
 def test_repeated_key_is_combined_before_the_shuffle(spark, no_broadcast):
     df = spark.range(1000).select(F.col("id").alias("pos"), F.lit("hot").alias("k"), F.lit("wide").alias("t"))
     text = plan(pairing.first_wins(df, "k"))
-    assert "partial_min(pos" in text and "hashpartitioning(pos" in text and "hashpartitioning(k" not in text
+    assert "partial_min(_place" in text and "hashpartitioning(_digest" in text and "hashpartitioning(k" not in text
 
 
 def test_hot_run_is_split(spark):
