@@ -27,24 +27,26 @@ def _small_star(links: DataFrame) -> DataFrame:
     return pulled.union(least.select("u", F.col("m").alias("v")))
 
 
+def _is_star_forest(links: DataFrame) -> bool:
+    """Whether every linked node has one link, to a node that has none to a smaller one."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    sums = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return sums.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``links(u, v)``; a component is its smallest node.
 
     Links may repeat, point either way and loop. A node of loops alone isn't returned. Each round
-    is written to the shared folder; only its count and checksum come to the driver. Rounds grow
+    is written to the shared folder, and only whether it is done comes to the driver. Rounds grow
     with the logarithm of the longest path.
     """
     held, path = cut(_directed(links), "links")
-    before = None
-    while True:
+    while not _is_star_forest(held):
         stars, star_path = cut(_directed(_small_star(_directed(_large_star(held)))), "stars")
         discard(links.sparkSession, path)
         held, path = stars, star_path
-        now = tuple(
-            held.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first()
-        )
-        if now == before:
-            break
-        before = now
     smallest = held.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return held.select(F.col("u").alias("node"), F.col("v").alias("component")).union(smallest)

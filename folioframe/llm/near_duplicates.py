@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm.components import connected_components
-from folioframe.llm.minhash_sketch import Sketcher, overlap, set_key, shingle_set
+from folioframe.llm.minhash_sketch import BitSketcher, Sketcher, most_differing, overlap, set_key, shingle_set
 from folioframe.llm.words import byte_column, lower_ascii
 from folioframe.session import cut, discard
 
@@ -17,6 +18,10 @@ _SKETCH = pa.schema([
     ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("buckets", pa.list_(pa.int64())),
 ])
 
+#: Words of 64 bits in the sketch that tells unlike members of a crowded bucket apart.
+_BIT_WORDS = 32
+_BITS = [f"bits_{i}" for i in range(_BIT_WORDS)]
+
 
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 32, rows: int = 4,
@@ -34,9 +39,12 @@ def near_duplicates(
     3. Each bucket links its members to its smallest member only: a star, not all pairs.
        Candidates are confirmed on the full sets, and links give components.
     4. A bucket whose members now share one component is done. In others two members that no
-       centre links may still be alike, so centres step aside and new ones take their place, one
-       at first and then four times as many each round, until every bucket is empty or of one
-       component. No pair of a bucket is lost, and a bucket of copies never emits its square.
+       centre links may still be alike, so centres step aside and more take their place, at
+       least four times as many each round, until every bucket is empty or of one component.
+       These pairs have to agree in a sketch of 2,048 bits before their sets are compared. No
+       pair of a bucket is lost; links within a component are never looked for again. A crowd
+       of texts that are nearly alike but not linked is the costly case: its pairs are looked at,
+       as sketches, inside the join on the bucket.
 
     A pair at the threshold misses every bucket with probability ``(1 - s**rows)**bands``, which
     is 4e-8 at the defaults.
@@ -63,26 +71,27 @@ def near_duplicates(
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts, text_path = cut(source.where("doc_id IS NOT NULL").join(wanted, "doc_id"), "texts")
 
-    links, labels, tested = None, None, None
-    centres, n_round = 1, 0
-    while True:
-        pairs, remaining = _stars(members, labels, centres, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs, _ = cut(pairs, "pairs")
-        found, _ = cut(_confirmed(pairs, texts, k, percent), "found")
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.union(found)
+    n_members = members.count()
+    pairs, _ = cut(_star_pairs(members, percent), "pairs")
+    links, _ = cut(_confirmed(pairs, texts, k, percent), "found")
+    labels = connected_components(links)
+    rest, rest_path = cut(_with_bits(_unresolved(_without_centres(members), labels), texts, k), "members")
+    discard(spark, member_path)
+    centres, tested = 1, pairs
+    while (n_rest := rest.count()) > 0:
+        centres = max(4 * centres, 4 * n_members // n_rest)
+        chosen = _centres(rest, centres)
+        fresh, _ = cut(_unlike_pairs(rest, chosen, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        found, _ = cut(_confirmed(fresh, texts, k, percent), "found")
+        if not found.isEmpty():
+            links = links.union(found)
             labels = connected_components(links)
-        left, left_path = cut(_unresolved(remaining, labels), "members")
-        discard(spark, member_path)
-        members, member_path = left, left_path
-        tested = pairs if tested is None else tested.union(pairs)
-        n_round += 1
-        centres = centres if n_round == 1 else centres * 4
-        if members.isEmpty():
-            break
-    discard(spark, text_path)
+        tested = tested.union(fresh)
+        passed = rest.join(chosen.select("bucket", F.col("c_rep").alias("rep")), ["bucket", "rep"], "left_anti")
+        left, left_path = cut(_unresolved(passed, labels), "members")
+        discard(spark, rest_path)
+        rest, rest_path = left, left_path
+    discard(spark, text_path, rest_path)
 
     labelled = (
         same.join(labels, F.col("rep") == F.col("node"), "left")
@@ -128,41 +137,72 @@ def _sketched(source: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
     return source.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, buckets array<bigint>")
 
 
-def _stars(members: DataFrame, labels: DataFrame | None, centres: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Distinct candidate pairs ``(a, b)`` of the round, and the members that were no centre."""
-    slot = F.pmod(F.xxhash64("rep"), F.lit(centres)).alias("slot")
-    # the member of the largest label: the small components of a bucket come first
-    label = "label" if labels is not None else "-rep"
-    ordered = F.struct(F.expr(label).alias("label"), F.expr("-rep").alias("minus"), "n_shingles")
-    chosen = (
-        members.groupBy("bucket", slot).agg(F.max(ordered).alias("c"))
-        .select("bucket", (-F.col("c.minus")).alias("centre"), F.col("c.n_shingles").alias("centre_n"), F.col("c.label").alias("centre_label"))
+def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs ``(a, b)`` of a bucket's smallest member and its others."""
+    first = members.groupBy("bucket").agg(F.min(F.struct("rep", "n_shingles")).alias("c"))
+    centres = first.select("bucket", F.col("c.rep").alias("a"), F.col("c.n_shingles").alias("n_a"))
+    pairs = members.join(centres, "bucket").where(F.col("rep") != F.col("a")).where(_alike_in_size("n_shingles", "n_a", percent))
+    return pairs.select("a", F.col("rep").alias("b")).distinct()
+
+
+def _alike_in_size(a: str, b: str, percent: int) -> Column:
+    """Sets whose sizes differ by more can't be alike enough."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _without_centres(members: DataFrame) -> DataFrame:
+    first = members.groupBy("bucket").agg(F.min("rep").alias("a"))
+    return members.join(first, "bucket").where(F.col("rep") != F.col("a")).drop("a")
+
+
+def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their present labels, of buckets that hold two components or more."""
+    kept = [c for c in members.columns if c != "label"]
+    fresh = members.join(labels, F.col("rep") == F.col("node"), "left").select(
+        *kept, F.coalesce("component", "rep").alias("label")
     )
-    joined = members.join(chosen, "bucket").where("rep <> centre")
-    if labels is not None:
-        joined = joined.where("label <> centre_label")
-    # sets whose sizes differ by more can't be alike enough
-    alike = joined.where(
-        F.least("n_shingles", "centre_n") * 100 >= F.greatest("n_shingles", "centre_n") * percent
+    several = (
+        fresh.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("bucket")
     )
-    pairs = alike.select(F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct()
-    remaining = members.join(
-        chosen.select("bucket", F.col("centre").alias("rep")), ["bucket", "rep"], "left_anti"
+    return fresh.join(several, "bucket", "left_semi")
+
+
+def _with_bits(members: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """The members with the bit sketches of their sets, which only crowded buckets need."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketcher = BitSketcher(_BIT_WORDS)
+        for batch in batches:
+            bits = np.array([sketcher(shingle_set(lower_ascii(data).split(), k)) for data in byte_column(batch, "text")])
+            columns = bits.reshape(-1, _BIT_WORDS).T
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns)], names=["bits_of", *_BITS])
+
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    sketched = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text").mapInArrow(
+        run, "bits_of bigint, " + ", ".join(f"{name} bigint" for name in _BITS)
     )
-    return pairs, remaining
+    return members.join(sketched, F.col("rep") == F.col("bits_of")).drop("bits_of")
 
 
-def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members, with their present labels, of buckets that hold two components or more."""
-    fresh = (
-        members.select("bucket", "rep", "n_shingles").join(labels, F.col("rep") == F.col("node"), "left")
-        .select("bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("label"))
+def _centres(members: DataFrame, centres: int) -> DataFrame:
+    """Up to so many members of each bucket; those of large labels, so of small components, first."""
+    ordered = F.struct("label", F.expr("-rep").alias("minus"), "n_shingles", *_BITS)
+    chosen = members.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(centres)).alias("slot")).agg(F.max(ordered).alias("c"))
+    return chosen.select(
+        "bucket", (-F.col("c.minus")).alias("c_rep"), F.col("c.n_shingles").alias("c_n"), F.col("c.label").alias("c_label"),
+        *[F.col(f"c.{name}").alias(f"c_{name}") for name in _BITS],
     )
-    mixed_buckets = (
-        fresh.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"))
-        .where("a < b").select("bucket")
+
+
+def _unlike_pairs(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of a centre and a member of another component that may yet be alike."""
+    differing = F.expr(" + ".join(f"bit_count({name} ^ c_{name})" for name in _BITS))
+    may = (
+        (F.col("label") != F.col("c_label")) & _alike_in_size("n_shingles", "c_n", percent)
+        & (differing <= most_differing(64 * _BIT_WORDS, percent))
     )
-    return fresh.join(mixed_buckets, "bucket", "left_semi")
+    pairs = members.join(chosen, (members["bucket"] == chosen["bucket"]) & may)
+    return pairs.select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct()
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
