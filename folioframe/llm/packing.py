@@ -55,21 +55,21 @@ def cheapest_cuts(places: list[int], costs: list[int], width: int) -> list[int]:
     return cuts[::-1]
 
 
-def cut_places(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cut_places(ids: np.ndarray, ends: np.ndarray, grid: int = _GRID) -> tuple[np.ndarray, np.ndarray]:
     """Places and costs of the allowed cuts of one document, its end included.
 
-    ``ends`` marks by id the tokens that end a sentence.
+    ``ends`` marks by id the tokens that end a sentence. Neighbours are at most ``grid`` apart.
     """
     n = len(ids)
     places = np.flatnonzero(ends[ids]) + 1
     places = np.append(places[places < n], n)
     gaps = np.diff(places, prepend=0)
-    wide = np.flatnonzero(gaps > _GRID)
+    wide = np.flatnonzero(gaps > grid)
     if not len(wide):
         costs = np.full(len(places), SENTENCE_CUT)
         costs[-1] = 0
         return places, costs
-    extra = np.concatenate([np.arange(places[i] - gaps[i] + _GRID, places[i], _GRID) for i in wide])
+    extra = np.concatenate([np.arange(places[i] - gaps[i] + grid, places[i], grid) for i in wide])
     every = np.append(places, extra)
     costs = np.append(np.full(len(places), SENTENCE_CUT), np.full(len(extra), OTHER_CUT))
     costs[len(places) - 1] = 0
@@ -100,7 +100,7 @@ class Packer:
 
     def add(self, doc_id: int | None, data: bytes) -> Iterator[tuple]:
         ids = np.frombuffer(data, "<u4")
-        places, costs = cut_places(ids, self.ends)
+        places, costs = cut_places(ids, self.ends, min(_GRID, self.width))
         self.documents.append((doc_id, data, len(ids), 0, places, costs))
         self.n += len(ids)
         if self.n >= self.horizon:

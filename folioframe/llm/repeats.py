@@ -77,7 +77,9 @@ def repeated_passages(
     copies = (
         seeds.where("doc_id IS NOT NULL").groupBy("copy_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
     )
-    named = seeds.select("doc_id", "copy_key", "n_words", "sha256").join(copies, "copy_key", "left")
+    # rows without an id take no part and so have no key
+    key = F.when(F.col("doc_id").isNotNull(), F.col("copy_key")).alias("copy_key")
+    named = seeds.select("doc_id", key, "n_words", "sha256").join(copies, "copy_key", "left")
 
     placed = seeds.where("doc_id IS NOT NULL").select("doc_id", "copy_key", F.explode("anchors").alias("a")).select(
         "doc_id", "copy_key", F.col("a.hash").alias("hash"), F.col("a.pos").alias("pos")
@@ -102,7 +104,7 @@ def repeated_passages(
     found = results.select(F.col("copy_key").alias("key"), "n_removed", "kept_sha256", "spans")
     whole = F.array(F.struct(F.lit(0).cast("int").alias("first"), (F.col("n_words") - 1).cast("int").alias("last")))
     none = F.array().cast("array<struct<first: int, last: int>>")
-    copied = (F.col("n_copies") > 1) & (F.col("n_words") >= width)
+    copied = F.coalesce((F.col("n_copies") > 1) & (F.col("n_words") >= width), F.lit(False))
     return named.join(found, F.col("copy_key") == F.col("key"), "left").select(
         "doc_id", "n_words",
         F.when(copied, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),

@@ -44,7 +44,7 @@ def token_forms(text: str) -> list[tuple[str, str, bool]]:
         if plain.isalpha():
             forms.append((plain, plain, False))
             continue
-        open_form = _INNER.sub("", token.strip(_EDGES.replace("!", "")).translate(_DISGUISE)).strip(_EDGES)
+        open_form = _INNER.sub("", plain.translate(_DISGUISE))
         letters = len(_LETTER.findall(plain))
         disguised = 2 * letters >= len(plain) > 0 and open_form != plain
         forms.append((plain, open_form if disguised else plain, disguised))

@@ -150,7 +150,7 @@ def test_near_duplicates_of_unlike_neighbours(spark):
 
 def bench_items():
     texts = dict(corpus())
-    words = texts[33].split()
+    words = next(t for t in texts.values() if t and len(t.split()) == 300).split()
     return [
         ("a", " ".join(words[40:60])), ("b", " ".join(words[50:75]).upper()), ("c", "Zeta eta"), ("d", None), ("e", "..."),
         ("f", " ".join(words[100:107])), (None, " ".join(words[:30])), ("g", "spam"), ("a", " ".join(words[40:60])),
