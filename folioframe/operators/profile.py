@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.operators.ordered import by_range, scan_groups
@@ -27,29 +27,43 @@ def row_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, n, mean, std, min, q25, q50, q75, max)`` of numeric columns.
 
-    Quartiles interpolate linearly. The exact ones come from value frequencies, combined
-    before the shuffle and range-partitioned, so a column's values are never in one task;
-    ``approximate`` takes the one-pass sketch instead.
+    Counts, moments and ends come from one pass without a shuffle of rows. Quartiles interpolate
+    linearly and are exact: they come from value frequencies, combined before the shuffle and
+    range-partitioned, so a column's values are never in one task. A column without values
+    gives no row.
     """
+    return _described(_moments(df, columns).join(_quartiles(df, columns), "column"))
+
+
+def describe_roughly(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> DataFrame:
+    """As ``describe`` in one pass, with quartiles from a sketch: values of the column, not interpolated."""
+    sketched = {q: lambda c, p=p: F.percentile_approx(c, p, accuracy) for q, p in QUARTILES.items()}
+    return _described(_moments(df, columns, sketched))
+
+
+def _described(table: DataFrame) -> DataFrame:
+    return table.select("column", "n", "mean", "std", "min", *QUARTILES, "max")
+
+
+def _moments(
+    df: DataFrame, columns: Sequence[str], more: Mapping[str, Callable[[Column], Column]] | None = None
+) -> DataFrame:
+    rows = []
+    for name in columns:
+        value = F.col(name).cast("double")
+        rows.append(F.struct(
+            F.lit(name).alias("column"), F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+            F.min(value).alias("min"), F.max(value).alias("max"), *[make(value).alias(q) for q, make in (more or {}).items()],
+        ))
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows")).where("n > 0")
+
+
+def _quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
     values = df.select(F.inline(F.array(*cells))).filter("value is not null")
-    moments = values.groupBy("column").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        *([F.percentile_approx("value", p, 10_000).alias(q) for q, p in QUARTILES.items()] if approximate else []),
-    )
-    if not approximate:
-        moments = moments.join(_quartiles(values), "column")
-    return moments.select("column", "n", "mean", "std", "min", *QUARTILES, "max")
-
-
-def _quartiles(values: DataFrame) -> DataFrame:
     frequencies = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     ranged = by_range(frequencies, ["column", "value"])
     ranked = scan_groups(ranged, ["column"], ["value"], totals={"upto": F.col("n")})

@@ -152,12 +152,20 @@ def rouge_by_source(n: int):
     return query
 
 
-def rouge1_turn_pairs(spark, sf_dir):
+def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User turns with the assistant turns that follow them."""
     rows = conversation_turns(spark, sf_dir)
     asked = rows.filter("role = 'user'").select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("reference_text"))
     answered = rows.filter("role = 'assistant'").select("conv_id", "turn", F.col("text").alias("candidate_text"))
-    pairs = asked.join(answered, ["conv_id", "turn"])
-    return rounded(metrics.rouge_n(pairs, 1, keys=("conv_id", "turn")))
+    return asked.join(answered, ["conv_id", "turn"])
+
+
+def rouge1_turn_pairs(spark, sf_dir):
+    return rounded(metrics.rouge_n(turn_pairs(spark, sf_dir), 1, keys=("conv_id", "turn")))
+
+
+def rougel_turn_pairs(spark, sf_dir):
+    return rounded(metrics.rouge_l(turn_pairs(spark, sf_dir), keys=("conv_id", "turn")))
 
 
 def rougel_pairs(spark, sf_dir):
@@ -889,6 +897,7 @@ QUERIES = {
     "rouge1_by_source": rouge_by_source(1),
     "rouge2_by_source": rouge_by_source(2),
     "rouge1_turn_pairs": rouge1_turn_pairs,
+    "rougel_turn_pairs": rougel_turn_pairs,
     "rougel_pairs": rougel_pairs,
     "rouge_stemmed": rouge_stemmed,
     "rouge_report": rouge_report,

@@ -264,6 +264,18 @@ SQL = {
     "rouge1_by_source": rouge_means(1),
     "rouge2_by_source": rouge_means(2),
     "rouge1_turn_pairs": rouge_rows(1, "conv_id, turn", "conv_id, turn", TURN_PAIRS),
+    "rougel_turn_pairs": f"""with recursive {TURN_PAIRS}, t as (
+  select conv_id, turn, coalesce({TOKENS.format('reference_text')}, []) as a, coalesce({TOKENS.format('candidate_text')}, []) as b from pairs),
+l as (
+  select conv_id, turn, a, b, 0 as i, list_transform(range(len(b)), lambda j: 0::bigint) as r from t
+  union all
+  select conv_id, turn, a, b, i + 1, list_transform(range(1, len(c) + 1), lambda j: list_max(c[1:j])) from (
+    select *, list_transform(range(1, len(b) + 1), lambda j: case when b[j] = a[i + 1] then coalesce(r[j - 1], 0) + 1 else r[j] end) as c
+    from l where i < len(a))),
+m as (select conv_id, turn, len(a) as n, len(b) as o, coalesce(r[len(b)], 0) as h from l where i = len(a)),
+s as (select *, h / greatest(o, 1) as p, h / greatest(n, 1) as q from m)
+select conv_id, turn, round(p, 6) as "rougeL_precision", round(q, 6) as "rougeL_recall",
+  round(case when p + q <> 0 then 2 * p * q / (p + q) else 0 end, 6) as "rougeL_f" from s""",
     "unigram_multiset": rouge_rows(1, prefix="unigram"),
     "unigram_set": rouge_rows(1, prefix="unigram", distinct=True),
     "ngram_counts": f"""with tokens as (select {TOKENS.format('text')} as t from documents),

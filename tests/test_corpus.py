@@ -126,7 +126,7 @@ def test_profile(spark):
     assert [out["x"][c] for c in ("q25", "q50", "q75")] == pytest.approx(q)
     assert out["x"]["n"] == len(known) and out["x"]["std"] == pytest.approx(statistics.stdev(known))
     assert (out["y"]["min"], out["y"]["q50"], out["y"]["max"]) == (1.5, 1.5, 1.5)
-    rough = {r["column"]: r for r in profile.describe(df, ["x"], approximate=True).collect()}
+    rough = {r["column"]: r for r in profile.describe_roughly(df, ["x"]).collect()}
     assert rough["x"]["q50"] in known
     counts = {r["column"]: (r["n_rows"], r["n_non_null"]) for r in profile.row_counts(df).collect()}
     assert counts == {"x": (200, len(known)), "y": (200, 200), "s": (200, 200)}

@@ -59,3 +59,15 @@ def test_generation_resumes(spark, tmp_path):
     published = generation.published(full, articles)
     assert published.count() == 24 and published.filter("original_abstract = 'a3'").count() == 2
     assert generation.published(full.filter("not (model = 'm2' and pos = 0)"), articles).count() == 12
+
+
+def test_append_is_the_same_on_every_run(spark, tmp_path):
+    rows = [(1, "b"), (1, "a"), (1, "c"), (None, "x"), (2, None)]
+    seen = set()
+    for i in range(3):
+        path = str(tmp_path / f"t{i}")
+        batch = spark.createDataFrame(rows, "k long, body string").repartition(i + 1)
+        incremental.append_unseen(batch, path, "k")
+        incremental.append_unseen(batch, path, "k")
+        seen.add(tuple(sorted((r["k"], r["body"]) for r in spark.read.parquet(path).collect())))
+    assert len(seen) == 1 and {k for k, _ in seen.pop()} == {1, 2}

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioframe.operators import hooks, judging
+from folioframe.plans import evaluation
 
 TEMPLATES = {m: judging.JudgeTemplate(m + ": {content} {side} {abstract} 1-{top}", m != "fluency") for m in judging.TOP_SCORES}
 TEMPLATES["fluency"] = judging.JudgeTemplate("fluency: {side} {abstract} 1-{top}", needs_content=False)
@@ -68,13 +69,49 @@ def test_judge_hook_retries_only_unusable(spark):
 
     data = [("a", "original", "fluency", "ok1"), ("b", "original", "fluency", "ok3"), ("c", "original", "fluency", "never"), ("d", "original", "fluency", "boom")]
     prompts = spark.createDataFrame(data, "title string, side string, metric string, prompt string").repartition(1)
-    calls = hooks.run_judge(prompts, make, lambda a: a is not None and "score" in a)
+    calls = hooks.run_judge(prompts, make)
     assert sorted((r["title"], r["attempt"]) for r in calls.collect()) == [
         ("a", 1), ("b", 1), ("b", 2), ("b", 3), ("c", 1), ("c", 2), ("c", 3), ("d", 1), ("d", 2), ("d", 3),
     ]
     assert sorted(r["title"] for r in judging.accepted_scores(calls).collect()) == ["a", "b"]
 
 
+def test_an_answer_without_a_number_is_asked_again(spark):
+    def make():
+        return lambda prompts, attempt: ['"score": "good"' if attempt == 1 else '"score": 4' for _ in prompts]
+
+    prompts = spark.createDataFrame([("a", "original", "fluency", "p")], "title string, side string, metric string, prompt string")
+    calls = hooks.run_judge(prompts, make)
+    assert [r["score"] for r in judging.accepted_scores(calls).collect()] == [4]
+
+
+def test_judge_run_resumes(spark, tmp_path):
+    rows = [(i, f"o{i}", f"g{i}", "c") for i in range(6)]
+    articles = spark.createDataFrame(rows, "pos long, original_abstract string, generated_abstract string, content string")
+    templates = {"fluency": judging.JudgeTemplate("{side}|{abstract}|{top}", needs_content=False)}
+    whole, halves = str(tmp_path / "whole"), str(tmp_path / "halves")
+    one = evaluation.judge_missing(articles, templates, hooks.stub_judge, whole, ["pos"])
+    evaluation.judge_missing(articles.where("pos < 3"), templates, hooks.stub_judge, halves, ["pos"])
+    two = evaluation.judge_missing(articles, templates, hooks.stub_judge, halves, ["pos"])
+    pick = lambda df: sorted((r["pos"], r["side"], r["metric"], r["score"]) for r in df.collect())
+    assert pick(one) == pick(two) and one.count() > 6
+
+
+def test_evaluator_means(spark):
+    def make():
+        def evaluate(sources, outputs, references):
+            if "bad" in outputs:
+                raise ValueError
+            return [{"fluency": float(len(o))} for o in outputs]
+
+        return evaluate
+
+    rows = [(0, "t", "c", "r", "abcd"), (1, "t", "c", "r", "ab"), (2, "t", "c", "r", "bad"), (3, "t", "c", None, "x")]
+    pairs = spark.createDataFrame(rows, "pos long, title string, content string, original_abstract string, generated_abstract string")
+    out = evaluation.evaluator_report(pairs, make, ["fluency", "relevance"]).collect()
+    assert [tuple(r) for r in out] == [("fluency", 3.0, 2)]
+
+
 def test_generator_and_encoder_hooks(spark):
     def make():
         def generate(prompts, models, options):
