@@ -97,7 +97,7 @@ class BitSketcher:
         return np.packbits((mixed(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
-def most_differing(bits: int, percent: int, deviations: float = 6.0) -> int:
-    """Most bits in which a pair of the similarity may differ, save for chances of one in a billion."""
+def most_differing(bits: int, percent: int, deviations: float = 5.0) -> int:
+    """Most bits in which a pair of the similarity may differ, save for chances of three in ten million."""
     p = (1 - percent / 100) / 2
     return int(np.ceil(bits * p + deviations * np.sqrt(bits * p * (1 - p)) + 1))

@@ -19,7 +19,7 @@ _SKETCH = pa.schema([
 ])
 
 #: Words of 64 bits in the sketch that tells unlike members of a crowded bucket apart.
-_BIT_WORDS = 32
+_BIT_WORDS = 16
 _BITS = [f"bits_{i}" for i in range(_BIT_WORDS)]
 
 
@@ -39,12 +39,13 @@ def near_duplicates(
     3. Each bucket links its members to its smallest member only: a star, not all pairs.
        Candidates are confirmed on the full sets, and links give components.
     4. A bucket whose members now share one component is done. In others two members that no
-       centre links may still be alike, so centres step aside and more take their place, at
-       least four times as many each round, until every bucket is empty or of one component.
-       These pairs have to agree in a sketch of 2,048 bits before their sets are compared. No
-       pair of a bucket is lost; links within a component are never looked for again. A crowd
-       of texts that are nearly alike but not linked is the costly case: its pairs are looked at,
-       as sketches, inside the join on the bucket.
+       centre links may still be alike, so centres step aside and more take their place, 64
+       times as many each round, until every bucket is empty or of one component.
+       These pairs have to agree in a sketch of 1,024 bits before their sets are compared, and a
+       pair counts in the first bucket that it shares only. No pair of a bucket is lost; links
+       within a component are never looked for again. A crowd of texts that are nearly alike but
+       not linked is the costly case: its pairs are looked at, as sketches, inside the join on
+       the bucket.
 
     A pair at the threshold misses every bucket with probability ``(1 - s**rows)**bands``, which
     is 4e-8 at the defaults.
@@ -61,7 +62,7 @@ def near_duplicates(
     dealt = (
         named.groupBy("set_key")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("buckets").alias("buckets"))
-        .select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
+        .select("rep", "n_shingles", F.posexplode("buckets").alias("band", "bucket"))
     )
     shared = (
         dealt.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
@@ -71,17 +72,17 @@ def near_duplicates(
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
     texts, text_path = cut(source.where("doc_id IS NOT NULL").join(wanted, "doc_id"), "texts")
 
-    n_members = members.count()
     pairs, _ = cut(_star_pairs(members, percent), "pairs")
     links, _ = cut(_confirmed(pairs, texts, k, percent), "found")
     labels = connected_components(links)
-    rest, rest_path = cut(_with_bits(_unresolved(_without_centres(members), labels), texts, k), "members")
+    sketcher = Sketcher(bands, rows)
+    rest, rest_path = cut(_with_sketches(_unresolved(_without_centres(members), labels), texts, k, sketcher), "members")
     discard(spark, member_path)
     centres, tested = 1, pairs
-    while (n_rest := rest.count()) > 0:
-        centres = max(4 * centres, 4 * n_members // n_rest)
-        chosen = _centres(rest, centres)
-        fresh, _ = cut(_unlike_pairs(rest, chosen, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+    while not rest.isEmpty():
+        centres *= 64
+        chosen = _centres(rest, centres, bands)
+        fresh, _ = cut(_unlike_pairs(rest, chosen, percent, bands).join(tested, ["a", "b"], "left_anti"), "pairs")
         found, _ = cut(_confirmed(fresh, texts, k, percent), "found")
         if not found.isEmpty():
             links = links.union(found)
@@ -167,39 +168,55 @@ def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     return fresh.join(several, "bucket", "left_semi")
 
 
-def _with_bits(members: DataFrame, texts: DataFrame, k: int) -> DataFrame:
-    """The members with the bit sketches of their sets, which only crowded buckets need."""
+def _bands(bands: int) -> list[str]:
+    return [f"band_{i}" for i in range(bands)]
+
+
+def _with_sketches(members: DataFrame, texts: DataFrame, k: int, sketcher: Sketcher) -> DataFrame:
+    """The members with the bit sketches of their sets and short keys of all their buckets.
+
+    Only crowded buckets need them.
+    """
+    names = [*_BITS, *_bands(sketcher.bands)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketcher = BitSketcher(_BIT_WORDS)
+        bits = BitSketcher(_BIT_WORDS)
         for batch in batches:
-            bits = np.array([sketcher(shingle_set(lower_ascii(data).split(), k)) for data in byte_column(batch, "text")])
-            columns = bits.reshape(-1, _BIT_WORDS).T
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns)], names=["bits_of", *_BITS])
+            sets = [shingle_set(lower_ascii(data).split(), k) for data in byte_column(batch, "text")]
+            words = np.array([bits(shingles) for shingles in sets]).reshape(-1, _BIT_WORDS).T
+            keys = sketcher.band_keys(sets).astype(np.int32).T if sets else np.empty((sketcher.bands, 0), np.int32)
+            columns = [batch.column("doc_id"), *map(pa.array, words), *map(pa.array, np.ascontiguousarray(keys))]
+            yield pa.RecordBatch.from_arrays(columns, names=["sketch_of", *names])
 
     wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    types = ", ".join([*(f"{b} bigint" for b in _BITS), *(f"{b} int" for b in _bands(sketcher.bands))])
     sketched = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text").mapInArrow(
-        run, "bits_of bigint, " + ", ".join(f"{name} bigint" for name in _BITS)
+        run, f"sketch_of bigint, {types}"
     )
-    return members.join(sketched, F.col("rep") == F.col("bits_of")).drop("bits_of")
+    return members.join(sketched, F.col("rep") == F.col("sketch_of")).drop("sketch_of")
 
 
-def _centres(members: DataFrame, centres: int) -> DataFrame:
+def _centres(members: DataFrame, centres: int, bands: int) -> DataFrame:
     """Up to so many members of each bucket; those of large labels, so of small components, first."""
-    ordered = F.struct("label", F.expr("-rep").alias("minus"), "n_shingles", *_BITS)
+    carried = ["n_shingles", *_BITS, *_bands(bands)]
+    ordered = F.struct("label", F.expr("-rep").alias("minus"), *carried)
     chosen = members.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(centres)).alias("slot")).agg(F.max(ordered).alias("c"))
     return chosen.select(
-        "bucket", (-F.col("c.minus")).alias("c_rep"), F.col("c.n_shingles").alias("c_n"), F.col("c.label").alias("c_label"),
-        *[F.col(f"c.{name}").alias(f"c_{name}") for name in _BITS],
+        "bucket", (-F.col("c.minus")).alias("c_rep"), F.col("c.label").alias("c_label"),
+        *[F.col(f"c.{name}").alias(f"c_{name}") for name in carried],
     )
 
 
-def _unlike_pairs(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of a centre and a member of another component that may yet be alike."""
+def _unlike_pairs(members: DataFrame, chosen: DataFrame, percent: int, bands: int) -> DataFrame:
+    """Distinct pairs of a centre and a member of another component that may yet be alike.
+
+    A pair counts in the first band where its keys agree, so most pairs come up once.
+    """
     differing = F.expr(" + ".join(f"bit_count({name} ^ c_{name})" for name in _BITS))
+    first = F.expr("CASE " + " ".join(f"WHEN {name} = c_{name} THEN {i}" for i, name in enumerate(_bands(bands))) + " END")
     may = (
-        (F.col("label") != F.col("c_label")) & _alike_in_size("n_shingles", "c_n", percent)
-        & (differing <= most_differing(64 * _BIT_WORDS, percent))
+        (F.col("label") != F.col("c_label")) & _alike_in_size("n_shingles", "c_n_shingles", percent)
+        & (differing <= most_differing(64 * _BIT_WORDS, percent)) & (F.col("band") == first)
     )
     pairs = members.join(chosen, (members["bucket"] == chosen["bucket"]) & may)
     return pairs.select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct()
