@@ -43,7 +43,7 @@ def test_ngram_overlap_is_narrow(spark):
     text = plan(metrics.rouge_n(pairs, (1, 2)))
     assert "Exchange" not in text and "Generate" not in text and "Python" not in text
     for scored in (metrics.rouge_l(pairs), metrics.rouge(pairs), metrics.rouge_n(pairs, 1, stemmed=True)):
-        assert plan(scored).count("Exchange") == 1
+        assert "Exchange" not in plan(scored)
 
 
 def test_array_chat_pipeline_has_no_exchange(spark):
@@ -51,12 +51,12 @@ def test_array_chat_pipeline_has_no_exchange(spark):
     assert "Exchange" not in text and "Python" not in text and text.count("FileScan") == 1
 
 
-def test_turn_pipeline_has_one_exchange_and_one_scan(spark):
+def test_turn_pipeline_is_segmented_and_never_in_one_task(spark):
     text = plan(QUERIES["training_turns"](spark, SF_DIR))
-    assert text.count("Exchange") == 1 and text.count("FileScan") == 1
+    assert "SinglePartition" not in text and "Python" not in text and "_segment#" in text
 
 
-@pytest.mark.parametrize("name", ["page_links", "sections", "split_hash", "prompt_table", "judge_prompts", "strip_reasoning", "budget_truncate", "split_exact"])
+@pytest.mark.parametrize("name", ["page_links", "sections", "split_hash", "prompt_table", "judge_prompts", "strip_reasoning", "budget_truncate"])
 def test_narrow_queries(spark, name):
     assert "Exchange" not in plan(QUERIES[name](spark, SF_DIR))
 
@@ -78,7 +78,7 @@ def test_no_products(spark, no_broadcast, name):
 
 
 def test_repeated_key_is_combined_before_the_shuffle(spark, no_broadcast):
-    df = spark.range(1000).select(F.col("id").alias("pos"), F.lit("hot").alias("k"), F.lit("wide").alias("t"))
+    df = spark.range(1000).select(F.col("id").alias("pos"), F.when(F.col("id") >= 0, "hot").alias("k"), F.lit("wide").alias("t"))
     text = plan(pairing.first_wins(df, "k"))
     assert "partial_min(_place" in text and "hashpartitioning(_digest" in text and "hashpartitioning(k" not in text
 
