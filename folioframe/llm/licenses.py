@@ -47,19 +47,73 @@ def candidate_blocks(data: bytes) -> list[tuple[int, int, bytes]]:
     return [(first, last, b"\n".join(lines[first : last + 1])) for first, last in runs]
 
 
-def wording_differences(words: Sequence[str], template: Sequence[str]) -> int:
-    """Least number of words to insert, delete or replace until the words are a part of the template.
+def word_places(text: str) -> list[tuple[str, int, int, int]]:
+    """``(word, begin, end, line)`` of the words of a text, in small letters."""
+    out, line, seen = [], 0, 0
+    for found in _WORD.finditer(text):
+        line += text.count("\n", seen, found.start())
+        seen = found.start()
+        out.append((found[0].lower(), *found.span(), line))
+    return out
+
 
-    The part may begin and end anywhere; rows of the distance table are computed at once.
+def last_row(words: Sequence[str], other: Sequence[str], anywhere: bool = True) -> np.ndarray:
+    """By end in ``other``, the least number of words to insert, delete or replace until ``words`` is a part that ends there.
+
+    The part begins anywhere, or at the first word. Rows of the distance table are computed at once.
     """
-    other = np.array([hash(w) for w in template], np.int64)
-    row = np.zeros(len(other) + 1, np.int64)
-    steps = np.arange(len(other) + 1)
+    codes = np.array([hash(w) for w in other], np.int64)
+    steps = np.arange(len(codes) + 1)
+    row = np.zeros(len(codes) + 1, np.int64) if anywhere else steps
     for word in words:
-        replaced = row[:-1] + (other != hash(word))
+        replaced = row[:-1] + (codes != hash(word))
         down = np.append(row[0] + 1, np.minimum(replaced, row[1:] + 1))
         row = np.minimum.accumulate(down - steps) + steps
-    return int(row.min())
+    return row
+
+
+def wording_differences(words: Sequence[str], template: Sequence[str]) -> int:
+    """Least number of words to insert, delete or replace until the words are a part of the template, anywhere in it."""
+    return int(last_row(words, template).min())
+
+
+def part_spans(words: Sequence[str], template: Sequence[str], most: int) -> list[tuple[int, int, int]]:
+    """``(differences, begin, end)`` of non-overlapping parts of ``words`` that differ from the template in ``most`` words or fewer.
+
+    ``most`` differences leave one of ``most + 1`` pieces of the template whole, so only the
+    surroundings of such pieces are aligned. Of overlapping parts the one of fewest differences stays.
+    """
+    n, joined = len(template), f" {' '.join(words)} "
+    begins = np.cumsum([0] + [len(w) + 1 for w in words])
+    cuts = np.linspace(0, n, min(most, n - 1) + 2).astype(int)
+    around: list[tuple[int, int]] = []
+    for first, last in zip(cuts, cuts[1:]):
+        piece, place = f" {' '.join(template[first:last])} ", -1
+        while (place := joined.find(piece, place + 1)) >= 0:
+            begin = int(np.searchsorted(begins, place)) - int(first)
+            around.append((max(0, begin - most), min(len(words), begin + n + most)))
+    areas: list[list[int]] = []
+    for begin, end in sorted(around):
+        if areas and begin <= areas[-1][1]:
+            areas[-1][1] = max(areas[-1][1], end)
+        else:
+            areas.append([begin, end])
+    spans: list[tuple[int, int, int]] = []
+    for begin, end in areas:
+        ends = last_row(template, words[begin:end])
+        taken = np.zeros(end - begin + 1, bool)
+        for place in np.argsort(ends, kind="stable"):
+            if ends[place] > most:
+                break
+            if place == 0 or taken[place]:
+                continue
+            near = words[max(begin, begin + place - n - most) : begin + place]
+            back = last_row(template[::-1], near[::-1], anywhere=False)
+            start = int(place) - int(back.argmin())
+            if start < place and not taken[start + 1 : place + 1].any():
+                taken[start + 1 : place + 1] = True
+                spans.append((int(ends[place]), begin + start, begin + int(place)))
+    return spans
 
 
 class Templates:
@@ -73,42 +127,62 @@ class Templates:
                 data = wording.encode()
                 raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 compressor = zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False, write_dict_id=False)
-                self.known.append((name, compressor, _WORD.findall(wording.lower())))
-
-    def best(self, block: bytes, least: float, share: float, tries: int) -> tuple[str, float, int] | None:
-        """``(license, reduction, differences)`` of the best template whose wording the block has."""
-        size = len(self.plain.compress(block))
-        ranked = sorted(
-            ((1 - len(compressor.compress(block)) / size, name, words) for name, compressor, words in self.known),
-            key=lambda x: (-x[0], x[1]),
-        )
-        found, words = [], _WORD.findall(block.decode("utf-8", "replace").lower())
-        for place, (reduction, name, wording) in enumerate(ranked):
-            if reduction < least or place >= tries and found:
-                break
-            # the shorter of the two has to be a part of the other
-            short, long = (words, wording) if len(words) <= len(wording) else (wording, words)
-            differences = wording_differences(short, long)
-            if len(short) >= 3 and differences <= share * len(short):
-                found.append((differences, -reduction, name))
+                self.known.append((name, compressor, [word for word, *_ in word_places(wording)]))
+
+    def reduction(self, compressor: zstandard.ZstdCompressor, part: bytes) -> float:
+        return 1 - len(compressor.compress(part)) / len(self.plain.compress(part))
+
+    def whole(self, data: bytes, share: float, least: float) -> list[tuple]:
+        """``(license, reduction, differences, first line, last line)`` of whole wordings in a text, without overlaps."""
+        text = data.decode("utf-8", "replace")
+        places = word_places(text)
+        words, found = [word for word, *_ in places], []
+        for name, compressor, wording in self.known:
+            if len(wording) < 3:
+                continue
+            for differences, begin, end in part_spans(words, wording, int(share * len(wording))):
+                found.append((differences - len(wording), differences, name, begin, end, compressor))
+        found.sort(key=lambda x: x[:5])
+        taken, out = np.zeros(len(words), bool), []
+        for _, differences, name, begin, end, compressor in found:
+            if taken[begin:end].any():
+                continue
+            part = text[places[begin][1] : places[end - 1][2]].encode()
+            if (reduction := self.reduction(compressor, part)) >= least:
+                taken[begin:end] = True
+                out.append((name, reduction, differences, places[begin][3], places[end - 1][3]))
+        return sorted(out, key=lambda x: x[3:])
+
+    def part(self, block: bytes, least: float, share: float) -> tuple[str, float, int] | None:
+        """``(license, reduction, differences)`` of the best wording that has the block as a part of it."""
+        words, found = [word for word, *_ in word_places(block.decode("utf-8", "replace"))], []
+        for name, compressor, wording in self.known:
+            if 3 <= len(words) <= len(wording) and (reduction := self.reduction(compressor, block)) >= least:
+                differences = wording_differences(words, wording)
+                if differences <= share * len(words):
+                    found.append((differences, -reduction, name))
         return (found[0][2], -found[0][1], found[0][0]) if found and not found.sort() else None
 
 
 def scan_licenses(
     docs: DataFrame, templates: Mapping[str, Sequence[str]] = TEMPLATES, least_reduction: float = 0.25,
-    difference_share: float = 0.1, tries: int = 4, doc_id: str = "doc_id", text: str = "text",
+    difference_share: float = 0.1, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``(doc_id, n_blocks, licenses, matches)`` for every row of ``docs``.
 
-    Runs of lines that hold a trigger word are candidate blocks. Each is compressed by itself and
-    with every template as zstandard raw dictionary; templates rank by the share of the size
-    that the dictionary saves. Those that save ``least_reduction`` or more are confirmed from the
-    top by wording: the shorter of block and template has to be a part of the longer up to
-    ``difference_share`` of its words. Of the confirmed among the first ``tries`` (or the first
-    confirmed past them) the one of fewest differences is the block's license.
+    A text that holds a trigger word is searched for every template as a whole: any part of it that
+    differs from a template in at most ``difference_share`` of the template's words is found,
+    whatever stands around it. Of overlapping parts the one of most equal words stays, and of those the
+    one of fewest differences. Each is compressed by itself and with its template as zstandard raw
+    dictionary, and confirmed when the dictionary saves ``least_reduction`` of its size or more.
+
+    Runs of lines that hold a trigger word are candidate blocks. A block without a whole template may be
+    a part of one: the templates that save ``least_reduction`` of its size are confirmed by
+    wording, the block having to be a part of the template up to ``difference_share`` of the
+    block's words, and the one of fewest differences wins.
 
     ``matches`` lists license, first and last line from 0, reduction and differences of every
-    confirmed block; ``licenses`` the distinct identifiers in order. A null or empty text has no
+    confirmed part or block; ``licenses`` the distinct identifiers in order. A null or empty text has no
     blocks. Ties go to the larger reduction, then the name. Repeated rows are scanned each; other
     columns are ignored.
     """
@@ -122,12 +196,15 @@ def scan_licenses(
             for batch in batches:
                 for one, data in zip(batch.column("doc_id").to_pylist(), byte_column(batch, "text"), strict=True):
                     blocks = candidate_blocks(data)
-                    matches = []
+                    found = known.whole(data, difference_share, least_reduction) if blocks else []
                     for first, last, block in blocks:
-                        if won := known.best(block, least_reduction, difference_share, tries):
-                            matches.append(dict(zip(
-                                ("license", "reduction", "differences", "first_line", "last_line"), (*won, first, last), strict=True
-                            )))
+                        if not any(m[3] <= last and first <= m[4] for m in found):
+                            if won := known.part(block, least_reduction, difference_share):
+                                found.append((*won, first, last))
+                    found.sort(key=lambda m: m[3:])
+                    matches = [
+                        dict(zip(("license", "reduction", "differences", "first_line", "last_line"), m, strict=True)) for m in found
+                    ]
                     yield one, len(blocks), matches
 
         yield from in_batches(rows(), _SCAN)

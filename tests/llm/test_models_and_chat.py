@@ -146,3 +146,22 @@ def test_perspectives(spark):
     plan = perspectives.render_perspectives(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
     assert perspectives.rotated_turns(df).where("trained").count() == 9
+
+
+def license_names(text):
+    data, known = text.encode(), licenses.Templates(TEMPLATES)
+    return sorted({m[0] for m in known.whole(data, 0.1, 0.25)}) if licenses.candidate_blocks(data) else []
+
+
+def test_license_notices_among_other_words(spark):
+    """An exact wording is found whatever stands in its line, its block or further up."""
+    aside = "a reliable word among others that have nothing to do with it " * 4
+    notices = {"MIT": TEMPLATES["MIT"][0], "Apache-2.0": TEMPLATES["Apache-2.0"][0], "GPL-3.0": TEMPLATES["GPL-3.0"][0]}
+    wrapped = TEMPLATES["MIT"][2].replace(" ", "\n")
+    rows = [(name, text) for name, one in notices.items() for text in (f"{aside}\n{one}", f"{aside}{one} {aside}", "copyright\n" * 70 + one)]
+    rows.append(("MIT", wrapped))
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    assert [got[i]["licenses"] for i in range(len(rows))] == [[name] for name, _ in rows]
+    assert all(len(r["matches"]) == 1 and r["matches"][0]["differences"] == 0 for r in got.values())
+    assert license_names(aside) == []
