@@ -165,3 +165,16 @@ def test_license_notices_among_other_words(spark):
     assert [got[i]["licenses"] for i in range(len(rows))] == [[name] for name, _ in rows]
     assert all(len(r["matches"]) == 1 and r["matches"][0]["differences"] == 0 for r in got.values())
     assert license_names(aside) == []
+
+
+def test_license_dual_notices(spark):
+    """All notices of a block are returned, one match each."""
+    names = ["MIT", "Apache-2.0", "GPL-3.0", "ISC", "BSD-2-Clause", "CC-BY-4.0"]
+    docs = spark.createDataFrame([
+        (0, "\n".join(TEMPLATES[name][0] for name in names[:2])), (1, "\n".join(TEMPLATES[name][0] for name in names)),
+        (2, " ".join(TEMPLATES[name][0] for name in names)), (3, f"{TEMPLATES['MIT'][2]}\n{TEMPLATES['BSD-3-Clause'][1]}"),
+        (4, "\n".join([TEMPLATES["MIT"][0]] * 3)),
+    ], "doc_id bigint, text string")
+    got = {r["doc_id"]: [m["license"] for m in r["matches"]] for r in licenses.scan_licenses(docs).collect()}
+    assert got[0] == names[:2] and got[1] == names and sorted(got[2]) == sorted(names)
+    assert got[3] == ["MIT", "BSD-3-Clause"] and got[4] == ["MIT"] * 3
