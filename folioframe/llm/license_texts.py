@@ -1,5 +1,32 @@
 """Wordings of public licences and of the notices that refer to them, by identifier."""
 
+_WARRANTY = (
+    "{0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+    "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} for more details."
+)
+
+
+def _gnu(what: str, license: str, version: str) -> tuple[str, ...]:
+    """Source notices of a GNU licence: this version or a later one, and this version alone."""
+    terms = f"you can redistribute it and/or modify it under the terms of the GNU {license}"
+    free, hope, by = f"This {what} is free software", _WARRANTY.format(f"This {what}", license), "as published by the Free Software Foundation"
+    return (
+        f"{free}: {terms} {by}, either version {version} of the License, or (at your option) any later version.\n{hope}",
+        f"{free}; {terms} {by}; either version {version} of the License, or (at your option) any later version.",
+        f"{free}: {terms} {by}, version {version} of the License.",
+        f"{free}: {terms} {by}, version {version}.",
+        f"{free}; {terms} version {version} {by}.",
+    )
+
+
+def _creative_commons(code: str, kind: str) -> tuple[str, ...]:
+    return (
+        f"Licensed under CC {code} 4.0.",
+        f"This work is licensed under the Creative Commons {kind} 4.0 International License.",
+        f"This work is licensed under a Creative Commons {kind} 4.0 International License.",
+    )
+
+
 TEMPLATES = {
     "MIT": (
         "Released under the MIT License.",
@@ -57,30 +84,34 @@ TEMPLATES = {
     ),
     "GPL-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
-        "version.\n"
-        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
-        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more "
-        "details.",
+        *_gnu("program", "General Public License", "3"),
     ),
-    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2.",),
-    "MPL-2.0": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
-        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "GPL-2.0": (
+        "This work is licensed under the GNU General Public License, version 2.",
+        *_gnu("program", "General Public License", "2"),
+    ),
+    "LGPL-3.0": (
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        *_gnu("library", "Lesser General Public License", "3"), *_gnu("program", "Lesser General Public License", "3"),
     ),
-    "CC-BY-4.0": (
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under the Creative Commons Attribution 4.0 International License.",
+    "LGPL-2.1": (
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        *_gnu("library", "Lesser General Public License", "2.1"), *_gnu("program", "Lesser General Public License", "2.1"),
     ),
-    "CC-BY-SA-4.0": (
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "AGPL-3.0": (
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        *_gnu("program", "Affero General Public License", "3"),
     ),
-    "CC-BY-NC-4.0": (
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     ),
+    "CC-BY-4.0": _creative_commons("BY", "Attribution"),
+    "CC-BY-SA-4.0": _creative_commons("BY-SA", "Attribution-ShareAlike"),
+    "CC-BY-NC-4.0": _creative_commons("BY-NC", "Attribution-NonCommercial"),
+    "CC-BY-ND-4.0": _creative_commons("BY-ND", "Attribution-NoDerivatives"),
+    "CC-BY-NC-SA-4.0": _creative_commons("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    "CC-BY-NC-ND-4.0": _creative_commons("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
     "CC0-1.0": (
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     ),

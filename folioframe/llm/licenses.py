@@ -19,6 +19,16 @@ _TRIGGER = re.compile(
     rb"licen[cs]e|copyright|permission is|redistribut|warrant|public domain|\"as is\"|all rights reserved|liab", re.I
 )
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
+#: Words that tell licences apart: names, kinds, versions. A bare number is one after a word of
+#: _BEFORE_NUMBER only, as the clauses of a licence are numbered too.
+_TELLING = re.compile(
+    r".*\d.*[.\-a-z].*|.*[.\-a-z].*\d.*|lesser|affero|general|library-general|mit|isc|x11|zlib|bsd|apache|gnu|mozilla|eclipse|mpl|epl|"
+    r"[al]?gpl.*|cc|by-.*|nc|nd|sa|cc-.*|creative|commons|(?:attribution|non-?commercial|no-?deriv|share-?alike).*|public-domain"
+)
+_BEFORE_NUMBER = re.compile(r"versions?|v|licen[cs]es?|[al]?gpl|mpl|epl|apache|bsd|by.*|cc|attribution.*")
+_LIBRARY = re.compile(r"\blibrary\s+general\b", re.I)
+#: Cost of a difference on such a word.
+_NEVER = 1 << 20
 #: Lines without a trigger that may lie inside a block, and the most lines of a block.
 _GAP, _BLOCK_LINES = 2, 64
 _MATCHES = pa.list_(pa.struct([
@@ -48,7 +58,8 @@ def candidate_blocks(data: bytes) -> list[tuple[int, int, bytes]]:
 
 
 def word_places(text: str) -> list[tuple[str, int, int, int]]:
-    """``(word, begin, end, line)`` of the words of a text, in small letters."""
+    """``(word, begin, end, line)`` of the words of a text, in small letters; "library general" has a hyphen."""
+    text = _LIBRARY.sub(lambda m: m[0][:7] + "-" * (len(m[0]) - 14) + m[0][-7:], text)
     out, line, seen = [], 0, 0
     for found in _WORD.finditer(text):
         line += text.count("\n", seen, found.start())
@@ -57,33 +68,50 @@ def word_places(text: str) -> list[tuple[str, int, int, int]]:
     return out
 
 
-def last_row(words: Sequence[str], other: Sequence[str], anywhere: bool = True) -> np.ndarray:
-    """By end in ``other``, the least number of words to insert, delete or replace until ``words`` is a part that ends there.
+def telling(words: Sequence[str]) -> np.ndarray:
+    """Which words tell licences apart."""
+    return np.array([
+        bool(_BEFORE_NUMBER.fullmatch(before)) if word.isdecimal() else bool(_TELLING.fullmatch(word))
+        for before, word in zip(["", *words], words)
+    ], bool)
+
+
+def last_row(
+    words: Sequence[str], other: Sequence[str], anywhere: bool = True, costs: Sequence[np.ndarray] | None = None,
+) -> np.ndarray:
+    """By end in ``other``, the least cost to insert, delete or replace words until ``words`` is a part that ends there.
 
-    The part begins anywhere, or at the first word. Rows of the distance table are computed at once.
+    The part begins anywhere, or at the first word. ``costs`` has the cost of a difference on each
+    word of both, else 1; replacing costs the larger. Rows of the distance table are computed at once.
     """
     codes = np.array([hash(w) for w in other], np.int64)
-    steps = np.arange(len(codes) + 1)
+    own, others = costs or (np.ones(len(words), np.int64), np.ones(len(codes), np.int64))
+    steps = np.append(0, np.cumsum(others))
     row = np.zeros(len(codes) + 1, np.int64) if anywhere else steps
-    for word in words:
-        replaced = row[:-1] + (codes != hash(word))
-        down = np.append(row[0] + 1, np.minimum(replaced, row[1:] + 1))
+    for word, cost in zip(words, own):
+        replaced = row[:-1] + (codes != hash(word)) * np.maximum(others, cost)
+        down = np.append(row[0] + cost, np.minimum(replaced, row[1:] + cost))
         row = np.minimum.accumulate(down - steps) + steps
     return row
 
 
-def wording_differences(words: Sequence[str], template: Sequence[str]) -> int:
-    """Least number of words to insert, delete or replace until the words are a part of the template, anywhere in it."""
-    return int(last_row(words, template).min())
+def wording_differences(words: Sequence[str], template: Sequence[str], costs: Sequence[np.ndarray] | None = None) -> int:
+    """Least cost to insert, delete or replace words until the words are a part of the template, anywhere in it."""
+    return int(last_row(words, template, costs=costs).min())
 
 
-def part_spans(words: Sequence[str], template: Sequence[str], most: int) -> list[tuple[int, int, int]]:
+def part_spans(
+    words: Sequence[str], template: Sequence[str], most: int, costs: Sequence[np.ndarray] | None = None,
+) -> list[tuple[int, int, int]]:
     """``(differences, begin, end)`` of non-overlapping parts of ``words`` that differ from the template in ``most`` words or fewer.
 
+    ``costs`` are those of ``words`` and of the template.
+
     ``most`` differences leave one of ``most + 1`` pieces of the template whole, so only the
     surroundings of such pieces are aligned. Of overlapping parts the one of fewest differences stays.
     """
     n, joined = len(template), f" {' '.join(words)} "
+    given, own = costs or (np.ones(len(words), np.int64), np.ones(n, np.int64))
     begins = np.cumsum([0] + [len(w) + 1 for w in words])
     cuts = np.linspace(0, n, min(most, n - 1) + 2).astype(int)
     around: list[tuple[int, int]] = []
@@ -100,15 +128,15 @@ def part_spans(words: Sequence[str], template: Sequence[str], most: int) -> list
             areas.append([begin, end])
     spans: list[tuple[int, int, int]] = []
     for begin, end in areas:
-        ends = last_row(template, words[begin:end])
+        ends = last_row(template, words[begin:end], costs=(own, given[begin:end]))
         taken = np.zeros(end - begin + 1, bool)
         for place in np.argsort(ends, kind="stable"):
             if ends[place] > most:
                 break
             if place == 0 or taken[place]:
                 continue
-            near = words[max(begin, begin + place - n - most) : begin + place]
-            back = last_row(template[::-1], near[::-1], anywhere=False)
+            near = slice(max(begin, begin + place - n - most), begin + place)
+            back = last_row(template[::-1], words[near][::-1], False, (own[::-1], given[near][::-1]))
             start = int(place) - int(back.argmin())
             if start < place and not taken[start + 1 : place + 1].any():
                 taken[start + 1 : place + 1] = True
@@ -123,11 +151,19 @@ class Templates:
         self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
         self.known = []
         for name, wordings in texts.items():
+            # a licence may name itself once more
+            spoken = {word for wording in wordings for word, *_ in word_places(wording)}
             for wording in wordings:
                 data = wording.encode()
                 raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 compressor = zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False, write_dict_id=False)
-                self.known.append((name, compressor, [word for word, *_ in word_places(wording)]))
+                words = [word for word, *_ in word_places(wording)]
+                self.known.append((name, compressor, words, np.where(telling(words), _NEVER, 1), spoken))
+
+    @staticmethod
+    def costs(words: Sequence[str], marks: np.ndarray, spoken: set[str]) -> np.ndarray:
+        """The cost of a difference on each word of a text: none may fall on words that tell of another licence."""
+        return np.where(marks & np.array([word not in spoken for word in words], bool), _NEVER, 1)
 
     def reduction(self, compressor: zstandard.ZstdCompressor, part: bytes) -> float:
         return 1 - len(compressor.compress(part)) / len(self.plain.compress(part))
@@ -137,10 +173,12 @@ class Templates:
         text = data.decode("utf-8", "replace")
         places = word_places(text)
         words, found = [word for word, *_ in places], []
-        for name, compressor, wording in self.known:
+        marks = telling(words)
+        for name, compressor, wording, own, spoken in self.known:
             if len(wording) < 3:
                 continue
-            for differences, begin, end in part_spans(words, wording, int(share * len(wording))):
+            costs = self.costs(words, marks, spoken), own
+            for differences, begin, end in part_spans(words, wording, int(share * len(wording)), costs):
                 found.append((differences - len(wording), differences, name, begin, end, compressor))
         found.sort(key=lambda x: x[:5])
         taken, out = np.zeros(len(words), bool), []
@@ -154,14 +192,20 @@ class Templates:
         return sorted(out, key=lambda x: x[3:])
 
     def part(self, block: bytes, least: float, share: float) -> tuple[str, float, int] | None:
-        """``(license, reduction, differences)`` of the best wording that has the block as a part of it."""
+        """``(license, reduction, differences)`` of the best wording that has the block as a part of it.
+
+        None when the wordings of several licences have it equally well.
+        """
         words, found = [word for word, *_ in word_places(block.decode("utf-8", "replace"))], []
-        for name, compressor, wording in self.known:
+        marks = telling(words)
+        for name, compressor, wording, own, spoken in self.known:
             if 3 <= len(words) <= len(wording) and (reduction := self.reduction(compressor, block)) >= least:
-                differences = wording_differences(words, wording)
+                differences = wording_differences(words, wording, (self.costs(words, marks, spoken), own))
                 if differences <= share * len(words):
                     found.append((differences, -reduction, name))
-        return (found[0][2], -found[0][1], found[0][0]) if found and not found.sort() else None
+        if not found or len({name for differences, _, name in found if differences == min(found)[0]}) > 1:
+            return None
+        return min(found)[2], -min(found)[1], min(found)[0]
 
 
 def scan_licenses(
@@ -172,14 +216,16 @@ def scan_licenses(
 
     A text that holds a trigger word is searched for every template as a whole: any part of it that
     differs from a template in at most ``difference_share`` of the template's words is found,
-    whatever stands around it. Of overlapping parts the one of most equal words stays, and of those the
+    whatever stands around it. No difference may fall on a word that tells licences apart: a name, a kind
+    (lesser, affero, noderivatives) or a version. Of overlapping parts the one of most equal words stays, and of those the
     one of fewest differences. Each is compressed by itself and with its template as zstandard raw
     dictionary, and confirmed when the dictionary saves ``least_reduction`` of its size or more.
 
     Runs of lines that hold a trigger word are candidate blocks. A block without a whole template may be
     a part of one: the templates that save ``least_reduction`` of its size are confirmed by
     wording, the block having to be a part of the template up to ``difference_share`` of the
-    block's words, and the one of fewest differences wins.
+    block's words, and the one of fewest differences wins. A block that is equally part of several
+    licences names none.
 
     ``matches`` lists license, first and last line from 0, reduction and differences of every
     confirmed part or block; ``licenses`` the distinct identifiers in order. A null or empty text has no

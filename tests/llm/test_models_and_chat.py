@@ -178,3 +178,32 @@ def test_license_dual_notices(spark):
     got = {r["doc_id"]: [m["license"] for m in r["matches"]] for r in licenses.scan_licenses(docs).collect()}
     assert got[0] == names[:2] and got[1] == names and sorted(got[2]) == sorted(names)
     assert got[3] == ["MIT", "BSD-3-Clause"] and got[4] == ["MIT"] * 3
+
+
+def gnu_notice(license, version, what="program"):
+    return (
+        f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {license} "
+        f"as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later "
+        f"version.\nThis {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        f"warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {license} for more details."
+    )
+
+
+def test_license_telling_words(spark):
+    """No difference falls on a word that tells licences apart, and every named licence has its source notice."""
+    cc = "This work is licensed under the Creative Commons {} License."
+    rows = [
+        (["GPL-2.0"], gnu_notice("General Public License", "2")), (["GPL-3.0"], gnu_notice("General Public License", "3")),
+        (["LGPL-2.1"], gnu_notice("Lesser General Public License", "2.1", "library")), (["LGPL-3.0"], gnu_notice("Lesser General Public License", "3")),
+        (["AGPL-3.0"], gnu_notice("Affero General Public License", "3")), ([], gnu_notice("Library General Public License", "2", "library")),
+        (["GPL-3.0"], gnu_notice("General Public License", "3", "library")), ([], gnu_notice("General Public License", "4")),
+        (["CC-BY-ND-4.0"], cc.format("Attribution-NoDerivatives 4.0 International")), ([], cc.format("Attribution 3.0 International")),
+        ([], cc.format("Attribution-Unknown 4.0 International")), (["CC-BY-4.0"], cc.format("Attribution 4.0 International")),
+        ([], "the terms of the GNU General Public License"),
+        (["BSD-3-Clause"], TEMPLATES["BSD-3-Clause"][1].replace("\n1.", "\n*").replace("\n2.", "\n*").replace("\n3.", "\n*")),
+    ]
+    docs = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id bigint, text string")
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [names for names, _ in rows]
+    for name, wordings in TEMPLATES.items():
+        assert all(license_names(wording) == [name] for wording in wordings), name
