@@ -16,7 +16,8 @@ from folioframe.llm.words import byte_column, gram_hashes, in_batches
 #: Short texts compress little and are judged by the upper limit alone; random letters and digits
 #: reach about 1.33 and prose in any script more.
 BANDS = ((0, 0.0, 2.9), (512, 1.3, 3.2), (2_048, 1.42, 3.9), (8_192, 1.5, 5.0), (65_536, 1.55, 6.5))
-#: The same for chunks of CHUNK bytes, and the share of a text's chunks that may lie outside.
+#: The same for chunks of CHUNK bytes, and the share of a text's chunks that may lie outside. The last
+#: chunk ends with the text, and a shorter text is one chunk, in the band for its length.
 CHUNK, CHUNK_BAND, CHUNK_SHARE = 2_048, (1.38, 3.6), 0.25
 
 _SYMBOLS = b"#*$%&|<>"
@@ -75,10 +76,15 @@ class Bands:
         self.compress = zstandard.ZstdCompressor(level=level, write_checksum=False).compress
 
     def __call__(self, data: bytes) -> tuple[bool, float, int, int]:
-        ratio = len(data) / len(self.compress(data))
-        chunks = [data[i : i + CHUNK] for i in range(0, len(data) - CHUNK + 1, CHUNK)]
-        outside = sum(not CHUNK_BAND[0] <= CHUNK / len(self.compress(chunk)) <= CHUNK_BAND[1] for chunk in chunks)
-        return in_band(len(data), ratio) and outside <= CHUNK_SHARE * len(chunks), ratio, outside, len(chunks)
+        size = len(data)
+        ratio = size / len(self.compress(data))
+        good = in_band(size, ratio)
+        if size < CHUNK:
+            return good, ratio, int(size > 0 and not good), int(size > 0)
+        starts = [*range(0, size - CHUNK + 1, CHUNK), *([size - CHUNK] if size % CHUNK else [])]
+        ratios = [CHUNK / len(self.compress(data[i : i + CHUNK])) for i in starts]
+        outside = sum(not CHUNK_BAND[0] <= one <= CHUNK_BAND[1] for one in ratios)
+        return good and outside <= CHUNK_SHARE * len(starts), ratio, outside, len(starts)
 
 
 def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -86,7 +92,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     A text is kept when it passes the base rule (ten words or more, at most a fifth of them in
     repeated five-word windows), its zstandard ratio lies in the band for its length, and at most
-    a quarter of its whole 2,048-byte chunks lie outside the chunk band. Too high a ratio means
+    a quarter of its 2,048-byte chunks lie outside the chunk band; the last chunk ends with the text. Too high a ratio means
     repetition, too low one means noise. A null text has no words and fails the base rule.
     Columns: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept``, then ``ratio, chunks_outside, n_chunks``. Repeated rows are judged each, and other

@@ -89,6 +89,24 @@ def test_bands_reject_repetition_and_noise():
     assert judge(b"short")[0] and judge(b"")[0]
 
 
+def some_prose(n):
+    random.seed(n)
+    return " ".join("".join(random.choices("etaoinshrdlu", k=random.randint(1, 9))) for _ in range(n))[:n].encode()
+
+
+def test_bands_judge_the_end_of_a_text():
+    """Noise after the last whole chunk is judged, and a text shorter than a chunk is one chunk."""
+    judge = compression_bands.Bands()
+    random.seed(2)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    for size in (2080, 2500, 3000):
+        prose, noise = some_prose(size), "".join(random.choices(letters, k=1973)).encode()
+        good, _, outside, n_chunks = judge(prose + noise)
+        assert not good and outside >= 1 and n_chunks == len(prose + noise) // 2048 + 1
+        assert judge(prose)[0] and judge(prose)[2:] == (0, 2)
+    assert judge(some_prose(4096))[2:] == (0, 2) and judge(some_prose(1000))[2:] == (0, 1) and judge(b"")[2:] == (0, 0)
+
+
 @pytest.mark.parametrize("width", [35, 50])
 def test_repeated_passages(docs, rows, empty, width):
     got = {r["doc_id"]: r for r in repeats.repeated_passages(docs, width).collect()}
