@@ -12,17 +12,32 @@ from pyspark.sql import functions as F
 
 from folioframe.llm.words import byte_column, gram_hashes, in_batches
 
-#: Lowest and highest ratio of bytes to compressed bytes, by least length of a text in bytes.
-#: Short texts compress little and are judged by the upper limit alone; random letters and digits
-#: reach about 1.33 and prose in any script more.
-BANDS = ((0, 0.0, 2.9), (512, 1.3, 3.2), (2_048, 1.42, 3.9), (8_192, 1.5, 5.0), (65_536, 1.55, 6.5))
-#: The same for chunks of CHUNK bytes, and the share of a text's chunks that may lie outside. The last
+#: Lowest and highest ratio of bytes to compressed bytes, by least length of a text in bytes. Each low
+#: limit is above what random letters and digits reach in its class, with or without blanks.
+BANDS = (
+    (0, 0.0, 2.9), (512, 1.32, 3.2), (768, 1.34, 3.2), (1_024, 1.36, 3.2), (1_536, 1.38, 3.2), (2_048, 1.42, 3.9),
+    (8_192, 1.5, 5.0), (65_536, 1.55, 6.5),
+)
+#: Lowest ratio of texts below SHORT bytes, by least length, when they are compressed after PROSE:
+#: by themselves they hardly compress. Below 32 bytes nothing tells noise from names and numbers.
+#: Texts of which most bytes are not ASCII have letters that PROSE has not, and no low limit below
+#: SHORT; up to CHUNK bytes theirs is FOREIGN_LOW, as some scripts compress less than Latin letters.
+FOREIGN_LOW = 1.3
+SHORT, SHORT_LOWS = 512, ((0, 0.0), (32, 1.18), (64, 1.16), (128, 1.18), (192, 1.2), (256, 1.24), (384, 1.27))
+PROSE = (
+    "It was late in the year when the two of them came down to the river, and no one in the village could say where they had been. "
+    "Les enfants jouaient devant la maison pendant que leur mère préparait le repas du soir. "
+    "Der alte Mann ging langsam über die Brücke und sah den Schiffen nach, die zum Meer fuhren. "
+    "La ciudad estaba tranquila y los niños volvían de la escuela con sus libros. "
+).encode()
+#: The band of chunks of CHUNK bytes, and the share of a text's chunks that may lie outside. The last
 #: chunk ends with the text, and a shorter text is one chunk, in the band for its length.
 CHUNK, CHUNK_BAND, CHUNK_SHARE = 2_048, (1.38, 3.6), 0.25
 
 _SYMBOLS = b"#*$%&|<>"
 _WHITE = b" \t\n\v\f\r"
 _CONTINUED = bytes(range(0x80, 0xC0))
+_ASCII = bytes(range(0x80))
 _RULES = pa.schema([
     ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
     ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()), ("kept", pa.bool_()),
@@ -64,9 +79,9 @@ def duplicate_lines(data: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def in_band(size: int, ratio: float) -> bool:
+def in_band(size: int, ratio: float, foreign: bool = False) -> bool:
     low, high = next((low, high) for least, low, high in reversed(BANDS) if size >= least)
-    return low <= ratio <= high
+    return (min(low, FOREIGN_LOW) if foreign and size < CHUNK else low) <= ratio <= high
 
 
 class Bands:
@@ -74,11 +89,18 @@ class Bands:
 
     def __init__(self, level: int = 3):
         self.compress = zstandard.ZstdCompressor(level=level, write_checksum=False).compress
+        self.prose_size = len(self.compress(PROSE))
+
+    def noisy(self, data: bytes) -> bool:
+        """Whether a text below SHORT bytes compresses less after PROSE than words do."""
+        low = next(low for least, low in reversed(SHORT_LOWS) if len(data) >= least)
+        return low > 0 and len(data) < low * (len(self.compress(PROSE + data)) - self.prose_size)
 
     def __call__(self, data: bytes) -> tuple[bool, float, int, int]:
         size = len(data)
         ratio = size / len(self.compress(data))
-        good = in_band(size, ratio)
+        foreign = size < CHUNK and 2 * len(data.translate(None, _ASCII)) > size
+        good = in_band(size, ratio, foreign) and (size >= SHORT or foreign or not self.noisy(data))
         if size < CHUNK:
             return good, ratio, int(size > 0 and not good), int(size > 0)
         starts = [*range(0, size - CHUNK + 1, CHUNK), *([size - CHUNK] if size % CHUNK else [])]
@@ -92,7 +114,8 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
     A text is kept when it passes the base rule (ten words or more, at most a fifth of them in
     repeated five-word windows), its zstandard ratio lies in the band for its length, and at most
-    a quarter of its 2,048-byte chunks lie outside the chunk band; the last chunk ends with the text. Too high a ratio means
+    a quarter of its 2,048-byte chunks lie outside the chunk band; the last chunk ends with the text.
+    Texts below 512 bytes are compressed after fixed prose for the low limit. Too high a ratio means
     repetition, too low one means noise. A null text has no words and fails the base rule.
     Columns: ``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     kept``, then ``ratio, chunks_outside, n_chunks``. Repeated rows are judged each, and other

@@ -107,6 +107,19 @@ def test_bands_judge_the_end_of_a_text():
     assert judge(some_prose(4096))[2:] == (0, 2) and judge(some_prose(1000))[2:] == (0, 1) and judge(b"")[2:] == (0, 0)
 
 
+@pytest.mark.parametrize("size", [48, 64, 100, 127, 128, 200, 300, 400, 511, 512, 700, 767, 1000, 1500, 2000, 2047])
+def test_bands_reject_short_noise(size):
+    judge = compression_bands.Bands()
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for seed in range(20):
+        random.seed(seed)
+        noise = " ".join("".join(random.choices(letters, k=random.randint(4, 10))) for _ in range(size))[:size].encode()
+        assert not judge(noise)[0]
+    assert judge(some_prose(size))[0]
+    russian = "Он шёл по дороге и думал о том, что завтра будет новый день, и всё станет иначе, чем было раньше в этом городе. "
+    assert judge(russian.encode())[0]
+
+
 @pytest.mark.parametrize("width", [35, 50])
 def test_repeated_passages(docs, rows, empty, width):
     got = {r["doc_id"]: r for r in repeats.repeated_passages(docs, width).collect()}
