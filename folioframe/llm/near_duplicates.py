@@ -111,10 +111,13 @@ def near_duplicates(
 def drop_near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, one for each id; rows without an id stay."""
+    """The rows of ``docs`` that ``near_duplicates`` keeps, one for each id and text; rows without an id stay.
+
+    Rows of one id and unlike texts are one node: all stay, or all go with a near-duplicate of a smaller id.
+    """
     found = near_duplicates(docs, k, percent, doc_id=doc_id, text=text)
     kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id)).distinct()
-    named = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id])
+    named = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id, text])
     return named.unionByName(docs.where(F.col(doc_id).isNull())).select(docs.columns)
 
 

@@ -12,6 +12,7 @@ import xxhash
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from folioframe.llm.words import byte_column, gram_hashes, in_batches, word_hashes
 from folioframe.session import cut, discard
@@ -70,6 +71,11 @@ def repeated_passages(
     together name a row, so ids are best unique. Rows without an id are kept whole and take no
     part. Other columns are ignored.
     """
+    return _repeated(docs, width, anchor_words, doc_id, text).drop("copy_key")
+
+
+def _repeated(docs: DataFrame, width: int, anchor_words: int, doc_id: str, text: str) -> DataFrame:
+    """``repeated_passages`` with the ``copy_key`` of each row, null without an id."""
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     seeds, seed_path = cut(_seeded(source, width, anchor_words), "seeds")
@@ -91,7 +97,9 @@ def repeated_passages(
     seeded = (
         repeated.join(copies, "copy_key").where("doc_id = rep").select("doc_id", "copy_key", "anchors")
     )
-    texts, text_path = cut(source.join(seeded, "doc_id"), "texts")
+    # rows of one id have their own anchors by their words, and one row stands for rows of equal words
+    named_texts = _keyed(source, "text", "copy_key").join(seeded, ["doc_id", "copy_key"])
+    texts, text_path = cut(named_texts.dropDuplicates(["doc_id", "copy_key"]), "texts")
     windows, window_path = cut(_extended(texts, width, anchor_words), "windows")
 
     again = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
@@ -106,7 +114,7 @@ def repeated_passages(
     none = F.array().cast("array<struct<first: int, last: int>>")
     copied = F.coalesce((F.col("n_copies") > 1) & (F.col("n_words") >= width), F.lit(False))
     return named.join(found, F.col("copy_key") == F.col("key"), "left").select(
-        "doc_id", "n_words",
+        "doc_id", "copy_key", "n_words",
         F.when(copied, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copied, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
         F.when(copied, whole).otherwise(F.coalesce("spans", none)).alias("spans"),
@@ -121,11 +129,14 @@ def cut_repeated_passages(
     Texts without such words stay byte for byte; a text that loses all its words goes with its
     row. ``n_chars``, where the table has it, is counted anew for texts that changed.
     """
-    found = repeated_passages(docs, width, doc_id=doc_id, text=text).where("n_removed > 0")
+    found = _repeated(docs, width, 8, doc_id, text).where("n_removed > 0")
     spans = found.select(
-        F.col("doc_id").alias("_cut_id"), F.col("spans").alias("_spans"), (F.col("n_removed") == F.col("n_words")).alias("_emptied")
-    ).dropDuplicates(["_cut_id"])
-    joined = docs.join(spans, docs[doc_id] == spans["_cut_id"], "left").where("_emptied IS NULL OR NOT _emptied")
+        F.col("doc_id").alias("_cut_id"), F.col("copy_key").alias("_cut_key"), F.col("spans").alias("_spans"),
+        (F.col("n_removed") == F.col("n_words")).alias("_emptied"),
+    ).dropDuplicates(["_cut_id", "_cut_key"])
+    keyed = _keyed(docs, text, "_words_key")
+    same = (keyed[doc_id] == spans["_cut_id"]) & (keyed["_words_key"] == spans["_cut_key"])
+    joined = keyed.join(spans, same, "left").where("_emptied IS NULL OR NOT _emptied")
     types = dict(docs.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,6 +170,23 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join(kept).decode()
 
 
+def words_key(plain: bytes) -> int:
+    """Signed 64-bit key of the words of a text, joined by one blank."""
+    key = xxhash.xxh3_64_intdigest(plain)
+    return key - (1 << 64) if key >> 63 else key
+
+
+def _keyed(docs: DataFrame, text: str, name: str) -> DataFrame:
+    """``docs`` with the key of each text's words as column ``name``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [words_key(b" ".join(data.split())) for data in byte_column(batch, text)]
+            yield batch.append_column(name, pa.array(keys, pa.int64()))
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def _seeded(source: DataFrame, width: int, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -169,8 +197,7 @@ def _seeded(source: DataFrame, width: int, k: int) -> DataFrame:
                     grams = gram_hashes(word_hashes(words), k) if len(words) >= width else np.empty(0, np.uint64)
                     _, places = anchor_places(grams, width - k + 1)
                     anchors = [{"hash": h, "pos": p} for h, p in zip(grams[places].view(np.int64).tolist(), places.tolist(), strict=True)]
-                    key = xxhash.xxh3_64_intdigest(plain)
-                    yield one, key - (1 << 64) if key >> 63 else key, len(words), hashlib.sha256(plain).hexdigest(), anchors
+                    yield one, words_key(plain), len(words), hashlib.sha256(plain).hexdigest(), anchors
 
         yield from in_batches(rows(), _SEEDS, 512)
 

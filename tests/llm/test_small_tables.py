@@ -137,6 +137,24 @@ def test_repeated_passages_odd_rows(odd):
     assert sorted(rows, key=str) == sorted([(7, 60), (7, 60), (8, 0), (None, 0), (None, 0)], key=str)
 
 
+def test_rows_that_repeat_an_id(spark):
+    """Unlike texts of one id have their own passages, and a row given twice comes out twice."""
+    part = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    passage = part("p", 50)
+    rows = [
+        (7, f"{part('a', 20)} {passage}"), (7, f"{passage} {part('b', 90)}"), (7, part("c", 60)), (8, f"{part('d', 5)} {passage} {part('e', 9)}"),
+        (9, f"{part('f', 40)} {passage}"), (9, f"{part('f', 40)} {passage}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in repeats.repeated_passages(docs).collect())
+    assert got == [(7, 60, 0), (7, 70, 50), (7, 140, 50), (8, 64, 50), (9, 90, 90), (9, 90, 90)]
+    left = sorted((r["doc_id"], len(r["text"].split())) for r in repeats.cut_repeated_passages(docs).collect())
+    assert left == [(7, 20), (7, 60), (7, 90), (8, 14)]
+    unlike = spark.createDataFrame([(1, part("g", 30)), (1, part("h", 30)), (1, part("h", 30)), (2, part("h", 30))], "doc_id bigint, text string")
+    kept = sorted((r["doc_id"], r["text"]) for r in near_duplicates.drop_near_duplicates(unlike).collect())
+    assert kept == [(1, part("g", 30)), (1, part("h", 30))]
+
+
 def test_cut_passages(docs, rows):
     expected = brute.repeats(rows)
     cut = {r["doc_id"]: r for r in repeats.cut_repeated_passages(docs).collect()}
