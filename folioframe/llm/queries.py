@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioframe.llm.alignment import align_tokenizers
 from folioframe.llm.compression_bands import quality_rules
 from folioframe.llm.leaks import benchmark_leaks
 from folioframe.llm.licenses import scan_licenses
 from folioframe.llm.near_duplicates import near_duplicates
 from folioframe.llm.packing import pack_documents
 from folioframe.llm.perspectives import render_perspectives, span_text
+from folioframe.llm.phrases import mine_phrases
 from folioframe.llm.repeats import repeated_passages
+from folioframe.llm.simhash import simhash_groups
 from folioframe.llm.token_counts import count_tokens
 from folioframe.llm.token_ids import read_documents, write_token_ids
 from folioframe.llm.toxicity import held_out, train_toxicity
@@ -79,6 +82,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), 4, 80)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(documents(spark, sf_dir), 10, 3, 2000)
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(documents(spark, sf_dir), 3, 3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_perspectives": op2_perspectives,
@@ -90,4 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_winnowing": op8_winnowing,
     "op9_token_ids": op9_token_ids,
     "op10_minhash": op10_minhash,
+    "op11_phrases": op11_phrases,
+    "op12_alignment": op12_alignment,
+    "op13_simhash": op13_simhash,
 }

@@ -110,3 +110,38 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d LEFT JOIN sizes ON d.doc_id = sizes.doc_id JOIN least_seen ON node = d.doc_id
 """
+
+SQL["op11_phrases"] = rf"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format(text="text")}, '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), p AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d
+), grams AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p CROSS JOIN (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+), f AS (
+    SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY lang, k, phrase
+), c AS (
+    SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10
+), cuts AS (
+    SELECT c.lang, c.phrase, c.k, c.a, cut, l.a AS l, r.a AS r,
+        CAST(1000000::HUGEINT * c.a * c.a // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) AS c
+    JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:cut], ' ')
+    JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(w[cut + 1:], ' ')
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), around AS (
+    SELECT lang, array_to_string(w[s:s + 1], ' ') AS phrase, max(a) AS longer
+    FROM (SELECT lang, w, a, unnest([1, 2]) AS s FROM c WHERE k = 3) GROUP BY ALL
+), kept AS (
+    SELECT best.* FROM best LEFT JOIN around ON around.lang = best.lang AND around.phrase = best.phrase AND k = 2
+    WHERE longer IS NULL OR 100 * longer < 50 * a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+), n AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""

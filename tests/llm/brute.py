@@ -126,3 +126,97 @@ def check_pieces(pieces, ids_by_doc, width=2048):
         padding += width - at
         total += width
     return padding / max(total, 1)
+
+
+def simhash(text, k=3):
+    import xxhash
+
+    w = words(lower_ascii(text or ""))
+    grams = [" ".join(w[i : i + k]) for i in range(len(w) - k + 1)] if len(w) >= k else [" ".join(w)] * bool(w)
+    hashes = [xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def least_reachable(nodes, linked):
+    """The smallest id that each node reaches; nodes are (id or None, value), linked tells values apart."""
+    left, out = list(range(len(nodes))), {}
+    while left:
+        group, edge = [], [left.pop()]
+        while edge:
+            at = edge.pop()
+            group.append(at)
+            near_by = [o for o in left if linked(nodes[at][1], nodes[o][1])]
+            left = [o for o in left if o not in near_by]
+            edge += near_by
+        ids = [nodes[i][0] for i in group if nodes[i][0] is not None]
+        out |= {i: min(ids, default=None) for i in group}
+    return out
+
+
+def phrases(rows, min_count=10, longest=3, drop_percent=50, top=None):
+    """rows: (lang, text)."""
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower_ascii(text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for n in range(1, longest + 1):
+                counts[lang or "und"].update(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    out = []
+    for lang, f in counts.items():
+        n = sum(v for p, v in f.items() if len(p) == 1)
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        found = []
+        for p, a in candidates.items():
+            if any(
+                100 * b >= drop_percent * a and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1))
+                for q, b in candidates.items() if len(q) > len(p)
+            ):
+                continue
+            score, k = min((1000000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            found.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n, -score))
+    return sorted(out)
+
+
+def alignment(rows, path_a, path_b):
+    """rows: (id, text); per row the alignment contract, by overlaps of byte ranges."""
+    import sentencepiece
+    from tokenizers import Tokenizer, decoders
+
+    a, b = Tokenizer.from_file(path_a), sentencepiece.SentencePieceProcessor(model_file=path_b)
+    a.encode_special_tokens = True
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    unseen = [x for x in range(256) if x not in seen]
+    table = {chr(x): x for x in seen} | {chr(256 + i): x for i, x in enumerate(unseen)}
+    assert decoders.ByteLevel().decode(["Ġa"]) == " a"
+    docs = []
+    for one, text in rows:
+        if not text:
+            docs.append((one, [], [], [], []))
+            continue
+        ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+        bytes_a = [bytes(table[c] for c in a.id_to_token(i)) for i in ids_a]
+        bytes_b = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode()
+                   for p in map(b.id_to_piece, ids_b)]
+        if not b"".join(bytes_a) == b"".join(bytes_b) == (" " + text).encode():
+            docs.append((one, [], [], [], []))
+            continue
+        ends_a, ends_b = np.cumsum(list(map(len, bytes_a))).tolist(), np.cumsum(list(map(len, bytes_b))).tolist()
+        joint = sorted(set(ends_a) & set(ends_b))
+        links = [(ids_a[ends_a.index(e)], ids_b[ends_b.index(e)]) for e in joint]
+        groups, begin = [], 0
+        for e in joint:
+            groups.append(",".join(str(i) for i, x in zip(ids_a, ends_a, strict=True) if begin < x <= e) + "|"
+                          + ",".join(str(i) for i, x in zip(ids_b, ends_b, strict=True) if begin < x <= e))
+            begin = e
+        docs.append((one, ids_a, ids_b, links, groups))
+    count = Counter(pair for d in docs for pair in d[3])
+    highest = Counter()
+    for (_, y), c in count.items():
+        highest[y] = max(highest[y], c)
+    return [
+        (one, len(ids_a), len(ids_b), len(groups), len(links), sum(count[p] == highest[p[1]] for p in links),
+         sum(count[p] for p in links), hashlib.sha256(";".join(groups).encode()).hexdigest() if ids_a else "")
+        for one, ids_a, ids_b, links, groups in docs
+    ]

@@ -34,7 +34,7 @@ def rows(duck):
 
 def test_registered():
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries()) and set(SQL) <= set(entry_points.oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
