@@ -757,22 +757,31 @@ def model_table(spark, sf_dir):
     return rounded(out).select("model", "average_rouge1", "average_rouge2", "average_unigram_f", "average_similarity_a", "average_coherence", "average_fluency")
 
 
+#: Ids of one array file; a file's rows are bounded by it.
+FILE_IDS = 1 << 16
+
+
+def array_files(spark, sf_dir, label, *columns):
+    """``(source, part, value)``: JSON arrays of the documents of a source and a range of ids."""
+    part = F.expr(f"doc_id div {FILE_IDS}").alias("part")
+    rows = table(spark, sf_dir, "documents").select("source", part, F.struct(*columns).alias("row"))
+    arrays = rows.groupBy("source", "part").agg(F.to_json(F.array_sort(F.collect_list("row"))).alias("value"))
+    return arrays.repartition("source", "part"), scratch_path(spark, label)
+
+
 def json_arrays(spark, sf_dir):
-    """One array file a source, written and read back with each row's place in its file."""
-    path = scratch_path(spark, "arrays")
-    rows = table(spark, sf_dir, "documents").select("source", F.struct("doc_id", "lang").alias("row"))
-    arrays = rows.groupBy("source").agg(F.to_json(F.array_sort(F.collect_list("row"))).alias("value"))
-    arrays.repartition("source").write.partitionBy("source").text(path)
+    """Array files of every source, written and read back by byte ranges with each row's place in its file."""
+    arrays, path = array_files(spark, sf_dir, "arrays", "doc_id", "lang")
+    arrays.write.partitionBy("source", "part").text(path)
     back = files.read_json_array(spark, path, "doc_id bigint, lang string", glob="*.txt")
     return back.select("doc_id", "lang", "pos")
 
 
 def broken_arrays(spark, sf_dir):
     """Files cut in half give no rows and are listed."""
-    path = scratch_path(spark, "cut")
-    rows = table(spark, sf_dir, "documents").groupBy("source").agg(F.to_json(F.array_sort(F.collect_list(F.struct("doc_id")))).alias("value"))
+    arrays, path = array_files(spark, sf_dir, "cut", "doc_id")
     half = F.when(F.col("source").isin("src1", "src2"), F.substr("value", F.lit(1), (F.length("value") / 2).cast("int"))).otherwise(F.col("value"))
-    rows.select("source", half.alias("value")).repartition("source").write.partitionBy("source").text(path)
+    arrays.select("source", "part", half.alias("value")).write.partitionBy("source", "part").text(path)
     good = files.read_json_array(spark, path, "doc_id bigint", glob="*.txt").select(F.lit("row").alias("kind"), F.col("doc_id").cast("string").alias("name"))
     bad = files.unreadable_arrays(spark, path, "doc_id bigint", "*.txt").select(
         F.lit("file").alias("kind"), F.regexp_extract("file_path", "source=([^/]*)/", 1).alias("name")

@@ -481,9 +481,9 @@ m as (select model, round(avg(s), 6) as average_similarity_a, round(avg(coherenc
 select model, average_rouge1_f as average_rouge1, average_rouge2_f as average_rouge2, average_rouge1_f as average_unigram_f,
   average_similarity_a, average_coherence, average_fluency
 from m join a using (model) join b using (model)""",
-    "json_arrays": "select doc_id, lang, row_number() over (partition by source order by doc_id) - 1 as pos from documents",
+    "json_arrays": "select doc_id, lang, row_number() over (partition by source, doc_id // 65536 order by doc_id) - 1 as pos from documents",
     "broken_arrays": """select 'row' as kind, doc_id::varchar as name from documents where source not in ('src1', 'src2')
-union all select distinct 'file', source from documents where source in ('src1', 'src2')""",
+union all select 'file', source from (select distinct source, doc_id // 65536 from documents where source in ('src1', 'src2'))""",
     "dedup_by_file": f"""with {NUMBERED}
 select 'first' as kept, * from (select distinct on (title) title, source, pos, doc_id from n order by title, source, pos)
 union all select 'last', * from (select distinct on (title) title, source, pos, doc_id from n order by title, source desc, pos desc)""",

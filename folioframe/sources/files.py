@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioframe.functions.text import decode_bytes, safe_model_name
+from folioframe.sources.arrays import array_elements, file_texts
 
 CORRUPT = "_corrupt_record"
 ON_ERROR = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
@@ -24,41 +25,47 @@ def _struct(schema: str | T.StructType) -> T.StructType:
     return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
 
 
-def _arrays(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType, glob: str | None) -> DataFrame:
-    reader = spark.read
-    if glob:
-        reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-    raw = reader.text([path] if isinstance(path, str) else list(path), wholetext=True)
-    parsed = F.from_json("value", T.ArrayType(_struct(schema)), {"mode": "PERMISSIVE"})
-    return raw.select(
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file_name"),
-        parsed.alias("rows"),
-        F.col("value").alias("raw"),
+def _objects(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType, glob: str | None) -> DataFrame:
+    """``(file_path, pos, rows, last, good)``: the parsed elements of array files, and the row that ends each file."""
+    found = array_elements(spark, path, glob)
+    # in an array of its own, as a broken object then gives no row
+    rows = F.from_json(F.concat(F.lit("["), "element", F.lit("]")), T.ArrayType(_struct(schema)), {"mode": "PERMISSIVE"})
+    last = F.col("element").isNull()
+    return found.select("file_path", "pos", rows.alias("rows"), last.alias("last"), F.col("fits").alias("fits")).withColumn(
+        "good", F.col("fits") & (F.col("last") | F.col("rows").isNotNull())
     )
 
 
+def _verdicts(objects: DataFrame) -> DataFrame:
+    """``(file_path, readable)``: whether all of a file is an array of such objects."""
+    return objects.groupBy("file_path").agg((F.bool_and("good") & F.bool_or("last")).alias("readable"))
+
+
 def read_json_array(
     spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType,
     mode: str = "PERMISSIVE", glob: str | None = None,
 ) -> DataFrame:
     """``(file_name, pos, fields...)`` of JSON array files, in file order.
 
-    Files that are no such array give no rows; with ``FAILFAST`` they fail the query.
+    A file is read by as many tasks as it has splits (``arrays.array_elements``). Files that are no
+    array of objects give no rows; with ``FAILFAST`` they fail the query.
     """
-    files = _arrays(spark, path, schema, glob)
+    objects = _objects(spark, path, schema, glob)
+    files = _verdicts(objects)
     if mode == "FAILFAST":
         bad = F.raise_error(F.concat(F.lit("invalid JSON array: "), "file_path"))
-        files = files.withColumn("rows", F.when(F.col("rows").isNull(), bad).otherwise(F.col("rows")))
-    rows = files.select("file_name", F.posexplode("rows").alias("pos", "row"))
-    return rows.select("file_name", F.col("pos").cast("bigint").alias("pos"), "row.*")
+        files = files.withColumn("readable", F.when(~F.col("readable"), bad).otherwise(F.col("readable")))
+    rows = objects.where("NOT last").join(files.where("readable"), "file_path")
+    name = F.url_decode(F.element_at(F.split("file_path", "/"), -1)).alias("file_name")
+    return rows.select(name, "pos", F.explode("rows").alias("row")).select("file_name", "pos", "row.*")
 
 
 def unreadable_arrays(
     spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType, glob: str | None = None
 ) -> DataFrame:
     """``(file_path, raw)`` of the files ``read_json_array`` gets no rows from."""
-    return _arrays(spark, path, schema, glob).filter("rows is null").select("file_path", "raw")
+    bad = _verdicts(_objects(spark, path, schema, glob)).where("NOT readable").select("file_path")
+    return file_texts(spark, path, bad, glob)
 
 
 def read_json_lines(
