@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioframe.operators.pairing import pending
+from folioframe.session import cut, discard
+from folioframe.streaming.key_index import files_with, index_files, key_bucket
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -21,15 +24,30 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+#: Rows of one file, so that a task that makes its key filter holds no more hashes.
+FILE_ROWS = 1 << 22
+
+
+def unseen(rows: DataFrame, path: str, key: str | Sequence[str]) -> DataFrame:
+    """The rows whose key the table does not hold; only files that may hold one are read."""
+    keys = [key] if isinstance(key, str) else list(key)
+    spark = rows.sparkSession
+    files = files_with(rows.select(*keys), path, keys)
+    if not files:
+        return rows
+    return pending(rows, spark.read.schema(rows.select(*keys).schema).parquet(*map(unquote, files)), keys)
+
+
 def append_unseen(batch: DataFrame, path: str, key: str | Sequence[str]) -> None:
     """Append rows whose key the table does not hold; a repeated batch adds nothing.
 
-    What was seen is the table itself, so no streaming state grows with the corpus. Of several
+    What was seen is the table itself, so no streaming state grows with the corpus; of it only the
+    files are read whose key filters (``key_index``) pass a key of the batch. Of several
     rows of a key the one of the smallest content hash stays, the same on every run. Rows with a
-    null or empty key can't be told apart later and are left out.
+    null or empty key can't be told apart later and are left out. A batch's rows are dealt to files
+    by key bucket, so a file has filters for few buckets.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    seen = read_table(batch.sparkSession, path, batch.schema)
     named = batch
     for name in keys:
         named = named.where(F.col(name).isNotNull() & (F.col(name).cast("string") != ""))
@@ -37,7 +55,12 @@ def append_unseen(batch: DataFrame, path: str, key: str | Sequence[str]) -> None
     picked = F.min_by(F.struct(*rest), F.xxhash64(*batch.columns)).alias("_row") if rest else None
     one = named.groupBy(*keys).agg(picked) if rest else named.distinct()
     rows = one.select(*keys, "_row.*").select(batch.columns) if rest else one
-    pending(rows, seen, keys).write.mode("append").parquet(path)
+    # the batch is asked for its keys first and written then: it is made once
+    rows, row_path = cut(rows, "batch")
+    fresh = unseen(rows, path, keys).repartition(key_bucket(keys))
+    fresh.write.mode("append").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    index_files(batch.sparkSession, path, rows.select(*keys).schema, keys)
+    discard(batch.sparkSession, row_path)
 
 
 def run_available(
@@ -69,22 +92,16 @@ def convert_incrementally(
     inputs = source.columns
 
     def store(result: DataFrame) -> None:
-        kept = result.persist()
-        try:
-            good = kept.filter(F.col(failed).isNull()).drop(failed)
-            append_unseen(good, output, key)
-            append_unseen(kept.filter(F.col(failed).isNotNull()).select(*inputs), quarantine, key)
-        finally:
-            kept.unpersist()
+        kept, path = cut(result, "converted")
+        append_unseen(kept.filter(F.col(failed).isNull()).drop(failed), output, key)
+        append_unseen(kept.filter(F.col(failed).isNotNull()).select(*inputs), quarantine, key)
+        discard(spark, path)
 
     waiting = read_table(spark, quarantine, source.schema)
-    done_schema = convert(waiting).drop(failed).schema
-    store(convert(pending(waiting, read_table(spark, output, done_schema), key)))
+    store(convert(unseen(waiting, output, key)))
     run_available(source, checkpoint, lambda batch, _: store(convert(batch)))
 
 
 def unresolved(spark: SparkSession, quarantine: str, output: str, schema, key: str) -> DataFrame:
     """Quarantined inputs that no run has converted yet."""
-    waiting = read_table(spark, quarantine, schema)
-    done = read_table(spark, output, f"{key} {waiting.schema[key].dataType.simpleString()}")
-    return pending(waiting, done, key)
+    return unseen(read_table(spark, quarantine, schema), output, key)
