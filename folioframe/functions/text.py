@@ -110,7 +110,7 @@ def join_sections(sections: Column | str) -> Column:
 
 def has_score(response: str | None) -> bool:
     """Whether ``judge_score`` reads a score from an answer; for hooks inside Python tasks."""
-    found = re.search(SCORE_PATTERN, response or "")
+    found = re.search(SCORE_PATTERN, response or "", re.ASCII)  # as Java reads digits and blanks
     return found is not None and int(found[1]) < 1 << 31
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +15,9 @@ from folioframe.functions.overlap import gram_array, shared
 from folioframe.functions.stemming import stem_text
 from folioframe.functions.text import shifted, split_words, word_text, words
 from folioframe.functions.vectors import cosine
-from folioframe.operators.hooks import Encode, encode_texts
-from folioframe.session import cut
+from folioframe.operators.hooks import Encode
+from folioframe.operators.vector_store import store_vectors
+from folioframe.session import cut, scratch_path
 
 # Fixed value: label of the appended summary record.
 SUMMARY = "Overall Metrics"
@@ -143,40 +144,42 @@ def cosine_scores(
 
 def similarity_of_texts(
     pairs: DataFrame, encoders: Mapping[str, Callable[[], Encode]], keys: Sequence[str] = ("pair_id",),
-    reference: str = "reference_text", candidate: str = "candidate_text",
+    reference: str = "reference_text", candidate: str = "candidate_text", store: str | None = None,
 ) -> DataFrame:
     """``(keys, encoder, similarity)``: cosine of both texts of every pair, by every encoder.
 
-    Distinct texts are encoded once an encoder and joined back to both sides by digest. A pair
-    with a null text, or one that an encoder failed on, has a NULL similarity.
+    Vectors come from the store at ``store`` (``vector_store``), into which distinct texts that it
+    lacks are encoded first; without one from a new store in the shared folder. Both sides read it by
+    digest. A pair with a null text, or one that an encoder failed on, has a NULL similarity.
     """
-    sides = pairs.select(*keys, F.sha2(reference, 256).alias("_ref"), F.sha2(candidate, 256).alias("_cand"))
     texts = pairs.select(F.col(reference).alias("text")).union(pairs.select(F.col(candidate).alias("text")))
-    results = []
-    for name, make in encoders.items():
-        vectors = encode_texts(texts, make)
-        first = vectors.select(F.col("digest").alias("_ref"), F.col("vector").alias("_ref_vector"))
-        second = vectors.select(F.col("digest").alias("_cand"), F.col("vector").alias("_cand_vector"))
-        joined = sides.join(first, "_ref", "left").join(second, "_cand", "left")
-        results.append(cosine_scores(joined.withColumn("encoder", F.lit(name)), [*keys, "encoder"], "_ref_vector", "_cand_vector"))
-    return reduce(DataFrame.unionByName, results)
-
-
-def _unit_rows(vectors) -> np.ndarray:
-    rows = np.stack(vectors).astype("float64")
+    vectors = store_vectors(texts, encoders, store or scratch_path(pairs.sparkSession, "vectors"))
+    names = F.explode(F.array(*[F.lit(name) for name in encoders])).alias("encoder")
+    sides = pairs.select(*keys, F.sha2(reference, 256).alias("_ref"), F.sha2(candidate, 256).alias("_cand"), names)
+    first = vectors.select(F.col("digest").alias("_ref"), "encoder", F.col("vector").alias("_ref_vector"))
+    second = vectors.select(F.col("digest").alias("_cand"), "encoder", F.col("vector").alias("_cand_vector"))
+    joined = sides.join(first, ["_ref", "encoder"], "left").join(second, ["_cand", "encoder"], "left")
+    return cosine_scores(joined, [*keys, "encoder"], "_ref_vector", "_cand_vector")
+
+
+def _unit_rows(vectors: pa.ChunkedArray) -> np.ndarray:
+    """The vectors as rows of length one, zero vectors as they are."""
+    lists = vectors.combine_chunks()
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    rows = flat.reshape(len(lists), -1).astype("float64")
     norms = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
 
 
-def _best_match(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Best cosine of every token of two blocks."""
-    a, b = _unit_rows(pdf["_ref_vec"][0]), _unit_rows(pdf["_cand_vec"][0])
-    similar = a @ b.T
-    sides = np.repeat([0, 1], [len(a), len(b)])
-    toks = np.concatenate([pdf["_ref_tok"][0], pdf["_cand_tok"][0]])
-    return pd.DataFrame(
-        {"side": sides, "tok": toks, "best": np.concatenate([similar.max(axis=1), similar.max(axis=0)])}
-    )
+def best_matches(a: np.ndarray, b: np.ndarray, tile: int) -> tuple[np.ndarray, np.ndarray]:
+    """The highest product of each row of ``a`` with rows of ``b``, and the other way round, tile by tile."""
+    best_a, best_b = np.full(len(a), -np.inf), np.full(len(b), -np.inf)
+    for i in range(0, len(a), tile):
+        for j in range(0, len(b), tile):
+            similar = a[i : i + tile] @ b[j : j + tile].T
+            np.maximum(best_a[i : i + tile], similar.max(axis=1), out=best_a[i : i + tile])
+            np.maximum(best_b[j : j + tile], similar.max(axis=0), out=best_b[j : j + tile])
+    return best_a, best_b
 
 
 def bert_score(
@@ -186,47 +189,44 @@ def bert_score(
     """BERTScore precision, recall and F1 per pair from token vectors.
 
     ``pairs`` is the table of all pairs; those without tokens on a side score 0. Without it the
-    pairs are those that have a token.
+    pairs are those that have a token. ``side`` is ``reference`` or ``candidate``; precision
+    averages over candidate tokens; a token number that comes twice on a side counts by its best.
 
-    ``side`` is ``reference`` or ``candidate``; precision averages over candidate tokens. Each
-    side is cut into blocks of ``block`` consecutive token numbers. Blocks of a pair are compared by one
-    matrix product per pair of blocks, so a task holds two blocks and never a whole long text.
+    Both sides are dealt by pair and meet in one task, so each vector is shuffled once. There they
+    are two matrices, compared in tiles of ``block`` by ``block`` tokens whose maxima are kept as they come; a
+    pair gives one row. Beside a tile a task holds the vectors of one pair.
     """
     keys = list(keys)
-    blocks = (
-        tokens.select(*keys, side, tok, vector, F.expr(f"`{tok}` div {int(block)}").alias("_block"))
-        .groupBy(*keys, side, "_block")
-        .agg(F.collect_list(F.struct(tok, vector)).alias("_rows"))
-    )
-
-    def one_side(value: str, name: str) -> DataFrame:
-        return blocks.filter(F.col(side) == value).select(
-            *keys, F.col(f"_rows.{tok}").alias(f"_{name}_tok"), F.col(f"_rows.{vector}").alias(f"_{name}_vec")
-        )
-
-    both = one_side("reference", "ref").join(one_side("candidate", "cand"), keys)
-    names = keys
-
-    def compare(batches):
-        for pdf in batches:
-            for i in range(len(pdf)):
-                row = pdf.iloc[i : i + 1].reset_index(drop=True)
-                out = _best_match(row)
-                for name in names:
-                    out[name] = row[name][0]
-                yield out[[*names, "side", "tok", "best"]]
-
-    types = {f.name: f.dataType.simpleString() for f in tokens.schema.fields}
-    schema = ", ".join([*[f"`{k}` {types[k]}" for k in keys], "side int", f"tok {types[tok]}", "best double"])
-    per_token = both.mapInPandas(compare, schema).groupBy(*keys, "side", "tok").agg(F.max("best").alias("best"))
-    means = per_token.groupBy(*keys).agg(
-        F.avg(F.when(F.col("side") == 1, F.col("best"))).alias("bert_precision"),
-        F.avg(F.when(F.col("side") == 0, F.col("best"))).alias("bert_recall"),
+    rows = tokens.select(*keys, side, F.col(tok).alias("_tok"), F.col(vector).alias("_vec")).where(F.col("_vec").isNotNull())
+    reference, candidate = (rows.where(F.col(side) == value).drop(side) for value in ("reference", "candidate"))
+    # names of their own, so that the two sides of one table can meet
+    candidate = candidate.select(
+        *[F.col(k).alias(f"_cand_{i}") for i, k in enumerate(keys)], F.col("_tok").alias("_cand_tok"), F.col("_vec").alias("_cand_vec")
     )
-    # Pairs with tokens on one side only score 0.
-    every = (blocks if pairs is None else pairs).select(*keys).distinct()
+    types = [f"`{k}` {tokens.schema[k].dataType.simpleString()}" for k in keys]
+
+    def mean(numbers: pa.ChunkedArray, best: np.ndarray) -> float:
+        _, place = np.unique(numbers.to_numpy(zero_copy_only=False), return_inverse=True)
+        by_token = np.full(place.max() + 1, -np.inf)
+        np.maximum.at(by_token, place, best)
+        return float(by_token.mean())
+
+    def compare(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
+        precision = recall = 0.0
+        if left.num_rows and right.num_rows:
+            best_ref, best_cand = best_matches(_unit_rows(left.column("_vec")), _unit_rows(right.column("_cand_vec")), block)
+            precision, recall = mean(right.column("_cand_tok"), best_cand), mean(left.column("_tok"), best_ref)
+        return pa.table({
+            **{name: pa.array([value.as_py()], value.type) for name, value in zip(keys, key, strict=True)},
+            "bert_precision": [precision], "bert_recall": [recall],
+        })
+
+    cogrouped = reference.groupBy(*keys).cogroup(candidate.groupBy(*[f"_cand_{i}" for i in range(len(keys))]))
+    means = cogrouped.applyInArrow(compare, ", ".join([*types, "bert_precision double", "bert_recall double"]))
+    if pairs is not None:
+        means = pairs.select(*keys).distinct().join(means, keys, "left")
     p, r = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("bert_precision", "bert_recall"))
-    return every.join(means, keys, "left").select(
+    return means.select(
         *keys, p.alias("bert_precision"), r.alias("bert_recall"),
         F.when(p + r != 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0)).alias("bert_f1"),
     )

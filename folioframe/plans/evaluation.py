@@ -14,7 +14,7 @@ from folioframe.operators.judging import (
 from folioframe.operators.metrics import (
     benchmark_table, bert_score, cosine_scores, roll_up, rouge, similarity_of_texts, unigram_scores, with_summary,
 )
-from folioframe.session import cut
+from folioframe.session import cut, discard
 from folioframe.streaming.incremental import append_unseen, read_table
 
 
@@ -40,11 +40,12 @@ def model_benchmark(
 def model_table(
     pairs: DataFrame, encoders: Mapping[str, Callable[[], Encode]], tokens: DataFrame | None = None,
     judged: DataFrame | None = None, evaluated: DataFrame | None = None, model: str = "model", key: str = "pair_id",
-    dimensions: Sequence[str] = (), stemmed: bool = True,
+    dimensions: Sequence[str] = (), stemmed: bool = True, store: str | None = None,
 ) -> DataFrame:
     """One row per model with the mean of every metric.
 
-    ROUGE-1/2/L and unigram F come from the texts, ``similarity_<encoder>`` from the encoders.
+    ROUGE-1/2/L and unigram F come from the texts, ``similarity_<encoder>`` from the encoders, by way
+    of the vector table at ``store``.
     ``tokens`` (vectors by ``model, key, side, tok``) adds BERTScore over all pairs, ``judged``
     (``model`` and score columns) judge means, ``evaluated`` (``model, dimension, score``) a
     column for each of ``dimensions``.
@@ -54,7 +55,7 @@ def model_table(
         "rouge": roll_up(rouge(pairs, keys, stemmed=stemmed), ["rouge1", "rouge2", "rougeL"], [model]),
         "unigram": roll_up(unigram_scores(pairs, keys), ["unigram_f"], [model]),
     }
-    similar = similarity_of_texts(pairs, encoders, keys)
+    similar = similarity_of_texts(pairs, encoders, keys, store=store)
     cells = [F.avg(F.when(F.col("encoder") == name, F.col("similarity"))).alias(f"average_similarity_{name}") for name in encoders]
     parts["similarity"] = similar.groupBy(model).agg(*cells, F.count(F.lit(1)).alias("n_pairs"))
     if tokens is not None:
@@ -82,13 +83,16 @@ def judge_missing(
 ) -> DataFrame:
     """Ask the questions that the score table at ``path`` lacks, append the scores, return the table.
 
+    The raw responses are written first, so no later stage that is run again asks the judge again.
     Only scored answers are stored, so a question without one is open again in the next run.
     """
     spark, asked = articles.sparkSession, [*keys, "side", "metric"]
     types = ", ".join(f"{k} {articles.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{types}, side string, metric string, score int"
     prompts = judge_prompts(articles, templates, keys, read_table(spark, path, schema))
-    append_unseen(accepted_scores(run_judge(prompts, make, asked), keys), path, asked)
+    responses, response_path = cut(run_judge(prompts, make, asked), "responses")
+    append_unseen(accepted_scores(responses, keys), path, asked)
+    discard(spark, response_path)
     return read_table(spark, path, schema)
 
 

@@ -131,3 +131,22 @@ def test_profile(spark):
     counts = {r["column"]: (r["n_rows"], r["n_non_null"]) for r in profile.row_counts(df).collect()}
     assert counts == {"x": (200, len(known)), "y": (200, 200), "s": (200, 200)}
     assert [r["type"] for r in profile.column_types(df).orderBy("position").collect()] == ["int", "double", "string"]
+
+
+def test_order_statistics(spark, monkeypatch):
+    """Radix selection over every kind of double, with and without the short cut to all bits."""
+    random.seed(4)
+    odd = [0.0, -0.0, 1e308, -1e308, 5e-324, -5e-324, float("inf"), float("-inf"), float("nan"), 1.5, 1.5, 1.5000000000000002]
+    xs = [*odd, *(random.uniform(-1, 1) * 10 ** random.randint(-300, 300) for _ in range(150)), *map(float, range(-40, 40)), None]
+    ys = [random.choice([None, 3]) for _ in xs]
+    df = spark.createDataFrame(list(zip(xs, ys, strict=True)), "x double, y int").repartition(3)
+    known = sorted((x for x in xs if x is not None), key=lambda x: (x != x, x))
+    ranks = {"x": set(range(0, len(known), 3)) | {len(known) - 1}, "y": {0}}
+    for few in (1 << 20, 1):
+        monkeypatch.setattr(profile, "_FEW", few)
+        found = profile.order_statistics(df, ranks)
+        assert [str(found["x", r] + 0.0) for r in sorted(ranks["x"])] == [str(known[r] + 0.0) for r in sorted(ranks["x"])]
+        assert found["y", 0] == 3.0 and len(found) == len(ranks["x"]) + 1
+    assert profile.order_statistics(df, {"x": set()}) == {}
+    assert profile.describe(df.where("y > 3"), ["x", "y"]).count() == 0
+    assert profile.describe(spark.createDataFrame([], "x double"), ["x"]).count() == 0

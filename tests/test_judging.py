@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from folioframe.functions.text import has_score, judge_score
 from folioframe.operators import hooks, judging
 from folioframe.plans import evaluation
 
@@ -128,3 +129,10 @@ def test_generator_and_encoder_hooks(spark):
     texts = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "text string")
     encoded = hooks.encode_texts(texts, hooks.stub_encoder).collect()
     assert len(encoded) == 2 and all(len(r["vector"]) == 16 for r in encoded)
+
+
+def test_a_score_is_the_same_in_a_task_and_in_a_plan(spark):
+    answers = ['{"score": 4}', '{"score": ٣}', '"score": ４', '{"score":\u00a04}', '{"score":\u20284}', '"score" : 10', "", None, '{"score": 99999999999}', "none"]
+    table = spark.createDataFrame([(a,) for a in answers], "answer string").select("answer", judge_score("answer").alias("score"))
+    for r in table.collect():
+        assert has_score(r["answer"]) == (r["score"] is not None)

@@ -164,6 +164,66 @@ def test_bert_score(spark, block):
     close(out, expected)
 
 
+def test_bert_score_plan_and_odd_rows(spark):
+    """Each vector is shuffled once, and there is no pandas; a token given twice counts by its best."""
+    rows = [("m", 0, "reference", 0, [1.0, 0.0]), ("m", 0, "reference", 1, [0.0, 1.0]), ("m", 0, "candidate", 5, [1.0, 1.0]),
+            ("m", 0, "candidate", 5, [2.0, 0.0]), ("m", 0, "candidate", 6, None), (None, 1, "reference", 0, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "model string, pair_id int, side string, tok int, vec array<float>")
+    scored = metrics.bert_score(df, ["model", "pair_id"])
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "InPandas" not in plan and "FlatMapCoGroupsInArrow" in plan
+    out = {(r["model"], r["pair_id"]): (r["bert_precision"], r["bert_recall"]) for r in scored.collect()}
+    close(out, {("m", 0): (1.0, (1 + 0.5**0.5) / 2), (None, 1): (0.0, 0.0)})
+    every = spark.createDataFrame([("m", 0), ("m", 9)], "model string, pair_id int")
+    assert {r["pair_id"]: r["bert_f1"] > 0 for r in metrics.bert_score(df, ["model", "pair_id"], pairs=every).collect()} == {0: True, 9: False}
+
+
+def test_best_matches_by_tiles():
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(17, 4)), rng.normal(size=(9, 4))
+    for tile in (1, 4, 100):
+        rows, columns = metrics.best_matches(a, b, tile)
+        assert np.allclose(rows, (a @ b.T).max(axis=1)) and np.allclose(columns, (a @ b.T).max(axis=0))
+
+
+def test_vector_store_encodes_each_text_once(spark, tmp_path):
+    calls, store = tmp_path / "calls", str(tmp_path / "store")
+    calls.mkdir()
+
+    def counting(name):
+        def make():
+            def encode(texts):
+                if "fails" in texts:
+                    raise ValueError
+                for text in texts:
+                    with (calls / name).open("a") as log:
+                        log.write(text + "\n")
+                return [[float(len(t)), 1.0] for t in texts]
+
+            return encode
+
+        return make
+
+    def seen(name):
+        return sorted((calls / name).read_text().split()) if (calls / name).exists() else []
+
+    rows = [(0, "aa", "bbb"), (1, "bbb", "aa"), (2, "aa", "aa"), (3, None, "aa"), (4, "fails", "cccc")]
+    pairs = spark.createDataFrame(rows, "pair_id int, reference_text string, candidate_text string")
+    encoders = {"x": counting("x"), "y": counting("y")}
+    cosine = lambda n, m: (n * m + 1) / ((n * n + 1) * (m * m + 1)) ** 0.5
+    for _ in range(2):
+        out = metrics.similarity_of_texts(pairs, encoders, store=store).collect()
+        assert len(out) == 10
+        for name in encoders:
+            got = {r["pair_id"]: r["similarity"] for r in out if r["encoder"] == name}
+            assert got[3] is None and got[4] is None
+            assert [got[i] for i in range(3)] == pytest.approx([cosine(2, 3), cosine(3, 2), 1.0])
+            assert seen(name) == ["aa", "bbb", "cccc"]
+    more = spark.createDataFrame([(9, "aa", "new")], pairs.schema)
+    assert metrics.similarity_of_texts(more, {"x": counting("x")}, store=store).count() == 1
+    assert seen("x") == ["aa", "bbb", "cccc", "new"] and seen("y") == ["aa", "bbb", "cccc"]
+
+
 def test_roll_ups(pairs):
     scored = metrics.rouge_n(pairs, 1, keys=("pair_id", "model"))
     values = {r["pair_id"]: r["rouge1_f"] for r in scored.collect()}
