@@ -458,7 +458,7 @@ def dedup_last(spark, sf_dir):
 
 def numbered_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents numbered inside their source, as files number their own rows: positions repeat."""
-    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.substring("text", 1, 2).alias("title"))
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.substring_index("text", "\n", 1).alias("title"))
     place = ordered.scan_groups(
         ordered.by_width(rows, "doc_id", 97), ["source"], ["doc_id"], totals={"pos": F.lit(1).cast("bigint")}
     )

@@ -235,7 +235,7 @@ from article_pairs where (coalesce(title, '') <> '' or coalesce(content, '') <>
   and original_abstract is not null and generated_abstract is not null"""
 
 NUMBERED = """n as (
-  select source, doc_id, substr(text, 1, 2) as title, row_number() over (partition by source order by doc_id) as pos from documents)"""
+  select source, doc_id, split_part(text, chr(10), 1) as title, row_number() over (partition by source order by doc_id) as pos from documents)"""
 
 
 def stub_vector(text: str) -> str:

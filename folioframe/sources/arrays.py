@@ -37,7 +37,7 @@ def array_elements(spark: SparkSession, path: str | Sequence[str], glob: str | N
     that go over a range's border are put together by a shuffle. Elements that aren't objects
     don't fit. A file without such a last row has been cut off.
     """
-    pieces = _fragments(spark, path, glob).join(_range_states(spark, path, glob), _RANGE)
+    pieces = fragments(spark, path, "}", glob).join(_range_states(spark, path, glob), _RANGE)
     # a join by broadcast keeps the order, any other doesn't
     pieces = pieces.sortWithinPartitions(*_RANGE, "place").select(*_RANGE, "value", "inside", "depth", "before")
     cut_out = pieces.mapInArrow(_cut_out, _PIECES)
@@ -59,16 +59,16 @@ def array_elements(spark: SparkSession, path: str | Sequence[str], glob: str | N
 
 def file_texts(spark: SparkSession, path: str | Sequence[str], files: DataFrame, glob: str | None = None) -> DataFrame:
     """``(file_path, raw)`` of the files whose ``file_path`` is among ``files``."""
-    pieces = _fragments(spark, path, glob).join(files, "file_path", "left_semi")
+    pieces = fragments(spark, path, "}", glob).join(files, "file_path", "left_semi")
     ordered = F.array_sort(F.collect_list(F.struct("range_start", "place", "value")))
     whole = pieces.groupBy("file_path").agg(F.array_join(ordered["value"], "}").alias("raw"), F.max("size").alias("size"))
     closed = F.when(F.octet_length("raw") < F.col("size"), F.concat("raw", F.lit("}"))).otherwise(F.col("raw"))
     return whole.select("file_path", closed.alias("raw"))
 
 
-def _fragments(spark: SparkSession, path: str | Sequence[str], glob: str | None) -> DataFrame:
-    """``(file_path, range_start, place, value, size)``: the text between two ``}``, in order of ``place`` in a range."""
-    reader = spark.read.option("lineSep", "}")
+def fragments(spark: SparkSession, path: str | Sequence[str], separator: str, glob: str | None = None) -> DataFrame:
+    """``(file_path, range_start, place, value, size)``: the text between two separators, in order of ``place`` in a range."""
+    reader = spark.read.option("lineSep", separator)
     if glob:
         reader = reader.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
     raw = reader.text([path] if isinstance(path, str) else list(path))
@@ -83,7 +83,7 @@ def _range_states(spark: SparkSession, path: str | Sequence[str], glob: str | No
 
     One small row a range; the prefix sums are over the ranges of a file.
     """
-    totals = _fragments(spark, path, glob).select(*_RANGE, "value").mapInArrow(_totals, _TOTALS)
+    totals = fragments(spark, path, "}", glob).select(*_RANGE, "value").mapInArrow(_totals, _TOTALS)
     earlier = Window.partitionBy("file_path").orderBy("range_start").rowsBetween(Window.unboundedPreceding, -1)
 
     def so_far(value):

@@ -6,6 +6,7 @@ Parquet with an explicit ``pos``.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 
 from folioframe.functions.text import decode_bytes, safe_model_name
 from folioframe.sources.arrays import array_elements, file_texts
+from folioframe.sources.quoted import csv_records
 
 CORRUPT = "_corrupt_record"
 ON_ERROR = ("PERMISSIVE", "DROPMALFORMED", "FAILFAST")
@@ -92,10 +94,23 @@ def write_json(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "er
     (writer.partitionBy(*by) if by else writer).json(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """CSV with a header; without a schema every column is text."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return (reader.schema(schema) if schema else reader).csv(path)
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType | None = None) -> DataFrame:
+    """CSV with a header in each file, line breaks in quotes included; a file is read by as many tasks as it has splits.
+
+    Quotes stand around whole fields and are doubled inside them, as ``write_csv`` and others write them.
+    Columns go by place. Without a schema every column is text, named by the first header found.
+    """
+    records = csv_records(spark, path)
+    options = {"escape": '"', "mode": "PERMISSIVE"}
+    if schema is None:
+        header = records.where("first").select("record").orderBy("record").first()
+        names = next(csv.reader([header["record"]])) if header else []
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    struct = _struct(schema)
+    # names of their own while parsing, whatever the columns are called
+    plain = ", ".join(f"c{i} {field.dataType.simpleString()}" for i, field in enumerate(struct.fields))
+    rows = records.where("NOT first AND record != ''").select(F.from_csv("record", plain, options).alias("row"))
+    return rows.select([F.col(f"row.c{i}").alias(name) for i, name in enumerate(struct.fieldNames())])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:

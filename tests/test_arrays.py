@@ -48,8 +48,8 @@ def test_one_file_is_read_by_several_tasks(spark, tmp_path):
     (tmp_path / "big.json").write_text(json.dumps([{"n": i, "title": "x" * 50} for i in range(3000)]))
     with settings(spark, ranges(1 << 14)):
         found = arrays.array_elements(spark, str(tmp_path))
-        assert arrays._fragments(spark, str(tmp_path), None).rdd.getNumPartitions() > 10
-        whole = arrays._fragments(spark, str(tmp_path), None).select("range_start").distinct().count()
+        assert arrays.fragments(spark, str(tmp_path), "}").rdd.getNumPartitions() > 10
+        whole = arrays.fragments(spark, str(tmp_path), "}").select("range_start").distinct().count()
         assert whole > 10 and found.where("element IS NOT NULL").count() == 3000
         # only what goes over a border is put together by a shuffle
         plan = found._jdf.queryExecution().executedPlan().toString()
