@@ -6,6 +6,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -77,57 +78,67 @@ class Aligner:
         self.bytes_b = [_piece_bytes(self.b.id_to_piece(i)) for i in range(self.b.get_piece_size())]
         self.lengths_a = np.array(list(map(len, self.bytes_a)), np.int64)
         self.lengths_b = np.array(list(map(len, self.bytes_b)), np.int64)
+        # an id as it is written before a token of its own side and before what follows then
+        self.shown_a = np.array([f"{i},".encode() for i in range(size)] + [f"{i}|".encode() for i in range(size)], object)
+        size_b = len(self.bytes_b)
+        self.shown_b = np.array([f"{i},".encode() for i in range(size_b)] + [f"{i};".encode() for i in range(size_b)], object)
         self.splits = split_is_safe(self.b)
         self.forget()
 
     def forget(self) -> None:
         """Begin a block: no chunk is known."""
         self.known: dict[str, int] = {}
-        self.texts, self.counts, self.links = [], [], []
+        self.odd: set[str] = set()
+        self.texts: list[bytes | None] = []
+        #: Tokens of A, tokens of B and groups of each chunk; the pairs of all chunks in order.
+        self.sizes = np.zeros((3, 0), np.int64)
+        self.pairs: list[np.ndarray] = []
 
     def chunks(self, text: str) -> list[str]:
         return _SAFE.split(text) if self.splits else [text]
 
     def learn(self, fresh: list[str]) -> None:
         """Align chunks not met before in this block."""
-        ids_a = [e.ids for e in self.a.encode_batch([" " + c for c in fresh], add_special_tokens=False)]
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in fresh], add_special_tokens=False)]
         ids_b = self.b.encode(fresh, num_threads=1)
-        good = []
-        for i, chunk in enumerate(fresh):
-            data = (" " + chunk).encode()
-            same = b"".join(map(self.bytes_a.__getitem__, ids_a[i])) == data
-            good.append(same and b"".join(map(self.bytes_b.__getitem__, ids_b[i])) == data)
-        kept = [i for i, ok in enumerate(good) if ok]
-        flat_a = np.array([t for i in kept for t in ids_a[i]], np.int64)
-        flat_b = np.array([t for i in kept for t in ids_b[i]], np.int64)
-        n_a = len(flat_a)
-        ends = terminals(np.cumsum(self.lengths_a[flat_a]), np.cumsum(self.lengths_b[flat_b]))
-        is_last = ends[n_a:] == n_a + np.arange(len(flat_b))
+        good = self._whole(fresh, ids_a, ids_b)
+        if not all(good):
+            self.odd.update(c for c, ok in zip(fresh, good, strict=True) if not ok)
+            ids_a = [x if ok else [] for x, ok in zip(ids_a, good, strict=True)]
+            ids_b = [x if ok else [] for x, ok in zip(ids_b, good, strict=True)]
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64, n_a.sum())
+        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, n_b.sum())
+        ends = terminals(np.cumsum(self.lengths_a[flat_a]), np.cumsum(self.lengths_b[flat_b])) - len(flat_a)
+        is_last = ends[len(flat_a) :] == np.arange(len(flat_b))
         label = np.cumsum(is_last) - is_last  # the number of a B token's group, from 0
-        group_a, group_b = label[ends[:n_a] - n_a], label[ends[n_a:] - n_a]
-        n_groups = int(is_last.sum())
-        last_a = np.searchsorted(group_a, np.arange(n_groups), "right") - 1
-        pairs = (flat_a[last_a] << 32) | flat_b[is_last]
-        first_a = np.searchsorted(group_a, np.arange(n_groups + 1)).tolist()
-        first_b = np.searchsorted(group_b, np.arange(n_groups + 1)).tolist()
-        shown_a, shown_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        groups = [
-            f"{','.join(shown_a[first_a[g] : first_a[g + 1]])}|{','.join(shown_b[first_b[g] : first_b[g + 1]])}" for g in range(n_groups)
-        ]
-        at_b = at = 0
-        for i, chunk in enumerate(fresh):
+        group_a, group_b = label[ends[: len(flat_a)]], label[ends[len(flat_a) :]]
+        ends_a = np.append(group_a[1:] != group_a[:-1], True)[: len(flat_a)]
+        self.pairs.append((flat_a[ends_a] << 32) | flat_b[is_last])
+        # A tokens of a group, then its B tokens
+        written = np.empty(len(flat_a) + len(flat_b), object)
+        before_b = np.append(0, np.flatnonzero(is_last) + 1)
+        after_a = np.flatnonzero(ends_a) + 1
+        written[np.arange(len(flat_a)) + before_b[group_a]] = self.shown_a[flat_a + ends_a * (len(self.shown_a) // 2)]
+        written[np.arange(len(flat_b)) + after_a[group_b]] = self.shown_b[flat_b + is_last * (len(self.shown_b) // 2)]
+        edges = np.cumsum(n_a + n_b).tolist()
+        begin = 0
+        for chunk, end, ok in zip(fresh, edges, good, strict=True):
             self.known[chunk] = len(self.texts)
-            if not good[i]:
-                self.texts.append(None)
-                self.counts.append((0, 0, 0))
-                self.links.append(pairs[:0])
-                continue
-            at_b += len(ids_b[i])
-            end = int(label[at_b - 1]) + 1
-            self.texts.append(";".join(groups[at:end]).encode())
-            self.counts.append((len(ids_a[i]), len(ids_b[i]), end - at))
-            self.links.append(pairs[at:end])
-            at = end
+            self.texts.append(b"".join(written[begin:end]) if ok else None)
+            begin = end
+        groups = np.diff(np.append(0, np.cumsum(is_last))[np.append(0, np.cumsum(n_b))])
+        self.sizes = np.concatenate([self.sizes, [n_a, n_b, groups]], axis=1)
+
+    def _whole(self, fresh: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> list[bool]:
+        """Whether the tokens of both sides give the bytes of a chunk after a blank."""
+        data = [b" " + c.encode() for c in fresh]
+        good = [True] * len(fresh)
+        for ids, table in ((ids_a, self.bytes_a), (ids_b, self.bytes_b)):
+            for i, one in enumerate(ids):
+                if b"".join(map(table.__getitem__, one)) != data[i]:
+                    good[i] = False
+        return good
 
 
 def _piece_bytes(piece: str) -> bytes:
@@ -203,23 +214,23 @@ def _documents(aligner: Aligner, part: pa.RecordBatch, block: str, used: list[np
     if fresh:
         aligner.learn(fresh)
     # a text with a chunk that doesn't come out byte for byte is judged as a whole
-    odd = [" ".join(chunks) for chunks in parts if len(chunks) > 1 and any(aligner.texts[known[c]] is None for c in chunks)]
+    odd = [" ".join(chunks) for chunks in parts if len(chunks) > 1 and not aligner.odd.isdisjoint(chunks)]
     odd = [text for text in dict.fromkeys(odd) if text not in known]
     if odd:
         aligner.learn(odd)
     rows = []
     for one, chunks in zip(part.column("doc_id").to_pylist(), parts, strict=True):
         places = np.fromiter(map(known.__getitem__, chunks), np.int32, len(chunks))
-        texts = [aligner.texts[i] for i in places.tolist()]
+        texts = list(map(aligner.texts.__getitem__, places.tolist()))
         if len(texts) > 1 and None in texts:
             places = np.array([known[" ".join(chunks)]], np.int32)
             texts = [aligner.texts[places[0]]]
         if not texts or None in texts:
             rows.append((block, one, 0, 0, 0, 0, "", b""))
             continue
-        n_a, n_b, n_groups = map(sum, zip(*map(aligner.counts.__getitem__, places.tolist()), strict=True))
+        n_a, n_b, n_groups = aligner.sizes[:, places].sum(axis=1).tolist()
         used.append(places)
-        digest = hashlib.sha256(b";".join(texts)).hexdigest()
+        digest = hashlib.sha256(b"".join(texts)[:-1]).hexdigest()
         rows.append((block, one, n_a, n_b, n_groups, n_groups, digest, places.astype("<i4").tobytes()))
     columns = list(zip(*rows, strict=True))
     empty = [pa.nulls(len(rows), field.type) for field in _ROW][len(columns) :]
@@ -229,14 +240,13 @@ def _documents(aligner: Aligner, part: pa.RecordBatch, block: str, used: list[np
 
 def _dictionary(aligner: Aligner, used: list[np.ndarray], block: str) -> pa.RecordBatch:
     """The row of a block: distinct pairs with their uses, and for each chunk the places of its links in them."""
-    sizes = np.array([len(x) for x in aligner.links], np.int64)
-    every = np.concatenate([*aligner.links, np.empty(0, np.int64)])
-    pairs, places = np.unique(every, return_inverse=True)
+    sizes = aligner.sizes[2]
+    pairs, places = np.unique(np.concatenate([*aligner.pairs, np.empty(0, np.int64)]), return_inverse=True)
     times = np.zeros(len(sizes), np.int64)
     for one in used:
         times += np.bincount(one, minlength=len(sizes))
     uses = np.bincount(places, weights=np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
-    values = [block, None, None, None, None, None, None, None, pairs.tolist(), uses.tolist(),
+    values = [block, None, None, None, None, None, None, None, pairs, uses,
               sizes.astype("<i4").tobytes(), places.astype("<i4").tobytes()]
     return pa.RecordBatch.from_arrays([pa.array([v], field.type) for v, field in zip(values, _ROW, strict=True)], schema=_ROW)
 
