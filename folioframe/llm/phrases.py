@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import repeat
@@ -24,7 +25,9 @@ _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _PIECE_ENDS, b"abcdefghijklmnopqrstuvwxyz " + _BREAK * len(_PIECE_ENDS)
 )
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
-_BUFFER_BYTES, _BUFFER_CODES, _BUFFER_WORDS = 4 << 20, 1 << 21, 1 << 20
+_BUFFER_BYTES, _BUFFER_CODES, _BUFFER_WORDS = 2 << 20, 1 << 21, 1 << 19
+#: States in a row of partial counts.
+_SLICE = 1 << 13
 
 
 class Codes:
@@ -51,7 +54,7 @@ def word_code(lang: str, word: bytes, more: int = 0) -> int:
 
 def mine_phrases(
     docs: DataFrame, min_count: int = 10, longest: int = 3, top: int | None = None, drop_percent: int = 50,
-    max_states: int = 1 << 21, sieve_bits: int = 27, lang: str = "lang", text: str = "text",
+    max_states: int = 1 << 20, sieve_bits: int = 26, lang: str = "lang", text: str = "text",
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: phrases of 2 to ``longest`` words by how their parts belong together.
 
@@ -70,7 +73,7 @@ def mine_phrases(
        ``min_count``; codes that don't reach it in sum are out.
     3. Candidates become double-array tries of at most about ``max_states`` states, one a
        shard of first words, broadcast one after the other. A task advances the states of all positions of its
-       texts level by level and counts the accepting ones; the counts of the tasks are summed.
+       texts level by level and counts the accepting ones; the tasks send slices of counts, which are summed.
     4. Counts meet those of their parts by joins, in exact arithmetic (38 digits).
 
     More shards mean more passes over the texts; nothing else grows with one task's memory.
@@ -125,6 +128,12 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]
         yield out(lang)
 
 
+def _sliced(batch: pa.RecordBatch, size: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """Small batches, as the other side holds one as a whole."""
+    for at in range(0, batch.num_rows, size):
+        yield batch.slice(at, size)
+
+
 def _coded(batches: Iterator[pa.RecordBatch], codes: Codes) -> Iterator[np.ndarray]:
     for lang, words in _texts(batches):
         yield codes(lang, words)
@@ -139,10 +148,10 @@ def _words(source: DataFrame) -> tuple[DataFrame, str, Codes]:
         def out() -> Iterator[pa.RecordBatch]:
             for lang, counts in held.items():
                 counts.pop(_BREAK, None)
-                yield pa.RecordBatch.from_arrays([
+                yield from _sliced(pa.RecordBatch.from_arrays([
                     pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()).cast(pa.string()),
                     pa.array(list(counts.values()), pa.int64()),
-                ], names=["lang", "word", "n"])
+                ], names=["lang", "word", "n"]))
             held.clear()
 
         for lang, words in _texts(batches):
@@ -207,11 +216,11 @@ def _code_uses(source: DataFrame, codes: Codes, sieves: list, level: int, most:
     """Distinct codes of phrases of ``level`` words in parts of the corpus, with their uses there, up to ``most``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(held: list[np.ndarray]) -> pa.RecordBatch:
+        def out(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             found, uses = np.unique(np.concatenate([*held, np.empty(0, np.uint64)]), return_counts=True)
-            return pa.RecordBatch.from_arrays(
+            yield from _sliced(pa.RecordBatch.from_arrays(
                 [pa.array(found.view(np.int64)), pa.array(np.minimum(uses, most).astype(np.int32))], names=["code", "uses"]
-            )
+            ))
 
         tables, held = [s.value for s in sieves], []
         for words in _coded(batches, codes):
@@ -219,9 +228,9 @@ def _code_uses(source: DataFrame, codes: Codes, sieves: list, level: int, most:
                 pass
             held.append(found)
             if sum(map(len, held)) >= _BUFFER_CODES:
-                yield out(held)
+                yield from out(held)
                 held = []
-        yield out(held)
+        yield from out(held)
 
     return source.mapInArrow(run, "code bigint, uses int")
 
@@ -230,17 +239,19 @@ def _label_uses(source: DataFrame, codes: Codes, sieves: list, longest: int, mos
     """The words of phrases that may be frequent by their parts, in parts of the corpus, with their uses there."""
     names = [f"w{i}" for i in range(1, longest + 1)]
 
-    def out(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    def out(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         found = np.concatenate([h[0] for h in held] or [np.empty(0, np.uint64)])
-        labels = np.concatenate([h[1] for h in held] or [np.empty((0, longest), np.uint64)])
-        _, first, inverse, uses = np.unique(found, return_index=True, return_inverse=True, return_counts=True)
-        # unlike phrases of one code go one by one
-        odd = np.flatnonzero((labels[first][inverse] != labels).any(axis=1))
-        if len(odd):
-            uses -= np.bincount(inverse[odd], minlength=len(first))
-            first, uses = np.concatenate([first, odd]), np.concatenate([uses, np.ones(len(odd), np.int64)])
-        columns = [pa.array(labels[first, i].view(np.int64), mask=labels[first, i] == 0) for i in range(longest)]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(np.minimum(uses, most).astype(np.int32))], names=[*names, "uses"])
+        order = np.argsort(found, kind="stable")
+        found = found[order]
+        labels = [np.concatenate([h[1][:, i] for h in held] or [found])[order] for i in range(longest)]
+        # unlike phrases of one code stay apart, if need be as several rows
+        starts = np.append(True, found[1:] != found[:-1])[: len(found)]
+        for column in labels:
+            starts[1:] |= column[1:] != column[:-1]
+        first = np.flatnonzero(starts)
+        uses = np.minimum(np.diff(np.append(first, len(found))), most).astype(np.int32)
+        columns = [pa.array(c[first].view(np.int64), mask=c[first] == 0) for c in labels]
+        yield from _sliced(pa.RecordBatch.from_arrays([*columns, pa.array(uses)], names=[*names, "uses"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, held = [s.value for s in sieves], []
@@ -253,10 +264,10 @@ def _label_uses(source: DataFrame, codes: Codes, sieves: list, longest: int, mos
                 for i in range(level):
                     labels[:, i] = words[places + i]
                 held.append((found, labels))
-            if sum(len(h[0]) for h in held) >= _BUFFER_CODES:
-                yield out(held)
+            if sum(len(h[0]) for h in held) >= _BUFFER_CODES // 2:
+                yield from out(held)
                 held = []
-        yield out(held)
+        yield from out(held)
 
     return source.mapInArrow(run, ", ".join([*(f"{name} bigint" for name in names), "uses int"]))
 
@@ -276,11 +287,9 @@ def _trie_counts(
     for shard in range(shards):
         trie = _trie(candidates.where(F.pmod("w1", F.lit(shards)) == shard), names)
         held = spark.sparkContext.broadcast(vars(trie))
-        run = _counter(held, codes, longest, names)
-        part, path = cut(
-            source.mapInArrow(run, ", ".join(f"{name} bigint" for name in [*names, "a"]))
-            .groupBy(*names).agg(F.sum("a").alias("a")), "counts",
-        )
+        count, add = _counters(held, codes, longest, names)
+        summed = source.mapInArrow(count, "slice int, counts binary").repartition("slice")
+        part, path = cut(summed.mapInArrow(add, ", ".join(f"{name} bigint" for name in [*names, "a"])), "counts")
         held.destroy()
         parts.append(part)
         paths.append(path)
@@ -301,20 +310,34 @@ def _trie(candidates: DataFrame, names: list[str]) -> Trie:
     return Trie([labels[lengths == n, :n] for n in range(1, len(names) + 1)])
 
 
-def _counter(held, codes: Codes, longest: int, names: list[str]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counters(held, codes: Codes, longest: int, names: list[str]) -> tuple[Callable, Callable]:
+    """What counts the accepting states of texts, a row for each slice of states, and what adds up slices."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie.of(held.value)
         counts = np.zeros(trie.size, np.int64)
         for words in _coded(batches, codes):
             counts += trie.count(words, longest)
-        reached = np.flatnonzero(counts)
-        for at in range(0, len(reached), 1 << 17):
-            slots = reached[at : at + (1 << 17)]
-            labels, steps = trie.paths(slots, longest)
-            columns = [pa.array(labels[:, i].view(np.int64), mask=steps <= i) for i in range(longest)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts[slots])], names=[*names, "a"])
-
-    return run
+        for i, at in enumerate(range(0, trie.size, _SLICE)):
+            part = counts[at : at + _SLICE]
+            if part.any():
+                small = part.astype(np.min_scalar_type(part.max()))
+                packed = bytes([small.itemsize]) + zlib.compress(small.tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed])], names=["slice", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, sums = Trie.of(held.value), {}
+        for batch in batches:
+            for i, packed in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                part = np.frombuffer(zlib.decompress(packed[1:]), f"<u{packed[0]}")
+                sums[i] = sums[i] + part if i in sums else part.astype(np.int64)
+        for i, part in sums.items():
+            reached = np.flatnonzero(part)
+            labels, steps = trie.paths(reached + i * _SLICE, longest)
+            columns = [pa.array(labels[:, n].view(np.int64), mask=steps <= n) for n in range(longest)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(part[reached])], names=[*names, "a"])
+
+    return count, add
 
 
 def _scored(counted: DataFrame, words: DataFrame, longest: int, drop_percent: int) -> DataFrame:
