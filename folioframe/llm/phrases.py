@@ -25,7 +25,7 @@ _PLAIN = bytes.maketrans(
     b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t" + _PIECE_ENDS, b"abcdefghijklmnopqrstuvwxyz " + _BREAK * len(_PIECE_ENDS)
 )
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
-_BUFFER_BYTES, _BUFFER_CODES, _BUFFER_WORDS = 2 << 20, 1 << 21, 1 << 19
+_BUFFER_BYTES, _BUFFER_CODES, _BUFFER_WORDS = 2 << 20, 3 << 19, 1 << 19
 #: States in a row of partial counts.
 _SLICE = 1 << 13
 
