@@ -67,46 +67,42 @@ def repeated_passages(
 
     Texts of equal words are represented by the smallest id: each window of theirs is repeated.
     Shorter texts than ``width`` keep all words; null texts have none. Rows that repeat an id
-    are one document each if their texts differ, and copies of each other if not: ids and words
-    together name a row, so ids are best unique. Rows without an id are kept whole and take no
-    part. Other columns are ignored.
+    are one document each if their texts differ, and copies of each other if not; so are rows
+    without an id. Other columns are ignored.
     """
     return _repeated(docs, width, anchor_words, doc_id, text).drop("copy_key")
 
 
 def _repeated(docs: DataFrame, width: int, anchor_words: int, doc_id: str, text: str) -> DataFrame:
-    """``repeated_passages`` with the ``copy_key`` of each row, null without an id."""
+    """``repeated_passages`` with the ``copy_key`` of each row, which names its words."""
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     seeds, seed_path = cut(_seeded(source, width, anchor_words), "seeds")
 
-    copies = (
-        seeds.where("doc_id IS NOT NULL").groupBy("copy_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
-    )
-    # rows without an id take no part and so have no key
-    key = F.when(F.col("doc_id").isNotNull(), F.col("copy_key")).alias("copy_key")
-    named = seeds.select("doc_id", key, "n_words", "sha256").join(copies, "copy_key", "left")
+    # rep is null where no row of the words has an id
+    copies = seeds.groupBy("copy_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n_copies"))
+    named = seeds.select("doc_id", "copy_key", "n_words", "sha256").join(copies, "copy_key")
 
-    placed = seeds.where("doc_id IS NOT NULL").select("doc_id", "copy_key", F.explode("anchors").alias("a")).select(
+    placed = seeds.select("doc_id", "copy_key", F.explode("anchors").alias("a")).select(
         "doc_id", "copy_key", F.col("a.hash").alias("hash"), F.col("a.pos").alias("pos")
     )
     # copies of a text have the same code for an anchor, so they don't make it repeated
     code = F.xxhash64("copy_key", "pos")
     twice = placed.groupBy("hash").agg(F.min(code).alias("a"), F.max(code).alias("b")).where("a < b").select("hash")
-    repeated = placed.join(twice, "hash").groupBy("doc_id", "copy_key").agg(F.collect_list("pos").alias("anchors"))
+    repeated = placed.join(twice, "hash").groupBy("doc_id", "copy_key").agg(F.collect_set("pos").alias("anchors"))
     seeded = (
-        repeated.join(copies, "copy_key").where("doc_id = rep").select("doc_id", "copy_key", "anchors")
+        repeated.join(copies, "copy_key").where("doc_id <=> rep")
+        .select(F.col("doc_id").alias("seed_id"), F.col("copy_key").alias("seed_key"), "anchors")
     )
     # rows of one id have their own anchors by their words, and one row stands for rows of equal words
-    named_texts = _keyed(source, "text", "copy_key").join(seeded, ["doc_id", "copy_key"])
-    texts, text_path = cut(named_texts.dropDuplicates(["doc_id", "copy_key"]), "texts")
+    keyed = _keyed(source, "text", "copy_key")
+    named_texts = keyed.join(seeded, F.col("doc_id").eqNullSafe(F.col("seed_id")) & (F.col("copy_key") == F.col("seed_key")))
+    texts, text_path = cut(named_texts.select("copy_key", "anchors", "text").dropDuplicates(["copy_key"]), "texts")
     windows, window_path = cut(_extended(texts, width, anchor_words), "windows")
 
     again = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    starts = windows.join(again, "window").groupBy("doc_id", "copy_key").agg(F.collect_list("start").alias("starts"))
-    results, result_path = cut(
-        _removed(texts.select("doc_id", "copy_key", "text").join(starts, ["doc_id", "copy_key"]), width), "removed"
-    )
+    starts = windows.join(again, "window").groupBy("copy_key").agg(F.collect_list("start").alias("starts"))
+    results, result_path = cut(_removed(texts.select("copy_key", "text").join(starts, "copy_key"), width), "removed")
     discard(spark, text_path, window_path)
 
     found = results.select(F.col("copy_key").alias("key"), "n_removed", "kept_sha256", "spans")
@@ -135,7 +131,7 @@ def cut_repeated_passages(
         (F.col("n_removed") == F.col("n_words")).alias("_emptied"),
     ).dropDuplicates(["_cut_id", "_cut_key"])
     keyed = _keyed(docs, text, "_words_key")
-    same = (keyed[doc_id] == spans["_cut_id"]) & (keyed["_words_key"] == spans["_cut_key"])
+    same = keyed[doc_id].eqNullSafe(spans["_cut_id"]) & (keyed["_words_key"] == spans["_cut_key"])
     joined = keyed.join(spans, same, "left").where("_emptied IS NULL OR NOT _emptied")
     types = dict(docs.dtypes)
 
@@ -205,11 +201,11 @@ def _seeded(source: DataFrame, width: int, k: int) -> DataFrame:
 
 
 def _extended(texts: DataFrame, width: int, k: int) -> DataFrame:
-    """``(window, doc_id, copy_key, start)`` for the windows whose anchor is among ``anchors``."""
+    """``(window, copy_key, start)`` for the windows whose anchor is among ``anchors``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, anchors = (batch.column(c).to_pylist() for c in ("doc_id", "copy_key", "anchors"))
+            keys, anchors = (batch.column(c).to_pylist() for c in ("copy_key", "anchors"))
             for i, data in enumerate(byte_column(batch, "text")):
                 hashes = word_hashes(data.split())
                 chosen, _ = anchor_places(gram_hashes(hashes, k), width - k + 1)
@@ -218,12 +214,11 @@ def _extended(texts: DataFrame, width: int, k: int) -> DataFrame:
                 starts = np.flatnonzero(seeds[chosen])
                 windows = gram_hashes(hashes, width)[starts]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(windows.view(np.int64)), pa.array(np.full(len(starts), ids[i], np.int64)),
-                    pa.array(np.full(len(starts), keys[i], np.int64)), pa.array(starts.astype(np.int32)),
-                ], names=["window", "doc_id", "copy_key", "start"])
+                    pa.array(windows.view(np.int64)), pa.array(np.full(len(starts), keys[i], np.int64)), pa.array(starts.astype(np.int32)),
+                ], names=["window", "copy_key", "start"])
 
-    columns = texts.select("doc_id", "copy_key", "anchors", "text")
-    return columns.mapInArrow(run, "window bigint, doc_id bigint, copy_key bigint, start int")
+    columns = texts.select("copy_key", "anchors", "text")
+    return columns.mapInArrow(run, "window bigint, copy_key bigint, start int")
 
 
 def _removed(rows: DataFrame, width: int) -> DataFrame:

@@ -134,7 +134,24 @@ def test_repeated_passages(docs, rows, empty, width):
 
 def test_repeated_passages_odd_rows(odd):
     rows = [(r["doc_id"], r["n_removed"]) for r in repeats.repeated_passages(odd, 35).collect()]
-    assert sorted(rows, key=str) == sorted([(7, 60), (7, 60), (8, 0), (None, 0), (None, 0)], key=str)
+    assert sorted(rows, key=str) == sorted([(7, 60), (7, 60), (8, 0), (None, 60), (None, 0)], key=str)
+
+
+def test_passages_of_rows_without_an_id(spark):
+    """Such rows are documents like any other: their windows count, and their own passages go."""
+    part = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    one, two = part("p", 40), part("q", 45)
+    texts = [
+        (None, f"{part('a', 9)} {one}"), (1, f"{one} {part('b', 30)}"), (None, f"{part('c', 50)} {two}"), (None, f"{two} {part('d', 8)}"),
+        (None, part("e", 60)), (None, part("f", 60)), (None, part("f", 60)), (None, f"{part('g', 5)} {part('f', 60)} {part('h', 5)}"),
+        (2, part("k", 50)), (None, None), (None, ""),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    expected = brute.repeats(list(enumerate(t for _, t in texts)))
+    got = sorted(((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"]) for r in repeats.repeated_passages(docs).collect()), key=str)
+    assert got == sorted(((texts[i][0], *row) for i, row in expected.items()), key=str)
+    left = sorted(((r["doc_id"], len((r["text"] or "").split())) for r in repeats.cut_repeated_passages(docs).collect()), key=str)
+    assert left == sorted([(texts[i][0], n - gone) for i, (n, gone, _) in expected.items() if not n or gone < n], key=str)
 
 
 def test_rows_that_repeat_an_id(spark):
