@@ -117,6 +117,8 @@ def files_with(batch: DataFrame, path: str, keys: Sequence[str]) -> list[str]:
     if not files:
         return []
     filters, known = key_filters(spark, path), _indexed(spark, path)
+    if known.isdisjoint(files):
+        return files
     hashed = batch.select(key_bucket(keys).alias("bucket"), _key_hash(keys).alias("hash")).distinct()
     buckets = [r["bucket"] for r in hashed.select("bucket").distinct().collect()]
     wanted = _of_buckets(filters, buckets).select("bucket", "file", "bits")
