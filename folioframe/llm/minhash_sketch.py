@@ -75,29 +75,3 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
         return 0
     at = np.searchsorted(long, short)
     return int((long[np.minimum(at, len(long) - 1)] == short).sum())
-
-
-class BitSketcher:
-    """One bit of each of many independent minima, packed into 64-bit words.
-
-    Two sets agree in a bit with probability ``(1 + s) / 2`` at similarity ``s``, so counting the
-    bits that differ tells pairs well below a threshold without their texts.
-    """
-
-    def __init__(self, words: int):
-        self.words = words
-        seeds = mixed(np.arange(1, 2 * 64 * words + 1, dtype=np.uint64))
-        self.factors, self.offsets = seeds[::2] | np.uint64(1), seeds[1::2]
-
-    def __call__(self, shingles: np.ndarray) -> np.ndarray:
-        least = np.full(len(self.factors), np.iinfo(np.uint64).max, np.uint64)
-        for start in range(0, len(shingles), 256):
-            part = shingles[start : start + 256, None] * self.factors + self.offsets
-            least = np.minimum(least, (part ^ (part >> np.uint64(29))).min(axis=0))
-        return np.packbits((mixed(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-
-
-def most_differing(bits: int, percent: int, deviations: float = 5.0) -> int:
-    """Most bits in which a pair of the similarity may differ, save for chances of three in ten million."""
-    p = (1 - percent / 100) / 2
-    return int(np.ceil(bits * p + deviations * np.sqrt(bits * p * (1 - p)) + 1))

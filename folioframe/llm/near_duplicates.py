@@ -4,24 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioframe.llm.components import connected_components
-from folioframe.llm.minhash_sketch import BitSketcher, Sketcher, most_differing, overlap, set_key, shingle_set
+from folioframe.llm.crowds import crowd_links
+from folioframe.llm.minhash_sketch import Sketcher, overlap, set_key, shingle_set
 from folioframe.llm.words import byte_column, lower_ascii
 from folioframe.session import cut, discard
 
 _SKETCH = pa.schema([
-    ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("buckets", pa.list_(pa.int64())),
+    ("row", pa.int64()), ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()),
+    ("buckets", pa.list_(pa.int64())),
 ])
 
-#: Words of 64 bits in the sketch that tells unlike members of a crowded bucket apart.
-_BIT_WORDS = 16
-_BITS = [f"bits_{i}" for i in range(_BIT_WORDS)]
-
 
 def near_duplicates(
     docs: DataFrame, k: int = 5, percent: int = 80, bands: int = 32, rows: int = 4,
@@ -34,91 +31,107 @@ def near_duplicates(
     their union; ``component_id`` is the smallest id reachable over links, and ``kept`` marks
     the document that has it. The links are found in these steps:
 
-    1. Equal sets become one (smallest id), so copies cost nothing further on.
+    1. Equal sets become one, so copies cost nothing further on.
     2. Every set is sketched by one-permutation hashing and dealt into one bucket a band.
-    3. Each bucket links its members to its smallest member only: a star, not all pairs.
+    3. Each bucket links its members to one of them only: a star, not all pairs.
        Candidates are confirmed on the full sets, and links give components.
-    4. A bucket whose members now share one component is done. In others two members that no
-       centre links may still be alike, so centres step aside and more take their place, 64
-       times as many each round, until every bucket is empty or of one component.
-       These pairs have to agree in a sketch of 1,024 bits before their sets are compared, and a
-       pair counts in the first bucket that it shares only. No pair of a bucket is lost; links
-       within a component are never looked for again. A crowd of texts that are nearly alike but
-       not linked is the costly case: its pairs are looked at, as sketches, inside the join on
-       the bucket.
+    4. A bucket whose members now share one component is done. In others two members that the
+       centre does not link may still be alike. Such a bucket is cut into blocks of bounded
+       size, and its sets meet by pairs of blocks (``crowd_links``). Every pair of unlike components is
+       judged on the full sets there, and only links that join components come out: fewer rows
+       than the block has members. No pair of a bucket is lost.
 
     A pair at the threshold misses every bucket with probability ``(1 - s**rows)**bands``, which
     is 4e-8 at the defaults.
 
-    Null or wordless texts have no shingles and are linked with nothing. Rows without an id keep
-    ``component_id`` null and ``kept`` true. Rows that repeat an id are one node: each gets the
-    component of the smallest. Other columns are ignored.
+    Ids are labels only. Rows without an id take part and can join others; their ``component_id`` is the
+    smallest id of their group as well. In a group without any id it is null, and one row is kept.
+    Rows that repeat an id are one node, linked whatever their texts. Null or wordless texts have no shingles
+    and are linked with nothing: their own id is their component. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    sketches, sketch_path = cut(_sketched(source, k, bands, rows), "sketches")
-    named = sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    same = named.join(named.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "set_key").select("doc_id", "rep")
-    dealt = (
-        named.groupBy("set_key")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("buckets").alias("buckets"))
-        .select("rep", "n_shingles", F.posexplode("buckets").alias("band", "bucket"))
+    source = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")
     )
+    keyed, _ = cut(source, "texts")
+    return _grouped(keyed, k, percent, bands, rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, one for each id and set; wordless rows without an id stay.
+
+    Rows of one id and unlike texts are one node: all stay, or all go with a near-duplicate of a smaller id.
+    """
+    key = "row_" + "_".join(docs.columns)
+    keyed, _ = cut(docs.withColumn(key, F.monotonically_increasing_id()), "texts")
+    source = keyed.select(F.col(key).alias("row"), F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    kept = _grouped(source, k, percent, 32, 4).where("kept")
+    named = kept.where("doc_id IS NOT NULL").groupBy("doc_id", "set_key").agg(F.min("row").alias(key)).select(key)
+    stays = named.union(kept.where("doc_id IS NULL").select("row"))
+    return keyed.join(stays, key, "left_semi").select(docs.columns)
+
+
+def _grouped(source: DataFrame, k: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """``(row, doc_id, n_shingles, set_key, component_id, kept)`` for a written table ``(row, doc_id, text)``.
+
+    Nodes are sets, named by the smallest ``row`` that has one.
+    """
+    spark = source.sparkSession
+    sketches, _ = cut(_sketched(source, k, bands, rows), "sketches")
+    worded = sketches.where("n_shingles > 0")
+    sets = worded.groupBy("set_key").agg(
+        F.min("row").alias("rep"), F.min("doc_id").alias("least_id"),
+        F.first("n_shingles").alias("n_shingles"), F.first("buckets").alias("buckets"),
+    )
+    dealt = sets.select("rep", "n_shingles", F.explode("buckets").alias("bucket"))
     shared = (
         dealt.groupBy("bucket").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
         .where("a < b").select("bucket")
     )
     members, member_path = cut(dealt.join(shared, "bucket"), "members")
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts, text_path = cut(source.where("doc_id IS NOT NULL").join(wanted, "doc_id"), "texts")
-
-    pairs, _ = cut(_star_pairs(members, percent), "pairs")
-    links, _ = cut(_confirmed(pairs, texts, k, percent), "found")
-    labels = connected_components(links)
-    sketcher = Sketcher(bands, rows)
-    rest, rest_path = cut(_with_sketches(_unresolved(_without_centres(members), labels), texts, k, sketcher), "members")
+    wanted = members.select("rep").distinct()
+    texts, text_path = cut(source.join(wanted, F.col("row") == F.col("rep")).select("rep", "text"), "texts")
+
+    found, found_path = cut(_confirmed(_star_pairs(members, percent), texts, k, percent), "found")
+    labels = connected_components(found.union(_id_links(worded)))
+    rest, rest_path = cut(_unresolved(_without_centres(members), labels), "members")
     discard(spark, member_path)
-    centres, tested = 1, pairs
-    while not rest.isEmpty():
-        centres *= 64
-        chosen = _centres(rest, centres, bands)
-        fresh, _ = cut(_unlike_pairs(rest, chosen, percent, bands).join(tested, ["a", "b"], "left_anti"), "pairs")
-        found, _ = cut(_confirmed(fresh, texts, k, percent), "found")
-        if not found.isEmpty():
-            links = links.union(found)
-            labels = connected_components(links)
-        tested = tested.union(fresh)
-        passed = rest.join(chosen.select("bucket", F.col("c_rep").alias("rep")), ["bucket", "rep"], "left_anti")
-        left, left_path = cut(_unresolved(passed, labels), "members")
-        discard(spark, rest_path)
-        rest, rest_path = left, left_path
-    discard(spark, text_path, rest_path)
-
-    labelled = (
-        same.join(labels, F.col("rep") == F.col("node"), "left")
-        .select("doc_id", F.least("rep", F.coalesce("component", "rep")).alias("component_id"))
+    if not rest.isEmpty():
+        more, more_path = cut(crowd_links(rest, texts, k, percent), "found")
+        if not more.isEmpty():
+            known = labels.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+            labels = connected_components(known.union(more))
+        discard(spark, more_path)
+    discard(spark, text_path, found_path, rest_path)
+
+    nodes = sets.select("set_key", "rep", "least_id").join(labels, F.col("rep") == F.col("node"), "left").select(
+        "set_key", "rep", "least_id", F.coalesce("component", "rep").alias("component")
     )
-    # several rows of an id: the smallest component
-    by_id = labelled.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    return (
-        sketches.select("doc_id", "n_shingles").join(by_id, "doc_id", "left")
-        .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-        .select("doc_id", "n_shingles", "component_id", "kept")
+    groups = nodes.groupBy("component").agg(F.min("least_id").alias("least"), F.min("rep").alias("first_row"))
+    named = nodes.join(groups, "component").select("set_key", "least", "first_row")
+    return sketches.join(named, "set_key", "left").select(
+        "row", "doc_id", "n_shingles", "set_key",
+        F.expr("CASE WHEN n_shingles = 0 THEN doc_id ELSE least END").alias("component_id"),
+        F.expr(
+            "CASE WHEN n_shingles = 0 THEN true WHEN least IS NULL THEN row = first_row ELSE doc_id <=> least END"
+        ).alias("kept"),
     )
 
 
-def drop_near_duplicates(
-    docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text",
-) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, one for each id and text; rows without an id stay.
-
-    Rows of one id and unlike texts are one node: all stay, or all go with a near-duplicate of a smaller id.
-    """
-    found = near_duplicates(docs, k, percent, doc_id=doc_id, text=text)
-    kept = found.where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(doc_id)).distinct()
-    named = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id, text])
-    return named.unionByName(docs.where(F.col(doc_id).isNull())).select(docs.columns)
+def _id_links(worded: DataFrame) -> DataFrame:
+    """Links between the sets of rows that repeat an id."""
+    several = (
+        worded.where("doc_id IS NOT NULL").groupBy("doc_id")
+        .agg(F.min("set_key").alias("a"), F.max("set_key").alias("b")).where("a < b").select("doc_id", F.col("a").alias("first_key"))
+    )
+    ends = worded.join(several, "doc_id").select("set_key", "first_key").distinct()
+    reps = worded.groupBy("set_key").agg(F.min("row").alias("rep"))
+    return (
+        ends.join(reps.select("set_key", F.col("rep").alias("u")), "set_key")
+        .join(reps.select(F.col("set_key").alias("first_key"), F.col("rep").alias("v")), "first_key")
+        .select("u", "v")
+    )
 
 
 def _sketched(source: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
@@ -134,11 +147,11 @@ def _sketched(source: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
                     for i, keys in zip(full, sketcher.band_keys([sets[i] for i in full]), strict=True):
                         buckets[i] = keys
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
+                    part.column("row"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_key(s) for s in sets], pa.binary()), pa.array(buckets, pa.list_(pa.int64())),
                 ], schema=_SKETCH)
 
-    return source.mapInArrow(run, "doc_id bigint, n_shingles bigint, set_key binary, buckets array<bigint>")
+    return source.mapInArrow(run, "row bigint, doc_id bigint, n_shingles bigint, set_key binary, buckets array<bigint>")
 
 
 def _star_pairs(members: DataFrame, percent: int) -> DataFrame:
@@ -160,76 +173,26 @@ def _without_centres(members: DataFrame) -> DataFrame:
 
 
 def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The members, with their present labels, of buckets that hold two components or more."""
-    kept = [c for c in members.columns if c != "label"]
-    fresh = members.join(labels, F.col("rep") == F.col("node"), "left").select(
-        *kept, F.coalesce("component", "rep").alias("label")
-    )
-    several = (
-        fresh.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a < b").select("bucket")
-    )
-    return fresh.join(several, "bucket", "left_semi")
-
-
-def _bands(bands: int) -> list[str]:
-    return [f"band_{i}" for i in range(bands)]
+    """Members ``(bucket, rep, n_shingles, label, weight)`` of buckets that hold two components or more.
 
-
-def _with_sketches(members: DataFrame, texts: DataFrame, k: int, sketcher: Sketcher) -> DataFrame:
-    """The members with the bit sketches of their sets and short keys of all their buckets.
-
-    Only crowded buckets need them.
+    ``weight`` is the bucket's size in shingles, with an allowance a member.
     """
-    names = [*_BITS, *_bands(sketcher.bands)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = BitSketcher(_BIT_WORDS)
-        for batch in batches:
-            sets = [shingle_set(lower_ascii(data).split(), k) for data in byte_column(batch, "text")]
-            words = np.array([bits(shingles) for shingles in sets]).reshape(-1, _BIT_WORDS).T
-            keys = sketcher.band_keys(sets).astype(np.int32).T if sets else np.empty((sketcher.bands, 0), np.int32)
-            columns = [batch.column("doc_id"), *map(pa.array, words), *map(pa.array, np.ascontiguousarray(keys))]
-            yield pa.RecordBatch.from_arrays(columns, names=["sketch_of", *names])
-
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    types = ", ".join([*(f"{b} bigint" for b in _BITS), *(f"{b} int" for b in _bands(sketcher.bands))])
-    sketched = texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select("doc_id", "text").mapInArrow(
-        run, f"sketch_of bigint, {types}"
-    )
-    return members.join(sketched, F.col("rep") == F.col("sketch_of")).drop("sketch_of")
-
-
-def _centres(members: DataFrame, centres: int, bands: int) -> DataFrame:
-    """Up to so many members of each bucket; those of large labels, so of small components, first."""
-    carried = ["n_shingles", *_BITS, *_bands(bands)]
-    ordered = F.struct("label", F.expr("-rep").alias("minus"), *carried)
-    chosen = members.groupBy("bucket", F.pmod(F.xxhash64("rep"), F.lit(centres)).alias("slot")).agg(F.max(ordered).alias("c"))
-    return chosen.select(
-        "bucket", (-F.col("c.minus")).alias("c_rep"), F.col("c.label").alias("c_label"),
-        *[F.col(f"c.{name}").alias(f"c_{name}") for name in carried],
+    fresh = members.join(labels, F.col("rep") == F.col("node"), "left").select(
+        "bucket", "rep", "n_shingles", F.coalesce("component", "rep").alias("label")
     )
-
-
-def _unlike_pairs(members: DataFrame, chosen: DataFrame, percent: int, bands: int) -> DataFrame:
-    """Distinct pairs of a centre and a member of another component that may yet be alike.
-
-    A pair counts in the first band where its keys agree, so most pairs come up once.
-    """
-    differing = F.expr(" + ".join(f"bit_count({name} ^ c_{name})" for name in _BITS))
-    first = F.expr("CASE " + " ".join(f"WHEN {name} = c_{name} THEN {i}" for i, name in enumerate(_bands(bands))) + " END")
-    may = (
-        (F.col("label") != F.col("c_label")) & _alike_in_size("n_shingles", "c_n_shingles", percent)
-        & (differing <= most_differing(64 * _BIT_WORDS, percent)) & (F.col("band") == first)
+    several = (
+        fresh.groupBy("bucket")
+        .agg(F.min("label").alias("a"), F.max("label").alias("b"), F.sum(F.col("n_shingles") + 250).alias("weight"))
+        .where("a < b").select("bucket", "weight")
     )
-    pairs = members.join(chosen, (members["bucket"] == chosen["bucket"]) & may)
-    return pairs.select(F.least("rep", "c_rep").alias("a"), F.greatest("rep", "c_rep").alias("b")).distinct()
+    return fresh.join(several, "bucket")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` whose full sets are alike enough."""
     rows = (
-        pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b")
+        .join(texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
         .select("a", "b", "text_a", "text_b")
     )
 

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from folioframe.llm import compression_bands, direct_codes, leaks, near_duplicates, packing, repeats, token_counts, token_ids
+from folioframe.llm import compression_bands, crowds, direct_codes, leaks, near_duplicates, packing, repeats, token_counts, token_ids
 from folioframe.llm.wordids import WordIds
 from folioframe.session import scratch_path
 
@@ -193,10 +193,63 @@ def test_near_duplicates(docs, rows, empty, k, percent):
 
 
 def test_near_duplicate_rows_without_id(odd):
+    """A row without an id goes with its copies; wordless rows are linked with nothing."""
     got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates.near_duplicates(odd, 4).collect()), key=str)
-    assert got == sorted([(7, 7, True), (7, 7, True), (8, 8, True), (None, None, True), (None, None, True)], key=str)
+    assert got == sorted([(7, 7, True), (7, 7, True), (8, 8, True), (None, 7, False), (None, None, True)], key=str)
     kept = near_duplicates.drop_near_duplicates(odd, 4).collect()
-    assert sorted((r["doc_id"] for r in kept), key=str) == sorted([7, 8, None, None], key=str)
+    assert sorted((r["doc_id"] for r in kept), key=str) == sorted([7, 8, None], key=str)
+
+
+def crowd(size, changes, seed):
+    """Texts that are one text with words changed here and there, and their likeness about the threshold."""
+    random.seed(seed)
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(size):
+        own = list(base)
+        for j in random.sample(range(120), 3 + i % changes):
+            own[j] = f"c{random.randint(0, 9)}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_near_duplicates_over_rows_without_id(spark):
+    """Components over rows without ids, over repeated ids and within both are those of brute force on row numbers."""
+    texts = crowd(40, 7, 4) + ["q " * 3 + "r", "Q " * 3 + "R"] + crowd(4, 3, 8)[:1] * 2
+    ids = [None if i % 3 else 100 - i for i in range(len(texts))]
+    ids[0] = ids[3] = 55
+    expected = brute.near(list(enumerate(texts)), 4, 80)
+    group = {i: root for i, (_, root, _) in expected.items()}
+    group = {i: group[0] if root == group[3] else root for i, root in group.items()}
+    least = {root: min((ids[i] for i in group if group[i] == root and ids[i] is not None), default=None) for root in group.values()}
+    docs = spark.createDataFrame([(ids[i], t, "n") for i, t in enumerate(texts)], "doc_id bigint, text string, row string")
+    got = near_duplicates.near_duplicates(docs, 4, 80).collect()
+    assert sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in got) == sorted((ids[i] or -1, least[group[i]] or -1) for i in group)
+    assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got if r["component_id"])
+    assert sum(r["kept"] for r in got if not r["component_id"]) == sum(v is None for v in least.values())
+    kept = near_duplicates.drop_near_duplicates(docs, 4, 80)
+    assert kept.columns == docs.columns
+    assert sorted({r["doc_id"] or -1 for r in kept.collect()}) == sorted({v or -1 for v in least.values()})
+
+
+@pytest.mark.parametrize("block", [1_200, 5_000, 400_000])
+def test_crowd_links(spark, block):
+    """One bucket of unlike members: its forest has the components of all pairs, whatever the size of the blocks."""
+    rows = list(enumerate(crowd(90, 12, 3)))
+    weight = sum(len(brute.shingles(t, 4)) + 250 for _, t in rows)
+    members = spark.createDataFrame(
+        [(1, i, len(brute.shingles(t, 4)), i, weight) for i, t in rows], "bucket bigint, rep bigint, n_shingles bigint, label bigint, weight bigint"
+    )
+    texts = spark.createDataFrame(rows, "rep bigint, text string")
+    links = [(r["u"], r["v"]) for r in crowds.crowd_links(members, texts, 4, 80, block).collect()]
+    sets = {i: brute.shingles(t, 4) for i, t in rows}
+    assert all(len(sets[u] & sets[v]) * 100 >= 80 * len(sets[u] | sets[v]) for u, v in links)
+    linked = lambda a, b: (a, b) in both
+    both = {*links, *((v, u) for u, v in links)}
+    assert brute.least_reachable([(i, i) for i in sets], linked) == {i: root for i, (_, root, _) in brute.near(rows, 4, 80).items()}
+    if block == 400_000:
+        assert len(links) < len(rows)
+    assert crowds.crowd_links(members.limit(0), texts, 4, 80).count() == 0
 
 
 def test_near_duplicates_of_unlike_neighbours(spark):
