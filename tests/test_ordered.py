@@ -22,15 +22,55 @@ def expected():
     return out
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_scan_by_width(spark, width):
+@pytest.mark.parametrize("width, fan", [(1, 2), (1, 4), (7, 3), (7, 1000), (1000, 2)])
+def test_scan_by_width(spark, width, fan):
     df = spark.createDataFrame(ROWS, "g int, p long, n int, tag string").repartition(5)
     seen = ordered.scan_groups(
-        ordered.by_width(df, "p", width), ["g"], ["p"], totals={"s": F.col("n")}, following={"nx": "tag"}, first={"fst": "tag"}
+        ordered.by_width(df, "p", width), ["g"], ["p"], totals={"s": F.col("n")}, following={"nx": "tag"},
+        first={"fst": "tag"}, fan=fan,
     )
     assert {(r["g"], r["p"]): (r["s"], r["s_all"], r["nx"], r["fst"]) for r in seen.collect()} == expected()
 
 
+def test_values_far_apart(spark):
+    """One group whose values lie a million apart, some of them null or near the end of a long."""
+    places = [None, *(i * 1_000_000 for i in range(3000)), 2**62, 2**62 + 1, 2**63 - 1]
+    rows = [(None, p, i % 7, f"t{i}") for i, p in enumerate(places)]
+    df = spark.createDataFrame(random.sample(rows, len(rows)), "g int, p long, n int, tag string").repartition(6)
+    for width, fan in ((ordered.WIDTH, ordered.FAN), (1 << 20, 4096)):
+        seen = ordered.scan_groups(
+            ordered.by_width(df, "p", width), ["g"], ["p"], totals={"s": F.col("n")}, following={"nx": "tag"},
+        first={"fst": "tag"}, fan=fan,
+        ).collect()
+        total, out = 0, {}
+        for i, (_, p, n, _tag) in enumerate(rows):
+            total += n
+            out[p] = (total, rows[i + 1][3] if i + 1 < len(rows) else None, "t0")
+        assert len(seen) == len(rows)
+        assert {r["p"]: (r["s"], r["nx"], r["fst"]) for r in seen} == out
+        assert {r["s_all"] for r in seen} == {total}
+
+
+def test_no_window_is_longer_than_its_bound(spark, monkeypatch):
+    """Values a million apart: a segment a row, and yet every window over segments is short."""
+    fan, levels = 64, []
+    inner = ordered.segment_offsets
+
+    def watched(summed, keys, *rest):
+        spans = summed.groupBy(*keys, F.expr(f"{ordered.SEGMENT} div {fan}")).count()
+        whole = summed.groupBy(*keys).count()
+        levels.append((summed.count(), spans.agg(F.max("count")).first()[0], whole.agg(F.max("count")).first()[0]))
+        return inner(summed, keys, *rest)
+
+    monkeypatch.setattr(ordered, "segment_offsets", watched)
+    df = spark.range(20_000).select(F.lit(1).alias("g"), (F.col("id") * 1_000_000).alias("p"))
+    seen = ordered.scan_groups(ordered.by_width(df, "p"), ["g"], ["p"], totals={"n": F.lit(1)}, fan=fan)
+    assert seen.where("n <> p / 1000000 + 1 OR n_all <> 20000").count() == 0 and seen.count() == 20_000
+    # segments, spans of them, spans of those: only the last is scanned as a whole
+    assert [n for n, _, _ in levels] == [20_000, 4769, 75, 2]
+    assert all(widest <= fan for _, widest, _ in levels) and levels[-1][2] <= fan
+
+
 def test_runtime_of_rows_without_a_run(spark):
     from datetime import datetime
 
