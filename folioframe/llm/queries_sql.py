@@ -4,27 +4,32 @@ from __future__ import annotations
 
 SQL: dict[str, str] = {}
 
-SQL["op2_perspectives"] = """
+SQL["op2_perspectives"] = r"""
 WITH t AS (
-    SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') || '<|im_end|>' AS body
-    FROM conversations
+    SELECT conv_id, turn, role AS speaker, replace(coalesce(text, ''), '<|', '< |') AS words FROM conversations
+), p AS (
+    SELECT *, (sum(length(words) + 64) OVER w - length(words) - 64) // 16777216 AS part
+    FROM t
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker NULLS FIRST, words ROWS UNBOUNDED PRECEDING)
 ), s AS (
-    SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'
+    SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker IS DISTINCT FROM 'system'
 ), r AS (
-    SELECT t.conv_id, perspective, turn, speaker, body, speaker = perspective AS trained,
-        '<|im_start|>' || CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
-            ELSE 'user name=' || speaker END || chr(10) AS head
-    FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id
+    SELECT p.conv_id, perspective, part, turn, speaker, words, words || '<|im_end|>' AS body,
+        speaker IS NOT DISTINCT FROM perspective AS trained,
+        '<|im_start|>' || CASE WHEN speaker IS NOT DISTINCT FROM perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
+            ELSE 'user' || coalesce(' name=' || replace(regexp_replace(speaker, '[\p{Cc}\x{2028}\x{2029}]+', ' ', 'g'), '<|', '< |'), '')
+            END || chr(10) AS head
+    FROM p JOIN s ON p.conv_id IS NOT DISTINCT FROM s.conv_id
 ), o AS (
     SELECT *, sum(length(head) + length(body)) OVER w AS last, row_number() OVER w AS place
     FROM r
-    WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, body ROWS UNBOUNDED PRECEDING)
+    WINDOW w AS (PARTITION BY conv_id, part, perspective ORDER BY turn NULLS FIRST, speaker NULLS FIRST, words ROWS UNBOUNDED PRECEDING)
 )
-SELECT conv_id, perspective, count(*) AS n_turns, string_agg(head || body, '' ORDER BY place) AS text,
+SELECT conv_id, perspective, CAST(part AS BIGINT) AS part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY place) AS text,
     coalesce(string_agg(CAST(last - length(body) AS BIGINT) || '-' || CAST(last AS BIGINT), ',' ORDER BY place)
         FILTER (WHERE trained), '') AS spans,
     CAST(sum(CASE WHEN trained THEN length(body) ELSE 0 END) AS BIGINT) AS n_trained
-FROM o GROUP BY conv_id, perspective
+FROM o GROUP BY conv_id, part, perspective
 """
 
 _WORDS = r"regexp_extract_all({text}, '[^\x20\x09-\x0D]+')"
