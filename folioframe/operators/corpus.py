@@ -180,11 +180,7 @@ def trigram_check(
     grams = tokens.select(
         *keys, F.array_distinct(word_ngrams("_own", 3)).alias("_own"), word_ngrams("_other", 3).alias("_other")
     )
-    ranked = F.array_sort(
-        F.transform("_own", lambda g: F.struct(F.md5(F.concat(F.lit(f"{seed}:"), g)), g.alias("gram")))
-    )
-    sample = F.col("_own") if n_samples is None else F.transform(F.slice(ranked, 1, n_samples), lambda s: s["gram"])
-    tested = grams.select(*keys, sample.alias("_sample"), "_other")
+    tested = grams.select(*keys, _sampled("_own", n_samples, seed).alias("_sample"), "_other")
     return tested.select(
         *keys,
         F.size("_sample").alias("n_sampled"),
@@ -192,6 +188,36 @@ def trigram_check(
     )
 
 
+def _sampled(grams: str, n_samples: int | None, seed: str) -> Column:
+    """An array of distinct sequences, or the ``n_samples`` of it with the smallest digests."""
+    if n_samples is None:
+        return F.col(grams)
+    ranked = F.array_sort(F.transform(grams, lambda g: F.struct(F.md5(F.concat(F.lit(f"{seed}:"), g)), g.alias("gram"))))
+    return F.transform(F.slice(ranked, 1, n_samples), lambda s: s["gram"])
+
+
+def trigram_check_in_corpus(
+    checked: DataFrame, corpus: DataFrame, key: str, text: str = "text", n_samples: int | None = None, seed: str = "check",
+) -> DataFrame:
+    """Distinct 3-word sequences of each text, and how many of them occur anywhere in another corpus.
+
+    Columns: ``key, n_sampled, n_found``, sampled as in ``trigram_check``. Rows of one key (null is one) are one
+    document. Null and short texts have no sequences, and an empty corpus has none to find.
+
+    Sequences meet as words, so there are no false hits. The corpus sends each of its sequences once a task at
+    most, and those of the checked texts are met by one row each however often the corpus repeats them.
+    """
+
+    def grams(texts: DataFrame) -> Column:
+        return F.array_distinct(word_ngrams(words(texts[text]), 3))
+
+    known = corpus.select(F.explode(grams(corpus)).alias("_known")).distinct()
+    own = checked.select(F.col(key).alias("_key"), F.coalesce(grams(checked), F.array()).alias("_own"))
+    asked = own.select("_key", F.explode_outer(_sampled("_own", n_samples, seed)).alias("_gram")).distinct()
+    met = asked.join(known, F.col("_gram") == F.col("_known"), "left")
+    return met.groupBy("_key").agg(F.count("_gram").alias("n_sampled"), F.count("_known").alias("n_found")).withColumnRenamed("_key", key)
+
+
 def fuzzy_title_match(
     left: DataFrame, right: DataFrame, key: str = "title", max_distance: int = 2
 ) -> DataFrame:

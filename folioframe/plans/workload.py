@@ -589,6 +589,16 @@ def trigram_check(spark, sf_dir):
     )
 
 
+def trigrams_in_corpus(spark, sf_dir):
+    """Benchmark items against all documents."""
+    return corpus.trigram_check_in_corpus(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id")
+
+
+def trigrams_in_benchmark(spark, sf_dir):
+    """A hundred sequences of every document against all benchmark items."""
+    return corpus.trigram_check_in_corpus(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id", n_samples=100)
+
+
 def fuzzy_titles(spark, sf_dir):
     named = table(spark, sf_dir, "part").select(tx.normalize_file_name("p_name").alias("title"))
     kinds = table(spark, sf_dir, "part").select(F.lower(F.concat_ws("_", "p_type", F.element_at(F.split("p_name", " "), -1))).alias("title"))
@@ -971,6 +981,8 @@ QUERIES = {
     "sections": sections,
     "article_parts": article_parts,
     "trigram_check": trigram_check,
+    "trigrams_in_corpus": trigrams_in_corpus,
+    "trigrams_in_benchmark": trigrams_in_benchmark,
     "fuzzy_titles": fuzzy_titles,
     "chat_from_papers": chat_from_papers,
     "standardize_roles": standardize_roles,

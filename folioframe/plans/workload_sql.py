@@ -400,6 +400,18 @@ select doc_id, 'Title' as title, own as abstract, substr(after, length(own) + 1)
 g as (select pair_id, list_distinct({grams('rt', 3)}) as own, {grams('ct', 3)} as other from t),
 s as (select pair_id, list_transform(list_sort(list_transform(own, lambda g: md5('check:' || g) || g))[1:100], lambda x: substr(x, 33)) as sample, other from g)
 select pair_id, len(sample) as n_sampled, len(list_intersect(sample, other)) as n_found from s""",
+    "trigrams_in_corpus": f"""with t as (select item_id, {TOKENS.format('text')} as tokens from benchmark),
+o as (select item_id, unnest({grams('tokens', 3)}) as gram from t), own as (select distinct item_id, gram from o),
+d as (select {TOKENS.format('text')} as tokens from documents), known as (select distinct unnest({grams('tokens', 3)}) as gram from d)
+select item_id, count(own.gram) as n_sampled, count(known.gram) as n_found
+from (select distinct item_id from benchmark) left join own using (item_id) left join known using (gram) group by item_id""",
+    "trigrams_in_benchmark": f"""with t as (select doc_id, {TOKENS.format('text')} as tokens from documents),
+g as (select doc_id, list_distinct({grams('tokens', 3)}) as own from t),
+s as (select doc_id, unnest(list_sort(list_transform(own, lambda g: md5('check:' || g) || g))[1:100]) as ranked from g),
+own as (select doc_id, substr(ranked, 33) as gram from s),
+b as (select {TOKENS.format('text')} as tokens from benchmark), known as (select distinct unnest({grams('tokens', 3)}) as gram from b)
+select doc_id, count(own.gram) as n_sampled, count(known.gram) as n_found
+from (select distinct doc_id from documents) left join own using (doc_id) left join known using (gram) group by doc_id""",
     "fuzzy_titles": f"""with a as (select distinct {file_key('p_name')} as left_title from part),
 b as (select distinct lower(p_type || '_' || split_part(p_name, ' ', -1)) as right_title from part)
 select left_title, right_title, levenshtein(left_title, right_title)::int as distance from a, b where levenshtein(left_title, right_title) <= 3""",

@@ -53,6 +53,34 @@ def test_article_parts(spark):
     assert (out[2]["title"], out[2]["abstract"], out[2]["content"]) == ("Only Title", "", "body")
 
 
+@pytest.mark.parametrize("n_samples", [None, 3])
+def test_trigrams_in_a_corpus(spark, n_samples):
+    """Against sets in plain Python: nulls, short texts, repeated and null keys, clashing names, a hot sequence."""
+    random.seed(3)
+    pool = ["red", "Fish", "two", "sky"]
+    own = [(i % 40 if i % 9 else None, " ".join(random.choices(pool, k=random.randrange(14)))) for i in range(60)]
+    own += [(90, None), (91, ""), (92, "one two"), (93, "never seen words here"), (94, "Red, red; RED red")]
+    other = [" ".join(random.choices(pool, k=random.randrange(6))) for _ in range(12)] + ["red red red"] * 30 + [None, "", "fish"]
+    schema = "k int, text string, _known string, n_found int"
+    checked = spark.createDataFrame([(k, t, "x", 1) for k, t in own], schema).repartition(3)
+    against = spark.createDataFrame([(i, t, "y", 2) for i, t in enumerate(other)], schema)
+
+    def grams(text):
+        tokens = re.findall("[a-z0-9]+", (text or "").lower())
+        return {" ".join(tokens[i : i + 3]) for i in range(len(tokens) - 2)}
+
+    known, tested = set().union(*map(grams, other)), {}
+    for k, text in own:
+        ranked = sorted(grams(text), key=lambda g: hashlib.md5(f"check:{g}".encode()).hexdigest())
+        tested.setdefault(k, set()).update(ranked[:n_samples])
+    out = corpus.trigram_check_in_corpus(checked, against, "k", n_samples=n_samples).collect()
+    assert {r["k"]: (r["n_sampled"], r["n_found"]) for r in out} == {k: (len(g), len(g & known)) for k, g in tested.items()}
+    assert len(out) == len(tested)
+    none = corpus.trigram_check_in_corpus(checked, against.where("false"), "k")
+    assert none.agg({"n_found": "sum"}).first()[0] == 0
+    assert corpus.trigram_check_in_corpus(checked.where("false"), against, "k").count() == 0
+
+
 def test_trigram_check(spark):
     df = spark.createDataFrame([(1, "a b c d e", "x a b c d y"), (2, "a b", "a b"), (3, "a a a a a", "a a a")], "k int, l string, r string")
     out = corpus.trigram_check(df, ["k"], "l", "r", 2, "s").orderBy("k").collect()
