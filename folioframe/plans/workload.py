@@ -873,6 +873,22 @@ def utf8_repair(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", tx.decode_bytes(stored).alias("text"))
 
 
+def decoded_files(spark, sf_dir):
+    """Documents as lines of Latin-1 files where they can be, of UTF-8 files otherwise, read back by byte ranges."""
+    path = scratch_path(spark, "encodings")
+    text = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    line = F.concat(F.col("doc_id").cast("string"), F.lit(" "), text)
+    latin = F.regexp_like(line, F.lit("^[\\x00-\\xFF]*$"))
+    # as a string of such bytes, which the writer takes as they are
+    stored = F.when(latin, F.encode(F.when(latin, line), "ISO-8859-1").cast("string")).otherwise(line)
+    rows = table(spark, sf_dir, "documents").select(F.when(latin, "latin").otherwise("utf8").alias("kind"), stored.alias("value"))
+    rows.write.partitionBy("kind").text(path)
+    back = files.read_decoded_lines(spark, path, "*.txt")
+    return back.select(
+        F.substring_index("line", " ", 1).cast("bigint").alias("doc_id"), F.regexp_replace("line", "^[0-9]+ ", "").alias("text")
+    )
+
+
 def corpus_listing(spark, sf_dir):
     root = scratch_path(spark, "corpus")
     table(spark, sf_dir, "documents").write.partitionBy("lang", "source").parquet(root)
@@ -1022,6 +1038,7 @@ QUERIES = {
     "json_quarantine": json_quarantine,
     "csv_files": csv_files,
     "utf8_repair": utf8_repair,
+    "decoded_files": decoded_files,
     "corpus_listing": corpus_listing,
     "results_by_model": results_by_model,
     "output_mapping": output_mapping,

@@ -511,6 +511,7 @@ select model, pos, 'abstract ' || d as text from a where d[1] <> '0'""",
 union all select 'quarantined', count(*) filter (doc_id % 10 = 0) from documents""",
     "csv_files": f"with {ARTICLES} select pos, title, content from articles",
     "utf8_repair": "select doc_id, text from documents",
+    "decoded_files": "select doc_id, replace(coalesce(text, ''), chr(10), ' ') as text from documents",
     "corpus_listing": "select distinct 'lang=' || lang as event, 'source=' || source as volume from documents",
     "results_by_model": "select 'm:' || source as model, 'm_' || source as model_file, doc_id as pos, md5(text) as digest from documents",
     "output_mapping": "select replace(source, 'src', 'output_') as folder, 'paper' || doc_id || '.md' as file, n_chars from documents",

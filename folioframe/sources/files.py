@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioframe.functions.text import decode_bytes, safe_model_name
-from folioframe.sources.arrays import array_elements, file_texts
+from folioframe.sources.arrays import array_elements, file_texts, fragments
 from folioframe.sources.quoted import csv_records
 
 CORRUPT = "_corrupt_record"
@@ -125,6 +125,21 @@ def read_decoded(spark: SparkSession, path: str, glob: str | None = None) -> Dat
     return reader.load(path).select("path", decode_bytes("content").alias("text"))
 
 
+def read_decoded_lines(spark: SparkSession, path: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """``(file_path, range_start, place, line)`` of files in UTF-8 or Latin-1, each read by as many tasks as it has splits.
+
+    A file is UTF-8 if all of it is valid, else Latin-1: one verdict a file, whatever line or split the bytes lie
+    in. A line feed is the same byte in both and part of no other character, so ranges begin and end between
+    characters and a file is valid if its lines are. Lines are in order of ``range_start`` and ``place``;
+    a carriage return stays at a line's end, and an empty file has no lines.
+    """
+    lines = fragments(spark, path, "\n", glob).drop("size")
+    verdicts = lines.groupBy("file_path").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
+    latin = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    line = F.when(F.col("utf8"), F.col("value")).otherwise(latin).alias("line")
+    return lines.join(verdicts, "file_path").select("file_path", "range_start", "place", line)
+
+
 def path_columns(path: Column | str) -> list[Column]:
     """Event, volume and file name from the end of a path."""
     pieces = F.split(F.col(path) if isinstance(path, str) else path, "/")
@@ -161,8 +176,11 @@ def write_by_model(df: DataFrame, path: str, model: str = "model", mode: str = "
 
 
 def write_volume_manifests(files: DataFrame, path: str, by: Sequence[str] = ("event", "volume"), name: str = "file", mode: str = "error") -> None:
-    """One text folder per volume with a file name per line, sorted within each part file."""
-    rows = files.select(*by, F.col(name).alias("value")).repartition(*by, "value")
+    """One text folder per volume with a file name per line, sorted within and across its part files.
+
+    Volumes are dealt by range, so that one lies in few tasks and has few files, and a hot one is split.
+    """
+    rows = files.select(*by, F.col(name).alias("value")).repartitionByRange(*by, "value")
     rows.sortWithinPartitions(*by, "value").write.mode(mode).partitionBy(*by).text(path)
 
 
