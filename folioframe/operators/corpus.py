@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioframe.functions.text import normalize_file_name, word_ngrams, words
+from folioframe.functions.tokens import closed_text, gram_hashes, gram_places, gram_texts, parts, tokenize
 from folioframe.operators.pairing import pending
+from folioframe.session import cut
 
 # Fixed value: what is written after each page's text.
 PAGE_END = "\n\n"
+#: Bits of the sieve of word sequences, as a power of two, and how many sequences it is made for.
+SIEVE_BITS, SIEVE_GRAMS = 26, 1 << 25
 
 
 def dedup_report(df: DataFrame, key: str) -> DataFrame:
@@ -204,18 +214,93 @@ def trigram_check_in_corpus(
     Columns: ``key, n_sampled, n_found``, sampled as in ``trigram_check``. Rows of one key (null is one) are one
     document. Null and short texts have no sequences, and an empty corpus has none to find.
 
-    Sequences meet as words, so there are no false hits. The corpus sends each of its sequences once a task at
-    most, and those of the checked texts are met by one row each however often the corpus repeats them.
+    The checked sequences are written once and make a sieve of bits, of bounded size, which tells what a text of the
+    corpus need not send: it holds no sequence back that is asked for. What passes is sent once a batch of texts and meets
+    the checked sequences as words, so there are no false hits. With more than ``SIEVE_GRAMS`` checked
+    sequences a sieve would be full, and the corpus sends each sequence once a batch.
     """
+    asked, _ = cut(_asked_trigrams(checked, key, text, n_samples, seed), "asked")
+    sieve = _sieve(asked) if asked.count() <= SIEVE_GRAMS else None
+    known, _ = cut(_known_trigrams(corpus, text, sieve).distinct(), "known")
+    if sieve:
+        sieve.destroy()
+    met = asked.join(known, F.col("_gram") == F.col("_known"), "left").distinct()
+    return met.groupBy("_key").agg(F.count("_gram").alias("n_sampled"), F.count("_known").alias("n_found")).withColumnRenamed("_key", key)
 
-    def grams(texts: DataFrame) -> Column:
-        return F.array_distinct(word_ngrams(words(texts[text]), 3))
 
-    known = corpus.select(F.explode(grams(corpus)).alias("_known")).distinct()
-    own = checked.select(F.col(key).alias("_key"), F.coalesce(grams(checked), F.array()).alias("_own"))
-    asked = own.select("_key", F.explode_outer(_sampled("_own", n_samples, seed)).alias("_gram")).distinct()
-    met = asked.join(known, F.col("_gram") == F.col("_known"), "left")
-    return met.groupBy("_key").agg(F.count("_gram").alias("n_sampled"), F.count("_known").alias("n_found")).withColumnRenamed("_key", key)
+def _asked_trigrams(texts: DataFrame, key: str, text: str, n_samples: int | None, seed: str) -> DataFrame:
+    """``(_key, _gram)``: the distinct sequences of each row, or its sample; a null one for a row without any."""
+
+    def chosen(grams: list[bytes]) -> list[bytes]:
+        if n_samples is None or len(grams) <= n_samples:
+            return grams
+        digests = b"".join([hashlib.md5(prefix + g).digest() for g in grams])
+        lead = np.frombuffer(digests, ">u8")[::2].astype(np.uint64)
+        near = np.flatnonzero(lead <= np.partition(lead, n_samples)[n_samples]).tolist()
+        return [g for _, g in sorted((digests[16 * i : 16 * i + 16], grams[i]) for i in near)[:n_samples]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, held = batch.column(0), batch.column(1)
+            for part in parts(held):
+                tokens = tokenize(held[part])
+                places, n = gram_places(tokens, 3), part.stop - part.start
+                data, starts, ends = tokens.data.tobytes(), tokens.starts[places].tolist(), tokens.ends[places + 2].tolist()
+                upto = np.searchsorted(tokens.rows[places], np.arange(n + 1)).tolist()
+                grams, sizes = [], []
+                for i in range(n):
+                    of_row = slice(upto[i], upto[i + 1])
+                    found = chosen(list({data[a:b] for a, b in zip(starts[of_row], ends[of_row], strict=True)})) or [None]
+                    grams += found
+                    sizes.append(len(found))
+                rows = pa.array(np.repeat(np.arange(part.start, part.stop), sizes))
+                yield pa.RecordBatch.from_arrays([keys.take(rows), pa.array(grams, pa.binary()).cast(pa.string())], ["_key", "_gram"])
+
+    prefix = f"{seed}:".encode()
+    rows = texts.select(F.col(key).alias("_key"), closed_text(text).alias("_text"))
+    return rows.mapInArrow(run, T.StructType([rows.schema["_key"], T.StructField("_gram", T.StringType())]))
+
+
+def _known_trigrams(texts: DataFrame, text: str, sieve: Broadcast | None) -> DataFrame:
+    """``(_known)``: the sequences of the texts that pass the sieve, each once a part of a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(0)
+            for part in parts(held):
+                tokens = tokenize(held[part])
+                places = gram_places(tokens, 3)
+                if sieve:
+                    passed = [block[_passes(sieve.value, hashes)] for block, hashes in gram_hashes(tokens, places, 3)]
+                    places = np.concatenate(passed) if passed else places
+                found = pc.unique(gram_texts(tokens, places, 3))
+                yield pa.RecordBatch.from_arrays([found.cast(pa.string())], ["_known"])
+
+    return texts.select(closed_text(text)).mapInArrow(run, "_known string")
+
+
+def _sieve(asked: DataFrame) -> Broadcast:
+    """A broadcast table of 2 to the power of ``SIEVE_BITS`` bits with those of the sequences' hashes set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column(0)
+            for part in parts(held):
+                tokens = tokenize(held[part])
+                for _, hashes in gram_hashes(tokens, gram_places(tokens, 3), 3):
+                    bits = np.unique(hashes >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(bits >> 6), pa.array(bits & 63)], ["cell", "bit"])
+
+    bits = asked.where("_gram IS NOT NULL").select(closed_text("_gram")).mapInArrow(run, "cell bigint, bit bigint")
+    marks = bits.groupBy("cell").agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("marks")).toArrow()
+    table = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
+    table[marks.column("cell").to_numpy()] = marks.column("marks").to_numpy().view(np.uint64)
+    return asked.sparkSession.sparkContext.broadcast(table)
+
+
+def _passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes >> np.uint64(64 - SIEVE_BITS)
+    return (table[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def fuzzy_title_match(

@@ -6,6 +6,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
+from folioframe.functions import tokens
 from folioframe.operators import corpus, datasets, profile
 
 
@@ -81,6 +82,32 @@ def test_trigrams_in_a_corpus(spark, n_samples):
     assert corpus.trigram_check_in_corpus(checked.where("false"), against, "k").count() == 0
 
 
+def test_a_corpus_sends_only_sequences_that_may_be_asked_for(spark):
+    """Also texts cut into several blocks of hashes, and one longer than a part."""
+    random.seed(5)
+    long = " ".join(f"w{random.randrange(900)}" for _ in range(200_000)) + " " + "z" * tokens.PART_BYTES
+    rows = [(0, long), (1, "Éa, b-c; d"), (2, None), (3, "e f"), (4, "g h i"), (5, "j k l m")]
+    texts = spark.createDataFrame(rows, "k int, text string").coalesce(1)
+    asked = spark.createDataFrame([("a b c",), ("b c d",), ("g h i",), ("h i j",), (" ".join(long.split()[150_000:150_003]),), (None,)], "_gram string")
+    sieve = corpus._sieve(asked)
+    sent = [r["_known"] for r in corpus._known_trigrams(texts, "text", sieve).collect()]
+    assert set(sent) >= {r["_gram"] for r in asked.collect()} - {"h i j", None} and len(sent) < 50
+    every = {r["_known"] for r in corpus._known_trigrams(texts, "text", None).collect()}
+    words = long.split()
+    assert every == {" ".join(words[i : i + 3]) for i in range(len(words) - 2)} | {"a b c", "b c d", "g h i", "j k l", "k l m"}
+
+
+def test_sampled_sequences_of_a_long_text(spark):
+    """The smallest digests of a text whose sequences repeat; rows without any keep their key."""
+    random.seed(6)
+    rows = [(1, " ".join(random.choices("abcdefgh", k=3000))), (2, "a b c"), (3, "")]
+    out = corpus._asked_trigrams(spark.createDataFrame(rows, "k int, text string"), "k", "text", 100, "check").collect()
+    own = {rows[0][1][i : i + 5] for i in range(0, 2 * 2998, 2)}
+    ranked = sorted(own, key=lambda g: hashlib.md5(f"check:{g}".encode()).hexdigest())
+    assert [r["_gram"] for r in out if r["_key"] == 1] == ranked[:100]
+    assert [(r["_key"], r["_gram"]) for r in out if r["_key"] != 1] == [(2, "a b c"), (3, None)]
+
+
 def test_trigram_check(spark):
     df = spark.createDataFrame([(1, "a b c d e", "x a b c d y"), (2, "a b", "a b"), (3, "a a a a a", "a a a")], "k int, l string, r string")
     out = corpus.trigram_check(df, ["k"], "l", "r", 2, "s").orderBy("k").collect()
