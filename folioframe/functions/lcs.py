@@ -1,15 +1,9 @@
-"""Length of the longest common subsequence of two token texts, in Arrow batches."""
+"""Length of the longest common subsequence of two token sequences."""
 
 from __future__ import annotations
 
 from collections.abc import Hashable, Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 
 def lcs_length(a: Sequence[Hashable], b: Sequence[Hashable], width: int = 8192) -> int:
     """Bit-parallel LCS (Hyyro, 2004): one integer holds a row of the table.
@@ -38,22 +32,3 @@ def lcs_length(a: Sequence[Hashable], b: Sequence[Hashable], width: int = 8192)
                 row = (total | (row - hits)) & full
         common += len(part) - row.bit_count()
     return common
-
-
-@F.arrow_udf(T.IntegerType())
-def lcs_of_texts(a: pa.Array, b: pa.Array) -> pa.Array:
-    """LCS of two texts of space-separated tokens."""
-    # One numbering of the batch's tokens for both sides; rows then are slices of integers.
-    parts = [pc.split_pattern(side, " ") for side in (a, b)]
-    codes = pa.concat_arrays([p.flatten() for p in parts]).dictionary_encode().indices.to_numpy()
-    sizes = [np.asarray(pc.fill_null(pc.list_value_length(p), 0)) for p in parts]
-    ends = np.cumsum(np.concatenate(sizes))
-    starts = ends - np.concatenate(sizes)
-    empty = [np.asarray(pc.fill_null(pc.equal(side, ""), True)) for side in (a, b)]
-    n, out = len(a), []
-    for i in range(n):
-        if empty[0][i] or empty[1][i]:
-            out.append(0)
-        else:
-            out.append(lcs_length(codes[starts[i] : ends[i]].tolist(), codes[starts[n + i] : ends[n + i]].tolist()))
-    return pa.array(out, pa.int32())

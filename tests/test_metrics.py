@@ -8,6 +8,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from folioframe.functions import tokens as token_arrays
 from folioframe.functions.lcs import lcs_length
 from folioframe.functions.stemming import stem
 from folioframe.operators import metrics
@@ -241,3 +242,20 @@ def test_roll_ups(pairs):
     })
     got = {r["model"]: r["average_z"] for r in joined.collect()}
     assert got["b"] is None and got["a"] is not None
+
+
+def test_overlap_of_pairs_in_several_parts(spark, monkeypatch):
+    """Parts of a few texts give what one part gives, and no array of tokens is made in the plan."""
+    random.seed(12)
+    rows = [(i, *[" ".join(random.choices(["runs", "running", "Éa", "b-c", "x"], k=random.randrange(40))) for _ in "rc"]) for i in range(200)]
+    rows += [(200, None, "x"), (201, "x", None), (202, "", "")]
+    df = spark.createDataFrame(rows, "pair_id long, reference_text string, candidate_text string").coalesce(1)
+    whole = {r["pair_id"]: tuple(r) for r in metrics.rouge(df).collect()}
+    monkeypatch.setattr(token_arrays, "PART_BYTES", 300)
+    scored = metrics.rouge(df)
+    assert {r["pair_id"]: tuple(r) for r in scored.collect()} == whole
+    plan = scored._jdf.queryExecution().toString()
+    assert "array_intersect" not in plan and "regexp_extract_all" not in plan
+    stems = {i: [[stem(t) for t in tokens(x)] for x in (a, b)] for i, a, b in rows}
+    expected = {i: (overlap(a, b, 1)[2], overlap(a, b, 2)[2], prf(table(a, b), len(a), len(b))[2]) for i, (a, b) in stems.items()}
+    close({i: r[1:] for i, r in whole.items()}, expected)
