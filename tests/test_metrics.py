@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from folioframe.functions import tokens as token_arrays
 from folioframe.functions.lcs import lcs_length
 from folioframe.functions.stemming import stem
-from folioframe.operators import metrics
+from folioframe.operators import hooks, metrics
+from folioframe.plans import evaluation
 
 TEXTS = [
     ("the cat sat on the mat", "the cat lay on a mat"), ("same text here", "same text here"), ("one two", "three four"),
@@ -259,3 +260,13 @@ def test_overlap_of_pairs_in_several_parts(spark, monkeypatch):
     stems = {i: [[stem(t) for t in tokens(x)] for x in (a, b)] for i, a, b in rows}
     expected = {i: (overlap(a, b, 1)[2], overlap(a, b, 2)[2], prf(table(a, b), len(a), len(b))[2]) for i, (a, b) in stems.items()}
     close({i: r[1:] for i, r in whole.items()}, expected)
+
+
+def test_model_table_of_texts(spark, pairs):
+    """ROUGE and unigram means of a model are those of plain Python."""
+    out = {r["model"]: r for r in evaluation.model_table(pairs, {"a": hooks.stub_encoder}, stemmed=False).collect()}
+    for k, model in enumerate("ab"):
+        own = [(tokens(a), tokens(b)) for a, b in TEXTS[k::2]]
+        for name, n in (("rouge1", 1), ("rouge2", 2), ("unigram_f", 1)):
+            assert out[model][f"average_{name}"] == pytest.approx(sum(overlap(a, b, n)[2] for a, b in own) / len(own))
+        assert out[model]["average_rougeL"] == pytest.approx(sum(prf(table(a, b), len(a), len(b))[2] for a, b in own) / len(own))
