@@ -3,12 +3,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from folioframe.functions import tokens as token_arrays
+from folioframe.functions import stemming, tokens as token_arrays
 from folioframe.functions.lcs import lcs_length
 from folioframe.functions.stemming import stem
 from folioframe.operators import hooks, metrics
@@ -262,6 +263,19 @@ def test_overlap_of_pairs_in_several_parts(spark, monkeypatch):
     close({i: r[1:] for i, r in whole.items()}, expected)
 
 
+def test_stems_are_kept_for_the_next_part(monkeypatch):
+    calls = []
+    monkeypatch.setattr(stemming, "stem", lambda w: calls.append(w) or stem(w))
+    known = {}
+    for words in (["runs ", "running ", "cats "], ["cats ", "runs "]):
+        codes = stemming.stem_codes(pa.array(words), known)
+        assert [codes[0] == c for c in codes] == [stem(words[0].strip()) == stem(w.strip()) for w in words]
+    assert calls == ["runs", "running", "cats"]
+    monkeypatch.setattr(stemming, "MOST_KNOWN", 2)
+    stemming.stem_codes(pa.array(["dogs "]), known)
+    assert list(known) == ["dogs "]
+
+
 def test_model_table_of_texts(spark, pairs):
     """ROUGE and unigram means of a model are those of plain Python."""
     out = {r["model"]: r for r in evaluation.model_table(pairs, {"a": hooks.stub_encoder}, stemmed=False).collect()}
