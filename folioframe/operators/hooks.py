@@ -12,6 +12,7 @@ import time
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +38,9 @@ def _answers(call: Callable[..., Sequence], *columns: Sequence) -> list:
         return answers
 
 
-def _slices(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for start in range(0, len(pdf), size):
-            yield pdf.iloc[start : start + size]
+def _calls(n_rows: int, size: int) -> Iterator[slice]:
+    """The rows of each call; what the calls of a batch give goes out as one frame, as small ones cost more than the calls."""
+    return (slice(start, min(start + size, n_rows)) for start in range(0, n_rows, size))
 
 
 def _types(df: DataFrame, names: Sequence[str]) -> str:
@@ -62,16 +62,16 @@ def run_generator(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         generate = make()
-        for pdf in _slices(batches, batch_size):
-            started = time.monotonic()
-            texts = _answers(
-                lambda prompts, models: generate(prompts, models, options),
-                pdf["prompt"].tolist(), pdf["model"].tolist(),
-            )
+        for pdf in batches:
+            texts, elapsed = [], []
+            prompts, models = pdf["prompt"].tolist(), pdf["model"].tolist()
+            for call in _calls(len(pdf), batch_size):
+                started = time.monotonic()
+                given = _answers(lambda asked, of: generate(asked, of, options), prompts[call], models[call])
+                texts += [t.strip() if t else None for t in given]
+                elapsed += [(time.monotonic() - started) / (call.stop - call.start)] * (call.stop - call.start)
             out = pdf[keys].copy()
-            out["text"] = [t.strip() if t else None for t in texts]
-            out["status"] = ["ok" if t else "failed" for t in out["text"]]
-            out["elapsed"] = (time.monotonic() - started) / len(pdf)
+            out["text"], out["status"], out["elapsed"] = texts, ["ok" if t else "failed" for t in texts], elapsed
             yield out
 
     columns = list(dict.fromkeys([*keys, "model", "prompt"]))
@@ -93,8 +93,9 @@ def encode_texts(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = make()
-        for pdf in _slices(batches, batch_size):
-            vectors = _answers(encode, pdf["text"].tolist())
+        for pdf in batches:
+            texts = pdf["text"].tolist()
+            vectors = [v for call in _calls(len(texts), batch_size) for v in _answers(encode, texts[call])]
             yield pd.DataFrame({"digest": pdf["digest"], "vector": [None if v is None else list(v) for v in vectors]})
 
     return distinct.mapInPandas(run, "digest string, vector array<float>")
@@ -108,20 +109,26 @@ def run_judge(
     answer had no score that ``judge_score`` reads."""
     keys = list(keys)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = make()
-        for pdf in _slices(batches, batch_size):
-            waiting = pdf
-            for attempt in range(1, attempts + 1):
-                if waiting.empty:
-                    break
-                answers = _answers(lambda prompts: judge(prompts, attempt), waiting["prompt"].tolist())
-                out = waiting[keys].copy()
-                out["attempt"], out["response"] = attempt, answers
-                yield out
-                waiting = waiting[[not has_score(a) for a in answers]]
-
-    return prompts.select(*keys, "prompt").mapInPandas(
+        for batch in batches:
+            prompts = batch.column(len(keys)).to_pylist()
+            rows, numbers, responses = [], [], []
+            for call in _calls(len(prompts), batch_size):
+                waiting = list(range(call.start, call.stop))
+                for attempt in range(1, attempts + 1):
+                    if not waiting:
+                        break
+                    answers = _answers(lambda asked: judge(asked, attempt), [prompts[i] for i in waiting])  # noqa: B023
+                    rows += waiting
+                    numbers += [attempt] * len(waiting)
+                    responses += answers
+                    waiting = [i for i, a in zip(waiting, answers, strict=True) if not has_score(a)]
+            asked = batch.select(range(len(keys))).take(pa.array(rows, pa.int64()))
+            columns = [*asked.columns, pa.array(numbers, pa.int32()), pa.array(responses, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, "attempt", "response"])
+
+    return prompts.select(*keys, "prompt").mapInArrow(
         run, f"{_types(prompts, keys)}, attempt int, response string"
     )
 
@@ -139,9 +146,10 @@ def run_evaluator(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         evaluate = make()
-        for pdf in _slices(batches, batch_size):
+        for pdf in batches:
             columns = [pdf[c].tolist() for c in ("source", "system_output", "reference")]
-            scores = [s or {} for s in _answers(evaluate, *columns)]
+            calls = _calls(len(pdf), batch_size)
+            scores = [s or {} for call in calls for s in _answers(evaluate, *[c[call] for c in columns])]
             for name in wanted:
                 out = pdf[keys].copy()
                 out["dimension"] = name

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +137,31 @@ def test_a_score_is_the_same_in_a_task_and_in_a_plan(spark):
     table = spark.createDataFrame([(a,) for a in answers], "answer string").select("answer", judge_score("answer").alias("score"))
     for r in table.collect():
         assert has_score(r["answer"]) == (r["score"] is not None)
+
+
+def test_calls_are_small_and_their_rows_go_out_together(spark):
+    """Hooks are called with few prompts at a time, and a batch of rows comes back as one."""
+    def make():
+        def judge(prompts, attempt):
+            assert len(prompts) <= 5
+            return [f'"score": {len(prompts)}' if int(p) % 3 else "none" for p in prompts]
+
+        return judge
+
+    prompts = spark.range(0, 103, 1, 1).select(F.col("id").alias("title"), F.lit("s").alias("side"), F.lit("m").alias("metric"), F.col("id").cast("string").alias("prompt"))
+    calls = hooks.run_judge(prompts, make, batch_size=5)
+    rows = {(r["title"], r["attempt"]): r["response"] for r in calls.collect()}
+    assert set(rows) == {(i, a) for i in range(103) for a in ((1,) if i % 3 else (1, 2, 3))}
+    assert rows[0, 1] == rows[102, 3] == "none" and rows[1, 1] == '"score": 5' and rows[101, 1] == '"score": 3'
+
+    class Captured:
+        schema = prompts.schema
+        select = lambda self, *names: self
+        mapInArrow = lambda self, run, types: run  # noqa: E731, N815
+
+    batch = pa.RecordBatch.from_pandas(prompts.select("title", "prompt").toPandas())
+    frames = list(hooks.run_judge(Captured(), make, ["title"], batch_size=5)(iter([batch])))
+    assert [f.num_rows for f in frames] == [173]
+    inputs = prompts.select("title", F.lit("").alias("source"), F.col("prompt").alias("system_output"), F.lit("").alias("reference"))
+    scored = hooks.run_evaluator(inputs, lambda: lambda s, o, r: [{"x": float(x)} if len(o) <= 5 else None for x in o], ("x",), ["title"], batch_size=5)
+    assert {r["title"]: r["score"] for r in scored.collect()} == {i: float(i) for i in range(103)}
