@@ -1,8 +1,12 @@
-"""Clipped n-gram overlap and longest common subsequence of two texts, in Arrow batches.
+"""Clipped n-gram overlap and longest common subsequence of two texts: in Arrow batches, and n-grams as built-in expressions.
 
 Counting n-grams by exploding and grouping would shuffle every text many times larger, although no
 count ever crosses a pair. Here a pair stays one row. A batch's tokens are numbered once for both
 sides, n-grams are numbers made of those, and counts are taken for many pairs at a time.
+
+As expressions, an overlap clipped by counts is the number of shared distinct n-grams plus, for those that
+both texts repeat, the shared second, third, ... occurrences. Repeats are read off the sorted
+n-grams as runs.
 """
 
 from __future__ import annotations
@@ -19,6 +23,9 @@ from folioframe.functions.stemming import stem_codes
 from folioframe.functions.text import as_column
 from folioframe.functions.tokens import Tokens, closed_text, gram_places, parts, tokenize, word_codes
 
+# An n-gram followed by at least one copy of itself, in sorted space-separated n-grams.
+RUN = r"(?<![^ ])(\S++)(?: \1(?= |$))++"
+
 
 def overlap_of_texts(
     reference: Column | str, candidate: Column | str, sizes: Sequence[int], distinct: bool = False,
@@ -80,3 +87,32 @@ def _gram_numbers(codes: np.ndarray, n: int) -> np.ndarray:
             grams = np.unique(grams, return_inverse=True)[1]
         grams = grams[:-1] * n_codes + codes[i:]
     return np.unique(grams, return_inverse=True)[1] if n > 2 else grams
+
+
+def gram_array(tokens: Column | str, n: int) -> Column:
+    """N-grams of a token array, their tokens joined by ``_``."""
+    tokens = grams = as_column(tokens)
+    for i in range(1, n):
+        # The shorter rest is padded with NULL, and what touches its end becomes NULL.
+        rest = F.slice(tokens, i + 1, F.size(tokens))
+        grams = F.zip_with(grams, rest, lambda x, y: F.concat(x, F.lit("_"), y))
+    return F.array_compact(grams) if n > 1 else grams
+
+
+def repeats(grams: Column | str) -> Column:
+    """``gram#2``, ``gram#3``, ...: the occurrences after the first one."""
+    runs = F.regexp_extract_all(F.array_join(F.sort_array(as_column(grams)), " "), F.lit(RUN), F.lit(0))
+
+    def later(run: Column) -> Column:
+        gram = F.substring_index(run, " ", 1)
+        count = ((F.length(run) + 1) / (F.length(gram) + 1)).cast("int")
+        return F.transform(F.sequence(F.lit(2), count), lambda k: F.concat(gram, F.lit("#"), k.cast("string")))
+
+    return F.flatten(F.transform(runs, later))
+
+
+def shared(reference: Column | str, candidate: Column | str) -> Column:
+    """Overlap of two n-gram arrays, clipped by counts."""
+    reference, candidate = as_column(reference), as_column(candidate)
+    once = F.size(F.array_intersect(reference, candidate))
+    return once + F.size(F.array_intersect(repeats(reference), repeats(candidate)))

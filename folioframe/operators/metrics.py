@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioframe.functions.overlap import overlap_of_texts
-from folioframe.functions.text import shifted, words
+from folioframe.functions.overlap import gram_array, overlap_of_texts, shared
+from folioframe.functions.text import shifted, split_words, word_text, words
 from folioframe.functions.vectors import cosine
 from folioframe.operators.hooks import Encode
 from folioframe.operators.vector_store import store_vectors
@@ -50,6 +50,31 @@ def overlaps(
     return pairs.select(*keys, measured.alias("_overlap")).select(*keys, "_overlap.*")
 
 
+def token_texts(pairs: DataFrame, keys: Sequence[str], reference: str, candidate: str) -> DataFrame:
+    """``(keys, ref, cand)`` texts of space-separated tokens.
+
+    Pairs stay in the partitions they come in; a caller whose pairs come from few files or
+    differ much in cost repartitions them first.
+    """
+    raw = pairs.select(*keys, F.col(reference).alias("_r"), F.col(candidate).alias("_c"))
+    return raw.select(
+        *keys,
+        F.coalesce(word_text("_r"), F.lit("")).alias("ref"),
+        F.coalesce(word_text("_c"), F.lit("")).alias("cand"),
+    )
+
+
+def ngram_overlap(texts: DataFrame, keys: Sequence[str], sizes: Sequence[int] = (1,)) -> DataFrame:
+    """``(keys, hits_n, ref_n, cand_n, ...)``: n-gram overlap per pair in built-in expressions, without an exchange."""
+    arrays, totals = [], []
+    for n in sizes:
+        ref, cand = f"_ref_{n}", f"_cand_{n}"
+        arrays += [gram_array("ref", n).alias(ref), gram_array("cand", n).alias(cand)]
+        totals += [shared(ref, cand).alias(f"hits_{n}"), F.size(ref).alias(f"ref_{n}"), F.size(cand).alias(f"cand_{n}")]
+    tokens = texts.select(*keys, split_words("ref").alias("ref"), split_words("cand").alias("cand"))
+    return tokens.select(*keys, *arrays).select(*keys, *totals)
+
+
 def ngram_scores(prefix: str, n: int) -> list[Column]:
     return scores(prefix, F.col(f"hits_{n}"), F.col(f"ref_{n}"), F.col(f"cand_{n}"))
 
@@ -70,7 +95,10 @@ def rouge_n(
 ) -> DataFrame:
     """ROUGE-N precision, recall and F per pair, for one or several N."""
     sizes = [sizes] if isinstance(sizes, int) else list(sizes)
-    overlap = overlaps(pairs, keys, reference, candidate, sizes, stemmed=stemmed)
+    if stemmed:
+        overlap = overlaps(pairs, keys, reference, candidate, sizes, stemmed=True)
+    else:
+        overlap = ngram_overlap(token_texts(pairs, keys, reference, candidate), keys, sizes)
     return overlap.select(*keys, *[c for n in sizes for c in ngram_scores(f"rouge{n}", n)])
 
 
