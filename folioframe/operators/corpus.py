@@ -22,6 +22,8 @@ from folioframe.session import cut
 PAGE_END = "\n\n"
 #: Bits of the sieve of word sequences, as a power of two, and how many sequences it is made for.
 SIEVE_BITS, SIEVE_GRAMS = 26, 1 << 25
+#: Sequences of a text whose digests are taken at a time.
+_DIGESTS = 512
 
 
 def dedup_report(df: DataFrame, key: str) -> DataFrame:
@@ -218,14 +220,93 @@ def trigram_check_in_corpus(
     corpus need not send: it holds no sequence back that is asked for. What passes is sent once a batch of texts and meets
     the checked sequences as words, so there are no false hits. With more than ``SIEVE_GRAMS`` checked
     sequences a sieve would be full, and the corpus sends each sequence once a batch.
+
+    A sample of many texts against a corpus of at most ``2 * SIEVE_GRAMS`` bytes goes the other way round: the corpus makes
+    the sieve, and of a sample only sequences that pass it are sent, with the number of the others.
     """
-    asked, _ = cut(_asked_trigrams(checked, key, text, n_samples, seed), "asked")
-    sieve = _sieve(asked) if asked.count() <= SIEVE_GRAMS else None
-    known, _ = cut(_known_trigrams(corpus, text, sieve).distinct(), "known")
+    if n_samples and _fits_sieve(corpus, text):
+        known, _ = cut(_known_trigrams(corpus, text, None).distinct(), "known")
+        sieve = _sieve(known.select(F.col("_known").alias("_gram")))
+        asked, _ = cut(_sample_hits(checked, key, text, n_samples, seed, sieve), "asked")
+    else:
+        asked, _ = cut(_asked_trigrams(checked, key, text, n_samples, seed).withColumn("_absent", F.lit(0).cast("bigint")), "asked")
+        sieve = _sieve(asked) if asked.count() <= SIEVE_GRAMS else None
+        known, _ = cut(_known_trigrams(corpus, text, sieve).distinct(), "known")
     if sieve:
         sieve.destroy()
     met = asked.join(known, F.col("_gram") == F.col("_known"), "left").distinct()
-    return met.groupBy("_key").agg(F.count("_gram").alias("n_sampled"), F.count("_known").alias("n_found")).withColumnRenamed("_key", key)
+    sampled = F.count("_gram") + F.sum("_absent")
+    return met.groupBy("_key").agg(sampled.alias("n_sampled"), F.count("_known").alias("n_found")).withColumnRenamed("_key", key)
+
+
+def _fits_sieve(corpus: DataFrame, text: str) -> bool:
+    """Whether the texts have at most ``SIEVE_GRAMS`` sequences by their bytes, of which a word takes two or more."""
+    return corpus.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)) <= 2 * SIEVE_GRAMS).first()[0]
+
+
+def _sample_hits(texts: DataFrame, key: str, text: str, n_samples: int, seed: str, sieve: Broadcast) -> DataFrame:
+    """``(_key, _gram, _absent)``: the sequences of each row's sample that pass the sieve, and a null one with the number of the others.
+
+    Rows that share a key, null being one, give the whole sample, as their samples are one. Elsewhere a sequence that passes is in
+    the sample if fewer than ``n_samples`` distinct ones of its text have smaller digests, which often is refuted after a few.
+    """
+    prefix = f"{seed}:".encode()
+
+    def digest(gram: bytes) -> bytes:
+        return hashlib.md5(prefix + gram).digest()
+
+    def sampled(hits: set[bytes], spans: list[tuple[int, int]], data: bytes) -> list[bytes]:
+        asked, seen, least = {digest(g): g for g in hits}, set(), []
+        last = max(asked)
+        for i in range(0, len(spans), _DIGESTS):
+            fresh = {data[a:b] for a, b in spans[i : i + _DIGESTS]} - seen
+            seen |= fresh
+            least += [d for d in map(digest, fresh) if d <= last]
+            if len(least) >= n_samples:
+                least = sorted(least)[:n_samples]
+                asked = {d: g for d, g in asked.items() if d <= least[-1]}
+                if not asked:
+                    break
+                last = max(asked)
+        return list(asked.values())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, held, again = batch.column(0), batch.column(1), batch.column(2).to_pylist()
+            for part in parts(held):
+                tokens = tokenize(held[part])
+                places, n = gram_places(tokens, 3), part.stop - part.start
+                hashes = np.concatenate([np.empty(0, np.uint64), *[h for _, h in gram_hashes(tokens, places, 3)]])
+                passing = np.flatnonzero(_passes(sieve.value, hashes))
+                data, starts, ends = tokens.data.tobytes(), tokens.starts[places], tokens.ends[places + 2]
+                upto = np.searchsorted(tokens.rows[places], np.arange(n + 1)).tolist()
+                of_hits = np.searchsorted(passing, upto).tolist()
+                rows, grams, absent = [], [], []
+                for i in range(n):
+                    first, stop = upto[i], upto[i + 1]
+                    spans = lambda: list(zip(starts[first:stop].tolist(), ends[first:stop].tolist(), strict=True))  # noqa: B023
+                    if again[part.start + i]:
+                        found, others = sorted({data[a:b] for a, b in spans()}, key=digest)[:n_samples], 0
+                    else:
+                        # As many distinct hashes are as many distinct sequences.
+                        n_own = len(set(hashes[first : min(stop, first + 2 * n_samples)].tolist()))
+                        if n_own < n_samples:
+                            n_own = len({data[a:b] for a, b in spans()})
+                        hits = {data[starts[j] : ends[j]] for j in passing[of_hits[i] : of_hits[i + 1]]}
+                        found = sampled(hits, spans(), data) if hits else []
+                        others = min(n_own, n_samples) - len(found)
+                    grams += [*found, None]
+                    absent += [0] * len(found) + [others]
+                    rows += [part.start + i] * (len(found) + 1)
+                columns = [keys.take(pa.array(rows, pa.int64())), pa.array(grams, pa.binary()).cast(pa.string()), pa.array(absent, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["_key", "_gram", "_absent"])
+
+    rows = texts.select(F.col(key).alias("_key"), closed_text(text).alias("_text"))
+    repeated = rows.groupBy(F.col("_key").alias("_same")).count().where("count > 1")
+    again, _ = cut(repeated.select("_same", F.lit(True).alias("_again")), "again")
+    rows = rows.join(again, F.col("_key").eqNullSafe(F.col("_same")), "left").drop("_same")
+    fields = [rows.schema["_key"], T.StructField("_gram", T.StringType()), T.StructField("_absent", T.LongType())]
+    return rows.mapInArrow(run, T.StructType(fields))
 
 
 def _asked_trigrams(texts: DataFrame, key: str, text: str, n_samples: int | None, seed: str) -> DataFrame:

@@ -108,6 +108,45 @@ def test_sampled_sequences_of_a_long_text(spark):
     assert [(r["_key"], r["_gram"]) for r in out if r["_key"] != 1] == [(2, "a b c"), (3, None)]
 
 
+def test_a_sample_sends_only_what_a_small_corpus_may_hold(spark, monkeypatch):
+    """Long texts in several blocks of digests, with hits in and outside of their samples; repeated and null keys."""
+    random.seed(7)
+    texts = [" ".join(f"w{random.randrange(60)}" for _ in range(random.choice([0, 2, 20, 400, 3000]))) for _ in range(60)]
+    texts += [None, "red red " * 700]
+    own = [(None if i % 20 == 7 else i % 50, t) for i, t in enumerate(texts)]
+    other = [" ".join(random.sample((texts[i] or "").split() or ["x"], 1) + (texts[i] or "").split()[30:60]) for i in range(0, 60, 4)]
+    checked = spark.createDataFrame(own, "k int, text string").repartition(3)
+    against = spark.createDataFrame([(t,) for t in [*other, "red red red", None]], "text string")
+    sent, write = [], corpus.cut
+
+    def counted(df, label):
+        out = write(df, label)
+        if label == "asked":
+            sent.append(out[0].where("_gram IS NOT NULL").join(checked.groupBy(F.col("k").alias("_key")).count().where("count = 1"), "_key").count())
+        return out
+
+    monkeypatch.setattr(corpus, "cut", counted)
+
+    def grams(text):
+        words = (text or "").split()
+        return {" ".join(words[i : i + 3]) for i in range(len(words) - 2)}
+
+    known, tested = set().union(*map(grams, other), {"red red red"}), {}
+    for k, text in own:
+        ranked = sorted(grams(text), key=lambda g: hashlib.md5(f"check:{g}".encode()).hexdigest())
+        tested.setdefault(k, set()).update(ranked[:100])
+    expected = {k: (len(g), len(g & known)) for k, g in tested.items()}
+    assert any(0 < found < 10 for n, found in expected.values() if n == 100)
+    out = corpus.trigram_check_in_corpus(checked, against, "k", n_samples=100).collect()
+    assert {r["k"]: (r["n_sampled"], r["n_found"]) for r in out} == expected and len(out) == len(expected)
+    alone = [k for k in tested if [x for x, _ in own].count(k) == 1]
+    assert sent == [sum(expected[k][1] for k in alone)]
+    # a corpus that may have too many sequences for a sieve
+    monkeypatch.setattr(corpus, "SIEVE_GRAMS", 10)
+    out = corpus.trigram_check_in_corpus(checked, against, "k", n_samples=100).collect()
+    assert {r["k"]: (r["n_sampled"], r["n_found"]) for r in out} == expected
+
+
 def test_trigram_check(spark):
     df = spark.createDataFrame([(1, "a b c d e", "x a b c d y"), (2, "a b", "a b"), (3, "a a a a a", "a a a")], "k int, l string, r string")
     out = corpus.trigram_check(df, ["k"], "l", "r", 2, "s").orderBy("k").collect()
