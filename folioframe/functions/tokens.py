@@ -36,7 +36,7 @@ def closed_text(text: Column | str) -> Column:
     return F.concat(F.lower(F.coalesce(as_column(text), F.lit(""))), F.lit("\n"))
 
 
-def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of texts without nulls, and where each begins."""
     wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
@@ -48,7 +48,7 @@ def parts(*sides: pa.Array) -> Iterator[slice]:
     """Runs of rows whose texts have ``PART_BYTES`` in all, or one row."""
     if not len(sides[0]):
         return
-    ends = sum(_bytes(side)[1][1:] for side in sides)
+    ends = sum(text_bytes(side)[1][1:] for side in sides)
     start = 0
     while start < len(ends):
         held = ends[start - 1] if start else 0
@@ -59,7 +59,7 @@ def parts(*sides: pa.Array) -> Iterator[slice]:
 
 def tokenize(texts: pa.Array) -> Tokens:
     """The tokens of closed texts."""
-    raw, begins = _bytes(texts)
+    raw, begins = text_bytes(texts)
     is_token = _IS_TOKEN[raw]
     after = np.zeros(len(raw), bool)
     after[1:] = is_token[:-1] & ~is_token[1:]

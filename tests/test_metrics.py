@@ -276,6 +276,23 @@ def test_stems_are_kept_for_the_next_part(monkeypatch):
     assert list(known) == ["dogs "]
 
 
+def test_many_words_are_stemmed_together(monkeypatch):
+    """Rows of letters give the stems of the rules one by one, and leave only exceptions and long words to them."""
+    rng = random.Random(8)
+    endings = ["", "s", "ies", "sses", "ed", "ied", "eed", "ing", "y", "logi", "e", "ll", *stemming.STEP_2, *stemming.STEP_3, *stemming.STEP_4]
+    words = {"".join(rng.choices("aeiouybclstwz9", k=rng.randrange(6))) + "".join(rng.choices(endings, k=2)) for _ in range(20_000)}
+    plain = [*stemming.IRREGULAR, "z" * stemming.WIDTH + "ing", "z" * (stemming.WIDTH - 1) + "s", "éational"]
+    words = sorted({*words, *STEMS, *plain})
+    expected, calls = [stem(w) for w in words], []
+    monkeypatch.setattr(stemming, "stem", lambda w: calls.append(w) or stem(w))
+    for block in (100, 1 << 15):
+        monkeypatch.setattr(stemming, "BLOCK", block)
+        assert stemming.stems(pa.array(words)).to_pylist() == expected
+    codes = stemming.stem_codes(pa.array([w + " " for w in words]), {}).tolist()
+    assert len(set(zip(codes, expected))) == len(set(codes)) == len(set(expected))
+    assert set(calls) <= set(plain)
+
+
 def test_model_table_of_texts(spark, pairs):
     """ROUGE and unigram means of a model are those of plain Python."""
     out = {r["model"]: r for r in evaluation.model_table(pairs, {"a": hooks.stub_encoder}, stemmed=False).collect()}
