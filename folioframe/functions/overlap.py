@@ -26,16 +26,20 @@ from folioframe.functions.tokens import Tokens, closed_text, gram_places, parts,
 # An n-gram followed by at least one copy of itself, in sorted space-separated n-grams.
 RUN = r"(?<![^ ])(\S++)(?: \1(?= |$))++"
 
+#: Counts of single tokens as they are spelled.
+PLAIN = ("plain_hits", "plain_ref", "plain_cand")
+
 
 def overlap_of_texts(
     reference: Column | str, candidate: Column | str, sizes: Sequence[int], distinct: bool = False,
-    longest: bool = False, stemmed: bool = False,
+    longest: bool = False, stemmed: bool = False, plain: bool = False,
 ) -> Column:
-    """A struct of ``hits_n, ref_n, cand_n`` for each size, and ``lcs`` if asked for.
+    """A struct of ``hits_n, ref_n, cand_n`` for each size, ``lcs`` and ``PLAIN`` if asked for.
 
     Hits are clipped by counts or, with ``distinct``, of distinct n-grams; sizes count likewise. The ``lcs`` needs size 1.
+    The ``PLAIN`` ones, which need size 1 too, are its counts without stems.
     """
-    names = [f"{kind}_{n}" for n in sizes for kind in ("hits", "ref", "cand")] + ["lcs"] * longest
+    names = [f"{kind}_{n}" for n in sizes for kind in ("hits", "ref", "cand")] + ["lcs"] * longest + [*PLAIN] * plain
     known: dict[str, str] = {}
 
     def measure(ref: pa.Array, cand: pa.Array) -> pa.Array:
@@ -43,9 +47,15 @@ def overlap_of_texts(
         for part in parts(ref, cand):
             tokens = tokenize(pa.concat_arrays([ref[part], cand[part]]))
             codes, words = word_codes(tokens)
+            n_pairs, counts = part.stop - part.start, {}
             if stemmed:
+                if plain:
+                    counts = _plain(_counts(tokens, codes, n_pairs, (1,), distinct, False))
                 codes = stem_codes(words, known)[codes]
-            for name, values in _counts(tokens, codes, part.stop - part.start, sizes, distinct, longest).items():
+            counts |= _counts(tokens, codes, n_pairs, sizes, distinct, longest)
+            if plain and not stemmed:
+                counts |= _plain(counts)
+            for name, values in counts.items():
                 out[name].append(values)
         return pa.StructArray.from_arrays([pa.array(np.concatenate(out[name]), pa.int64()) for name in names], names)
 
@@ -79,6 +89,10 @@ def _counts(tokens: Tokens, codes: np.ndarray, n_pairs: int, sizes: Sequence[int
     return out
 
 
+def _plain(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return dict(zip(PLAIN, (counts[name] for name in ("hits_1", "ref_1", "cand_1")), strict=True))
+
+
 def _gram_numbers(codes: np.ndarray, n: int) -> np.ndarray:
     """A number for the n-gram at every place, equal for equal ones."""
     n_codes, grams = int(codes.max(initial=0)) + 1, codes

@@ -48,13 +48,13 @@ def model_table(
     of the vector table at ``store``.
     ``tokens`` (vectors by ``model, key, side, tok``) adds BERTScore over all pairs, ``judged``
     (``model`` and score columns) judge means, ``evaluated`` (``model, dimension, score``) a
-    column for each of ``dimensions``.
+    column for each of ``dimensions``. Both text metrics come from one pass over the texts, whose means are written
+    to the shared folder: they are one row a model, and else each would run that pass again.
     """
-    keys = [model, key]
-    parts = {
-        "rouge": roll_up(rouge(pairs, keys, stemmed=stemmed), ["rouge1", "rouge2", "rougeL"], [model]),
-        "unigram": roll_up(unigram_scores(pairs, keys), ["unigram_f"], [model]),
-    }
+    keys, longer = [model, key], ["rouge1", "rouge2", "rougeL"]
+    scored = unigram_scores(rouge(pairs, keys, stemmed=stemmed, plain=True), [*keys, *longer], counted=True)
+    means, _ = cut(roll_up(scored, [*longer, "unigram_f"], [model]), "means")
+    parts = {"rouge": means.drop("average_unigram_f"), "unigram": means.select(model, "average_unigram_f", "n_pairs")}
     similar = similarity_of_texts(pairs, encoders, keys, store=store)
     cells = [F.avg(F.when(F.col("encoder") == name, F.col("similarity"))).alias(f"average_similarity_{name}") for name in encoders]
     parts["similarity"] = similar.groupBy(model).agg(*cells, F.count(F.lit(1)).alias("n_pairs"))

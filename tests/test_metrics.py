@@ -293,6 +293,25 @@ def test_many_words_are_stemmed_together(monkeypatch):
     assert set(calls) <= set(plain)
 
 
+@pytest.mark.parametrize("stemmed", [False, True])
+def test_text_metrics_of_a_model_table_share_a_pass(spark, pairs, monkeypatch, stemmed):
+    """Unigrams without stems come from the pass that ROUGE takes with them; a null model has a row a part, as before."""
+    more = pairs.unionByName(pairs.limit(1).withColumn("model", F.lit(None).cast("string"))).unionByName(
+        pairs.limit(1).withColumn("model", F.lit("c")).withColumn("reference_text", F.lit("running runs ran")).withColumn("candidate_text", F.lit("run runs")))
+    passes, measure = [], metrics.overlap_of_texts
+    monkeypatch.setattr(metrics, "overlap_of_texts", lambda *a, **k: passes.append(a) or measure(*a, **k))
+    rows = evaluation.model_table(more, {"a": hooks.stub_encoder}, stemmed=stemmed).collect()
+    assert len(passes) == 1
+    out = {r["model"]: r for r in rows if r["model"]}
+    assert out["c"]["average_unigram_f"] == pytest.approx(0.4) and out["c"]["average_rouge1"] == pytest.approx(0.8 if stemmed else 0.4)
+    rouge, unigram = metrics.rouge(more, ["model", "pair_id"], stemmed=stemmed), metrics.unigram_scores(more, ["model", "pair_id"])
+    for frame, name in ((rouge, "rouge1"), (rouge, "rouge2"), (rouge, "rougeL"), (unigram, "unigram_f")):
+        expected = {r["model"]: r["m"] for r in frame.groupBy("model").agg(F.avg(name).alias("m")).collect()}
+        assert {m: r[f"average_{name}"] for m, r in out.items()} == pytest.approx({m: v for m, v in expected.items() if m})
+        assert [r[f"average_{name}"] for r in rows if r["model"] is None and r[f"average_{name}"] is not None] == [pytest.approx(expected[None])]
+    assert len([r for r in rows if r["model"] is None]) == 3
+
+
 def test_model_table_of_texts(spark, pairs):
     """ROUGE and unigram means of a model are those of plain Python."""
     out = {r["model"]: r for r in evaluation.model_table(pairs, {"a": hooks.stub_encoder}, stemmed=False).collect()}
